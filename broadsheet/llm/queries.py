@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, outliers
 from .tables import documents
 
 
@@ -14,8 +14,14 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = outliers.quality(documents(spark, sf_dir))
+    return found.select("doc_id", *outliers.COUNTS, "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
