@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, outliers
+from . import mixing, outliers, token_counts
 from .tables import documents
 
 
@@ -14,6 +14,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = outliers.quality(documents(spark, sf_dir))
     return found.select("doc_id", *outliers.COUNTS, "base_failed", "kept")
@@ -21,6 +25,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
+    "op6_token_counts": op6_token_counts,
     "op9_quality_rules": op9_quality_rules,
 }
 
