@@ -32,7 +32,7 @@ from . import arrays
 MARK = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_SCORE = -5.0
-MOST_NODES = 1 << 20
+MOST_NODES = 1 << 19
 #: Words whose hashes and counts a task remembers between chunks.
 MOST_WORDS = 1 << 19
 
@@ -44,6 +44,7 @@ class Vocabulary:
         total = math.log(sum(1 / (r + 1) for r in range(len(pieces))))
         self.score = {p.encode(): -math.log(r + 1) - total for r, p in reversed(list(enumerate(pieces)))}
         self.longest = max((len(p) for p in self.score), default=1)
+        self.starts = {p[:n] for p in self.score for n in range(1, len(p) + 1)}
         self.unknown = min(self.score.values(), default=0.0) + BYTE_SCORE
 
     @staticmethod
@@ -72,15 +73,22 @@ class Trie:
         while depth < len(word) and (child := self.children[node].get(word[depth])) is not None:
             node, depth = child, depth + 1
             path.append(node)
-        known, longest, unknown = self.vocabulary.score, self.vocabulary.longest, self.vocabulary.unknown
+        known, starts, unknown = self.vocabulary.score, self.vocabulary.starts, self.vocabulary.unknown
+        # Where pieces may begin that are not over yet.
+        begins = [b for b in range(max(0, depth - self.vocabulary.longest), depth) if word[b:depth] in starts]
         while depth < len(word):
+            begins.append(depth)
             depth += 1
-            best, count = self.score[node] + unknown, self.count[node] + 1
-            for begin in range(max(0, depth - longest), depth):
-                if (piece := known.get(word[begin:depth])) is not None:
+            best, count, on = self.score[node] + unknown, self.count[node] + 1, []
+            for begin in begins:
+                if (part := word[begin:depth]) not in starts:
+                    continue
+                on.append(begin)
+                if (piece := known.get(part)) is not None:
                     before = path[begin]
                     if (total := self.score[before] + piece) > best or (total == best and self.count[before] + 1 < count):
                         best, count = total, self.count[before] + 1
+            begins = on
             self.children.append({})
             self.score.append(best)
             self.count.append(count)
