@@ -88,6 +88,14 @@ class Chunk:
         return total[self.off[1:]] - total[self.off[:-1]]
 
 
+def row_sums(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of bytes: mixed((sums[:, e] - sums[:, s]) * inverses[s]) are the hashes of the spans [s, e)."""
+    powers, inverses = _powers_to(rows.shape[1] + 1)
+    sums = np.zeros((rows.shape[0], rows.shape[1] + 1), U)
+    np.cumsum(_BYTE[rows] * powers[: rows.shape[1]], axis=1, out=sums[:, 1:])
+    return sums, inverses
+
+
 def chunks(column: pa.Array, lower: bool = False, size: int | None = None) -> Iterator[Chunk]:
     """Null texts are empty. lower: A-Z become a-z."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
