@@ -88,6 +88,18 @@ class Chunk:
         return total[self.off[1:]] - total[self.off[:-1]]
 
 
+def byte_codes(data: np.ndarray) -> np.ndarray:
+    return _BYTE[data]
+
+
+def sums_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """mixed((sums[e] - sums[s]) * inverses[s]) are the hashes of the spans [s, e) of codes."""
+    powers, inverses = _powers_to(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, U)
+    np.cumsum(codes * powers[: len(codes)], out=sums[1:])
+    return sums, inverses
+
+
 def row_sums(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows of bytes: mixed((sums[:, e] - sums[:, s]) * inverses[s]) are the hashes of the spans [s, e)."""
     powers, inverses = _powers_to(rows.shape[1] + 1)
