@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, outliers, seed_extend, suffix_index, token_counts
+from . import hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts
 from .tables import documents
 
 
@@ -19,6 +19,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_index.cut(documents(spark, sf_dir))
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -37,6 +41,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_token_counts": op6_token_counts,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
