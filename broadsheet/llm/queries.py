@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts
+from . import decontamination, hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts
 from .tables import documents
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, sf_dir), items).drop("tag")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -39,6 +44,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op5_mix_sources": op5_mix_sources,
     "op6_token_counts": op6_token_counts,
     "op7_minhash_dedup": op7_minhash_dedup,
