@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts
+from . import decontamination, hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts, toxicity
 from .tables import documents
 
 
@@ -16,6 +16,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, sf_dir), items).drop("tag")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", "held_out", "score", "predicted", "flagged")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -45,6 +50,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op5_mix_sources": op5_mix_sources,
     "op6_token_counts": op6_token_counts,
     "op7_minhash_dedup": op7_minhash_dedup,
