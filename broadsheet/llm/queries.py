@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts, toxicity
+from . import decontamination, hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
 from .tables import documents
 
 
@@ -21,6 +21,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", "flagged")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -51,6 +56,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op4_html_extraction": op4_html_extraction,
     "op5_mix_sources": op5_mix_sources,
     "op6_token_counts": op6_token_counts,
     "op7_minhash_dedup": op7_minhash_dedup,
