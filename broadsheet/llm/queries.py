@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, hyperminhash, mixing, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
+from . import decontamination, hyperminhash, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
 from .tables import documents
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mlm_scoring.pseudo_likelihood(documents(spark, sf_dir))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.contaminated(documents(spark, sf_dir), items).drop("tag")
@@ -54,6 +58,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,
