@@ -1,10 +1,492 @@
-"""The registered queries and the SQL they are checked against."""
+"""The registered queries, and the SQL they are checked against.
+
+The driver's tables stand in for those of the data model: orders are issues (o_orderdate gives the year), lineitems
+crops of scans (l_orderkey), customers and nations places, documents recognised texts, events log samples.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import records, text
+from ..operators import aggregates, relational, sequences
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: The year that stands in for the model's cut-off.
+CUTOFF = 1998
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+
+
+def _crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems with the year of their order."""
+    years = _issues(spark, sf_dir).select(F.col("o_orderkey").alias("l_orderkey"), "year", "o_totalprice")
+    return _t(spark, sf_dir, "lineitem").join(years, "l_orderkey")
+
+
+_CROPS = "lineitem JOIN orders ON l_orderkey = o_orderkey"
+_CATEGORY = "l_returnflag || l_linestatus"
+
+
+def _category():
+    return F.concat("l_returnflag", "l_linestatus")
+
+
+# --- aggregates over crops and scans -------------------------------------------------------------------------------
+
+
+@query(f"""
+SELECT year, total, scans, CAST(total AS DOUBLE) / scans AS per_scan FROM (
+  SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(sum(l_linenumber) AS BIGINT) AS total, count(DISTINCT l_orderkey) AS scans
+  FROM {_CROPS} GROUP BY 1)""")
+def tokens_per_scan_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crops = _crops(spark, sf_dir)
+    return aggregates.per_scan_by_year(
+        crops.select("year", "l_linenumber"), crops.select("year", F.col("l_orderkey").alias("scan_id")), "l_linenumber"
+    )
+
+
+@query("""
+SELECT count(DISTINCT o_orderkey) AS issues, count(DISTINCT o_custkey) AS owners, count(*) AS n FROM orders""")
+def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").agg(
+        F.countDistinct("o_orderkey").alias("issues"), F.countDistinct("o_custkey").alias("owners"), F.count(F.lit(1)).alias("n")
+    )
+
+
+@query("""
+SELECT 'region' AS label, count(*) AS n FROM region UNION ALL SELECT 'nation', count(*) FROM nation
+UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier
+UNION ALL SELECT 'part', count(*) FROM part UNION ALL SELECT 'orders', count(*) FROM orders
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'documents', count(*) FROM documents
+UNION ALL SELECT 'labels', count(*) FROM labels UNION ALL SELECT 'pages', count(*) FROM pages
+UNION ALL SELECT 'events', count(*) FROM events""")
+def record_counts_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels", "pages", "events"]
+    return relational.record_counts({n: _t(spark, sf_dir, n) for n in names})
+
+
+@query("""
+SELECT r_name AS region, n_name AS nation, count(DISTINCT o_orderkey) AS n
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY 1, 2""")
+def issues_by_locality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = _t(spark, sf_dir, "nation").join(_t(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    owners = _t(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = _t(spark, sf_dir, "orders").join(owners, F.col("o_custkey") == F.col("c_custkey"))
+    return rows.groupBy(F.col("r_name").alias("region"), F.col("n_name").alias("nation")).agg(F.countDistinct("o_orderkey").alias("n"))
+
+
+@query("""
+SELECT count(*) AS n, median(o_totalprice) AS median, min(o_totalprice) AS least, max(o_totalprice) AS greatest FROM orders""")
+def resolution_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("o_totalprice")
+    return _t(spark, sf_dir, "orders").agg(F.count(p).alias("n"), F.median(p).alias("median"), F.min(p).alias("least"), F.max(p).alias("greatest"))
+
+
+@query("""
+SELECT lang, count(*) AS n, CAST(round(avg(n_chars), 6) AS DOUBLE) AS mean, median(n_chars) AS median,
+  round(coalesce(stddev_samp(n_chars), 0), 6) AS deviation, min(n_chars) AS least, max(n_chars) AS greatest
+FROM documents GROUP BY 1""")
+def spread_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _t(spark, sf_dir, "documents").groupBy("lang").agg(*aggregates.spread(F.col("n_chars")))
+    return out.withColumns({"mean": F.round("mean", 6), "deviation": F.round("deviation", 6)})
+
+
+@query("""
+WITH per AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS scans, CAST(sum(n) AS BIGINT) AS crops,
+  round(avg(n), 6) AS mean, round(coalesce(stddev_samp(n), 0), 6) AS deviation
+FROM per JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def crops_per_scan_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    rows = per.join(_issues(spark, sf_dir).select(F.col("o_orderkey").alias("l_orderkey"), "year"), "l_orderkey")
+    return rows.groupBy("year").agg(
+        F.count(F.lit(1)).alias("scans"), F.sum("n").alias("crops"), F.round(F.avg("n"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("n"), F.lit(0.0)), 6).alias("deviation")
+    )
+
+
+@query("""
+SELECT l_orderkey AS scan_id, 100.0::DOUBLE * CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / any_value(o_totalprice) AS coverage
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def scan_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crops = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("area"))
+    scans = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
+    return crops.join(scans, "l_orderkey").select(F.col("l_orderkey").alias("scan_id"), (F.lit(100.0) * F.col("area") / F.col("o_totalprice")).alias("coverage"))
+
+
+@query("SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1")
+def lang_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query("SELECT lang, median(n_chars) AS median FROM documents GROUP BY 1")
+def median_chars_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").groupBy("lang").agg(F.median("n_chars").alias("median"))
+
+
+@query(f"SELECT CAST(year(o_orderdate) AS INT) AS year, {_CATEGORY} AS category, count(*) AS n FROM {_CROPS} GROUP BY 1, 2")
+def category_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crops(spark, sf_dir).groupBy("year", _category().alias("category")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""
+SELECT CAST(year(o_orderdate) AS INT) AS year, {_CATEGORY} AS category, CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS tokens
+FROM {_CROPS} GROUP BY 1, 2""")
+def tokens_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _crops(spark, sf_dir).groupBy("year", _category().alias("category")).agg(F.coalesce(F.sum("l_linenumber"), F.lit(0)).alias("tokens"))
+
+
+@query(f"""
+WITH per AS (SELECT l_orderkey, year(o_orderdate) AS year, {_CATEGORY} AS category, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS area, count(*) AS n
+  FROM {_CROPS} GROUP BY 1, 2, 3)
+SELECT CAST(year AS INT) AS year, category, count(*) AS scans, CAST(sum(n) AS BIGINT) AS crops, CAST(sum(area) AS DOUBLE) AS area FROM per GROUP BY 1, 2""")
+def category_area_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = _crops(spark, sf_dir).groupBy("l_orderkey", "year", _category().alias("category")).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("area"), F.count(F.lit(1)).alias("n")
+    )
+    return per.groupBy("year", "category").agg(F.count(F.lit(1)).alias("scans"), F.sum("n").alias("crops"), F.sum("area").cast("double").alias("area"))
+
+
+@query("""
+SELECT count(*) AS n, CAST(sum(CASE WHEN l_returnflag = l_linestatus THEN 1 ELSE 0 END) AS BIGINT) AS image_text,
+  CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS final_image,
+  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS final_text FROM lineitem""")
+def agreement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "lineitem")
+    both = aggregates.agreement(rows.withColumn("f", F.lit("O")), "l_returnflag", "l_linestatus", "f").select("n", "image_text", F.col("final_text").alias("final_image"))
+    return both.crossJoin(rows.agg(F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("final_text")))  # two rows of one each
+
+
+@query("""
+WITH r AS (SELECT value AS v FROM events WHERE value IS NOT NULL),
+l AS (SELECT min(v) AS lo, max(v) AS hi, least(50, greatest(1, CAST(ceil(log2(count(*)) + 1) AS INT))) AS bins FROM r)
+SELECT CAST(least(floor((v - lo) / ((hi - lo) / bins)), bins - 1) AS INT) AS bin, count(*) AS n FROM r, l GROUP BY 1""")
+def value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.histogram(_t(spark, sf_dir, "events"), "value")
+
+
+@query(f"""
+WITH c AS (SELECT CAST(year(o_orderdate) AS INT) AS year, {_CATEGORY} AS category, count(*) AS n FROM {_CROPS} GROUP BY 1, 2)
+SELECT year, category, n, 100.0::DOUBLE * n / sum(n) OVER (PARTITION BY year) AS share FROM c""")
+def share_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.shares(category_by_year(spark, sf_dir), "year")
+
+
+@query(f"""
+WITH c AS (SELECT CAST(year(o_orderdate) AS INT) AS year, {_CATEGORY} AS category, count(*) AS n FROM {_CROPS} GROUP BY 1, 2)
+SELECT year, category, n, 100.0::DOUBLE * sum(n) OVER (PARTITION BY year ORDER BY category ROWS UNBOUNDED PRECEDING) / sum(n) OVER (PARTITION BY year) AS upto FROM c""")
+def cumulative_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.stacked(category_by_year(spark, sf_dir), "year", "category")
+
+
+@query(f"""
+SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS n FROM orders WHERE year(o_orderdate) < {CUTOFF}
+  AND o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""")
+def semi_join_pre_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    rows = relational.within(_issues(spark, sf_dir).filter(F.col("year") < CUTOFF), keys, "o_orderkey")
+    return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
+def unprocessed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return relational.unprocessed(_t(spark, sf_dir, "orders"), done, "o_orderkey").select("o_orderkey")
+
+
+@query("""
+SELECT * FROM (SELECT 'labels' AS missing, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT 'good', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)) WHERE n > 0""")
+def incomplete_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _t(spark, sf_dir, "labels")
+    return relational.incomplete(_t(spark, sf_dir, "documents"), {"labels": labels, "good": labels.filter("quality = 1")}, "doc_id")
+
+
+@query("""
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def satellites_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("crop_id"), "lang")
+    labels = _t(spark, sf_dir, "labels").withColumnRenamed("doc_id", "crop_id")
+    return relational.satellites(docs, {"labels": labels}).select(F.col("crop_id").alias("doc_id"), "lang", "labels.quality", "labels.toxic")
+
+
+@query("""
+SELECT lang, quality, count(*) AS n, CAST(sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS BIGINT) AS toxic
+FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2""")
+def confidence_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels"), "doc_id")
+    return rows.groupBy("lang", "quality").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"))
+
+
+# --- json, top lists, entities --------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT CAST(props->>'$.k' AS INT) AS k, count(*) AS n FROM events GROUP BY 1""")
+def json_prop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").groupBy(F.get_json_object("props", "$.k").cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_ENTITIES = r"""
+SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS entity FROM documents"""
+
+
+@query(f"SELECT entity, count(*) AS n FROM ({_ENTITIES}) GROUP BY 1 ORDER BY n DESC, entity LIMIT 20")
+def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))
+    return aggregates.top(_t(spark, sf_dir, "documents").select(F.explode(found).alias("entity")), "entity", 20)
+
+
+@query("""
+SELECT event_type AS label, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, label LIMIT 30""")
+def top_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.top(_t(spark, sf_dir, "events").select(F.col("event_type").alias("label")), "label", 30)
+
+
+@query("""
+WITH e AS (SELECT user_id, upper(event_type) AS tag, CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END AS text, value, event_id FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, tag, lower(text) ORDER BY value DESC, event_id) AS k,
+  min(event_id) OVER (PARTITION BY user_id, tag, lower(text)) AS first_pos FROM e)
+SELECT user_id AS crop_id, tag, text, value AS score, first_pos FROM r WHERE k = 1""")
+def entity_dedup_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spelled = F.when(F.col("event_id") % 2 == 0, F.upper("event_type")).otherwise(F.col("event_type"))
+    rows = _t(spark, sf_dir, "events").select(
+        F.col("user_id").alias("crop_id"), F.upper("event_type").alias("tag"), spelled.alias("text"), F.col("value").alias("score"), F.col("event_id").alias("pos")
+    )
+    return relational.deduplicated_entities(rows)
+
+
+@query("""
+WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents)
+SELECT term, count(*) AS n FROM w WHERE term IN ('the', 'and', 'der', 'die', 'les', 'que', 'idiot') GROUP BY 1""")
+def map_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = [("the", "en"), ("and", "en"), ("der", "de"), ("die", "de"), ("les", "fr"), ("que", "es"), ("idiot", "en")]
+    found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    own = lambda term, w: F.size(F.filter(w, lambda x: x == term))
+    maps = F.map_from_arrays(
+        F.array(*[F.lit(lang) for lang in ("en", "de", "fr", "es")]),
+        F.array(*[F.map_filter(F.create_map(*[x for t, g in terms if g == lang for x in (F.lit(t), own(t, F.col("w")))]), lambda k, v: v > 0) for lang in ("en", "de", "fr", "es")]),
+    )
+    rows = _t(spark, sf_dir, "documents").select(found.alias("w")).select(maps.alias("matches"))
+    return aggregates.term_totals(rows, "matches")
+
+
+@query("""
+SELECT conv_id, string_agg(turn || ':' || role, ',' ORDER BY turn, role) AS turns FROM conversations GROUP BY 1""")
+def nested_ordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = relational.nested(_t(spark, sf_dir, "conversations"), ["conv_id"], [F.col("turn"), F.col("role")], ["turn", "role"], "items")
+    turns = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["turn"].cast("string"), x["role"])), ",")
+    return rows.select("conv_id", turns.alias("turns"))
+
+
+# --- texts ----------------------------------------------------------------------------------------------------------
+
+
+@query(r"""
+SELECT lang, CAST(sum(CASE WHEN regexp_matches(text, '(?i)<table') THEN 1 ELSE 0 END) AS BIGINT) AS tables,
+  CAST(sum(CASE WHEN regexp_matches(text, '(?m)^#{1,6}\s|\*\*[^*\n]+\*\*|\|[\s\-:]+\||^\s*[-*+]\s+\S|\[[^\]\n]+\]\([^)\n]+\)') THEN 1 ELSE 0 END) AS BIGINT) AS markdown
+FROM documents GROUP BY 1""")
+def md_flags_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return _t(spark, sf_dir, "documents").groupBy("lang").agg(
+        count(text.has_table(F.col("text"))).alias("tables"), count(text.has_markdown(F.col("text"))).alias("markdown")
+    )
+
+
+@query(r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents)
+SELECT doc_id, CAST(len(w) AS INT) AS words, CAST(len(list_distinct(w)) AS INT) AS distinct_words,
+  CASE WHEN len(w) > 0 THEN 100.0::DOUBLE * len(list_distinct(w)) / len(w) END AS ratio FROM w""")
+def type_token_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = _t(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)).alias("w"))
+    n, d = F.size("w"), F.size(F.array_distinct("w"))
+    return w.select("doc_id", n.alias("words"), d.alias("distinct_words"), F.when(n > 0, 100.0 * d / n).alias("ratio"))
+
+
+@query("""
+SELECT lang, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(sum(CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END) AS BIGINT) AS long, count(*) AS n FROM documents GROUP BY 1""")
+def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").groupBy("lang").agg(
+        F.sum("n_chars").alias("chars"), F.sum(F.when(F.col("n_chars") > 1000, 1).otherwise(0)).alias("long"), F.count(F.lit(1)).alias("n")
+    )
+
+
+@query(r"""
+WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g') AS t FROM pages),
+b AS (SELECT page_id, regexp_replace(t, '(?i)<(?:br|/p|/div|/h[1-6]|/li|/tr)\b[^>]*>', chr(10), 'g') AS t FROM a),
+c AS (SELECT page_id, regexp_replace(t, '(?s)<[a-zA-Z/!][^>]*>', '', 'g') AS t FROM b),
+d AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+  '&#39;', ''''), '&apos;', ''''), '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS t FROM c)
+SELECT page_id, length(t) AS n FROM d""")
+def strip_tags_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", F.length(text.strip_markup(F.col("html"))).cast("long").alias("n"))
+
+
+@query()
+def recognised_text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    return docs.select("doc_id", text.clean_recognised(F.col("text")).alias("cleaned")).withColumn("n_chars", F.length("cleaned"))
+
+
+@query()
+def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", text.metrics(text.flatten(F.col("text"))).alias("m")).select("doc_id", "m.*")
+
+
+# --- records --------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT doc_id, CASE WHEN lang = 'en' THEN 'ENG' WHEN n_chars < 3000 OR source = 'src1' THEN 'ENG' ELSE upper(lang) END AS code FROM documents""")
+def language_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("lang") == "en", "ENG").otherwise(F.upper("lang"))
+    confidence = F.when(F.col("source") == "src1", 0.4).otherwise(0.9)
+    out = records.issue_language(code, confidence, F.floor(F.col("n_chars") / 100), F.lit("eng"), F.array(F.lit("ENG"), F.lit("FRA")))
+    return _t(spark, sf_dir, "documents").select("doc_id", out.alias("code"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' AND c_name LIKE '%1' THEN 'MA' ELSE 'NY' END AS state FROM customer""")
+def locality_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    city = F.when((F.col("c_mktsegment") == "BUILDING") & F.col("c_name").like("%1"), "Boston").otherwise("Albany")
+    return _t(spark, sf_dir, "customer").select("c_custkey", records.right_state(city, F.lit("NY")).alias("state"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'N' THEN l_linestatus WHEN l_linestatus = 'F' THEN l_returnflag
+  WHEN l_discount > l_tax THEN l_returnflag ELSE l_linestatus END AS category FROM lineitem""")
+def final_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    image = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
+    words = F.when(F.col("l_linestatus") == "F", "Empty").otherwise(F.col("l_linestatus"))
+    out = records.final_category(image, F.col("l_discount"), words, F.col("l_tax"))
+    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.when(out == "Empty", "F").otherwise(out).alias("category"))
+
+
+@query("SELECT page_id, CAST(nullif(regexp_extract(regexp_replace(url, '\\.[^.]*$', ''), '^\\D*(\\d+)', 1), '') AS INT) AS page FROM pages")
+def page_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "pages").select("page_id", records.page_number(F.col("url")).alias("page"))
+
+
+@query("SELECT o_orderkey, nullif(concat_ws('_', nullif(o_orderstatus, 'O'), nullif(o_orderpriority, '')), '') AS key FROM orders")
+def issue_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_orderkey", records.issue_key(F.nullif("o_orderstatus", F.lit("O")), F.col("o_orderpriority")).alias("key"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'running' END AS status FROM orders""")
+def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, d = F.col("o_orderstatus"), F.col("o_orderdate")
+    return _t(spark, sf_dir, "orders").select(
+        "o_orderkey", records.batch_status(F.when(s != "O", d), F.when(s == "F", d), F.lit(False)).alias("status")
+    )
+
+
+@query("""
+WITH m AS (SELECT sum(value) / count(*) AS x, count(*) AS n FROM (SELECT floor(value) AS value FROM events WHERE event_type = 'click'))
+SELECT x AS mean_seconds, nullif(x * (SELECT count(*) FROM events WHERE event_type = 'view'), 0) AS eta_seconds FROM m""")
+def eta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
+    status = F.when(F.col("event_type") == "click", "completed").otherwise("pending")
+    start = F.lit(0).cast("timestamp")
+    rows = rows.select(status.alias("status"), start.alias("started"), F.timestamp_seconds(F.floor("value")).alias("ended"))
+    out = aggregates.eta(rows, F.timestamp_seconds(F.lit(0)))
+    n = rows.filter("status = 'pending'").agg(F.count(F.lit(1)).alias("n"))
+    return out.crossJoin(n).select("mean_seconds", F.nullif(F.col("mean_seconds") * F.col("n"), F.lit(0.0)).alias("eta_seconds"))
+
+
+# --- ordered rows ---------------------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 200 AS BIGINT) AS batch FROM orders")
+def batch_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.batches(_t(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 200)
+
+
+@query("""
+WITH RECURSIVE g AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS i, count(*) AS n FROM orders GROUP BY 1),
+f AS (SELECT o_custkey, i, CAST(0 AS BIGINT) AS chunk, CAST(n AS BIGINT) AS s FROM g WHERE i = 1
+  UNION ALL SELECT g.o_custkey, g.i, f.chunk + CASE WHEN f.s + g.n > 25 THEN 1 ELSE 0 END, CASE WHEN f.s + g.n > 25 THEN g.n ELSE f.s + g.n END
+  FROM f JOIN g ON g.i = f.i + 1)
+SELECT o_custkey, chunk FROM f""")
+def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = _t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).withColumn("corpus", F.lit(1))
+    return sequences.packed(sizes, "corpus", "o_custkey", "n", 25).select("o_custkey", "chunk")
+
+
+@query("""
+WITH e AS (SELECT user_id, ts, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events WHERE event_type IS NOT NULL)
+SELECT user_id, event_id, event_type FROM e WHERE b IS NULL OR b <> event_type""")
+def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.transitions(_t(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type").select("user_id", "event_id", "event_type")
+
+
+@query("""
+SELECT time_bucket(INTERVAL '3 hours', ts, TIMESTAMP '2024-01-01 00:00:00') AS start, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1""")
+def tumbling_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events")
+    return sequences.tumbling(rows, "ts", "3 hours", "0 hours", {"n": F.count(F.lit(1)), "users": F.countDistinct("user_id")}).select("start", "n", "users")
+
+
+@query("""
+SELECT user_id, min(CASE WHEN event_type = 'view' THEN ts END) AS started, max(CASE WHEN event_type = 'purchase' THEN ts END) AS ended FROM events GROUP BY 1""")
+def run_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda kind: F.when(F.col("event_type") == kind, F.col("ts"))
+    return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.min(at("view")).alias("started"), F.max(at("purchase")).alias("ended"))
+
+
+@query("""
+WITH b AS (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity AS x, l_suppkey AS y, count(*) OVER (PARTITION BY l_orderkey) AS n FROM
+  (SELECT l_orderkey, l_partkey, max(l_linenumber) AS l_linenumber, max(l_quantity) AS l_quantity, max(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1, 2)),
+k AS (SELECT *, CAST(floor(x / 60.0 * CASE WHEN n > 80 THEN 15 WHEN n > 40 THEN 12 ELSE 10 END) AS INT) AS bucket FROM b)
+SELECT l_orderkey AS scan_id, l_partkey AS crop_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY bucket, y + 0.5, x + 0.5, l_partkey) AS INT) AS reading_order FROM k""")
+def reading_order_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.max("l_quantity").alias("x"), F.max("l_suppkey").cast("double").alias("y"))
+    crops = boxes.select(
+        F.col("l_orderkey").alias("scan_id"), F.col("l_partkey").alias("crop_id"), F.lit(60.0).alias("scan_width"),
+        F.array("x", "y", F.col("x") + 1, F.col("y") + 1).alias("box"), F.lit("Content").alias("category"), F.lit("Text").alias("text"),
+    )
+    return sequences.reading_order(crops).select("scan_id", "crop_id", "reading_order")
+
+
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
+def offset_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of ids: the limit is the feature."""
+    return _t(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey").offset(100).limit(50)
+
+
+@query("""
+SELECT conv_id FROM conversations WHERE role = 'user' INTERSECT SELECT conv_id FROM conversations WHERE role = 'assistant'
+EXCEPT SELECT conv_id FROM conversations WHERE role = 'system'""")
+def set_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = lambda role: _t(spark, sf_dir, "conversations").filter(F.col("role") == role).select("conv_id")
+    return of("user").intersect(of("assistant")).subtract(of("system"))
+
+
+@query("""
+SELECT event_type, user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ROLLUP (event_type, user_id)""")
+def throughput_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").rollup("event_type", "user_id")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
