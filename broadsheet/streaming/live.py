@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 def windowed(events: DataFrame, width: str = "3 hours", late: str = "1 hour") -> DataFrame:
     """Counts and sums by window and type; rows later than `late` are dropped, and so is the state of closed windows."""
     return (
-        events.withWatermark("ts", late)
+        events.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", late)
         .groupBy(F.window("ts", width).alias("w"), "event_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
         .select("w.start", "w.end", "event_type", "n", "total")
