@@ -107,4 +107,4 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that contain no item."""
     gone = keep(contaminated(docs, items).select(F.col("doc_id").alias("d_"), F.col("tag").alias("t_")).distinct(), "contaminated")
     gone = F.broadcast(gone) if gone.count() <= MOST_IDS else gone
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("d_")) & (F.xxhash64(docs["text"]) == F.col("t_")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["d_"]) & (F.xxhash64(docs["text"]) == gone["t_"]), "left_anti")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrays
-from .tables import keep
+from .tables import keep, with_fields
 
 U = np.uint64
 
@@ -111,8 +111,7 @@ def _vectors(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_line
 def measured(docs: DataFrame, columns: list[Column]) -> DataFrame:
     """The given columns of docs, the COUNTS and the vector q (whole numbers) of each text."""
     source = docs.select(*columns, docs["text"].alias("text_"))
-    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    schema = ", ".join([*types, *(f"{c} long" for c in COUNTS), "q array<long>"])
+    schema = with_fields(source.schema.fields[:-1], ", ".join([*(f"{c} long" for c in COUNTS), "q array<long>"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

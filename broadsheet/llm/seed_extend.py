@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors, arrays
+from .tables import with_fields
 
 LENGTH, SEED = 13, 5
 RULE = anchors.Rule(length=LENGTH, seed=SEED, words=True, inside=False)
@@ -151,8 +152,7 @@ def cut(docs: DataFrame) -> DataFrame:
         docs["doc_id"].cast("long").alias("doc_id"), F.hash(docs["text"]).alias("tag"),
     )
     joined = rows.join(spans, (F.col("doc_id") == F.col("id_")) & (F.col("tag") == F.col("tag_")), "left").select("row", "text", "spans_")
-    kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_without, f"row {kind}, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(_without, with_fields([joined.schema["row"]], "n_words long, n_removed long, kept string"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

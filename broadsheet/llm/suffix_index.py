@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors, arrays
+from .tables import with_fields
 
 LENGTH, SEED = 100, 16
 RULE = anchors.Rule(length=LENGTH, seed=SEED, words=False, inside=True)
@@ -184,5 +185,4 @@ def cut(docs: DataFrame) -> DataFrame:
         docs["doc_id"].cast("long").alias("doc_id"), F.hash(docs["text"]).alias("tag"),
     )
     joined = rows.join(spans, (F.col("doc_id") == F.col("id_")) & (F.col("tag") == F.col("tag_")), "left").select("row", "text", "spans_")
-    kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_without, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(_without, with_fields([joined.schema["row"]], "n_bytes long, n_removed long, n_spans long, kept binary"))

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +45,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def with_fields(fields: list[T.StructField], more: str) -> T.StructType:
+    """A schema of fields as they are, whatever their names, and others given as "name type, ..."."""
+    kinds = {"long": T.LongType(), "string": T.StringType(), "binary": T.BinaryType(), "array<long>": T.ArrayType(T.LongType())}
+    return T.StructType([*fields, *(T.StructField(n, kinds[k]) for n, k in (x.split() for x in more.split(", ")))])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; lower() would also touch other scripts."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
