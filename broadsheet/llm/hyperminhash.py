@@ -12,9 +12,9 @@ smallest doc_id; all further work is on representatives.
   registers (equal ones, less those expected to agree by accident); pairs that are below the threshold by more than
   SLACK standard errors go, the others are verified on full sets, and verified links give components.
 * Rest: where a bucket still holds several components, each member outside its largest one is estimated
-  against all members of other components, in blocks of BLOCK members, and the likely pairs are verified too.
-  So every pair of a bucket is either verified, estimated as far below, or joined by other links: no link between
-  different texts gets lost, and no bucket's pairs are emitted.
+  against all members of other components, in blocks of BLOCK members, the likely pairs are verified there and then,
+  and a link joins their components. So every pair of a bucket is either verified, estimated as far below, or joined
+  by other links: no link between different texts gets lost, and a block emits no more links than it has components.
 
 Defined cases
 -------------
@@ -45,7 +45,7 @@ REGISTERS, MANTISSA = 256, 10
 ROWS = 5
 BANDS = REGISTERS // ROWS
 SLACK = 4.5
-BLOCK = 2048
+BLOCK = 1024
 #: Members that are verified against one representative in one go.
 TOGETHER = 256
 
@@ -187,40 +187,69 @@ def _likely_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("a", "b", "n_a", "r_a", "n_b", "r_b").mapInArrow(run, _PAIRS)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs(a, b) that are links on their full sets. texts(rep, text).
+def _packed(hashes: np.ndarray) -> bytes:
+    """Six bytes a hash."""
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, : BITS // 8].tobytes()
 
-    A representative's text goes once to each block of TOGETHER of its partners.
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) * 8 // BITS, 8), np.uint8)
+    out[:, : BITS // 8] = np.frombuffer(data, np.uint8).reshape(-1, BITS // 8)
+    return out.view(U).ravel()
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """texts(rep, text) -> rep, hashes: the full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in arrays.chunks(batch.column(1), lower=True):
+                for part in _parts(chunk):
+                    doc, hashes = shingle_sets(part)
+                    off = np.searchsorted(doc, np.arange(part.n + 1))
+                    packed = [_packed(hashes[a:b]) for a, b in zip(off, off[1:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(part.rows.start, part.n), pa.array(packed, pa.binary())], names=["rep", "hashes"]
+                    )
+
+    return texts.select("rep", "text").mapInArrow(run, "rep long, hashes binary")
+
+
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    if not len(small) or 100 * len(small) < PERCENT * len(large):
+        return False
+    common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(a, b) that are links on their full sets. sets(rep, hashes).
+
+    The set of a goes once to each block of TOGETHER of its partners.
     """
     stars = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("blocks"))
     members = pairs.join(stars, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
-    members = members.join(texts.withColumnRenamed("rep", "b"), "b").select("a", "block", "b", "text")
-    centres = stars.join(texts.withColumnRenamed("rep", "a"), "a").select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), "text"
+    members = members.join(sets.select(F.col("rep").alias("b"), "hashes"), "b").select("a", "block", "b", "hashes")
+    centres = stars.join(sets.select(F.col("rep").alias("a"), "hashes"), "a").select(
+        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), "hashes"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = np.zeros(0, U)
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(2).to_pylist()
-            out = []
-            for chunk in arrays.chunks(batch.column(3), lower=True):
-                for part in _parts(chunk):
-                    doc, hashes = shingle_sets(part)
-                    off = np.searchsorted(doc, np.arange(part.n + 1))
-                    for i in range(part.n):
-                        row, own = part.rows.start + i, hashes[off[i] : off[i + 1]]
-                        if b[row] is None:
-                            centre = own
-                            continue
-                        at = np.minimum(np.searchsorted(centre, own), len(centre) - 1)
-                        common = int((centre[at] == own).sum())
-                        if 100 * common >= PERCENT * (len(centre) + len(own) - common):
-                            out.append((a[row], b[row]))
+            a, b, out = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
+            for i, data in enumerate(batch.column(3)):
+                own = _unpacked(data.as_py())
+                if b[i] is None:
+                    centre = own
+                elif linked(centre, own):
+                    out.append((a[i], b[i]))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     rows = centres.unionByName(members).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-    return rows.select("a", "block", "b", "text").mapInArrow(run, _PAIRS)
+    return rows.select("a", "block", "b", "hashes").mapInArrow(run, _PAIRS)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -249,7 +278,7 @@ def _labelled(rows: DataFrame, labels: DataFrame, by: str) -> DataFrame:
 
 
 def _rest(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs of different components in one bucket."""
+    """Links between different components in one bucket; one for two components of a block. reps(rep, n_shingles, registers, hashes)."""
     rows = _labelled(buckets, labels, "rep")
     shares = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = shares.groupBy("band").agg(
@@ -260,40 +289,45 @@ def _rest(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     block = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("rep"), F.col("blocks")))).otherwise(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     )
-    rows = rows.select("band", F.explode(block).alias("block"), "rep", "label", (F.col("label") != F.col("main")).alias("odd"))
-    rows = rows.join(reps.select("rep", "n_shingles", "registers"), "rep").select("band", "block", "odd", "rep", "label", "n_shingles", "registers")
+    rows = rows.select("band", "k", F.explode(block).alias("block"), "rep", "label", (F.col("label") != F.col("main")).alias("odd"))
+    columns = ["band", "block", "odd", "k", "rep", "label", "n_shingles", "registers", "hashes"]
+    rows = rows.join(reps, "rep").select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: list = []
+        odd: list[tuple] = []  # rep, label, size, registers, hashes
+        root: dict[int, int] = {}
         place = None
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
         for batch in batches:
-            key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
-            cuts = np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1
-            odd = batch.column(2).to_numpy(zero_copy_only=False)
-            rep, label, n = (batch.column(i).to_numpy() for i in (3, 4, 5))
-            regs = _registers_of(batch.column(6))
-            found = []
-            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if place is None or tuple(key[:, lo]) != place:
-                    place, asked = tuple(key[:, lo]), []
-                for i in range(lo, hi):  # the odd ones come first; each row is estimated against those before it
-                    if odd[i]:
-                        asked.append((rep[i], label[i], n[i], regs[i]))
-                if not asked:
-                    continue
-                ids, labels_, sizes = (np.array([x[k] for x in asked]) for k in range(3))
-                table = np.stack([x[3] for x in asked])
-                for i in range(lo, hi):
-                    other = np.flatnonzero((labels_ != label[i]) & (ids != rep[i]))
-                    if len(other):
-                        equal = (table[other] == regs[i]).mean(axis=1)
-                        good = other[likely(equal, sizes[other], n[i])]
-                        found += [(min(rep[i], x), max(rep[i], x)) for x in ids[good].tolist()]
-            found = list(dict.fromkeys(found))
+            band, block, is_odd, k, rep, label, n = (batch.column(i).to_pylist() for i in range(7))
+            regs, hashes, found = _registers_of(batch.column(7)), batch.column(8), []
+            for i in range(batch.num_rows):
+                if (band[i], block[i]) != place:
+                    place, odd, root = (band[i], block[i]), [], {}
+                own = _unpacked(hashes[i].as_py())
+                # The odd ones come first; each row is held against those before it.
+                if others := [x for x in odd if x[0] != rep[i] and find(x[1]) != find(label[i])]:
+                    same = np.stack([x[3] for x in others]) == regs[i]
+                    bands = same[:, : ROWS * BANDS].reshape(len(others), BANDS, ROWS).all(axis=2)
+                    # A pair is looked at in its first common bucket only.
+                    good = likely(same.mean(axis=1), np.array([x[2] for x in others]), n[i]) & (bands.argmax(axis=1) == k[i])
+                    for j in np.flatnonzero(good):
+                        other = others[j]
+                        if find(other[1]) != find(label[i]) and linked(other[4], own):
+                            root[find(other[1])] = find(label[i])
+                            found.append((other[0], rep[i]))
+                if is_odd[i]:
+                    odd.append((rep[i], label[i], n[i], regs[i], own))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     dealt = rows.repartition("band", "block").sortWithinPartitions("band", "block", F.col("odd").desc(), "rep")
-    return dealt.mapInArrow(run, _PAIRS).distinct()
+    return dealt.mapInArrow(run, _PAIRS)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -305,21 +339,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = keep(reps.select("rep", "n_shingles", "registers"), "representatives")
 
     band = lambda k: F.xxhash64(F.lit(k), F.substring("registers", 2 * ROWS * k + 1, 2 * ROWS))
-    bands = reps.select("rep", F.explode(F.array(*[band(k) for k in range(BANDS)])).alias("band"))
+    bands = reps.select("rep", F.posexplode(F.array(*[band(k) for k in range(BANDS)])).alias("k", "band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("centre")).filter("n > 1")
     buckets = keep(bands.join(shared.select("band", "centre"), "band"), "buckets")
 
     # Only documents of some bucket are compared; their texts are fetched once.
     compared = buckets.select("rep").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(compared, "rep").dropDuplicates(["rep"])
-    texts = keep(texts, "compared-texts")
-    regs = keep(reps.join(compared, "rep"), "compared-registers")
+    sets = keep(reps.join(compared, "rep").join(_sets(texts), "rep"), "compared-sets")
 
     stars = buckets.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    links = keep(_verified(keep(_likely_pairs(stars, regs), "stars"), texts), "star-links")
+    links = keep(_verified(keep(_likely_pairs(stars, sets), "stars"), sets), "star-links")
     labels = components(links)
-    rest = keep(_rest(buckets.select("band", "rep"), labels, regs), "rest")
-    more = keep(_verified(rest, texts), "rest-links")
+    more = keep(_rest(buckets.select("band", "k", "rep"), labels, sets), "rest-links")
     # Components of components.
     joined = _labelled(_labelled(more, labels, "a").select(F.col("label").alias("a"), "b"), labels, "b").select("a", F.col("label").alias("b"))
     top = components(joined.filter("a != b"))
