@@ -70,4 +70,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _shingles(table: str, key: str) -> str:
+    """Distinct (key, g): 5-word shingles, or the whole sequence of fewer words."""
+    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM (SELECT {key}, {_WORDS.format(_LOWER)} AS w FROM {table})"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+WITH i AS ({_shingles("benchmark", "item_id")}), d AS ({_shingles("documents", "doc_id")}),
+n AS (SELECT item_id, count(*) AS n FROM i GROUP BY 1)
+SELECT doc_id, item_id, any_value(n) AS n_item_shingles, count(*) AS n_shared
+FROM i JOIN d USING (g) JOIN n USING (item_id) GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * any_value(n)""",
+    "op7_minhash_dedup": f"""
+WITH RECURSIVE s AS MATERIALIZED ({_shingles("documents", "doc_id")}),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+m AS (SELECT x, min(y) AS m FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, m AS component_id, doc_id = m AS kept
+FROM documents JOIN m ON doc_id = x LEFT JOIN n USING (doc_id)""",
+    "op8_suffix_dedup": """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 200) AS g FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM h)),
+f AS (SELECT g, min((doc_id, i)) AS p FROM w GROUP BY 1),
+b AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS o FROM w JOIN f USING (g) WHERE (doc_id, i) > p),
+k AS (SELECT doc_id, i, sum(CASE WHEN o IS NULL OR i > o + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM b),
+s AS (SELECT doc_id, k, min(i) AS a, max(i) + 100 AS z FROM k GROUP BY 1, 2),
+g AS (SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(z) AS z FROM s GROUP BY 1),
+t AS (SELECT doc_id, a, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM s),
+q AS (SELECT doc_id, string_agg(substr(x, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS x FROM t JOIN h USING (doc_id) GROUP BY 1)
+SELECT h.doc_id, CAST(len(h.x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN g.z IS NULL THEN h.x ELSE coalesce(q.x, '') || substr(h.x, 2 * g.z + 1) END)) AS kept_sha256
+FROM h LEFT JOIN g USING (doc_id) LEFT JOIN q USING (doc_id)""",
+    "op10_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+n AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+f AS (SELECT g, min(doc_id) AS d FROM n GROUP BY 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM n JOIN f USING (g) WHERE d < doc_id),
+p AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM w),
+k AS (SELECT p.doc_id, string_agg(x, ' ' ORDER BY p.j) FILTER (c.j IS NULL) AS kept, count(c.j) AS n_removed
+  FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.j = c.j GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""",
+}
