@@ -87,3 +87,13 @@ def eta(batches: DataFrame, now: Column) -> DataFrame:
 def sample_bounded(rows: DataFrame, n: int, seed: int) -> DataFrame:
     """A uniform sample of at most n rows; a sampling operator, so it depends on the seed."""
     return rows.orderBy(F.rand(seed)).limit(n)
+
+
+def progress(done: DataFrame, total: DataFrame, by: str | None = None) -> DataFrame:
+    """Percent of total rows that are done, over all or by a column; 0 where there is nothing to do."""
+    keys = [by] if by else []
+    n = total.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
+    d = done.groupBy(*keys).agg(F.count(F.lit(1)).alias("done"))
+    both = n.join(d, keys, "left") if by else n.crossJoin(d)  # one row each
+    share = F.coalesce(F.try_divide(100.0 * F.coalesce("done", F.lit(0)), "total"), F.lit(0.0))
+    return both.select(*keys, "total", F.coalesce("done", F.lit(0)).alias("done"), share.alias("percent"))

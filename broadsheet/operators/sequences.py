@@ -97,3 +97,11 @@ def lightest_first(items: DataFrame, bins: int) -> DataFrame:
     rows = items.withColumn("weight", F.coalesce(F.col("weight").cast("double"), F.lit(1.0)))
     lists = rows.agg(F.array_sort(F.collect_list(item)).alias("items"))
     return lists.select(F.explode(F.aggregate("items", zero, step, lambda s: s["out"])).alias("x")).select("x.key", "x.bin")
+
+
+def streaks(rows: DataFrame, partition: str, order: list[str], failed: Column) -> DataFrame:
+    """partition, length, first (place of its first row): the runs of consecutive failures, such as a circuit breaker counts."""
+    by = Window.partitionBy(partition).orderBy(*order)
+    placed = rows.select(partition, F.row_number().over(by).alias("at"), failed.alias("failed"))
+    bad = placed.filter("failed").withColumn("island", F.col("at") - F.row_number().over(Window.partitionBy(partition).orderBy("at")))
+    return bad.groupBy(partition, "island").agg(F.count(F.lit(1)).alias("length"), F.min("at").alias("first")).drop("island")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records, text
-from ..operators import aggregates, relational, sequences
+from ..operators import aggregates, models, relational, sequences
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -490,3 +490,84 @@ SELECT event_type, user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))
 def throughput_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "events").rollup("event_type", "user_id")
     return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+@query("SELECT o_custkey AS batch, count(*) AS items, count(DISTINCT o_orderdate) AS days FROM orders GROUP BY 1")
+def items_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("batch"))
+    return rows.agg(F.count(F.lit(1)).alias("items"), F.countDistinct("o_orderdate").alias("days"))
+
+
+@query(f"""
+SELECT category, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT year(o_orderdate) AS year, {_CATEGORY} AS category, count(*) AS n FROM {_CROPS} GROUP BY 1, 2) WHERE year < {CUTOFF} GROUP BY 1""")
+def pre_cutoff_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slice comes from the aggregate by year, not from another pass over the crops."""
+    return category_by_year(spark, sf_dir).filter(F.col("year") < CUTOFF).groupBy("category").agg(F.sum("n").alias("n"))
+
+
+@query("""
+WITH t AS (SELECT lang, count(*) AS total FROM documents GROUP BY 1),
+d AS (SELECT lang, count(*) AS done FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1)
+SELECT lang, total, coalesce(done, 0) AS done, 100.0::DOUBLE * coalesce(done, 0) / total AS percent FROM t LEFT JOIN d USING (lang)""")
+def progress_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang")
+    done = relational.within(docs, _t(spark, sf_dir, "labels"), "doc_id")
+    return aggregates.progress(done, docs, "lang")
+
+
+@query("""
+SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'NY' WHEN 'AUTOMOBILE' THEN 'MI' END AS state, count(*) AS n FROM customer GROUP BY 1""")
+def state_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("c_mktsegment") == "BUILDING", " New York ").when(F.col("c_mktsegment") == "AUTOMOBILE", "mi").otherwise(F.col("c_mktsegment"))
+    return _t(spark, sf_dir, "customer").groupBy(records.state_code(name).alias("state")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, value < 20 AS failed FROM events),
+b AS (SELECT user_id, pos, pos - row_number() OVER (PARTITION BY user_id ORDER BY pos) AS island FROM p WHERE failed)
+SELECT user_id, count(*) AS length, CAST(min(pos) AS INT) AS first FROM b GROUP BY user_id, island""")
+def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.streaks(_t(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.col("value") < 20)
+
+
+@query("""
+SELECT l_orderkey AS scan_id, count(*) AS crops, CAST(sum(l_linenumber) AS BIGINT) AS tokens, string_agg(l_linenumber || '/' || l_partkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS crop_list
+FROM lineitem GROUP BY 1""")
+def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a scan, its crops as parallel lists in order, as the export has them."""
+    crops = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("scan_id"), "l_linenumber", "l_partkey", "l_suppkey")
+    rows = relational.nested(crops, ["scan_id"], [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")], ["l_linenumber", "l_partkey"], "crops")
+    listed = F.array_join(F.transform("crops", lambda x: F.concat_ws("/", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"))), ",")
+    tokens = F.aggregate("crops", F.lit(0).cast("long"), lambda a, x: a + x["l_linenumber"])
+    return rows.select("scan_id", F.size("crops").cast("long").alias("crops"), tokens.alias("tokens"), listed.alias("crop_list"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_quantity > l_linenumber * 5 AND l_quantity - l_linenumber * 5 >= 1
+  THEN CAST(floor(l_quantity - l_linenumber * 5) AS INT) END AS width FROM lineitem""")
+def box_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    box = F.array(F.col("l_linenumber") * 5.0, F.lit(0.0), F.col("l_quantity"), F.lit(10.0))
+    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", records.box_size(box)["width"].alias("width"))
+
+
+@query()
+def device_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations, by number of customers, over four devices."""
+    weights = _t(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("key")).agg(F.count(F.lit(1)).alias("weight"))
+    return sequences.lightest_first(weights, 4)
+
+
+@query()
+def thesaurus_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of a small dictionary in all texts."""
+    terms = spark.createDataFrame([("the", "articles"), ("der", "articles"), ("idiot", "insults"), ("and", "joins")], "term string, category string")
+    return models.thesaurus_matches(_t(spark, sf_dir, "documents"), "doc_id", "text", terms).select("doc_id", "match_count", "term_count")
+
+
+@query()
+def model_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category and language of all texts, by the stand-ins."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("text"))
+    kinds = models.applied(docs, "doc_id", "text", models.RuleClassifier)
+    return kinds.join(models.applied(docs, "doc_id", "text", models.StopwordLanguage), "doc_id")
