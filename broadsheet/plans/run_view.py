@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import relational
+from ..functions import records
+from ..operators import relational, sequences
 
 #: Fixed value: issues before this year are a slice of their own.
 CUTOFF = 1931
@@ -44,14 +45,11 @@ class RunView:
 
 def plan_run(issues: DataFrame, done: DataFrame | None, size: int) -> DataFrame:
     """issue id -> batch, in order of id; issues that were in a run before are left out first (append mode)."""
-    from ..operators import sequences
-
     left = issues.select("id") if done is None else issues.select("id").join(done.select(F.col("issue_id").alias("id")).distinct(), "id", "left_anti")
     return sequences.batches(left, "id", size)
 
 
 def free_batches(batches: DataFrame, now, timeout_seconds: float) -> DataFrame:
     """Batches that may be run: never started, crashed, or started too long ago without an end."""
-    waited = now.cast("double") - F.col("started_date").cast("double")
-    timed_out = F.col("ended_date").isNull() & (waited > timeout_seconds)
-    return batches.filter(F.col("started_date").isNull() | F.coalesce(F.col("has_crashed"), F.lit(False)) | timed_out)
+    late = records.timed_out(F.col("started_date"), F.col("ended_date"), now, timeout_seconds)
+    return batches.filter(F.col("started_date").isNull() | F.coalesce(F.col("has_crashed"), F.lit(False)) | late)

@@ -106,3 +106,9 @@ def test_formats(spark):
     assert [one(spark, records.step_number(F.lit(x))) for x in ("step01-cache", "other")] == [1, 0]
     assert [one(spark, records.seconds_text(F.lit(x))) for x in (5.9, 65.0, 3661.0)] == ["5s", "1m 5s", "1h 1m 1s"]
     assert one(spark, records.escape_markup(F.lit("<a & 'b'>"))) == "&lt;a &amp; &#x27;b&#x27;&gt;"
+
+
+def test_language_codes(spark):
+    assert [one(spark, records.short_language(F.col("c")), c=("string", x)) for x in ("fra", "XYZ", None)] == ["fr", "en", "en"]
+    known = F.array(F.lit("deu"), F.lit("eng"))
+    assert [one(spark, records.known_or(F.col("c"), known, "eng"), c=("string", x)) for x in ("deu", "lat", None)] == ["deu", "eng", "eng"]

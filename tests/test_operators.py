@@ -111,6 +111,27 @@ def test_run_view_counts_once(spark):
     assert rows(planned, "id", "batch") == [(1, 0), (3, 1)]
 
 
+def test_batches_that_may_run(spark):
+    day = 86400
+    at = lambda s: datetime.fromtimestamp(s)
+    data = [(1, None, None, False), (2, at(0), at(5), False), (3, at(0), None, False), (4, at(0), at(5), True), (5, at(3 * day), None, None)]
+    batches = spark.createDataFrame(data, "id long, started_date timestamp, ended_date timestamp, has_crashed boolean")
+    free = run_view.free_batches(batches, F.timestamp_seconds(F.lit(3 * day + 60)), day)
+    assert rows(free, "id") == [(1,), (3,), (4,)]
+
+
+def test_streaks(spark):
+    data = [("a", i, f) for i, f in enumerate([True, True, False, True, None, True])]
+    out = sequences.streaks(spark.createDataFrame(data, "k string, t int, f boolean"), "k", ["t"], F.col("f"))
+    assert rows(out, "length", "first") == [(1, 4), (1, 6), (2, 1)]
+
+
+def test_throughput_has_a_total(spark):
+    done = spark.createDataFrame([(1, 60.0, 1, 2, 3), (2, 60.0, 3, 2, 1)], "batch int, seconds double, issues int, scans int, crops int")
+    out = {r["batch"]: r for r in logs.throughput(done).collect()}
+    assert (out[1]["issues_per_minute"], out[None]["issues_per_minute"], out[None]["scans_per_hour"]) == (1.0, 2.0, 120.0)
+
+
 def test_thesaurus(spark):
     lines = [(0, json.dumps({"category": "Places", "keyword": "New York", "related_terms": ["York", "war"]})), (1, json.dumps({"category": "Topics", "keyword": "war", "related_terms": []}))]
     terms = readers.thesaurus(spark.createDataFrame(lines, "line int, value string"))
