@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -14,29 +15,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="broadsheet-", dir=_local_root())
-        spark.conf.set("spark.checkpoint.dir", path) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-        _own[id(spark)] = path
-    return path
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
+    if path := spark.conf.get("spark.checkpoint.dir", None):
+        return path
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        os.makedirs(LOCAL_ROOT, exist_ok=True)
+        _own[application] = "file://" + tempfile.mkdtemp(prefix="broadsheet-", dir=LOCAL_ROOT)
+    return _own[application]
 
 
-_own: dict[int, str] = {}
-
-
-def _local_root() -> str:
-    import os
-
-    os.makedirs("/tmp/checkpoints", exist_ok=True)
-    return "/tmp/checkpoints"
+LOCAL_ROOT = "/tmp/checkpoints"
+_own: dict[str, str] = {}
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{_own.get(id(spark)) or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
