@@ -12,7 +12,6 @@ _REFERENCES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;":
 #: of the word breaks of Unicode's annex 29, without dictionaries for scripts that write no spaces.
 WORDS = r"(?U)[\p{L}\p{M}\p{N}_]+(?:['’.:,·](?=[\p{L}\p{N}])[\p{L}\p{M}\p{N}_]+)*"
 #: A sentence ends with . ! or ? and perhaps quotes or brackets, before white space.
-_SENTENCE_END = r"(?<=[.!?][\"'”’)\]]{0,2})\s+"
 _SENTENCE_SPLIT = r"([.!?][\"'”’)\]]{0,2})\s+"
 
 
