@@ -202,7 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Network, dict[str | None, f
         return none, {None: CUT}
     share = F.when(F.col("toxic") == 1, TRAIN_ROWS / n[1]).otherwise(TRAIN_ROWS / n[0])
     dealt = F.pmod(F.xxhash64(F.lit("train"), "l_"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = docs.select("doc_id", "text", "lang").join(rows.filter(dealt < share), F.col("doc_id") == F.col("l_")).select("doc_id", "text", "lang", "toxic")
+    chosen = F.broadcast(rows.filter(dealt < share))  # about TRAIN_ROWS ids a class, however many labels there are
+    sample = docs.select("doc_id", "text", "lang").join(chosen, F.col("doc_id") == F.col("l_")).select("doc_id", "text", "lang", "toxic")
     got = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["toxic"], r["text"] or ""))  # about 2 * TRAIN_ROWS rows
     label = np.array([r["toxic"] for r in got])
     texts = texts_of([r["text"] for r in got])
