@@ -195,14 +195,12 @@ def with_unit(rows: DataFrame, unit_of: DataFrame) -> DataFrame:
 
 def fit(good: DataFrame) -> DataFrame:
     """good(unit, q): the texts that pass the base rules. -> unit, centre, weights, logdet."""
-    # Start: medians and median absolute deviations. The values are whole numbers of a narrow range, so that
-    # the exact percentile keeps a small table of counts a unit, not the rows.
+    # Start: medians and interquartile ranges. The values are whole numbers of a narrow range, so that the exact
+    # percentiles keep a small table of counts a unit, summed up before it is moved, and not the rows.
     values = good.select("unit", F.posexplode("q").alias("k", "v"))
-    middle = values.groupBy("unit", "k").agg(F.expr("percentile(v, 0.5)").alias("mid"))
-    spread = values.join(middle, ["unit", "k"]).groupBy("unit", "k").agg(
-        F.first("mid").alias("mid"), F.expr("percentile(abs(v - mid), 0.5)").alias("mad")
-    )
-    variance = F.pow(F.col("mad") * 1.4826 / SCALE, 2) + F.element_at(F.array(*[F.lit(f * f) for f in FLOOR]), F.col("k") + 1)
+    spread = values.groupBy("unit", "k").agg(F.expr("percentile(v, array(0.25, 0.5, 0.75))").alias("p"))
+    spread = spread.select("unit", "k", F.col("p")[1].alias("mid"), (F.col("p")[2] - F.col("p")[0]).alias("range"))
+    variance = F.pow(F.col("range") / 1.349 / SCALE, 2) + F.element_at(F.array(*[F.lit(f * f) for f in FLOOR]), F.col("k") + 1)
     start = spread.groupBy("unit").agg(
         F.array_sort(F.collect_list(F.struct("k", (F.col("mid") / SCALE).alias("c"), (1 / variance).alias("w")))).alias("a")
     )  # P rows a unit
