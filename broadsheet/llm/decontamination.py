@@ -25,7 +25,7 @@ Defined cases
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import WORD, keep, lower_ascii
@@ -37,21 +37,19 @@ MOST_SENT = 1_000_000
 MOST_IDS = 200_000
 
 
-def shingles(text: Column) -> Column:
-    """Hashes of all 5-word shingles in order, repeats included; of the whole sequence if there are fewer words."""
-    words = F.transform(F.regexp_extract_all(lower_ascii(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
-    return F.when(F.size(words) > 0, words)
-
-
 def _with_shingles(rows: DataFrame) -> DataFrame:
-    """rows(..., text) -> the same without text, exploded to one row per shingle (h)."""
+    """rows(..., text) -> the same without text, exploded to one row per 5-word shingle (h); the whole sequence, if shorter.
+
+    No filter stands here: it would be pushed below joins and split all texts once more.
+    """
     others = [c for c in rows.columns if c != "text"]
-    hashed = rows.select(*others, shingles(F.col("text")).alias("w_")).filter(F.col("w_").isNotNull())
+    words = F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORD), F.lit(0))
+    hashed = rows.select(*others, F.transform(words, lambda w: F.xxhash64(w)).alias("w_"))
     many = F.transform(
         F.sequence(F.lit(0), F.size("w_") - SHINGLE), lambda i: F.xxhash64(*[F.get("w_", i + k) for k in range(SHINGLE)])
     )
     few = F.array(F.xxhash64(F.lit("few"), "w_"))
-    return hashed.select(*others, F.explode(F.when(F.size("w_") >= SHINGLE, many).otherwise(few)).alias("h"))
+    return hashed.select(*others, F.explode(F.when(F.size("w_") >= SHINGLE, many).when(F.size("w_") > 0, few)).alias("h"))
 
 
 def item_sketches(items: DataFrame) -> DataFrame:
