@@ -151,7 +151,7 @@ class Trainer:
     """Adagrad over the masked words that one task sees."""
 
     def __init__(self, model: Model):
-        self.model, self.w = model, {k: v.copy() for k, v in model.weights.items()}
+        self.model, self.w = model, {k: v.astype(np.float32) for k, v in model.weights.items()}
         self.past = {k: np.full_like(v, 1e-3) for k, v in self.w.items()}
         self.seen = 0
 
@@ -183,8 +183,9 @@ class Trainer:
             off = np.exp(_log_softmax(hidden[own] @ w["to_word"][c] + w["word_bias"][c]))
             off[np.arange(len(off)), word[own]] -= 1
             back[own] += off @ w["to_word"][c].T
-            self._step("to_word", hidden[own].T @ off / n, c)
-            self._step("word_bias", off.sum(axis=0) / n, c)
+            off /= n
+            self._step("to_word", hidden[own].T @ off, c)
+            self._step("word_bias", off.sum(axis=0), c)
         self._step("to_class", hidden.T @ wrong / n)
         self._step("class_bias", wrong.sum(axis=0) / n)
         back *= (1 - hidden**2) / n
