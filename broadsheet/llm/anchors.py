@@ -13,7 +13,8 @@ anchor make one phrase, [first window's start, last window's end): phrases cover
 * all other phrases are done with.
 
 The open phrases are few, and they are what an operator has to compare window by window. If an anchor has over
-CROWD different phrases, its windows are dealt by their own hash instead (`CROWDED`).
+CROWD different phrases, its windows are dealt by their own hash instead (`CROWDED`), of equal ones in the texts that
+a task has at hand only the earliest.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ U = np.uint64
 DECIDED, OPEN, CROWDED = 0, 1, 2
 CROWD = 4096
 #: Phrases that a task compares among its own texts at a time.
-OWN = 1 << 19
+OWN = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -275,10 +276,24 @@ def repeats(docs: DataFrame, rule: Rule, compare: Callable[[DataFrame, DataFrame
     texts = tagged(docs)
     found = keep(sifted(phrases(texts, rule), rule), "phrases")
     decided = found.filter(F.col("state") == DECIDED).select("doc_id", "tag", "start", "size")
-    more = compare(open_texts(texts, found), found.filter(F.col("state") != DECIDED))
+    # Kept, so that the texts and phrases that were shuffled for it are gone before texts are shuffled again.
+    more = keep(compare(open_texts(texts, found), found.filter(F.col("state") != DECIDED)), "compared-spans")
     return decided.unionByName(more).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
 
 
+def later_alone(key: np.ndarray, doc: np.ndarray, start: np.ndarray, inside: bool) -> np.ndarray:
+    """Which windows have an earlier equal one among these."""
+    order = _order(key, doc, start)
+    out = np.zeros(len(key), bool)
+    out[order] = _later(key[order], doc[order], start[order], inside)
+    return out
+
+
+def spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Routes that deal out rows which need meet no others."""
+    return arrays.signed(arrays.mixed(doc.astype(U) * U(0x9E3779B97F4A7C15) + start.astype(U)))
+
+
 def runs(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted (row, place) pairs -> row, first place and length of every stretch of neighbours."""
     new = np.ones(len(row), bool)

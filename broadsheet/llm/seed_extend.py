@@ -36,7 +36,10 @@ _SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("start",
 
 
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with open phrases -> the windows of each phrase; of crowded anchors, each window by itself."""
+    """Texts with open phrases -> the windows of each phrase; of crowded anchors, each window by itself.
+
+    A window without hashes is one that was found to have an earlier equal one in the same chunk.
+    """
     for batch in batches:
         ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         off, spans = anchors.spans_of(batch.column(3))
@@ -56,14 +59,17 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not flat.any():
                     continue
                 p = of[flat] if single else np.flatnonzero(some)
-                sizes = np.ones(len(p), np.int64) if single else n[p]
                 rows = chunk.rows.start + row[p]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key[flat] if single else spans["anchor"][lo:hi][p]),
-                    pa.array(ids[rows]), pa.array(tags[rows]),
-                    pa.array(start[flat] if single else spans["start"][lo:hi][p]),
-                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.array(key[flat])),
-                ], names=["route", "doc_id", "tag", "start", "windows"])
+                if single:
+                    route, begins, hashes = key[flat], start[flat], key[flat]
+                    later = anchors.later_alone(route, ids[rows], begins, RULE.inside)
+                    route = np.where(later, anchors.spread(ids[rows], begins), route)
+                    sizes, hashes = np.where(later, 0, 1), hashes[~later]
+                else:
+                    route, begins, sizes, hashes = spans["anchor"][lo:hi][p], spans["start"][lo:hi][p], n[p], key[flat]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(hashes))
+                columns = [pa.array(route), pa.array(ids[rows]), pa.array(tags[rows]), pa.array(begins), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["route", "doc_id", "tag", "start", "windows"])
 
 
 class _Partners:
@@ -103,6 +109,8 @@ class _Partners:
         self.first = (route[-1], self.first[1] if self.first and self.first[0] == route[-1] else doc[begin]) if goes_on else None
         at = np.flatnonzero(later)
         r, p, n = anchors.runs(row[at], place[at])
+        decided = np.flatnonzero(np.diff(off) == 0)
+        r, p, n = np.append(r, decided), np.append(p, np.zeros_like(decided)), np.append(n, np.ones_like(decided))
         return pa.RecordBatch.from_arrays(
             [pa.array(doc[r]), pa.array(tag[r]), pa.array(start[r] + p), pa.array((n + LENGTH - 1).astype(np.int32))], schema=_SPANS_ARROW
         )

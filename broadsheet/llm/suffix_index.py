@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from .tables import with_fields
 LENGTH, SEED = 100, 16
 RULE = anchors.Rule(length=LENGTH, seed=SEED, words=False, inside=True)
 #: Suffixes a task, on average.
-SUFFIXES = 400_000
+SUFFIXES = 250_000
 
 _SPANS = "doc_id long, tag int, start long, size int"
 _SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("start", pa.int64()), ("size", pa.int32())])
@@ -83,7 +84,10 @@ class SuffixFamily:
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with open phrases -> the bytes of each phrase; of crowded anchors, of each window."""
+    """Texts with open phrases -> the bytes of each phrase; of crowded anchors, of each window.
+
+    A window without bytes is one that was found to have an earlier equal one in the same chunk.
+    """
     names = ["route", "doc_id", "tag", "start", "part"]
     for batch in batches:
         ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -99,6 +103,11 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row, begin, alone, route = (np.repeat(x, n) for x in (row, begin, alone, route))
                 begin, size = begin + step, np.where(alone, LENGTH, np.repeat(size, n))
                 route = np.where(alone, arrays.signed(chunk.hashes(begin, begin + size)), route)
+                at = np.flatnonzero(alone)
+                doc, start = ids[chunk.rows.start + row[at]], begin[at] - chunk.off[row[at]]
+                later = anchors.later_alone(route[at], doc, start, RULE.inside)
+                route[at[later]] = anchors.spread(doc[later], start[later])
+                size[at[later]] = 0
             data = chunk.data.tobytes()
             for some in np.array_split(np.arange(len(begin)), len(begin) // 50_000 + 1):
                 rows = chunk.rows.start + row[some]
@@ -114,6 +123,12 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     family = SuffixFamily()
     last = None
     for batch in batches:
+        decided = pc.equal(pc.binary_length(batch.column(4)), 0)
+        out = batch.filter(decided)
+        if out.num_rows:
+            sizes = pa.array(np.full(out.num_rows, LENGTH, np.int32))
+            yield pa.RecordBatch.from_arrays([*(out.column(i) for i in (1, 2, 3)), sizes], schema=_SPANS_ARROW)
+        batch = batch.filter(pc.invert(decided))
         doc, tag, start = (batch.column(i).to_numpy() for i in (1, 2, 3))
         for chunk in arrays.chunks(batch.column(4), size=1 << 17):
             rows = np.arange(chunk.rows.start, chunk.rows.stop)

@@ -29,11 +29,23 @@ LOCAL_ROOT = "/tmp/checkpoints"
 _own: dict[str, str] = {}
 
 
+#: Spark's setting to drop an execution's shuffle files as it ends, instead of when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
+
+    What was shuffled to make the table isn't needed again, so those files go when it is written.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
