@@ -1,13 +1,15 @@
 """Masked pseudo-likelihood: how well each word of a text is predicted from the words on both sides of it.
 
-The vocabulary are the FREQUENT most frequent words (A-Z in lower case) of the corpus and RARE buckets for all others.
-A network sees the CONTEXT words before and after a masked one: position-wise embeddings, a hidden tanh layer, and a
+The network's vocabulary are the FREQUENT most frequent words (A-Z in lower case) of the corpus and RARE buckets for all
+others. A word of a bucket has the bucket's probability times its share n / (N + UNSEEN) of the bucket's N occurrences in
+the corpus; all words that the corpus doesn't have share UNSEEN / (N + UNSEEN). A network sees the CONTEXT words before and after a masked one: position-wise embeddings, a hidden tanh layer, and a
 softmax in two steps, over classes of words (by frequency) and over the words of the class. It begins with the corpus's
 word frequencies as biases, so it starts as the unigram model.
 
-Training covers all documents: every task trains on one in MASKED words of its documents (chosen by hash), beginning
-with the shared parameters, and the tasks' parameters are averaged by their numbers of words, ROUNDS times. What goes to
-the driver is of fixed size: vocabulary and parameters. Scoring sums the conditional log-probabilities of all words.
+Training covers all words of all documents: hashes deal the words into ROUNDS parts, every task trains on its words of
+one part, beginning with the shared parameters, and the tasks' parameters are averaged by their numbers of words, a round
+a part. What goes to the driver is of fixed size: vocabulary, sizes of buckets and parameters. Scoring sums the
+conditional log-probabilities of all words; counts of rare words come by a join of a text's distinct ones with all counts.
 
 Defined cases
 -------------
@@ -19,7 +21,7 @@ Defined cases
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,11 @@ CLASSES, CLASS_SIZE = 64, 64
 RARE = 64
 FREQUENT = CLASSES * CLASS_SIZE - RARE
 CONTEXT, DIMENSIONS, HIDDEN = 2, 16, 32
-MASKED, ROUNDS, BATCH, RATE = 16, 3, 1024, 0.1
+ROUNDS, BATCH, RATE = 3, 1024, 0.1
+#: Occurrences that a bucket keeps for the words that the corpus doesn't have.
+UNSEEN = 0.5
+#: Logarithms of counts are summed as whole numbers of 1 / LOG_SCALE, so that their order doesn't matter.
+LOG_SCALE = float(1 << 24)
 #: Places of words that are neighbours.
 OFFSETS = [*range(-CONTEXT, 0), *range(1, CONTEXT + 1)]
 EDGE = CLASSES * CLASS_SIZE
@@ -55,6 +61,8 @@ class Model:
     vocabulary: np.ndarray  # sorted hashes of the frequent words
     ids: np.ndarray  # their ids
     weights: dict[str, np.ndarray]
+    rare: np.ndarray  # occurrences of each bucket's words
+    counts: DataFrame | None  # key, n of all words; stays on the driver
 
     def ids_of(self, keys: np.ndarray) -> np.ndarray:
         rare = FREQUENT + (keys % U(RARE)).astype(np.int64)
@@ -94,11 +102,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def first_model(docs: DataFrame) -> Model:
     counts = keep(word_counts(docs), "word-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
     top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()  # at most FREQUENT rows
     n = np.full(EDGE, 0.5)
     n[: len(top)] += [r["n"] for r in top]
-    n[FREQUENT:] += max(0, total - sum(r["n"] for r in top)) / RARE
+    hashes = np.array([r["key"] for r in top], np.int64).view(U)
+    rare = np.zeros(RARE)
+    for r in counts.groupBy(F.pmod("key", F.lit(RARE)).alias("bucket")).agg(F.sum("n").alias("n")).collect():  # RARE rows
+        rare[r["bucket"]] = r["n"]
+    rare -= np.bincount((hashes % U(RARE)).astype(np.int64), weights=[r["n"] for r in top], minlength=RARE)
+    n[FREQUENT:] += rare
     random = np.random.default_rng(11)
     w = {k: np.zeros(s) for k, s in SHAPES.items()}
     w["embed"] = random.normal(0, 0.1, SHAPES["embed"])
@@ -106,9 +118,8 @@ def first_model(docs: DataFrame) -> Model:
     w["to_word"] = random.normal(0, 0.01, SHAPES["to_word"])
     by_class = n.reshape(CLASSES, CLASS_SIZE)
     w["class_bias"], w["word_bias"] = np.log(by_class.sum(axis=1) / n.sum()), np.log(by_class / by_class.sum(axis=1, keepdims=True))
-    hashes = np.array([r["key"] for r in top], np.int64).view(U)
     order = np.argsort(hashes)
-    return Model(hashes[order], order.astype(np.int64), w)
+    return Model(hashes[order], order.astype(np.int64), w, rare, counts)
 
 
 def neighbours(ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -128,6 +139,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _log_of(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of x at one place a row."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def log_probabilities(w: dict[str, np.ndarray], tables: list[np.ndarray], ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Of every word, given its neighbours. tables: what an id adds to the hidden layer at each place."""
     out = np.zeros(len(ids), np.float32)
@@ -136,19 +154,19 @@ def log_probabilities(w: dict[str, np.ndarray], tables: list[np.ndarray], ids: n
         around = neighbours(ids, doc, at)
         hidden = np.tanh(sum(t[a] for t, a in zip(tables, around)) + w["mix_bias"])
         kind, word = ids[at] // CLASS_SIZE, ids[at] % CLASS_SIZE
-        part = _log_softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(at)), kind]
+        part = _log_of(hidden @ w["to_class"] + w["class_bias"], kind)
         order = np.argsort(kind, kind="stable")
         cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             own = order[cuts[c] : cuts[c + 1]]
             if len(own):
-                part[own] += _log_softmax(hidden[own] @ w["to_word"][c] + w["word_bias"][c])[np.arange(len(own)), word[own]]
+                part[own] += _log_of(hidden[own] @ w["to_word"][c] + w["word_bias"][c], word[own])
         out[at] = part
     return out
 
 
 class Trainer:
-    """Adagrad over the masked words that one task sees."""
+    """Adagrad over the words of one round's part that one task sees."""
 
     def __init__(self, model: Model):
         self.model, self.w = model, {k: v.astype(np.float32) for k, v in model.weights.items()}
@@ -160,8 +178,9 @@ class Trainer:
         self.w[name][at] -= RATE * gradient / np.sqrt(self.past[name][at])
 
     def learn(self, ids: np.ndarray, doc: np.ndarray, round_: int) -> None:
-        chosen = arrays.mixed(np.arange(len(ids), dtype=U) * U(0x9E3779B97F4A7C15) + ids.astype(U) + U(round_ << 40))
-        at = np.flatnonzero(chosen % U(MASKED) == 0)
+        place = np.arange(len(ids)) - np.searchsorted(doc, doc)  # in its document, however texts are dealt
+        part = arrays.mixed(place.astype(U) * U(0x9E3779B97F4A7C15) + ids.astype(U))
+        at = np.flatnonzero(part % U(ROUNDS) == U(round_))
         self.seen += len(at)
         for lo in range(0, len(at), BATCH):
             self._batch(ids, doc, at[lo : lo + BATCH])
@@ -178,26 +197,30 @@ class Trainer:
         wrong[np.arange(n), kind] -= 1
         back = wrong @ w["to_class"].T
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in np.unique(kind):
+        classes = np.unique(kind)
+        off = w["word_bias"][kind]
+        for c in classes:
             own = slice(cuts[c], cuts[c + 1])
-            off = np.exp(_log_softmax(hidden[own] @ w["to_word"][c] + w["word_bias"][c]))
-            off[np.arange(len(off)), word[own]] -= 1
-            back[own] += off @ w["to_word"][c].T
-            off /= n
-            self._step("to_word", hidden[own].T @ off, c)
-            self._step("word_bias", off.sum(axis=0), c)
+            off[own] += hidden[own] @ w["to_word"][c]
+        off = np.exp(_log_softmax(off))
+        off[np.arange(n), word] -= 1
+        to_word = np.empty((len(classes), *w["to_word"].shape[1:]), off.dtype)
+        for k, c in enumerate(classes):
+            own = slice(cuts[c], cuts[c + 1])
+            back[own] += off[own] @ w["to_word"][c].T
+            np.matmul(hidden[own].T, off[own], out=to_word[k])
+        self._step("to_word", to_word / n, classes)
+        self._step("word_bias", np.add.reduceat(off, cuts[classes], axis=0) / n, classes)
         self._step("to_class", hidden.T @ wrong / n)
         self._step("class_bias", wrong.sum(axis=0) / n)
         back *= (1 - hidden**2) / n
-        embed = np.zeros_like(w["embed"])
-        mix = np.zeros_like(w["mix"])
-        for k, v in enumerate(vectors):
-            mix[k] = v.T @ back
-            np.add.at(embed, around[k], back @ w["mix"][k].T)
+        mix = np.stack([v.T @ back for v in vectors])
+        embed = np.concatenate([back @ m.T for m in w["mix"]])
+        order = np.argsort(around, axis=None, kind="stable")
+        rows, first = np.unique(around.ravel()[order], return_index=True)
         self._step("mix", mix)
         self._step("mix_bias", back.sum(axis=0))
-        rows = np.flatnonzero(embed.any(axis=1))
-        self._step("embed", embed[rows], rows)
+        self._step("embed", np.add.reduceat(embed[order], first, axis=0), rows)
 
 
 def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -213,7 +236,7 @@ def _unflat(x: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _round(docs: DataFrame, model: Model, round_: int) -> Model:
-    held = docs.sparkSession.sparkContext.broadcast(model)  # vocabulary and parameters: some 2 MB
+    held = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))  # vocabulary and parameters: some 2 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(held.value)
@@ -243,7 +266,7 @@ def _round(docs: DataFrame, model: Model, round_: int) -> Model:
     got = pieces.orderBy("piece").collect()  # the parameters once
     if not got:
         return model
-    return Model(model.vocabulary, model.ids, _unflat(np.frombuffer(b"".join(r["x"] for r in got), np.float32).astype(np.float64)))
+    return replace(model, weights=_unflat(np.frombuffer(b"".join(r["x"] for r in got), np.float32).astype(np.float64)))
 
 
 def fit(docs: DataFrame) -> Model:
@@ -253,26 +276,56 @@ def fit(docs: DataFrame) -> Model:
     return model
 
 
+def _rare_words(keys: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of each of n documents: numbers of words, the words, how often they occur."""
+    order = np.lexsort((keys, doc))
+    keys, doc = keys[order], doc[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (np.diff(doc) != 0) | (keys[1:] != keys[:-1])
+    first = np.flatnonzero(new)
+    return np.bincount(doc[first], minlength=n), keys[first], np.diff(np.append(first, len(keys)))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, log_probability (sum), mean_log_probability: a row per document."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         w = {k: v.astype(np.float32) for k, v in own.weights.items()}
         tables = [w["embed"] @ m for m in w["mix"]]
+        buckets = np.log(own.rare + UNSEEN)
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for chunk in arrays.chunks(batch.column(1), lower=True):
+            n, total, found = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), []
+            for chunk in arrays.chunks(batch.column(2), lower=True):
                 keys, doc = tokens(chunk)
-                logs = log_probabilities(w, tables, own.ids_of(keys), doc)
+                ids = own.ids_of(keys)
+                logs = log_probabilities(w, tables, ids, doc)
+                rare = np.flatnonzero(ids >= FREQUENT)
+                logs[rare] -= buckets[ids[rare] - FREQUENT]
                 n[chunk.rows] = np.bincount(doc, minlength=chunk.n)
                 total[chunk.rows] = np.bincount(doc, weights=logs, minlength=chunk.n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total)], names=["doc_id", "n_tokens", "log_probability"])
+                found.append(_rare_words(keys[rare], doc[rare], chunk.n))
+            sizes, words, times = map(np.concatenate, zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64))
+            off = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(off, pa.array(x)) for x in (arrays.signed(words), times)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n), pa.array(total), *lists],
+                names=["row", "doc_id", "n_tokens", "log_probability", "words", "times"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, log_probability double")
-    return scored.withColumn("mean_log_probability", F.try_divide("log_probability", "n_tokens"))
+    schema = f"row long, doc_id {kind}, n_tokens long, log_probability double, words array<long>, times array<long>"
+    # The table gives rows their numbers once and for all.
+    scored = keep(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, schema), "word-scores")
+    words = scored.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "key")
+    log = F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * LOG_SCALE).cast("long")
+    shares = words.join(model.counts, "key", "left").groupBy("row").agg((F.sum(F.col("times") * log) / LOG_SCALE).alias("share"))
+    scored = scored.drop("words", "times").join(shares, "row", "left")
+    log_probability = F.col("log_probability") + F.coalesce("share", F.lit(0.0))
+    return scored.select(
+        "doc_id", "n_tokens", log_probability.alias("log_probability"), F.try_divide(log_probability, "n_tokens").alias("mean_log_probability")
+    )
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:

@@ -159,6 +159,42 @@ def test_pseudo_likelihood(spark, odd, pairs_of):
     assert mlm_scoring.pseudo_likelihood(odd.limit(0)).count() == 0
 
 
+def test_rare_words_share_their_bucket(spark):
+    rare = [f"r{i}" for i in range(mlm_scoring.FREQUENT + 1500)]
+    rows = [(i, w) for i, w in enumerate(rare)]
+    rows += [(-1, " ".join(rare[: mlm_scoring.FREQUENT] * 3)), (-2, " ".join(rare[-100:]))]  # 4032 frequent words; 100 that occur twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = mlm_scoring.first_model(docs)
+    words = docs.filter("doc_id >= 0")
+    found = {r["doc_id"]: r["log_probability"] for r in mlm_scoring.score(words, model).collect()}
+    # In one context, the words of the corpus have all probability but the little kept for others: buckets aren't counted twice.
+    assert 0.85 < sum(map(math.exp, found.values())) < 1
+    bucket = lambda w: model.ids_of(mlm_scoring.tokens(next(arrays.chunks(pa.array([w]))))[0])[0]
+    once = {bucket(rare[i]): found[i] for i in range(mlm_scoring.FREQUENT, len(rare) - 100)}
+    twice = {bucket(rare[i]): found[i] for i in range(len(rare) - 100, len(rare))}
+    both = set(once) & set(twice)
+    assert both and all(abs(twice[b] - once[b] - math.log(2)) < 1e-3 for b in both)
+    unseen = [(i, f"never{i}") for i in range(50)]
+    for r in mlm_scoring.score(spark.createDataFrame(unseen, "doc_id long, text string"), model).collect():
+        b = bucket(unseen[r["doc_id"]][1])
+        assert b not in once or r["log_probability"] < once[b]
+
+
+def test_rounds_cover_all_words():
+    seen = []
+
+    class Trainer(mlm_scoring.Trainer):
+        def _batch(self, ids, doc, at):
+            seen.extend(at.tolist())
+
+    model = mlm_scoring.Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), {}, np.zeros(mlm_scoring.RARE), None)
+    rng = np.random.default_rng(5)
+    ids, doc = rng.integers(0, mlm_scoring.EDGE, 20_000), np.sort(rng.integers(0, 300, 20_000))
+    for k in range(mlm_scoring.ROUNDS):
+        Trainer(model).learn(ids, doc, k)
+    assert sorted(seen) == list(range(20_000))
+
+
 # --- toxicity --------------------------------------------------------------------------------------------------------
 
 
