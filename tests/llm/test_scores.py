@@ -40,6 +40,33 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert again == {r["doc_id"]: r["distance"] for r in outliers.quality(docs.repartition(7)).collect()}
 
 
+def odd_in_one(rng):
+    """Texts that are usual but for one of the five statistics."""
+    pairs = [sentence(rng, 2) for _ in range(100)]
+    lines = pairs * 8  # seven in eight are duplicates
+    rng.shuffle(lines)
+    words = sentence(rng, 151).split()
+    again = sentence(rng, 74).split()
+    return {
+        "words": sentence(rng, 60_000),
+        "length": " ".join(w * 4 for w in sentence(rng, 150).split()),
+        "symbols": " | ".join(sentence(rng, 150).split()),
+        "lines": "\n".join(lines),
+        "repeats": " ".join(again + words + again),  # 49.5 % of the words, in one line
+    }
+
+
+def test_each_statistic_rejects(spark):
+    rng = random.Random(10)
+    clean = [(i, sentence(rng, rng.randint(60, 400)), "en", "s") for i in range(400)]
+    planted = odd_in_one(rng)
+    rows = clean + [(1000 + i, t, "en", "s") for i, t in enumerate(planted.values())]
+    found = outliers.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    found = found.collect()
+    assert not any(r["base_failed"] for r in found)
+    assert {r["doc_id"] for r in found if r["kept"]} == {i for i, *_ in clean}
+
+
 def test_quality_of_an_empty_table(odd):
     assert outliers.quality(odd.limit(0)).count() == 0
     assert outliers.quality(odd.filter("length(text) < 5")).filter("kept").count() == 0
