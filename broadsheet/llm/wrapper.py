@@ -100,7 +100,7 @@ def _label(tag: str, attributes: str) -> str:
         return f"{tag}.hidden"
     names = " ".join(found.get(k, "") for k in ("class", "id", "role", "itemprop"))
     pieces = sorted({p.lower() for p in _PIECES.findall(names)})
-    return ".".join([tag, *pieces[:8]])
+    return ".".join([tag, *pieces])
 
 
 def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:

@@ -281,6 +281,14 @@ def test_pages(spark):
     assert wrapper.main_texts(pages.limit(0)).count() == 0
 
 
+def test_all_names_of_an_element_count():
+    many = "align border bg center col flex font gap grid items"
+    page = f'<div class="{many} sidebar">Aside</div><div class="{many}"><p>Text</p></div><div class="{many} widget-area">More</div>'
+    assert wrapper.main_text(*wrapper.read_page(page), None) == "Text"
+    page = f'<div class="{many} story">Told</div><p>Other</p>'
+    assert wrapper.main_text(*wrapper.read_page(page), None) == "Told"
+
+
 def test_tree_matching():
     tree = lambda x: wrapper.Node.load([x[0], 0, 0, 0, [], [tree_list(c) for c in x[1:]]])
 
