@@ -13,8 +13,10 @@ anchor make one phrase, [first window's start, last window's end): phrases cover
 * all other phrases are done with.
 
 The open phrases are few, and they are what an operator has to compare window by window. If an anchor has over
-CROWD different phrases, its windows are dealt by their own hash instead (`CROWDED`), of equal ones in the texts that
-a task has at hand only the earliest.
+CROWD different phrases, its windows are dealt by their own hash instead (`CROWDED`), of equal ones that a task meets
+only those that are earlier than all before (`Earliest`).
+
+Phrases are the same if the hashes of their anchor and of the whole phrase are, 128 bits.
 """
 
 from __future__ import annotations
@@ -33,9 +35,11 @@ from .tables import keep
 
 U = np.uint64
 DECIDED, OPEN, CROWDED = 0, 1, 2
-CROWD = 4096
+CROWD = 512
 #: Phrases that a task compares among its own texts at a time.
 OWN = 1 << 18
+#: Bits of a place in a chunk, where seeds are ranked; those above are the seed's, so that ranks are the same in all chunks.
+_PLACE = U(36)
 
 
 @dataclass(frozen=True)
@@ -73,15 +77,14 @@ def phrases_of(seq: Sequence, rule: Rule) -> dict[str, np.ndarray]:
         return none
     at = np.arange(n - rule.seed + 1)
     seeds = seq.hashes(at, at + rule.seed)
-    bits = U(int(n).bit_length())
-    least = ((seeds >> bits) << bits) | at.astype(U)
+    least = ((seeds >> _PLACE) << _PLACE) | at.astype(U)
     # Least of `width` neighbours by doubling.
     done = 1
     while done < width:
         step = min(done, width - done)
         least = np.minimum(least[: len(least) - step], least[step:])
         done += step
-    place = (least & ((U(1) << bits) - U(1))).astype(np.int64)
+    place = (least & ((U(1) << _PLACE) - U(1))).astype(np.int64)
     last = seq.off[1:] - rule.length  # the last window of each document
     some = last >= seq.off[:-1]
     ok = arrays.covered(seq.off[:-1][some], last[some] + 1, len(place))
@@ -281,12 +284,23 @@ def repeats(docs: DataFrame, rule: Rule, compare: Callable[[DataFrame, DataFrame
     return decided.unionByName(more).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
 
 
-def later_alone(key: np.ndarray, doc: np.ndarray, start: np.ndarray, inside: bool) -> np.ndarray:
-    """Which windows have an earlier equal one among these."""
-    order = _order(key, doc, start)
-    out = np.zeros(len(key), bool)
-    out[order] = _later(key[order], doc[order], start[order], inside)
-    return out
+class Earliest:
+    """Which windows have an earlier equal one among those that a task has met. It forgets all if they are over OWN."""
+
+    def __init__(self, inside: bool):
+        self.inside, self.known = inside, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def __call__(self, key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+        old = len(self.known[0])
+        key, doc, start = (np.concatenate([a, b]) for a, b in zip(self.known, (key, doc, start)))
+        order = _order(key, doc, start)
+        out = np.zeros(len(key), bool)
+        out[order] = _later(key[order], doc[order], start[order], self.inside)
+        new = np.ones(len(key), bool)
+        new[1:] = np.diff(key[order]) != 0
+        first = order[new] if new.sum() <= OWN else order[:0]
+        self.known = key[first], doc[first], start[first]
+        return out[old:]
 
 
 def spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:

@@ -1,10 +1,12 @@
 """Repeated passages of words: seeds on winnowed anchors, extended both ways.
 
-Texts are joined on the winnowed anchors (`anchors`) of their 13-word windows: a seed of SEED words. Around a seed
-a match is extended both ways as far as the words agree. All partners of a seed are met at once: its extensions to
-13 words are its phrase's windows, and a window is removed if the earliest document among all phrases of the seed
-that have it is not its own. So no pairs are formed, however common a passage is. Neighbouring windows that are
-removed make one maximal repeat.
+Texts are joined on the winnowed anchors (`anchors`) of their 13-word windows: a seed of SEED words. Each occurrence
+of a seed comes with the words around it, and matches are extended from the seed a word at a time, to the right and to
+the left, by comparing the words' 64-bit hashes. All partners of a seed are extended at once: occurrences that agree in
+the seed and in k words on one side are one class, and the classes of k + 1 words are those of k words and of the next
+word. So no pairs are formed, however common a passage is. A window of 13 words is removed if an occurrence of a
+smaller doc_id agrees with it as far to the left and to the right; neighbouring windows that are removed make one
+maximal repeat.
 
 Defined cases
 -------------
@@ -12,6 +14,7 @@ Defined cases
 * doc_id null: the text is neither cut nor a source of repeats.
 * repeated rows have one doc_id, so none is earlier than the other: both get the same result.
   Rows of one id and different texts are each handled whole, by their own text.
+* a passage that one text repeats any number of times is handled whole: only what earlier documents have goes.
 * an empty table gives an empty result. `cut` keeps extra columns, whatever their names.
 """
 
@@ -28,105 +31,151 @@ from . import anchors, arrays
 from .tables import with_fields
 
 LENGTH, SEED = 13, 5
+#: The most words that a window has on one side of its seed.
+SIDE = LENGTH - SEED
 RULE = anchors.Rule(length=LENGTH, seed=SEED, words=True, inside=False)
 
-_WINDOWS = "route long, doc_id long, tag int, start long, windows array<long>"
+_SEEDS = "route long, doc_id long, tag int, start long, lead int, words array<long>"
 _SPANS = "doc_id long, tag int, start long, size int"
 _SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("start", pa.int64()), ("size", pa.int32())])
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with open phrases -> the windows of each phrase; of crowded anchors, each window by itself.
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with open phrases -> the words of each phrase, `lead` of them before the seed; of crowded anchors, of each window.
 
-    A window without hashes is one that was found to have an earlier equal one in the same chunk.
+    A window without words is one that was found to have an earlier equal one in this task.
     """
+    earliest = anchors.Earliest(RULE.inside)
     for batch in batches:
         ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         off, spans = anchors.spans_of(batch.column(3))
         for chunk in arrays.chunks(batch.column(2)):
             seq = anchors.Sequence(chunk, True)
-            lo, hi = off[chunk.rows.start], off[chunk.rows.stop]
+            mine = slice(off[chunk.rows.start], off[chunk.rows.stop])
             row = np.repeat(np.arange(chunk.n), np.diff(off[chunk.rows.start : chunk.rows.stop + 1]))
-            n = spans["size"][lo:hi].astype(np.int64) - LENGTH + 1
-            of = np.repeat(np.arange(hi - lo), n)
+            start, size, route = spans["start"][mine], spans["size"][mine].astype(np.int64), spans["anchor"][mine]
+            alone = spans["state"][mine] == anchors.CROWDED
+            lead = _leads(seq, seq.off[row] + start, size, route)
+            n = np.where(alone, size - LENGTH + 1, 1)
+            of = np.repeat(np.arange(len(n)), n)
             step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            start = spans["start"][lo:hi][of] + step
-            begin = seq.off[row[of]] + start
-            key = arrays.signed(seq.hashes(begin, begin + LENGTH))
-            alone = spans["state"][lo:hi] == anchors.CROWDED
-            for some, single in ((~alone, False), (alone, True)):
-                flat = some[of]
-                if not flat.any():
-                    continue
-                p = of[flat] if single else np.flatnonzero(some)
-                rows = chunk.rows.start + row[p]
-                if single:
-                    route, begins, hashes = key[flat], start[flat], key[flat]
-                    later = anchors.later_alone(route, ids[rows], begins, RULE.inside)
-                    route = np.where(later, anchors.spread(ids[rows], begins), route)
-                    sizes, hashes = np.where(later, 0, 1), hashes[~later]
-                else:
-                    route, begins, sizes, hashes = spans["anchor"][lo:hi][p], spans["start"][lo:hi][p], n[p], key[flat]
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(hashes))
-                columns = [pa.array(route), pa.array(ids[rows]), pa.array(tags[rows]), pa.array(begins), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["route", "doc_id", "tag", "start", "windows"])
-
-
-class _Partners:
-    """Goes through the phrases of a task, sorted by route and doc_id. A run of one route is waited for, up to a crowd."""
+            row, alone, route = row[of], alone[of], route[of]
+            start, lead, size = start[of] + step, lead[of] - step, np.where(alone, LENGTH, size[of])
+            begin = seq.off[row] + start
+            at = np.flatnonzero(alone)
+            if len(at):
+                route[at] = arrays.signed(seq.hashes(begin[at], begin[at] + LENGTH))
+                doc = ids[chunk.rows.start + row[at]]
+                later = earliest(route[at], doc, start[at])
+                route[at[later]] = anchors.spread(doc[later], start[at[later]])
+                size[at[later]] = 0
+            for lo in range(0, len(row), 50_000):
+                some = slice(lo, lo + 50_000)
+                flat = np.arange(size[some].sum()) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
+                codes = arrays.signed(seq.codes[np.repeat(begin[some], size[some]) + flat])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size[some])).astype(np.int32)), pa.array(codes))
+                rows = chunk.rows.start + row[some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(route[some]), pa.array(ids[rows]), pa.array(tags[rows]), pa.array(start[some]), pa.array(lead[some].astype(np.int32)), lists],
+                    names=["route", "doc_id", "tag", "start", "lead", "words"],
+                )
+
+
+def _leads(seq: anchors.Sequence, begin: np.ndarray, size: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Where in its phrase each seed begins: the first place that all the phrase's windows have and that has its hash."""
+    lead = np.full(len(begin), -1)
+    for k in range(SIDE + 1):
+        at = np.flatnonzero((lead < 0) & (k >= size - LENGTH) & (k + SEED <= size))
+        found = arrays.signed(seq.hashes(begin[at] + k, begin[at] + k + SEED)) == anchor[at]
+        lead[at[found]] = k
+    return lead
+
+
+def _refined(group: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Numbers of the groups of rows that have the same group and the same code."""
+    order = np.lexsort((code, group))
+    new = np.zeros(len(order), np.int64)
+    new[1:] = (np.diff(group[order]) != 0) | (code[order[1:]] != code[order[:-1]])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+class Extension:
+    """Extends the seeds of a task, whose rows come sorted by route and doc_id.
+
+    Of a route that goes on with the next batch, the earliest row of each content is carried there: as many as an
+    anchor has different phrases, at most anchors.CROWD.
+    """
 
     def __init__(self):
-        self.kept: pa.RecordBatch | None = None
-        self.first: tuple[int, int] | None = None  # route and least doc_id of a run that goes on: one window in all its rows
-
-    def __call__(self, batch: pa.RecordBatch, over: bool = False) -> pa.RecordBatch | None:
-        if self.kept is not None:
-            batch = pa.concat_batches([self.kept, batch]) if batch is not None else self.kept
-            self.kept = None
-        if batch is None or not batch.num_rows:
-            return None
-        route = batch.column(0).to_numpy()
-        begin = int(np.searchsorted(route, route[-1]))
-        goes_on = not over and len(route) - begin > anchors.CROWD
-        if not over and not goes_on:
-            self.kept, batch = batch.slice(begin), batch.slice(0, begin)
-            route = route[:begin]
-            if not begin:
-                return None
-        doc, tag, start = (batch.column(i).to_numpy() for i in (1, 2, 3))
-        off, key = anchors.lists_of(batch.column(4))
-        row = np.repeat(np.arange(len(route)), np.diff(off))
-        place = np.arange(len(key)) - off[row]
-        mixed = arrays.mixed(key.view(np.uint64) + arrays.mixed(route.view(np.uint64))[row])
-        order = np.lexsort((doc[row], mixed))
-        new = np.ones(len(order), bool)
-        new[1:] = np.diff(mixed[order]) != 0
-        least = doc[row][order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        later = np.zeros(len(order), bool)
-        later[order] = doc[row][order] > least
-        if self.first and self.first[0] == route[0]:
-            later |= (route[row] == route[0]) & (doc[row] > self.first[1])
-        self.first = (route[-1], self.first[1] if self.first and self.first[0] == route[-1] else doc[begin]) if goes_on else None
-        at = np.flatnonzero(later)
-        r, p, n = anchors.runs(row[at], place[at])
-        decided = np.flatnonzero(np.diff(off) == 0)
+        self.carried: dict[str, np.ndarray] | None = None
+
+    def __call__(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        route, doc, tag, start, lead = (batch.column(i).to_numpy() for i in range(5))
+        off, flat = anchors.lists_of(batch.column(5))
+        size = np.diff(off)
+        decided = np.flatnonzero(size == 0)
+        at = np.flatnonzero(size)
+        # Seeds stand in columns SIDE ... SIDE + SEED; columns without a word hold 0.
+        words = np.zeros((len(at), 2 * SIDE + SEED), np.int64)
+        of = np.repeat(np.arange(len(at)), size[at])
+        step = np.arange(len(of)) - np.repeat(np.cumsum(size[at]) - size[at], size[at])
+        words[of, SIDE - lead[at][of] + step] = flat
+        own = {"route": route[at], "doc": doc[at], "left": lead[at].astype(np.int64), "right": size[at] - lead[at] - SEED, "words": words}
+        old = 0
+        if self.carried is not None and len(at) and self.carried["route"][0] == own["route"][0]:
+            old = len(self.carried["route"])
+            own = {k: np.concatenate([self.carried[k], v]) for k, v in own.items()}
+        r, p = self._extended(own)
+        mine = r >= old
+        r, p, n = anchors.runs(at[r[mine] - old], p[mine])
         r, p, n = np.append(r, decided), np.append(p, np.zeros_like(decided)), np.append(n, np.ones_like(decided))
         return pa.RecordBatch.from_arrays(
             [pa.array(doc[r]), pa.array(tag[r]), pa.array(start[r] + p), pa.array((n + LENGTH - 1).astype(np.int32))], schema=_SPANS_ARROW
         )
 
+    def _extended(self, own: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and the places of their windows that an earlier document has, sorted."""
+        route, doc, words = own["route"], own["doc"], own["words"]
+        n = len(route)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        seed = _refined(np.zeros(n, np.int64), route)
+        for k in range(SEED):
+            seed = _refined(seed, words[:, SIDE + k])
+        right, left = [seed], [seed]
+        for k in range(SIDE):
+            right.append(_refined(right[-1], words[:, SIDE + SEED + k]))
+            left.append(_refined(left[-1], words[:, SIDE - 1 - k]))
+        rows, places = [], []
+        for k in range(SIDE + 1):  # k words to the left, SIDE - k to the right
+            some = np.flatnonzero((own["left"] >= k) & (own["right"] >= SIDE - k))
+            group = _refined(left[k][some], right[SIDE - k][some])
+            first = np.full(len(some), len(some))
+            np.minimum.at(first, group, np.arange(len(some)))  # rows go by doc_id: the first has the least
+            later = some[doc[some] > doc[some[first[group]]]]
+            rows.append(later)
+            places.append(own["left"][later] - k)
+        whole = _refined(_refined(_refined(left[-1], right[-1]), own["left"]), own["right"])
+        last = np.flatnonzero(route == route[-1])
+        _, first = np.unique(whole[last], return_index=True)
+        keep = last[np.sort(first)]
+        self.carried = {k: v[keep] for k, v in own.items()}
+        rows, places = np.concatenate(rows), np.concatenate(places)
+        order = np.lexsort((places, rows))
+        return rows[order], places[order]
+
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    partners = _Partners()
+    extension = Extension()
     for batch in batches:
-        if (out := partners(batch)) is not None:
-            yield out
-    if (out := partners(None, over=True)) is not None:
-        yield out
+        if batch.num_rows:
+            yield extension(batch)
 
 
 def _compare(texts: DataFrame, found: DataFrame) -> DataFrame:
-    rows = texts.select("doc_id", "tag", "text", "spans").mapInArrow(_extended, _WINDOWS)
+    rows = texts.select("doc_id", "tag", "text", "spans").mapInArrow(_occurrences, _SEEDS)
     return rows.repartition("route").sortWithinPartitions("route", "doc_id").mapInArrow(_compared, _SPANS)
 
 

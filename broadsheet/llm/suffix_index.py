@@ -86,8 +86,9 @@ class SuffixFamily:
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with open phrases -> the bytes of each phrase; of crowded anchors, of each window.
 
-    A window without bytes is one that was found to have an earlier equal one in the same chunk.
+    A window without bytes is one that was found to have an earlier equal one in this task.
     """
+    earliest = anchors.Earliest(RULE.inside)
     names = ["route", "doc_id", "tag", "start", "part"]
     for batch in batches:
         ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -105,7 +106,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 route = np.where(alone, arrays.signed(chunk.hashes(begin, begin + size)), route)
                 at = np.flatnonzero(alone)
                 doc, start = ids[chunk.rows.start + row[at]], begin[at] - chunk.off[row[at]]
-                later = anchors.later_alone(route[at], doc, start, RULE.inside)
+                later = earliest(route[at], doc, start)
                 route[at[later]] = anchors.spread(doc[later], start[later])
                 size[at[later]] = 0
             data = chunk.data.tobytes()

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.llm import anchors, decontamination, hyperminhash, seed_extend, suffix_index
 
 from . import brute
+from .conftest import sentence
 
 
 def got(df, *columns):
@@ -79,6 +83,72 @@ def test_crowded_anchors_give_the_same(odd, pairs_of, monkeypatch, crowd):
     assert got(suffix_index.cut(odd), "row.doc_id", "n_removed") == sorted(((d, n) for d, _, n, _, _ in brute.without_byte_repeats(pairs_of)), key=repr)
 
 
+def repeating(times, unit):
+    """A text that repeats a block many times, and others that share short runs with it, some of them a whole window."""
+    rng = random.Random(17)
+    block = sentence(rng, 60).split()
+    rows = [(1, " ".join(block * times))]
+    for i in range(28):
+        w = sentence(rng, 120).split()
+        for k in range(0, 100, 9):
+            at = rng.randrange(50)
+            w[k : k + unit] = block[at : at + unit]
+        if i % 7 == 0:
+            at = rng.randrange(40)
+            w[110:] = block[at : at + 15]
+        rows.append((2 + i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize(("times", "records", "parts"), [(5000, 10_000, 1), (6000, 10_000, 8), (700, 100, 1), (700, 10, 8)])
+def test_a_text_that_repeats_a_block(spark, times, records, parts):
+    rows = repeating(times, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        assert got(seed_extend.cut(docs), "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256)) == sorted(brute.without_word_repeats(rows), key=repr)
+        want = sorted(brute.without_byte_repeats(rows[1:] + [(1, rows[0][1][:60_000])]), key=repr)
+        docs = docs.withColumn("text", F.substring("text", 1, 60_000))
+        assert got(suffix_index.cut(docs), "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("step", [1, 3, 40, 1000])
+def test_extension_in_small_batches(step):
+    """Routes that go on over batches give what one batch gives, and what comparing all pairs gives."""
+    rng = np.random.default_rng(4)
+    n = 600
+    route, doc = rng.integers(0, 5, n), rng.integers(0, 60, n)
+    order = np.lexsort((doc, route))
+    route, doc = route[order], doc[order]
+    lead, right = rng.integers(0, 9, n), rng.integers(0, 9, n)
+    words = [[int(x) for x in rng.integers(0, 2, a)] + [7] * 5 + [int(x) for x in rng.integers(0, 2, b)] for a, b in zip(lead, right)]
+
+    def extended(step):
+        own, out = seed_extend.Extension(), set()
+        for lo in range(0, n, step):
+            part = slice(lo, lo + step)
+            columns = [route[part], doc[part], np.arange(n)[part].astype(np.int32), np.zeros(n, np.int64)[part], lead[part].astype(np.int32)]
+            found = own(pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(words[part], pa.list_(pa.int64()))], names=list("abcdef")))
+            for _, tag, start, size in zip(*(c.to_pylist() for c in found.columns)):
+                out |= {(tag, start + k) for k in range(size - 12)}
+        return out
+
+    want = set()
+    for i in range(n):
+        for j in range(n):
+            if route[i] == route[j] and doc[j] < doc[i]:
+                a = next((k for k in range(min(lead[i], lead[j])) if words[i][lead[i] - 1 - k] != words[j][lead[j] - 1 - k]), min(lead[i], lead[j]))
+                m = min(right[i], right[j])
+                b = next((k for k in range(m) if words[i][lead[i] + 5 + k] != words[j][lead[j] + 5 + k]), m)
+                want |= {(i, lead[i] - k) for k in range(max(0, 8 - b), a + 1)}
+    assert extended(step) == want
+
+
 def test_sifter_in_small_batches():
     rng = np.random.default_rng(2)
     n = 3000
