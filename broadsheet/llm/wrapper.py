@@ -1,31 +1,40 @@
 """Main text of web pages by wrapper induction.
 
-Pages become trees of their block elements; neighbouring siblings with one label (tag, classes, id) are one list
-node. All trees of a host are aligned by simple tree matching into one wrapper tree, whose nodes know on how many
-pages they stand, how much text and how much of it in links they hold, and which texts come back from page to page.
-Nodes and texts that stay constant are template; nodes whose text varies are slots. Content are the slots in the
-article, or, if the host marks none, all slots that are mostly running text. What a host's pages can't tell, such as
-menus that change with the page, is told by the node's element or class (NOT_TEXT, NOT_TEXT_CLASSES).
-
-Every task folds its pages into one wrapper a host, and wrappers are folded by host and salt, then by host, so that
-no task sees all pages of a large host. Pages are then read again with the wrapper of their host.
+Pages become trees of their block elements; siblings with one label (tag, classes, id) are one list node. Pages with
+the same tree have one form. All forms of a host are aligned by simple tree matching into one wrapper tree, whose nodes
+know on how many pages they stand, how much text and how much of it in links they hold. A text that stands at one place
+(the labels from the root) on CONSTANT of the pages that have the place is template; how often each text stands at each
+place is counted exactly.
+
+What varies are slots, and slots that hold running text are content (`chosen`): from the root, the way goes down to
+the child with the most varying text outside of links that a page of the host is expected to have there, as long as
+one holds more than what stands beside it. What stands beside it, such as comments or adverts, is left out unless it
+holds half as much. Elements that say what they are (nav, footer, form and so on) hold no content. Names of classes
+only shift these weights, and leave out small parts within the content that are called adverts, comments and so on;
+a name isn't believed if its node holds half of the page.
+
+Spark sums up the forms of a host and the texts of a place. Forms are folded into wrappers in groups of about FAN by
+their hash, in a fixed order, until one is left for a host, so that no task sees all of a large host and the result
+doesn't depend on how pages are dealt. Nodes on under RARE of a wrapper's pages are left out of it: they are judged by
+the page they stand on. Pages then meet the wrapper of their host, those of a large host in many tasks.
 
 Defined cases
 -------------
 * null or empty html, and pages without text: empty text. Broken markup is read as browsers do, roughly: unclosed and
-  unopened elements are closed where their block ends.
+  unopened elements are closed where their block ends. Elements may be nested to any depth.
 * null url, or one without a host: such pages form one host.
-* copies of an article on one host: if constant texts are over half of what a page's content would be, they stay.
+* a text is template from LEAST_PAGES pages of its place on. Copies of an article on one host: if constant texts are
+  over half of what a page's content would be, they stay.
 * repeated rows count as pages of their own, and each gets its text. An empty table gives an empty result.
-* extra columns are ignored. A host with few pages is told by its elements and classes alone.
+* extra columns are ignored. A host with one page is told by that page's own weights.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
-import json
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -46,6 +55,8 @@ BLOCK = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table td th div section article aside main nav body blockquote".split())
 NOT_TEXT = frozenset("head nav footer aside form button select fieldset dialog menu search option".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+CONTAINERS = frozenset("html body div section article main center table tbody tr td details header".split())
 NOT_TEXT_CLASSES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promos promotion promoted"
     " cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login"
@@ -55,44 +66,76 @@ NOT_TEXT_CLASSES = frozenset(
 )
 ARTICLE_CLASSES = frozenset("article articlebody story storybody post postbody entry entrycontent maincontent main content".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL
-)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_SPACE = re.compile(r"[\s ]+")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_VALUE = re.compile(r"=\s*([\"'])|>")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_SPACE = re.compile(r"[\s ]+")
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-#: Counters of texts that come back, and the share of a host's pages from which on a text is template.
-COUNTERS, CONSTANT, LEAST_PAGES = 64, 0.8, 8
-#: Nodes of a wrapper; pages with other nodes beyond that are told by elements and classes.
-MOST_NODES = 2000
-SALTS = 32
-
+_ODD = re.compile(r"[^a-z0-9-]")
+
+#: Share of the pages with a place from which on a text at it is template, and the fewest such pages.
+CONSTANT, LEAST_PAGES = 0.8, 3
+#: Wrappers folded together at a time, about; the share of a wrapper's pages that its nodes stand on at least.
+FAN, RARE = 256, 1 / 2000
+#: A host with over 1 / PARTS of all pages is dealt over several tasks; so there are PARTS such hosts at most.
+PARTS = 1000
+#: What stands beside the main part needs this share of its weight to be content too.
+BESIDE = 0.5
+#: How names shift a node's weight in the choice of the main part: elements and classes for articles, classes for other parts.
+ARTICLE_TAG, ARTICLE_NAME, OTHER_NAME = 3.0, 1.5, 0.1
+#: Texts that a task counts before it hands them on.
+MOST_COUNTED = 1 << 18
+
+
+# --- pages -----------------------------------------------------------------------------------------------------------
+
+
+class Page:
+    """labels and parents of its block elements, in the order they begin; blocks: node, text, characters of it in links."""
+
+    def __init__(self):
+        self.labels, self.parents, self.known = ["html"], [-1], {}
+        self.blocks: list[tuple[int, str, int]] = []
+
+    def child(self, parent: int, label: str) -> int:
+        """The node of all children of one label."""
+        node = self.known.setdefault((parent, label), len(self.labels))
+        if node == len(self.labels):
+            self.labels.append(label)
+            self.parents.append(parent)
+        return node
 
-class Node:
-    """A block element of a page, or of a wrapper: pages, chars and link chars, texts (hash -> pages)."""
+    def form(self) -> tuple[str, list[int]]:
+        """A line per node, depth and label, from the root down; and the line of each node."""
+        children: list[list[int]] = [[] for _ in self.labels]
+        for node, parent in enumerate(self.parents[1:], 1):
+            children[parent].append(node)
+        lines, place, stack = [], [0] * len(self.labels), [(0, 0)]
+        while stack:
+            node, depth = stack.pop()
+            place[node] = len(lines)
+            lines.append(f"{depth} {self.labels[node]}")
+            stack += [(c, depth + 1) for c in reversed(children[node])]
+        return "\n".join(lines), place
 
-    __slots__ = ("label", "children", "pages", "chars", "links", "texts", "kind")
+    def places(self, host: str) -> list[int]:
+        """A hash of the host and the labels down to each node."""
+        out = [_hash(host.encode("utf-8", "surrogatepass"))]
+        for label, parent in zip(self.labels[1:], self.parents[1:]):
+            out.append(_hash(out[parent].to_bytes(8, "little", signed=True) + label.encode("utf-8", "surrogatepass")))
+        return out
 
-    def __init__(self, label: str):
-        self.label, self.children = label, []
-        self.pages, self.chars, self.links, self.texts = 0, 0, 0, {}
-        self.kind = None
 
-    def signature(self) -> str:
-        return f"{self.label}({','.join(c.signature() for c in self.children)})" if self.children else self.label
+def _hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
-    def dump(self) -> list:
-        return [self.label, self.pages, self.chars, self.links, list(self.texts.items()), [c.dump() for c in self.children]]
 
-    @staticmethod
-    def load(x: list) -> Node:
-        node = Node(x[0])
-        node.pages, node.chars, node.links, node.texts = x[1], x[2], x[3], dict(map(tuple, x[4]))
-        node.children = [Node.load(c) for c in x[5]]
-        return node
+def text_key(text: str) -> int:
+    return _hash(text.encode("utf-8", "surrogatepass"))
 
 
 def _label(tag: str, attributes: str) -> str:
+    tag = _ODD.sub("-", tag)
     if not attributes.strip():
         return tag
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
@@ -103,57 +146,87 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *pieces])
 
 
-def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:
-    """The tree of a page, and its texts in order: node, text, characters of it in links."""
-    root = Node("html")
-    stack: list[tuple[str, Node]] = [("html", root)]  # open elements, each with the block it is in
-    blocks: list[tuple[Node, str, int]] = []
+class _Tags:
+    """Where tags end. Every character is gone over a fixed number of times, whatever quotes are left open."""
+
+    def __init__(self, source: str):
+        self.source, self.plain = source, 0  # up to `plain`, quotes aren't believed: one of them stays open
+
+    def end(self, at: int) -> int:
+        """The place behind the tag whose name ends at `at`; -1 if it has no end."""
+        source, place = self.source, at
+        while place >= self.plain and (m := _VALUE.search(source, place)):
+            if m[1] is None:
+                return m.end()
+            close = source.find(m[1], m.end())
+            if close < 0:
+                self.plain = m.end()
+                break
+            place = close + 1
+        return source.find(">", at) + 1 or -1
+
+
+def read_page(source: str) -> Page:
+    page, tags = Page(), _Tags(source)
+    stack: list[tuple[str, int]] = [("html", 0)]  # open elements, each with the block it is in
+    opened: Counter = Counter()
     text: list[str] = []
-    links, link_chars = 0, 0
-    node = root
+    link_chars = node = 0
 
     def flush() -> None:
         nonlocal text, link_chars
         if text:
             whole = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if whole:
-                blocks.append((node, whole, min(link_chars, len(whole))))
+                page.blocks.append((node, whole, min(link_chars, len(whole))))
         text, link_chars = [], 0
 
     def close(depth: int) -> None:
-        nonlocal node, links
+        nonlocal node
         for tag, _ in stack[depth:]:
-            links -= tag == "a"
+            opened[tag] -= 1
         del stack[depth:]
         node = stack[-1][1]
 
-    at, end = 0, len(source)
-    while at < end:
-        token = _TOKEN.match(source, at)
-        if token is None:
-            text.append(source[at])
-            at += 1
+    def add(piece: str) -> None:
+        nonlocal link_chars
+        text.append(piece)
+        link_chars += len(piece) if opened["a"] else 0
+
+    at, size = 0, len(source)
+    last = source.rfind(">")
+    while at < size:
+        begin = source.find("<", at)
+        if begin < 0 or begin > last:
+            add(source[at:])
+            break
+        if begin > at:
+            add(source[at:begin])
+        if source.startswith("<!--", begin):
+            at = source.find("-->", begin + 4) + 3
+            at = size if at < 3 else at
             continue
-        at = token.end()
-        if token[4] is not None:
-            text.append(token[4])
-            link_chars += len(token[4]) if links else 0
+        if source.startswith(("<!", "<?"), begin):
+            at = source.find(">", begin) + 1
             continue
-        if token[2] is None:
+        closing = source.startswith("</", begin)
+        name = _NAME.match(source, begin + 1 + closing)
+        if name is None or (end := tags.end(name.end())) < 0:
+            add("<")
+            at = begin + 1
             continue
-        tag = token[2].lower()
-        if token[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    if tag in BLOCK:
-                        flush()
-                    close(depth)
-                    break
+        tag, at = name[0].lower(), end
+        if closing:
+            if opened[tag] > 0:
+                if tag in BLOCK:
+                    flush()
+                close(next(d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag))
             continue
+        attributes = source[name.end() : end - 1]
         if tag in RAW:
-            if not token[3].endswith("/"):
+            if not attributes.endswith("/"):
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(source, at)
-                at = source.find(">", stop.end()) + 1 or end if stop else end
+                at = source.find(">", stop.end()) + 1 or size if stop else size
             continue
         if tag in VOID:
             if tag == "hr":
@@ -163,257 +236,390 @@ def read_page(source: str) -> tuple[Node, list[tuple[Node, str, int]]]:
             continue
         if tag in BLOCK:
             flush()
-            ends = CLOSES.get(tag, ())
-            for depth in range(len(stack) - 1, 0, -1):
-                name = stack[depth][0]
-                if name == "p" or name in ends:
+            ends = CLOSES.get(tag, set()) | {"p"}
+            depth = len(stack) - 1
+            while depth and any(opened[t] > 0 for t in ends) and (stack[depth][0] in ends or stack[depth][0] not in SCOPES):
+                if stack[depth][0] in ends:
                     close(depth)
-                elif name in SCOPES and name not in ends:
-                    break
-            if tag in ("html", "body") and len(stack) > 1 and any(s[0] == tag for s in stack):
-                continue
-            if tag == "html":
+                depth -= 1
+            if tag == "html" or tag == "body" and opened["body"] > 0:
                 continue
-            label = _label(tag, token[3])
-            # A sibling beside it with the same label continues its list.
-            parent = stack[-1][1]
-            if parent.children and parent.children[-1].label == label:
-                node = parent.children[-1]
-            else:
-                node = Node(label)
-                parent.children.append(node)
-        elif tag == "a":
-            links += 1
+            node = page.child(stack[-1][1], _label(tag, attributes))
         stack.append((tag, node))
+        opened[tag] += 1
     flush()
-    return root, blocks
+    return page
 
 
-def match(a: Node, b: Node, memo: dict[tuple[int, int], int]) -> int:
-    """Simple tree matching: nodes in the largest order-keeping match of two trees with equal roots; 0 if they differ."""
-    if a.label != b.label:
-        return 0
-    if (known := memo.get((id(a), id(b)))) is None:
-        known = memo[id(a), id(b)] = 1 + _table(a, b, memo)[-1][-1]
-    return known
+# --- wrappers --------------------------------------------------------------------------------------------------------
 
 
-def _table(a: Node, b: Node, memo: dict[tuple[int, int], int]) -> list[list[int]]:
+class Node:
+    """A node of a wrapper: pages it stands on, characters of its own text, and those of them in links."""
+
+    __slots__ = ("label", "children", "pages", "chars", "links")
+
+    def __init__(self, label: str, pages: int = 0, chars: int = 0, links: int = 0):
+        self.label, self.pages, self.chars, self.links = label, pages, chars, links
+        self.children: list[Node] = []
+
+
+def tree_of(form: str, pages: list[int], chars: list[int], links: list[int]) -> list[Node]:
+    """The nodes of a form, a line each."""
+    nodes, path = [], []
+    for line, *numbers in zip(form.split("\n"), pages, chars, links):
+        depth, label = line.split(" ", 1)
+        node = Node(label, *map(int, numbers))
+        del path[int(depth) :]
+        if path:
+            path[-1].children.append(node)
+        path.append(node)
+        nodes.append(node)
+    return nodes
+
+
+def form_of(root: Node, least: float = 0.0) -> tuple[str, list[int], list[int], list[int]]:
+    """The form of a tree and its nodes' numbers, without nodes on fewer pages than `least`."""
+    lines, pages, chars, links, stack = [], [], [], [], [(root, 0)]
+    while stack:
+        node, depth = stack.pop()
+        lines.append(f"{depth} {node.label}")
+        pages.append(node.pages)
+        chars.append(node.chars)
+        links.append(node.links)
+        stack += [(c, depth + 1) for c in reversed(node.children) if c.pages >= least]
+    return "\n".join(lines), pages, chars, links
+
+
+def _table(a: Node, b: Node, known: dict[tuple[int, int], int], size: list[int]) -> list[list[int]]:
     rows = [[0] * (len(b.children) + 1)]
-    for x in a.children:
+    for i in range(len(a.children)):
         above, row = rows[-1], [0]
-        for j, y in enumerate(b.children):
-            row.append(max(above[j + 1], row[j], above[j] + match(x, y, memo)))
+        for j in range(len(b.children)):
+            pair = known.get((i, j))
+            row.append(max(above[j + 1], row[j], above[j] + size[pair] if pair is not None else 0))
         rows.append(row)
     return rows
 
 
-def align(a: Node, b: Node, memo: dict[tuple[int, int], int] | None = None) -> list[tuple[Node, Node]]:
-    """The pairs of matched nodes."""
-    memo = {} if memo is None else memo
-    pairs, rows, i, j = [(a, b)], _table(a, b, memo), len(a.children), len(b.children)
-    while i and j:
-        if rows[i][j] == rows[i - 1][j]:
-            i -= 1
-        elif rows[i][j] == rows[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs += align(a.children[i], b.children[j], memo)
-    return pairs
+def aligned(a: Node, b: Node) -> list[tuple[Node, Node]]:
+    """Simple tree matching: the pairs of nodes in the largest order-keeping match of two trees from their roots down."""
+    pairs, below = [(a, b)], []
+    for x, y in pairs:  # grows
+        by_label: dict[str, list[int]] = {}
+        for j, d in enumerate(y.children):
+            by_label.setdefault(d.label, []).append(j)
+        known = {}
+        for i, c in enumerate(x.children):
+            for j in by_label.get(c.label, ()):
+                known[i, j] = len(pairs)
+                pairs.append((c, y.children[j]))
+        below.append(known)
+    size = [0] * len(pairs)
+    for k in range(len(pairs) - 1, -1, -1):
+        size[k] = 1 + _table(*pairs[k], below[k], size)[-1][-1]
+    out, open_ = [], [0]
+    while open_:
+        k = open_.pop()
+        x, y = pairs[k]
+        out.append((x, y))
+        rows, i, j = _table(x, y, below[k], size), len(x.children), len(y.children)
+        while i and j:
+            if rows[i][j] == rows[i - 1][j]:
+                i -= 1
+            elif rows[i][j] == rows[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                open_.append(below[k][i, j])
+    return out
+
+
+def merge(root: Node, other: Node) -> None:
+    """Aligns another tree with a wrapper, adds its numbers, and inserts what has no partner beside its neighbours' partners."""
+    partner = {id(b): a for a, b in aligned(root, other)}
+    stack = [other]
+    while stack:
+        node = stack.pop()
+        here = partner[id(node)]
+        here.pages += node.pages
+        here.chars += node.chars
+        here.links += node.links
+        before = 0
+        for child in node.children:
+            if (own := partner.get(id(child))) is None:
+                own = partner[id(child)] = Node(child.label)
+                here.children.insert(before, own)
+            before = next(k for k, x in enumerate(here.children) if x is own) + 1
+        stack += node.children
 
 
-def _count(node: Node) -> int:
-    return 1 + sum(map(_count, node.children))
+# --- content ---------------------------------------------------------------------------------------------------------
 
 
-class Wrapper:
-    """The aligned pages of one host. Trees of a form that was met before aren't aligned again."""
+class Content:
+    """What a host's wrapper and template texts say about its pages."""
 
-    def __init__(self, root: Node | None = None):
-        self.root = root or Node("html")
+    def __init__(self, wrapper: list | None, constant: dict[tuple[int, int], int]):
+        """wrapper: form, pages, chars, links; constant: (place, text) -> characters."""
+        self.root = tree_of(*wrapper)[0] if wrapper else Node("html")
+        self.constant, self.fixed = constant, Counter()
+        for (place, _), n in constant.items():
+            self.fixed[place] += n
         self.seen: dict[str, list[Node | None]] = {}
 
-    def places(self, page: Node, grow: bool) -> list[Node | None]:
-        """The wrapper's node for each node of a page, in document order."""
-        form = page.signature()
+    def _slots(self, form: str) -> list[Node | None]:
         if (known := self.seen.get(form)) is None:
-            partner = {id(b): a for a, b in align(self.root, page)}
-            if grow and _count(self.root) < MOST_NODES:
-                self._insert(self.root, page, partner)
-            known = [partner.get(id(n)) for n in nodes_of(page)]
-            if len(self.seen) < 10_000:
-                self.seen[form] = known
+            n = form.count("\n") + 1
+            own = tree_of(form, [0] * n, [0] * n, [0] * n)
+            partner = {id(b): a for a, b in aligned(self.root, own[0])}
+            known = [partner.get(id(x)) for x in own]
+            if len(self.seen) >= 1000:
+                self.seen.clear()
+            self.seen[form] = known
         return known
 
-    def _insert(self, here: Node, page: Node, partner: dict[int, Node]) -> None:
-        before = 0
-        for child in page.children:
-            if (own := partner.get(id(child))) is None:
-                own = partner[id(child)] = Node(child.label)
-                here.children.insert(before, own)
-            before = next(k for k, x in enumerate(here.children) if x is own) + 1
-            self._insert(own, child, partner)
-
-    def add_page(self, page: Node, blocks: list[tuple[Node, str, int]]) -> None:
-        place = dict(zip(map(id, nodes_of(page)), self.places(page, True)))
-        for node in {id(n): n for n in place.values() if n is not None}.values():
-            node.pages += 1
-        counted = set()
-        for node, text, links in blocks:
-            if (own := place[id(node)]) is None:
-                continue
-            own.chars += len(text)
-            own.links += links
-            key = zlib.crc32(text.encode("utf-8", "surrogatepass")) << 8 | len(text) & 255
-            if (id(own), key) not in counted:
-                counted.add((id(own), key))
-                _tally(own.texts, {key: 1})
-
-    def merge(self, other: Wrapper) -> None:
-        page = other.root
-        place = dict(zip(map(id, nodes_of(page)), self.places(page, True)))
-        for node in nodes_of(page):
-            if (own := place[id(node)]) is not None:
-                own.pages += node.pages
-                own.chars += node.chars
-                own.links += node.links
-                _tally(own.texts, node.texts)
-
-
-def _tally(texts: dict[int, int], more: dict[int, int]) -> None:
-    """Counts of frequent texts (Misra and Gries): too low by a share of 1 / COUNTERS of all texts at most."""
-    for key, n in more.items():
-        texts[key] = texts.get(key, 0) + n
-    if len(texts) > COUNTERS:
-        least = sorted(texts.values(), reverse=True)[COUNTERS]
-        for key in [k for k, n in texts.items() if n <= least]:
-            del texts[key]
-        for key in texts:
-            texts[key] -= least
-
-
-def nodes_of(node: Node) -> Iterator[Node]:
-    yield node
-    for child in node.children:
-        yield from nodes_of(child)
-
-
-TEXT, ARTICLE, OTHER = "text", "article", "other"
-
-
-def _kinds(root: Node) -> None:
-    """kind: in an article, running text outside of one, or something else; by element, class and share of links."""
-
-    def walk(node: Node, inside: str) -> None:
-        tag, *classes = node.label.split(".")
-        if tag in NOT_TEXT or NOT_TEXT_CLASSES & set(classes) or (tag == "header" or "header" in classes) and inside != ARTICLE:
-            kind = OTHER
-        elif inside == OTHER:
-            kind = OTHER
-        elif inside == ARTICLE or tag in ("article", "main") or "articlebody" in "".join(classes):
-            kind = ARTICLE
-        else:
-            kind = TEXT
-        node.kind = OTHER if kind == TEXT and node.chars and node.links > 0.5 * node.chars else kind
-        for child in node.children:
-            walk(child, kind)
-
-    walk(root, TEXT)
-    if not any(n.kind == ARTICLE and n.chars for n in nodes_of(root)):
-
-        def by_class(node: Node, inside: bool) -> None:
-            tag, *classes = node.label.split(".")
-            inside = inside or tag not in ("body", "html") and bool(ARTICLE_CLASSES & set(classes))
-            if inside and node.kind == TEXT:
-                node.kind = ARTICLE
-            for child in node.children:
-                by_class(child, inside)
-
-        by_class(root, False)
-
-
-def main_text(page: Node, blocks: list[tuple[Node, str, int]], wrapper: Wrapper | None) -> str:
-    place: dict[int, Node | None] = {}
-    if wrapper is not None:
-        place = dict(zip(map(id, nodes_of(page)), wrapper.places(page, False)))
-    for node, text, links in blocks:
-        node.chars += len(text)
-        node.links += links
-    _kinds(page)
-    found = []  # kind, text, constant
-    for node, text, _ in blocks:
-        slot = place.get(id(node))
-        kind = slot.kind if slot is not None else node.kind
-        constant = False
-        if slot is not None and slot.pages >= LEAST_PAGES:
-            key = zlib.crc32(text.encode("utf-8", "surrogatepass")) << 8 | len(text) & 255
-            constant = slot.texts.get(key, 0) >= CONSTANT * slot.pages
-        found.append((kind, text, constant))
-    wanted = ARTICLE if any(k == ARTICLE for k, _, _ in found) else TEXT
-    found = [(text, constant) for kind, text, constant in found if kind == wanted]
-    fixed = sum(len(text) for text, constant in found if constant)
-    if 2 * fixed <= sum(len(text) for text, _ in found):
-        found = [x for x in found if not x[1]]
-    return " ".join(text for text, _ in found)
+    def text(self, page: Page, host: str) -> str:
+        if not page.blocks:
+            return ""
+        form, line = page.form()
+        slots = self._slots(form)
+        places = page.places(host)
+        chars, links, fixed = ([0.0] * len(line) for _ in range(3))
+        for node, text, linked in page.blocks:
+            chars[node] += len(text)
+            links[node] += linked
+        for node in range(len(line)):
+            if (slot := slots[line[node]]) is not None and slot.pages:
+                chars[node], links[node] = slot.chars / slot.pages, slot.links / slot.pages
+            fixed[node] = min(chars[node], self.fixed[places[node]])
+        good = chosen(page, chars, links, fixed)
+        found = [(text, (places[node], text_key(text)) in self.constant) for k, (node, text, _) in enumerate(page.blocks) if good[k]]
+        if 2 * sum(len(text) for text, is_fixed in found if is_fixed) <= sum(len(text) for text, _ in found):
+            found = [x for x in found if not x[1]]
+        return " ".join(text for text, _ in found)
+
+
+def _sums(parents: list[int], own: list[float]) -> list[float]:
+    """Of each node and all below it; parents come before their children."""
+    out = list(own)
+    for node in range(len(out) - 1, 0, -1):
+        out[parents[node]] += out[node]
+    return out
+
+
+def chosen(page: Page, chars: list[float], links: list[float], fixed: list[float]) -> list[bool]:
+    """Which blocks are content. chars, links, fixed: characters expected in each node, those in links, those of template texts."""
+    parents, n = page.parents, len(page.labels)
+    split = [label.split(".") for label in page.labels]
+    prose = [max(c - f, 0.0) * max(0.0, 1 - 2 * k / c) if c else 0.0 for c, k, f in zip(chars, links, fixed)]
+    if not any(prose):  # all is template: copies of one page
+        prose = [c * max(0.0, 1 - 2 * k / c) if c else 0.0 for c, k in zip(chars, links)]
+    # Elements that hold no content; a page's header, but not an article's.
+    gone, article = [False] * n, [False] * n
+    for node in range(n):
+        tag, up = split[node][0], parents[node]
+        article[node] = tag in ("article", "main") or up >= 0 and article[up]
+        gone[node] = up >= 0 and gone[up] or tag in NOT_TEXT or tag == "header" and not article[node]
+        if gone[node]:
+            prose[node] = 0.0
+    below = _sums(parents, prose)
+    all_chars, all_links = _sums(parents, chars), _sums(parents, links)
+    factor = [1.0] * n
+    for node in range(1, n):
+        tag, *names = split[node]
+        factor[node] = factor[parents[node]]
+        named = NOT_TEXT_CLASSES.intersection(names) or "header" in names and not article[node]
+        if named and 2 * below[node] < below[0]:
+            gone[node], factor[node] = True, factor[node] * OTHER_NAME
+        elif tag in ("article", "main"):
+            factor[node] = max(factor[node], ARTICLE_TAG)
+        elif tag != "body" and ARTICLE_CLASSES.intersection(names):
+            factor[node] = max(factor[node], ARTICLE_NAME)
+        listed = tag in CONTAINERS or tag in ("ul", "ol", "dl")
+        gone[node] |= gone[parents[node]] or listed and 2 * all_links[node] > all_chars[node] > 0
+    weight = [p * f for p, f in zip(prose, factor)]
+    below = _sums(parents, weight)
+    children: list[list[int]] = [[] for _ in range(n)]
+    for node in range(1, n):
+        children[parents[node]].append(node)
+
+    # Down to the main part; `beside` are the headings and equals of it that stay.
+    here, beside, semantic = 0, [], False
+    while True:
+        inner = [c for c in children[here] if split[c][0] in CONTAINERS]
+        best = max(inner, key=lambda c: below[c], default=None)
+        direct = weight[here] + sum(below[c] for c in children[here] if c not in inner)
+        if best is None or below[best] <= direct:
+            break
+        equals = [c for c in children[here] if c != best and below[c] >= BESIDE * below[best] and factor[c] >= factor[best]]
+        if any(c in inner for c in equals):
+            beside += [c for c in inner if c == best or c in equals]
+            break
+        semantic |= split[best][0] in ("article", "main")
+        beside += equals
+        beside += [c for c in children[here] if split[c][0] in HEADINGS and not semantic]
+        here = best
+    several = bool(beside) and parents[beside[-1]] == here and split[beside[-1]][0] in CONTAINERS
+
+    # The part of the content that each node is in: `here` itself, one of its children, or one of `beside`.
+    part = [-1] * n
+    stays = set(beside)
+    for node in range(n):
+        up = parents[node]
+        if node == here or node in stays or up >= 0 and part[up] == here:
+            part[node] = node
+        elif up >= 0:
+            part[node] = part[up]
+    if several:
+        return [not gone[node] and (part[node] in stays or split[part[node]][0] in HEADINGS if part[node] >= 0 else False) for node, _, _ in page.blocks]
+    plain = [part[node] >= 0 and (part[node] == here or split[part[node]][0] not in CONTAINERS) and not gone[node] for node, _, _ in page.blocks]
+    at = [k for k, x in enumerate(plain) if x]
+    first, last = (at[0], at[-1]) if at else (0, -1)
+    out = []
+    for k, (node, _, _) in enumerate(page.blocks):
+        good = part[node] >= 0 and not gone[node]
+        if good and not plain[k] and part[node] not in stays and not semantic and not article[here]:
+            # A part before or behind the text needs weight of its own.
+            good = first < k < last or below[part[node]] >= BESIDE * direct
+        out.append(good)
+    return out
+
+
+# --- Spark -----------------------------------------------------------------------------------------------------------
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """pages(host, html) -> host, wrapper (as JSON)."""
+_PARTS = "host string, form string, pages long, chars array<long>, links array<long>, places array<long>, texts array<long>, sizes array<int>, counts array<long>"
 
-    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[str, Wrapper] = {}
 
-        def out() -> pa.RecordBatch:
-            trees = [json.dumps(w.root.dump(), separators=(",", ":")) for w in own.values()]
-            return pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array(trees, pa.string())], names=["host", "wrapper"])
+def _read(pages: DataFrame) -> DataFrame:
+    """pages(host, html) -> rows of two kinds, each summed up by task: forms with their numbers, and texts by place.
+
+    A text of key 0 and size -1 stands for the place itself, once a page.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms: dict[tuple[str, str], list] = {}
+        texts: dict[str, dict[tuple[int, int, int], int]] = {}
+        count = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            rows = [(host, form, x[0], x[1], x[2], None, None, None, None) for (host, form), x in forms.items()]
+            for host, own in texts.items():
+                rows.append((host, None, 0, None, None, *([k[i] for k in own] for i in range(3)), list(own.values())))
+            for lo in range(0, len(rows), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[lo : lo + 1000]], t) for i, t in enumerate(_ARROW.types)], schema=_ARROW)
 
         for batch in batches:
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own.setdefault(host, Wrapper()).add_page(*read_page(source.as_py() or ""))
-                if len(own) > 1000:
-                    yield out()
-                    own.clear()
-        if own:
-            yield out()
-
-    def merged(frame: pd.DataFrame) -> pd.DataFrame:
-        all_ = Wrapper()
-        for tree in frame["wrapper"]:
-            all_.merge(Wrapper(Node.load(json.loads(tree))))
-        return pd.DataFrame({"host": frame["host"].iloc[:1], "wrapper": [json.dumps(all_.root.dump(), separators=(",", ":"))]})
-
-    schema = "host string, wrapper string"
-    parts = pages.select("host", "html").mapInArrow(folded, schema)
-    parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
-    parts = parts.groupBy("host", "salt").applyInPandas(merged, schema)
-    return parts.groupBy("host").applyInPandas(merged, schema)
+                page = read_page(source.as_py() or "")
+                form, line = page.form()
+                own = forms.setdefault((host, form), [0, [0] * len(line), [0] * len(line)])
+                own[0] += 1
+                places, found = page.places(host), set()
+                for node, text, links in page.blocks:
+                    own[1][line[node]] += len(text)
+                    own[2][line[node]] += links
+                    found |= {(places[node], text_key(text), len(text)), (places[node], 0, -1)}
+                counts = texts.setdefault(host, {})
+                for key in found:
+                    counts[key] = counts.get(key, 0) + 1
+                count += len(found)
+            if count > MOST_COUNTED:
+                yield from out()
+                forms, texts, count = {}, {}, 0
+        yield from out()
+
+    return pages.select("host", "html").mapInArrow(run, _PARTS)
+
+
+_LONGS = pa.list_(pa.int64())
+_ARROW = pa.schema([
+    ("host", pa.string()), ("form", pa.string()), ("pages", pa.int64()), ("chars", _LONGS), ("links", _LONGS),
+    ("places", _LONGS), ("texts", _LONGS), ("sizes", pa.list_(pa.int32())), ("counts", _LONGS),
+])
+
+_WRAPPERS = "host string, form string, pages array<long>, chars array<long>, links array<long>"
+
+
+def wrappers(parts: DataFrame) -> DataFrame:
+    """host, form, pages, chars, links (numbers by node): the wrapper of each host."""
+    rows = parts.filter("form is not null").withColumn("id", F.xxhash64("form"))
+    numbers = rows.select("host", "id", "pages", F.posexplode(F.arrays_zip("chars", "links")).alias("at", "x"))
+    numbers = numbers.groupBy("host", "id", "at").agg(F.sum("pages").alias("pages"), F.sum("x.chars").alias("chars"), F.sum("x.links").alias("links"))
+    numbers = numbers.groupBy("host", "id").agg(F.array_sort(F.collect_list(F.struct("at", "pages", "chars", "links"))).alias("x"))  # a row a node
+    forms = rows.groupBy("host", "id").agg(F.min("form").alias("form"))
+    found = keep(forms.join(numbers, ["host", "id"]).select("host", "form", "x.pages", "x.chars", "x.links"), "forms")
+
+    def folded(frame: pd.DataFrame) -> pd.DataFrame:
+        order = sorted(range(len(frame)), key=lambda k: (-int(frame["pages"].iloc[k][0]), frame["form"].iloc[k]))
+        trees = (tree_of(*(frame[c].iloc[k] for c in ("form", "pages", "chars", "links")))[0] for k in order)
+        root = next(trees)
+        for tree in trees:
+            merge(root, tree)
+        form, *numbers = form_of(root, RARE * root.pages)
+        return pd.DataFrame({"host": frame["host"].iloc[:1].to_numpy(), "form": [form]} | {c: [x] for c, x in zip(("pages", "chars", "links"), numbers)})
+
+    while True:
+        sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+        most = sizes.agg(F.max("n")).first()[0] or 0
+        if most <= 1:
+            return found
+        if most <= FAN:
+            return keep(found.groupBy("host").applyInPandas(folded, _WRAPPERS), "wrappers")
+        group = F.pmod(F.xxhash64("form"), F.ceil(F.col("n") / FAN))
+        found = keep(found.join(sizes, "host").withColumn("group", group).groupBy("host", "group").applyInPandas(folded, _WRAPPERS), "wrappers")
+
+
+def template_texts(parts: DataFrame) -> DataFrame:
+    """host, constant (place, text, size): the texts that stand at a place on most of its pages."""
+    rows = parts.filter("places is not null").select("host", F.inline(F.arrays_zip("places", "texts", "sizes", "counts")))
+    counted = rows.groupBy("host", "places", "texts", "sizes").agg(F.sum("counts").alias("n")).filter(F.col("n") >= LEAST_PAGES)
+    counted = keep(counted, "texts")
+    pages = counted.filter("sizes < 0").select("host", "places", F.col("n").alias("pages"))
+    fixed = counted.filter("sizes >= 0").join(pages, ["host", "places"]).filter(F.col("n") >= CONSTANT * F.col("pages"))
+    # At most the texts of a page / CONSTANT for each place.
+    return fixed.groupBy("host").agg(F.collect_list(F.struct("places", "texts", "sizes")).alias("constant"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text: a row per page."""
     pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    found = keep(wrappers(pages), "wrappers")
-    rows = pages.join(found, "host", "left").select("page_id", "url", "html", "host", "wrapper")
+    parts = keep(_read(pages), "page-forms")
+    hosts = keep(wrappers(parts).join(template_texts(parts), "host", "left"), "host-wrappers")
+    total = hosts.agg(F.sum(F.get("pages", F.lit(0)))).first()[0] or 0
+    large = hosts.select(F.col("host").alias("h_"), F.ceil(F.get("pages", F.lit(0)) * F.lit(PARTS / max(total, 1))).alias("deals")).filter("deals > 1")
+    large = F.broadcast(large)  # at most PARTS rows
+    deals = F.coalesce("deals", F.lit(1))
+    rows = pages.join(large, F.col("host") == F.col("h_"), "left").select(
+        "host", F.pmod(F.xxhash64("html", "page_id"), deals).alias("deal"), F.lit(True).alias("is_page"), "page_id", "url", "html"
+    )
+    known = hosts.join(large, F.col("host") == F.col("h_"), "left").select(
+        "host", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal"), F.lit(False).alias("is_page"), "form", "pages", "chars", "links", "constant"
+    )
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[str, Wrapper] = {}
+        content, host = Content(None, {}), None
         for batch in batches:
-            texts = []
-            hosts = batch.column(3).to_pylist()
-            for i, host in enumerate(hosts):
-                if host not in own:
-                    if len(own) > 1000:
-                        own.clear()
-                    tree = batch.column(4)[i].as_py()
-                    own[host] = Wrapper(Node.load(json.loads(tree)) if tree else None)
-                    _kinds(own[host].root)
-                texts.append(main_text(*read_page(batch.column(2)[i].as_py() or ""), own[host]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string")
+            is_page = batch.column(1).to_pylist()
+            hosts_, sources, texts = batch.column(0).to_pylist(), batch.column(4), []
+            for i, page in enumerate(is_page):
+                if not page:
+                    wrapper = [batch.column(k)[i].as_py() for k in range(5, 9)]
+                    content, host = Content(wrapper, {(x["places"], x["texts"]): x["sizes"] for x in batch.column(9)[i].as_py() or ()}), hosts_[i]
+                    continue
+                if hosts_[i] != host:
+                    content, host = Content(None, {}), hosts_[i]
+                texts.append(content.text(read_page(sources[i].as_py() or ""), host))
+            mask = batch.column(1)
+            yield pa.RecordBatch.from_arrays([batch.column(2).filter(mask), batch.column(3).filter(mask), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    both = rows.unionByName(known, allowMissingColumns=True)
+    both = both.repartition("host", "deal").sortWithinPartitions("host", "deal", "is_page")
+    both = both.select("host", "is_page", "page_id", "url", "html", "form", "pages", "chars", "links", "constant")
+    return both.mapInArrow(run, f"page_id {kind}, url string, text string")

@@ -281,24 +281,97 @@ def test_pages(spark):
     assert wrapper.main_texts(pages.limit(0)).count() == 0
 
 
+def alone(source):
+    return wrapper.Content(None, {}).text(wrapper.read_page(source), "host")
+
+
 def test_all_names_of_an_element_count():
     many = "align border bg center col flex font gap grid items"
-    page = f'<div class="{many} sidebar">Aside</div><div class="{many}"><p>Text</p></div><div class="{many} widget-area">More</div>'
-    assert wrapper.main_text(*wrapper.read_page(page), None) == "Text"
-    page = f'<div class="{many} story">Told</div><p>Other</p>'
-    assert wrapper.main_text(*wrapper.read_page(page), None) == "Told"
+    page = f'<div class="{many} sidebar">Aside</div><div class="{many}"><p>Text of it</p></div><div class="{many} widget-area">More</div>'
+    assert alone(page) == "Text of it"
+    assert alone(f'<div class="{many} story">Told</div><p>Other</p>') == "Told"
+    # A name isn't believed if it would take away most of the page.
+    assert alone(f'<div class="content-sidebar-wrap"><p>{"All of the text. " * 9}</p></div><div class="x">Few</div>').startswith("All of the text.")
+
+
+@pytest.mark.parametrize("pages", [1, 2, 3, 40])
+@pytest.mark.parametrize("paragraphs", [3, 100])
+def test_pages_with_neutral_names(spark, pages, paragraphs):
+    """Menus, top stories, notices and comments that no name tells from the article."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(pages):
+        text = [f"Head {i}", *(sentence(rng, 30) for _ in range(paragraphs))]
+        stories = "".join(f'<div><a href="/{k}">{sentence(rng, 8)}</a></div>' for k in range(6))
+        comments = "".join(f"<div><p>{sentence(rng, 9)}</p></div>" for _ in range(rng.randint(1, 4)))
+        closing = "<p>Always the same closing line</p>" if pages > 2 else ""
+        main = f"<h1>{text[0]}</h1>" + "".join(f"<p>{p}</p>" for p in text[1:]) + closing
+        source = f'<body><div class="k1">{stories}</div><div class="k2">{main}</div><div class="k3">{comments}</div><div class="k1">{stories}</div></body>'
+        rows.append((i, f"http://n{pages}.example/{i}", source))
+        want[i] = " ".join(text)
+    found = {r["page_id"]: r["text"] for r in wrapper.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == want
+
+
+@pytest.mark.parametrize("element", ["div", "p", "b", "li", "section"])
+def test_deep_pages(element):
+    assert alone(f"<{element}>" * 10_000 + "deep") == "deep"
+    assert alone(f"<{element}>" * 10_000 + "deep" + f"</{element}>" * 10_000) == "deep"
+
+
+@pytest.mark.parametrize("piece", ['<a "', '<a ="', "<a =\">", "<a ='\">", "<", "<b>", "<!--", "<p x='", "</b>", "<script>", "< p>", "&amp"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    import time
+
+    began = time.process_time()
+    for tail in ("", ">", '">', "x"):
+        alone(piece * 20_000 + tail)
+    assert time.process_time() - began < 8
+
+
+def test_wrappers_do_not_depend_on_the_order(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "FAN", 3)
+    rng = random.Random(12)
+    rows = []
+    for i in range(120):
+        parts = rng.sample([f'<div class="{c}">{sentence(rng, 12)}</div>' for c in "qrstuvw"], rng.randint(1, 7))
+        rows.append((i, "http://one.example/", f"<article><p>{sentence(rng, 40)}</p></article>" + "".join(parts)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("h"))
+    tree = lambda df: [tuple(r) for r in wrapper.wrappers(wrapper._read(df)).collect()]
+    first = tree(pages.repartition(2))
+    assert len(first) == 1 and first == tree(pages.repartition(7, "html"))
+    assert first[0][2][0] == 120
 
 
 def test_tree_matching():
-    tree = lambda x: wrapper.Node.load([x[0], 0, 0, 0, [], [tree_list(c) for c in x[1:]]])
-
-    def tree_list(x):
-        return [x[0], 0, 0, 0, [], [tree_list(c) for c in x[1:]]]
+    def tree(x):
+        lines, stack = [], [(x, 0)]
+        while stack:
+            (label, *children), depth = stack.pop()
+            lines.append(f"{depth} {label}")
+            stack += [(c, depth + 1) for c in reversed(children)]
+        return wrapper.tree_of("\n".join(lines), *([[1] * len(lines)] * 3))[0]
+
+    def best(a, b):  # of all order-keeping matches
+        if a.label != b.label:
+            return 0
+        def rows(i, j):
+            if i == len(a.children) or j == len(b.children):
+                return 0
+            return max(rows(i + 1, j), rows(i, j + 1), best(a.children[i], b.children[j]) + rows(i + 1, j + 1) if a.children[i].label == b.children[j].label else 0)
+        return 1 + rows(0, 0)
 
     a, b = tree(["a", ["b"], ["c", ["d"]], ["e"]]), tree(["a", ["c", ["d"], ["f"]], ["e"], ["b"]])
-    assert wrapper.match(a, b, {}) == 4
-    assert [x.label for x, _ in wrapper.align(a, b)].count("d") == 1
-    assert wrapper.match(a, tree(["z"]), {}) == 0
+    assert len(wrapper.aligned(a, b)) == 4
+    assert [x.label for x, _ in wrapper.aligned(a, b)].count("d") == 1
+    rng = random.Random(3)
+    grown = lambda depth: [rng.choice("abc"), *(grown(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0))]
+    for _ in range(60):
+        a, b = tree(["r", *(grown(2) for _ in range(3))]), tree(["r", *(grown(2) for _ in range(3))])
+        assert len(wrapper.aligned(a, b)) == best(a, b)
+    wrapper.merge(a, b)
+    form, pages, *_ = wrapper.form_of(a)
+    assert pages[0] == 2 and form.startswith("0 r")
 
 
 # --- arrays ----------------------------------------------------------------------------------------------------------
