@@ -32,13 +32,42 @@ def test_near_duplicates(odd, pairs_of):
 
 
 def test_near_duplicates_in_blocks(odd, pairs_of, monkeypatch):
-    monkeypatch.setattr(hyperminhash, "BLOCK", 2)
+    monkeypatch.setattr(hyperminhash, "SHOWN", 2)
     monkeypatch.setattr(hyperminhash, "TOGETHER", 2)
     want = brute.components(pairs_of)
     found = {r["doc_id"]: r["component_id"] for r in hyperminhash.near_duplicates(odd).collect() if r["doc_id"] is not None}
     assert found == {d: c for d, (_, c) in want.items()}
 
 
+def test_ids_with_several_texts(spark):
+    """What is linked with one text of an id is linked with all of them."""
+    rng = random.Random(5)
+    a, b, c = (sentence(rng, 80) for _ in range(3))
+    near = lambda t: " ".join(["zz", *t.split()[1:]])
+    rows = [(5, a), (5, b), (3, near(a)), (9, near(b)), (7, c), (8, c), (1, "short"), (2, None)]
+    for _ in range(2):
+        found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert {(r["doc_id"], r["component_id"], r["kept"]) for r in found} == {
+            (5, 3, False), (3, 3, True), (9, 3, False), (7, 7, True), (8, 7, False), (1, 1, True), (2, 2, True)
+        }
+        rows.reverse()
+
+
+def test_texts_of_one_form_are_found_out(spark):
+    """Four fifths of each text is one form: most pairs share buckets, none of them is alike, but for those planted."""
+    rng = random.Random(6)
+    form = [sentence(rng, 16) for _ in range(10)]
+    rows = [(i, " ".join(x + " " + sentence(rng, 4) for x in form)) for i in range(300)]
+    for i in range(0, 60, 3):  # near copies of several degrees
+        w = rows[i][1].split()
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(len(w))] = "yy"
+        rows.append((1000 + i, " ".join(w)))
+    want = brute.components(rows)
+    found = {r["doc_id"]: r["component_id"] for r in hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {d: c for d, (_, c) in want.items()}
+
+
 def test_chains_of_links_are_one_component(spark):
     n = 200
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "a long, b long")
@@ -49,7 +78,7 @@ def test_chains_of_links_are_one_component(spark):
 def test_estimate_is_near_the_similarity():
     rng = np.random.default_rng(5)
     for size, share in ((40, 0.8), (400, 0.75), (4000, 0.9)):
-        union = np.unique(rng.integers(0, 1 << 48, size).astype(np.uint64))
+        union = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64) * np.uint64(2))
         a = union[: int(len(union) * (1 + share) / 2)]
         b = union[len(union) - len(a) :]
         true = len(np.intersect1d(a, b)) / len(union)
