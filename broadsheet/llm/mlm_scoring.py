@@ -2,14 +2,17 @@
 
 The network's vocabulary are the FREQUENT most frequent words (A-Z in lower case) of the corpus and RARE buckets for all
 others. A word of a bucket has the bucket's probability times its share n / (N + UNSEEN) of the bucket's N occurrences in
-the corpus; all words that the corpus doesn't have share UNSEEN / (N + UNSEEN). A network sees the CONTEXT words before and after a masked one: position-wise embeddings, a hidden tanh layer, and a
-softmax in two steps, over classes of words (by frequency) and over the words of the class. It begins with the corpus's
-word frequencies as biases, so it starts as the unigram model.
-
-Training covers all words of all documents: hashes deal the words into ROUNDS parts, every task trains on its words of
-one part, beginning with the shared parameters, and the tasks' parameters are averaged by their numbers of words, a round
-a part. What goes to the driver is of fixed size: vocabulary, sizes of buckets and parameters. Scoring sums the
-conditional log-probabilities of all words; counts of rare words come by a join of a text's distinct ones with all counts.
+the corpus; all words that the corpus doesn't have share UNSEEN / (N + UNSEEN). A network sees the CONTEXT words before
+and after a masked one: position-wise embeddings, a hidden tanh layer, and a softmax in two steps, over classes of words
+(by frequency) and over the words of the class. It begins with the corpus's word frequencies as biases, so it starts as
+the unigram model.
+
+Texts are turned into ids once, in a table that is dealt by content into parts of about PART words. Training covers all
+words of all documents: hashes deal the words of a part into ROUNDS shares, each part trains on one share a round,
+beginning with the shared parameters, and the parts' parameters are averaged, as whole numbers, so that neither the
+order of rows nor that of tasks changes a model. What goes to the driver is of fixed size: vocabulary, sizes of buckets
+and parameters. Scoring sums the conditional log-probabilities of all words; counts of rare words come by a join of a
+text's distinct ones with all counts.
 
 Defined cases
 -------------
@@ -38,7 +41,15 @@ CLASSES, CLASS_SIZE = 64, 64
 RARE = 64
 FREQUENT = CLASSES * CLASS_SIZE - RARE
 CONTEXT, DIMENSIONS, HIDDEN = 2, 16, 32
-ROUNDS, BATCH, RATE = 3, 1024, 0.1
+ROUNDS, RATE = 3, 0.4
+#: Words of a step: the least, and the most, when a part has learned 8 times as many.
+FEWEST, BATCH = 256, 4096
+#: Words of a part, about.
+PART = 2_000_000
+#: Logits are cut here, so that their exponentials stay finite.
+MOST_LOGIT = 60.0
+#: Parameters are averaged as whole numbers of 1 / SCALE.
+SCALE = float(1 << 24)
 #: Occurrences that a bucket keeps for the words that the corpus doesn't have.
 UNSEEN = 0.5
 #: Logarithms of counts are summed as whole numbers of 1 / LOG_SCALE, so that their order doesn't matter.
@@ -50,9 +61,10 @@ EDGE = CLASSES * CLASS_SIZE
 MOST_COUNTED = 1 << 20
 _PIECE, _SALTS = 4096, 64
 
+#: The last row of each layer behind the hidden one is its bias.
 SHAPES = {
-    "embed": (EDGE + 1, DIMENSIONS), "mix": (len(OFFSETS), DIMENSIONS, HIDDEN), "mix_bias": (HIDDEN,),
-    "to_class": (HIDDEN, CLASSES), "class_bias": (CLASSES,), "to_word": (CLASSES, HIDDEN, CLASS_SIZE), "word_bias": (CLASSES, CLASS_SIZE),
+    "embed": (EDGE + 1, DIMENSIONS), "mix": (len(OFFSETS) * DIMENSIONS, HIDDEN), "mix_bias": (HIDDEN,),
+    "to_class": (HIDDEN + 1, CLASSES), "to_word": (CLASSES, HIDDEN + 1, CLASS_SIZE),
 }
 
 
@@ -117,110 +129,109 @@ def first_model(docs: DataFrame) -> Model:
     w["mix"] = random.normal(0, 0.3, SHAPES["mix"])
     w["to_word"] = random.normal(0, 0.01, SHAPES["to_word"])
     by_class = n.reshape(CLASSES, CLASS_SIZE)
-    w["class_bias"], w["word_bias"] = np.log(by_class.sum(axis=1) / n.sum()), np.log(by_class / by_class.sum(axis=1, keepdims=True))
+    w["to_class"][-1], w["to_word"][:, -1] = np.log(by_class.sum(axis=1) / n.sum()), np.log(by_class / by_class.sum(axis=1, keepdims=True))
     order = np.argsort(hashes)
     return Model(hashes[order], order.astype(np.int64), w, rare, counts)
 
 
 def neighbours(ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Ids of the words around the words `at`; EDGE beyond the text."""
-    out = np.full((len(OFFSETS), len(at)), EDGE)
+    """Ids of the words around the words `at`, a column a place; EDGE beyond the text."""
+    out = np.full((len(at), len(OFFSETS)), EDGE)
     for k, step in enumerate(OFFSETS):
         place = at + step
         inside = np.flatnonzero((place >= 0) & (place < len(ids)))
         inside = inside[doc[place[inside]] == doc[at[inside]]]
-        out[k, inside] = ids[place[inside]]
+        out[inside, k] = ids[place[inside]]
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
-
-
-def _log_of(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of x at one place a row."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), at]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
-
-
-def log_probabilities(w: dict[str, np.ndarray], tables: list[np.ndarray], ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Of every word, given its neighbours. tables: what an id adds to the hidden layer at each place."""
-    out = np.zeros(len(ids), np.float32)
-    for lo in range(0, len(ids), 1 << 15):
-        at = np.arange(lo, min(lo + (1 << 15), len(ids)))
-        around = neighbours(ids, doc, at)
-        hidden = np.tanh(sum(t[a] for t, a in zip(tables, around)) + w["mix_bias"])
-        kind, word = ids[at] // CLASS_SIZE, ids[at] % CLASS_SIZE
-        part = _log_of(hidden @ w["to_class"] + w["class_bias"], kind)
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[cuts[c] : cuts[c + 1]]
-            if len(own):
-                part[own] += _log_of(hidden[own] @ w["to_word"][c] + w["word_bias"][c], word[own])
-        out[at] = part
+class Pass:
+    """The network's way forward for some words: inputs, hidden layer (and 1), probabilities of classes and of words in their class.
+
+    Words are ordered by class, so that each class is one slice.
+    """
+
+    def __init__(self, w: dict[str, np.ndarray], ids: np.ndarray, doc: np.ndarray, at: np.ndarray):
+        kind = ids[at] // CLASS_SIZE
+        self.order = np.argsort(kind, kind="stable")
+        at, self.kind = at[self.order], kind[self.order]
+        self.word, self.around, n = ids[at] % CLASS_SIZE, neighbours(ids, doc, at), len(at)
+        self.inputs = w["embed"][self.around].reshape(n, -1)
+        self.hidden = np.ones((n, HIDDEN + 1), self.inputs.dtype)
+        np.tanh(self.inputs @ w["mix"] + w["mix_bias"], out=self.hidden[:, :HIDDEN])
+        cuts = np.searchsorted(self.kind, np.arange(CLASSES + 1))
+        self.slices = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+        self.of_word = np.empty((n, CLASS_SIZE), self.inputs.dtype)
+        for c, own in self.slices:
+            np.matmul(self.hidden[own], w["to_word"][c], out=self.of_word[own])
+        self.of_class = self.hidden @ w["to_class"]
+        for x in (self.of_class, self.of_word):
+            np.minimum(x, MOST_LOGIT, out=x)
+            np.exp(x, out=x)
+            x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+        self.rows = np.arange(n)
+
+    def log_probabilities(self) -> np.ndarray:
+        out = np.empty(len(self.rows), self.of_word.dtype)
+        least = np.finfo(out.dtype).tiny
+        out[self.order] = np.log(np.maximum(self.of_class[self.rows, self.kind], least)) + np.log(np.maximum(self.of_word[self.rows, self.word], least))
+        return out
+
+
+def log_probabilities(w: dict[str, np.ndarray], ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Of every word, given its neighbours."""
+    out = np.zeros(len(ids))
+    for lo in range(0, len(ids), 1 << 13):
+        at = np.arange(lo, min(lo + (1 << 13), len(ids)))
+        out[at] = Pass(w, ids, doc, at).log_probabilities()
     return out
 
 
 class Trainer:
-    """Adagrad over the words of one round's part that one task sees."""
+    """Adagrad over the words of one round's share of one part."""
 
-    def __init__(self, model: Model):
-        self.model, self.w = model, {k: v.astype(np.float32) for k, v in model.weights.items()}
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.w = {k: v.astype(np.float32) for k, v in weights.items()}
         self.past = {k: np.full_like(v, 1e-3) for k, v in self.w.items()}
         self.seen = 0
 
-    def _step(self, name: str, gradient: np.ndarray, at=...) -> None:
-        self.past[name][at] += gradient**2
-        self.w[name][at] -= RATE * gradient / np.sqrt(self.past[name][at])
-
     def learn(self, ids: np.ndarray, doc: np.ndarray, round_: int) -> None:
-        place = np.arange(len(ids)) - np.searchsorted(doc, doc)  # in its document, however texts are dealt
-        part = arrays.mixed(place.astype(U) * U(0x9E3779B97F4A7C15) + ids.astype(U))
-        at = np.flatnonzero(part % U(ROUNDS) == U(round_))
-        self.seen += len(at)
-        for lo in range(0, len(at), BATCH):
-            self._batch(ids, doc, at[lo : lo + BATCH])
+        place = np.arange(len(ids)) - np.searchsorted(doc, doc)  # in its document
+        share = arrays.mixed(place.astype(U) * U(0x9E3779B97F4A7C15) + ids.astype(U))
+        at = np.flatnonzero(share % U(ROUNDS) == U(round_))
+        lo = 0
+        while lo < len(at):
+            step = min(BATCH, max(FEWEST, self.seen // 8), len(at) - lo)
+            self._batch(ids, doc, at[lo : lo + step])
+            lo, self.seen = lo + step, self.seen + step
 
     def _batch(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> None:
+        for name, gradient in self.gradients(ids, doc, at).items():
+            self.past[name] += gradient**2
+            gradient /= np.sqrt(self.past[name])
+            gradient *= RATE
+            self.w[name] -= gradient
+
+    def gradients(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log-probability of the words `at`."""
         w, n = self.w, len(at)
-        kind = ids[at] // CLASS_SIZE
-        order = np.argsort(kind, kind="stable")
-        at, kind = at[order], kind[order]
-        word, around = ids[at] % CLASS_SIZE, neighbours(ids, doc, at)
-        vectors = [w["embed"][a] for a in around]
-        hidden = np.tanh(sum(v @ m for v, m in zip(vectors, w["mix"])) + w["mix_bias"])
-        wrong = np.exp(_log_softmax(hidden @ w["to_class"] + w["class_bias"]))
-        wrong[np.arange(n), kind] -= 1
-        back = wrong @ w["to_class"].T
-        cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
-        classes = np.unique(kind)
-        off = w["word_bias"][kind]
-        for c in classes:
-            own = slice(cuts[c], cuts[c + 1])
-            off[own] += hidden[own] @ w["to_word"][c]
-        off = np.exp(_log_softmax(off))
-        off[np.arange(n), word] -= 1
-        to_word = np.empty((len(classes), *w["to_word"].shape[1:]), off.dtype)
-        for k, c in enumerate(classes):
-            own = slice(cuts[c], cuts[c + 1])
-            back[own] += off[own] @ w["to_word"][c].T
-            np.matmul(hidden[own].T, off[own], out=to_word[k])
-        self._step("to_word", to_word / n, classes)
-        self._step("word_bias", np.add.reduceat(off, cuts[classes], axis=0) / n, classes)
-        self._step("to_class", hidden.T @ wrong / n)
-        self._step("class_bias", wrong.sum(axis=0) / n)
-        back *= (1 - hidden**2) / n
-        mix = np.stack([v.T @ back for v in vectors])
-        embed = np.concatenate([back @ m.T for m in w["mix"]])
-        order = np.argsort(around, axis=None, kind="stable")
-        rows, first = np.unique(around.ravel()[order], return_index=True)
-        self._step("mix", mix)
-        self._step("mix_bias", back.sum(axis=0))
-        self._step("embed", np.add.reduceat(embed[order], first, axis=0), rows)
+        f = Pass(w, ids, doc, at)
+        f.of_class[f.rows, f.kind] -= 1
+        f.of_word[f.rows, f.word] -= 1
+        back = f.of_class @ w["to_class"][:HIDDEN].T
+        to_word = np.zeros_like(w["to_word"])
+        for c, own in f.slices:
+            back[own] += f.of_word[own] @ w["to_word"][c, :HIDDEN].T
+            np.matmul(f.hidden[own].T, f.of_word[own], out=to_word[c])
+        to_class = f.hidden.T @ f.of_class
+        hidden = f.hidden[:, :HIDDEN]
+        back *= (1 - hidden * hidden) / n
+        cell = (f.around.ravel() * DIMENSIONS)[:, None] + np.arange(DIMENSIONS)
+        embed = np.bincount(cell.ravel(), weights=(back @ w["mix"].T).ravel(), minlength=w["embed"].size)
+        return {
+            "to_word": to_word / n, "to_class": to_class / n, "mix": f.inputs.T @ back, "mix_bias": back.sum(axis=0),
+            "embed": embed.reshape(w["embed"].shape).astype(w["embed"].dtype),
+        }
 
 
 def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -235,44 +246,92 @@ def _unflat(x: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _round(docs: DataFrame, model: Model, round_: int) -> Model:
+def numbered(docs: DataFrame, model: Model) -> DataFrame:
+    """row, doc_id, part, n_tokens, ids (2 bytes a word), words and times (the distinct rare words of the text): a row per document."""
     held = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))  # vocabulary and parameters: some 2 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(held.value)
+        own = held.value
         for batch in batches:
-            for chunk in arrays.chunks(batch.column(0), lower=True):
+            for chunk in arrays.chunks(batch.column(1), lower=True):
                 keys, doc = tokens(chunk)
-                trainer.learn(held.value.ids_of(keys), doc, round_)
-        if trainer.seen:
-            x = _flat(trainer.w).astype(np.float32)
-            parts = [x[i : i + _PIECE].tobytes() for i in range(0, len(x), _PIECE)]
-            m, task = len(parts), TaskContext.get().partitionId()
+                ids = own.ids_of(keys)
+                n = np.bincount(doc, minlength=chunk.n)
+                rare = np.flatnonzero(ids >= FREQUENT)
+                sizes, words, times = _rare_words(keys[rare], doc[rare], chunk.n)
+                off = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+                data, ends = ids.astype(np.uint16).tobytes(), np.append(0, np.cumsum(2 * n))
+                packed = pa.array([data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
+                lists = [pa.ListArray.from_arrays(off, pa.array(x)) for x in (arrays.signed(words), times)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(chunk.rows.start, chunk.n), pa.array(n), packed, *lists], names=["doc_id", "n_tokens", "ids", "words", "times"]
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, words array<long>, times array<long>")
+    total = model.counts.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // PART))
+    # Hashes of ids and rare words: equal texts are interchangeable.
+    dealt = rows.withColumn("hash", F.xxhash64("ids", "words")).withColumn("part", F.pmod("hash", F.lit(parts)))
+    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "hash", "ids").drop("hash")
+    return keep(dealt.withColumn("row", F.monotonically_increasing_id()), "word-ids")  # the table numbers rows once and for all
+
+
+def _ids_of(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch, and the row of each."""
+    data = batch.column(column).to_pylist()
+    ids = np.frombuffer(b"".join(data), np.uint16).astype(np.int64)
+    return ids, np.repeat(np.arange(len(data)), [len(x) // 2 for x in data])
+
+
+def _round(rows: DataFrame, weights: dict[str, np.ndarray], round_: int) -> dict[str, np.ndarray]:
+    held = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n, trainer, part = 0, 0, None, None
+
+        def end() -> None:
+            nonlocal total, n
+            total, n = total + np.rint(_flat(trainer.w).astype(np.float64) * SCALE).astype(np.int64), n + 1
+
+        for batch in batches:
+            parts, (ids, doc) = batch.column(0).to_numpy(), _ids_of(batch, 1)
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if parts[lo] != part:
+                    if trainer:
+                        end()
+                    trainer, part = Trainer(held.value), parts[lo]
+                own = slice(*np.searchsorted(doc, [lo, hi]))
+                trainer.learn(ids[own], doc[own], round_)
+        if trainer:
+            end()
+            pieces = [total[i : i + _PIECE].tobytes() for i in range(0, len(total), _PIECE)]
+            m = len(pieces)
+            salt = TaskContext.get().partitionId() % _SALTS
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(m), pa.int32()), pa.array([task] * m, pa.int64()), pa.array([float(trainer.seen)] * m), pa.array(parts, pa.binary())],
-                names=["piece", "task", "n", "x"],
+                [pa.array(range(m), pa.int32()), pa.array([salt] * m, pa.int32()), pa.array([n] * m, pa.int64()), pa.array(pieces, pa.binary())], names=["piece", "salt", "n", "x"]
             )
 
-    schema = "piece int, task long, n double, x binary"
-
-    def mean(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("task")
-        n = frame["n"].sum()
-        x = sum(np.frombuffer(b, np.float32).astype(np.float64) * w for b, w in zip(frame["x"], frame["n"])) / n
-        return pd.DataFrame({"piece": frame["piece"].iloc[:1].to_numpy(), "task": [int(frame["task"].min())], "n": [n], "x": [x.astype(np.float32).tobytes()]})
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        x = sum(np.frombuffer(b, np.int64) for b in frame["x"])
+        return pd.DataFrame({"piece": frame["piece"].iloc[:1].to_numpy(), "salt": [0], "n": [int(frame["n"].sum())], "x": [x.tobytes()]})
 
-    parts = docs.select("text").mapInArrow(run, schema).withColumn("salt", F.pmod("task", F.lit(_SALTS)))
-    pieces = parts.groupBy("piece", "salt").applyInPandas(mean, schema).groupBy("piece").applyInPandas(mean, schema)
+    schema = "piece int, salt int, n long, x binary"
+    summed = rows.filter("n_tokens > 0").select("part", "ids").mapInArrow(run, schema)
+    pieces = summed.groupBy("piece", "salt").applyInPandas(added, schema).groupBy("piece").applyInPandas(added, schema)
     got = pieces.orderBy("piece").collect()  # the parameters once
     if not got:
-        return model
-    return replace(model, weights=_unflat(np.frombuffer(b"".join(r["x"] for r in got), np.float32).astype(np.float64)))
+        return weights
+    return _unflat(np.frombuffer(b"".join(r["x"] for r in got), np.int64) / (SCALE * got[0]["n"]))
 
 
-def fit(docs: DataFrame) -> Model:
-    model = first_model(docs)
+def fit(rows: DataFrame, model: Model) -> Model:
+    """rows: texts by `numbered`."""
     for k in range(ROUNDS):
-        model = _round(docs, model, k)
+        model = replace(model, weights=_round(rows, model.weights, k))
     return model
 
 
@@ -286,42 +345,28 @@ def _rare_words(keys: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.bincount(doc[first], minlength=n), keys[first], np.diff(np.append(first, len(keys)))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, log_probability (sum), mean_log_probability: a row per document."""
-    held = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, log_probability (sum), mean_log_probability: a row per row of texts by `numbered`."""
+    held = rows.sparkSession.sparkContext.broadcast(replace(model, counts=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         w = {k: v.astype(np.float32) for k, v in own.weights.items()}
-        tables = [w["embed"] @ m for m in w["mix"]]
         buckets = np.log(own.rare + UNSEEN)
         for batch in batches:
-            n, total, found = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), []
-            for chunk in arrays.chunks(batch.column(2), lower=True):
-                keys, doc = tokens(chunk)
-                ids = own.ids_of(keys)
-                logs = log_probabilities(w, tables, ids, doc)
-                rare = np.flatnonzero(ids >= FREQUENT)
-                logs[rare] -= buckets[ids[rare] - FREQUENT]
-                n[chunk.rows] = np.bincount(doc, minlength=chunk.n)
-                total[chunk.rows] = np.bincount(doc, weights=logs, minlength=chunk.n)
-                found.append(_rare_words(keys[rare], doc[rare], chunk.n))
-            sizes, words, times = map(np.concatenate, zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64))
-            off = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(off, pa.array(x)) for x in (arrays.signed(words), times)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n), pa.array(total), *lists],
-                names=["row", "doc_id", "n_tokens", "log_probability", "words", "times"],
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n_tokens long, log_probability double, words array<long>, times array<long>"
-    # The table gives rows their numbers once and for all.
-    scored = keep(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, schema), "word-scores")
-    words = scored.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "key")
+            ids, doc = _ids_of(batch, 3)
+            logs = log_probabilities(w, ids, doc)
+            rare = np.flatnonzero(ids >= FREQUENT)
+            logs[rare] -= buckets[ids[rare] - FREQUENT]
+            total = np.bincount(doc, weights=logs, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(total)], names=["row", "doc_id", "n_tokens", "log_probability"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    scored = rows.select("row", "doc_id", "n_tokens", "ids").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, log_probability double")
+    words = rows.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "key")
     log = F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * LOG_SCALE).cast("long")
     shares = words.join(model.counts, "key", "left").groupBy("row").agg((F.sum(F.col("times") * log) / LOG_SCALE).alias("share"))
-    scored = scored.drop("words", "times").join(shares, "row", "left")
+    scored = scored.join(shares, "row", "left")
     log_probability = F.col("log_probability") + F.coalesce("share", F.lit(0.0))
     return scored.select(
         "doc_id", "n_tokens", log_probability.alias("log_probability"), F.try_divide(log_probability, "n_tokens").alias("mean_log_probability")
@@ -329,4 +374,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    return score(docs, fit(docs))
+    model = first_model(docs)
+    rows = numbered(docs, model)
+    return score(rows, fit(rows, model))
