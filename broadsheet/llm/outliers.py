@@ -1,12 +1,15 @@
 """Quality rules: robust multivariate outliers among the texts of one language and source.
 
-Each text gives a few counts (`base_columns`), and these a vector of transformed statistics. Per unit (language
-and source; the sources of a language that have under MIN_UNIT documents form one unit) the minimum covariance
-determinant estimate of centre and scatter is found by concentration steps over all documents, and a text is
-rejected whose squared Mahalanobis distance is above a chi-square quantile.
+Each text gives a few counts (`base_columns`), and these a vector of transformed statistics. Per language and source,
+and per language, the minimum covariance determinant estimate of centre and scatter is found by concentration steps
+over all documents. A source's estimate is drawn towards its language's: with n documents nearest its centre, it weighs
+n against the language's PRIOR. So a source of three documents is judged nearly by its language, one of thousands by
+itself, and there is no size at which one rule gives way to another. A text is rejected whose squared Mahalanobis
+distance is above a chi-square quantile.
 
 A concentration step is one aggregate: distances are binned, counts and moments are summed by unit and bin, and
-the bins that hold the nearest SUPPORT of a unit's documents give the next centre and scatter. Statistics are
+the bins that hold the nearest SUPPORT of a unit's documents give the next centre and scatter. A unit keeps the estimate
+of the least determinant; steps end when that of no unit falls. Statistics are
 whole numbers (1/SCALE), so that sums don't depend on the order of the rows and reruns agree. No unit's rows meet
 in one task, and only one number a step comes to the driver.
 
@@ -40,7 +43,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Base rules.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SUPPORT = 0.75
-MIN_UNIT = 200
+#: Documents of a language that a source's own ones are weighed against: ten a statistic.
+PRIOR = 50
 SCALE = 256
 #: Least spreads of: log words, log mean word length, root of symbols a word, of duplicate lines a line, of repeated words a word.
 #: The root of a share of n things is known to 1 / (2 n ** 0.5): that of 11 lines to 0.15, that of LEAST_WORDS words, which
@@ -155,111 +159,130 @@ def _distance(q: Column, centre: Column, weights: Column) -> Column:
     )
 
 
-def _estimates(rows: DataFrame) -> DataFrame:
-    """Per unit: centre, inverse scatter, log determinant, from counts and moments (n, s, ss)."""
+def _moments(n: int, s: list[int], ss: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance."""
+    mean, cov = np.asarray(s, float) / n, np.zeros((P, P))
+    for k, (i, j) in enumerate(_PAIRS):
+        cov[i, j] = cov[j, i] = ss[k] / n - mean[i] * mean[j]
+    return mean, cov
+
+
+def estimate(own: tuple, prior: tuple | None) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and scatter (in units of the statistics) from counts and moments n, s, ss of a unit, and of its language."""
+    mean, cov = _moments(*own)
+    if prior is not None:
+        mean0, cov0 = _moments(*prior)
+        share = own[0] / (own[0] + PRIOR)
+        apart = mean - mean0
+        mean, cov = share * mean + (1 - share) * mean0, share * cov + (1 - share) * cov0 + share * (1 - share) * np.outer(apart, apart)
     consistent = SUPPORT / chi2_below(chi2(SUPPORT), P + 2)
+    return mean / SCALE, cov * (consistent / SCALE**2) + np.diag(np.square(FLOOR))
+
+
+def _estimates(rows: DataFrame) -> DataFrame:
+    """unit, parent, centre, weights (inverse scatter), logdet of a unit's moments n, s, ss, and of its language's n0, s0, ss0."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for unit, n, s, ss in zip(frame["unit"], frame["n"], frame["s"], frame["ss"]):
-                mean = np.asarray(s, float) / n
-                cov = np.zeros((P, P))
-                for k, (i, j) in enumerate(_PAIRS):
-                    cov[i, j] = cov[j, i] = ss[k] / n - mean[i] * mean[j]
-                cov = cov * (consistent / SCALE**2) + np.diag(np.square(FLOOR))
-                inverse = np.linalg.inv(cov)
-                out.append((unit, (mean / SCALE).tolist(), [inverse[i, j] for i, j in _PAIRS], float(np.linalg.slogdet(cov)[1])))
-            yield pd.DataFrame(out, columns=["unit", "centre", "weights", "logdet"])
+            for unit, parent, n, s, ss, n0, s0, ss0 in frame.itertuples(index=False):
+                centre, scatter = estimate((n, s, ss), None if parent is None else (n0, s0, ss0))
+                inverse = np.linalg.inv(scatter)
+                out.append((unit, parent, centre.tolist(), [inverse[i, j] for i, j in _PAIRS], float(np.linalg.slogdet(scatter)[1])))
+            yield pd.DataFrame(out, columns=["unit", "parent", "centre", "weights", "logdet"])
 
-    return rows.mapInPandas(run, "unit string, centre array<double>, weights array<double>, logdet double")
+    rows = rows.select("unit", "parent", "n", "s", "ss", "n0", "s0", "ss0")
+    return rows.mapInPandas(run, "unit string, parent string, centre array<double>, weights array<double>, logdet double")
 
 
 def _joined(rows: DataFrame, fits: DataFrame) -> DataFrame:
     """Rows with their unit's estimate. A unit's rows are dealt over SALTS keys, should the estimates be too many to send."""
-    fits = fits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    fits = fits.drop("parent").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return rows.withColumn("salt", F.pmod(F.hash("q"), F.lit(SALTS))).join(fits, ["unit", "salt"]).drop("salt")
 
 
-def units(stats: DataFrame) -> DataFrame:
-    """(lang, source) -> unit, with the number of documents that pass the base rules."""
-    sizes = stats.filter(~base_failed()).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    text = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
-    own = F.concat_ws("\x1f", text("lang"), text("source"))
-    return sizes.select("lang", "source", F.when(F.col("n") >= MIN_UNIT, own).otherwise(text("lang")).alias("unit"))
+def language_unit() -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("-"))
 
 
-def with_unit(rows: DataFrame, unit_of: DataFrame) -> DataFrame:
-    salted = unit_of.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = salted.withColumnRenamed("lang", "l_").withColumnRenamed("source", "s_")
-    salt = F.pmod(F.hash("q"), F.lit(SALTS))
-    on = F.col("lang").eqNullSafe(F.col("l_")) & F.col("source").eqNullSafe(F.col("s_")) & (salt == F.col("salt_"))
-    return rows.join(salted, on, "left").drop("l_", "s_", "salt_")
+def source_unit() -> Column:
+    return F.concat(language_unit(), F.lit("\x1f"), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")))
 
 
-def fit(good: DataFrame) -> DataFrame:
-    """good(unit, q): the texts that pass the base rules. -> unit, centre, weights, logdet."""
-    # Start: medians and interquartile ranges. The values are whole numbers of a narrow range, so that the exact
-    # percentiles keep a small table of counts a unit, summed up before it is moved, and not the rows.
-    values = good.select("unit", F.posexplode("q").alias("k", "v"))
-    spread = values.groupBy("unit", "k").agg(F.expr("percentile(v, array(0.25, 0.5, 0.75))").alias("p"))
-    spread = spread.select("unit", "k", F.col("p")[1].alias("mid"), (F.col("p")[2] - F.col("p")[0]).alias("range"))
+def _start(good: DataFrame) -> DataFrame:
+    """Medians and interquartile ranges. The values are whole numbers of a narrow range, so that the exact
+    percentiles keep a small table of counts a unit, summed up before it is moved, and not the rows."""
+    values = good.select("unit", "parent", F.posexplode("q").alias("k", "v"))
+    spread = values.groupBy("unit", "parent", "k").agg(F.expr("percentile(v, array(0.25, 0.5, 0.75))").alias("p"))
+    spread = spread.select("unit", "parent", "k", F.col("p")[1].alias("mid"), (F.col("p")[2] - F.col("p")[0]).alias("range"))
     variance = F.pow(F.col("range") / 1.349 / SCALE, 2) + F.element_at(F.array(*[F.lit(f * f) for f in FLOOR]), F.col("k") + 1)
-    start = spread.groupBy("unit").agg(
+    start = spread.groupBy("unit", "parent").agg(
         F.array_sort(F.collect_list(F.struct("k", (F.col("mid") / SCALE).alias("c"), (1 / variance).alias("w")))).alias("a")
     )  # P rows a unit
-    zero = F.lit(0.0)
-    fits = keep(start.select(
-        "unit",
-        F.transform("a", lambda e: e["c"]).alias("centre"),
-        F.array(*[F.element_at("a", i + 1)["w"] if i == j else zero for i, j in _PAIRS]).alias("weights"),
-        F.lit(1e9).alias("logdet"),
-    ), "mcd-start")
-    last = None
-    for _ in range(STEPS):
-        distance = _distance(F.col("q"), F.col("centre"), F.col("weights"))
-        bins = (
-            _joined(good, fits)
-            .withColumn("bin", F.floor(16 * F.log2(1 + F.greatest(distance, zero))))
-            .groupBy("unit", "bin")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.array(*[F.sum(F.element_at("q", i + 1)) for i in range(P)]).alias("s"),
-                F.array(*[F.sum(F.element_at("q", i + 1) * F.element_at("q", j + 1)) for i, j in _PAIRS]).alias("ss"),
-            )
+    weights = [F.element_at("a", i + 1)["w"] if i == j else F.lit(0.0) for i, j in _PAIRS]
+    return start.select("unit", "parent", F.transform("a", lambda e: e["c"]).alias("centre"), F.array(*weights).alias("weights"), F.lit(1e9).alias("logdet"))
+
+
+def _step(good: DataFrame, fits: DataFrame) -> DataFrame:
+    """The estimates from each unit's nearest documents."""
+    distance = _distance(F.col("q"), F.col("centre"), F.col("weights"))
+    bins = (
+        _joined(good, fits)
+        .withColumn("bin", F.floor(16 * F.log2(1 + F.greatest(distance, F.lit(0.0)))))
+        .groupBy("unit", "parent", "bin")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.sum(F.element_at("q", i + 1)) for i in range(P)]).alias("s"),
+            F.array(*[F.sum(F.element_at("q", i + 1) * F.element_at("q", j + 1)) for i, j in _PAIRS]).alias("ss"),
         )
-        # Some hundreds of rows a unit: the bins of a logarithm.
-        unit = Window.partitionBy("unit")
-        near = bins.withColumn("before", F.sum("n").over(unit.orderBy("bin")) - F.col("n")).withColumn("all", F.sum("n").over(unit))
-        moments = (
-            near.filter(F.col("before") < F.col("all") * SUPPORT)
-            .groupBy("unit")
-            .agg(
-                F.sum("n").alias("n"),
-                F.array(*[F.sum(F.element_at("s", i + 1)) for i in range(P)]).alias("s"),
-                F.array(*[F.sum(F.element_at("ss", k + 1)) for k in range(len(_PAIRS))]).alias("ss"),
-            )
+    )
+    # Some hundreds of rows a unit: the bins of a logarithm.
+    unit = Window.partitionBy("unit")
+    near = bins.withColumn("before", F.sum("n").over(unit.orderBy("bin")) - F.col("n")).withColumn("all", F.sum("n").over(unit))
+    moments = (
+        near.filter(F.col("before") < F.col("all") * SUPPORT)
+        .groupBy("unit", "parent")
+        .agg(
+            F.sum("n").alias("n"),
+            F.array(*[F.sum(F.element_at("s", i + 1)) for i in range(P)]).alias("s"),
+            F.array(*[F.sum(F.element_at("ss", k + 1)) for k in range(len(_PAIRS))]).alias("ss"),
         )
-        fits = keep(_estimates(moments), "mcd-step")
-        total = fits.agg(F.sum(F.round("logdet", 4))).first()[0]
-        if total is None or (last is not None and total >= last - 1e-3):
+    )
+    moments = keep(moments, "mcd-moments")
+    prior = moments.filter("parent is null").select(F.col("unit").alias("p_"), F.col("n").alias("n0"), F.col("s").alias("s0"), F.col("ss").alias("ss0"))
+    return _estimates(moments.join(prior, F.col("parent") == F.col("p_"), "left"))
+
+
+def fit(good: DataFrame) -> DataFrame:
+    """good(lang, source, q): the texts that pass the base rules. -> unit, parent, centre, weights, logdet."""
+    level = lambda unit, parent: F.struct(unit.alias("unit"), parent.alias("parent"))
+    both = F.array(level(language_unit(), F.lit(None).cast("string")), level(source_unit(), language_unit()))
+    good = good.select(F.explode(both).alias("u"), "q").select("u.unit", "u.parent", "q")
+    fits = keep(_start(good), "mcd-start")
+    for _ in range(STEPS):
+        new = _step(good, fits)
+        old = fits.select(F.col("unit").alias("u_"), *(F.col(c).alias(f"{c}_") for c in ("centre", "weights", "logdet")))
+        better = F.col("logdet") < F.col("logdet_") - 1e-4
+        new = new.join(old, F.col("unit") == F.col("u_"))
+        picked = [F.when(better, F.col(c)).otherwise(F.col(f"{c}_")).alias(c) for c in ("centre", "weights", "logdet")]
+        fits = keep(new.select("unit", "parent", *picked, better.alias("moved")), "mcd-step")
+        moved = fits.filter("moved").limit(1).count()
+        fits = fits.drop("moved")
+        if not moved:
             break
-        last = total
     return fits
 
 
-def judged(rows: DataFrame, unit_of: DataFrame, fits: DataFrame) -> DataFrame:
+def judged(rows: DataFrame, fits: DataFrame) -> DataFrame:
     """rows(lang, source, COUNTS, q, ...) with base_failed, distance and kept.
 
     A text of a unit without an estimate fails the base rules, as do all others of that unit.
     """
-    rows = with_unit(rows.withColumn("base_failed", base_failed()), unit_of)
-    fits = fits.select("unit", "centre", "weights")
-    fits = fits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("unit", "u_")
-    salt = F.pmod(F.hash("q"), F.lit(SALTS))
-    rows = rows.join(fits, (F.col("unit") == F.col("u_")) & (salt == F.col("salt")), "left")
+    fits = fits.select(F.col("unit").alias("u_"), "centre", "weights")
+    fits = fits.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.join(fits, (source_unit() == F.col("u_")) & (F.pmod(F.hash("q"), F.lit(SALTS)) == F.col("salt_")), "left")
     distance = _distance(F.col("q"), F.col("centre"), F.col("weights"))
-    return rows.withColumn("distance", distance).withColumn(
+    return rows.withColumns({"base_failed": base_failed(), "distance": distance}).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi2(1 - TAIL), F.lit(False))
     )
 
@@ -267,16 +290,14 @@ def judged(rows: DataFrame, unit_of: DataFrame, fits: DataFrame) -> DataFrame:
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, the COUNTS, base_failed, distance, kept: a row per document."""
     stats = keep(measured(docs, [F.col(c) for c in ("doc_id", "lang", "source")]), "mcd-stats")
-    unit_of = keep(units(stats), "mcd-units")
-    fits = fit(with_unit(stats.filter(~base_failed()), unit_of).select("unit", "q"))
-    return judged(stats, unit_of, fits).select("doc_id", "lang", "source", *COUNTS, "base_failed", "distance", "kept")
+    fits = fit(stats.filter(~base_failed()).select("lang", "source", "q"))
+    return judged(stats, fits).select("doc_id", "lang", "source", *COUNTS, "base_failed", "distance", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with all their columns. Texts are measured twice, which moves none of them."""
     stats = keep(measured(docs, [F.col("lang"), F.col("source")]), "mcd-stats")
-    unit_of = keep(units(stats), "mcd-units")
-    fits = fit(with_unit(stats.filter(~base_failed()), unit_of).select("unit", "q"))
+    fits = fit(stats.filter(~base_failed()).select("lang", "source", "q"))
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    rows = judged(measured(docs, [F.col("lang"), F.col("source"), row]), unit_of, fits)
+    rows = judged(measured(docs, [F.col("lang"), F.col("source"), row]), fits)
     return rows.filter("kept").select("row.*")

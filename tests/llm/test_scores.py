@@ -67,6 +67,62 @@ def test_each_statistic_rejects(spark):
     assert {r["doc_id"] for r in found if r["kept"]} == {i for i, *_ in clean}
 
 
+def verdicts(rows):
+    """(lang, source, vector, passes the base rules) -> kept, by the same estimates in numpy over lists."""
+    pairs = [(i, j) for i in range(5) for j in range(i, 5)]
+    units: dict = {}
+    for lang, source, q, good in rows:
+        if good:
+            units.setdefault((lang,), []).append(q)
+            units.setdefault((lang, source), []).append(q)
+    units = {k: np.array(v, float) for k, v in units.items()}
+    far = lambda x, fit: np.einsum("ni,ij,nj->n", x / 256 - fit[0], fit[1], x / 256 - fit[0])
+    fits = {}
+    for u, x in units.items():
+        low, mid, high = np.percentile(x, [25, 50, 75], axis=0)
+        fits[u] = mid / 256, np.diag(1 / (((high - low) / 1.349 / 256) ** 2 + np.square(outliers.FLOOR))), 1e9
+    moved = True
+    while moved:
+        near, moved = {}, False
+        for u, x in units.items():
+            bins = np.floor(16 * np.log2(1 + np.maximum(far(x, fits[u]), 0)))
+            x = x[np.array([(bins < b).sum() < 0.75 * len(x) for b in bins])]
+            near[u] = len(x), x.sum(axis=0), [(x[:, i] * x[:, j]).sum() for i, j in pairs]
+        for u in units:
+            centre, scatter = outliers.estimate(near[u], near[u[:1]] if len(u) == 2 else None)
+            logdet = np.linalg.slogdet(scatter)[1]
+            if logdet < fits[u][2] - 1e-4:
+                fits[u], moved = (centre, np.linalg.inv(scatter), logdet), True
+    cut = outliers.chi2(1 - outliers.TAIL)
+    return [good and bool(far(np.array([q], float), fits[lang, source])[0] <= cut) for lang, source, q, good in rows]
+
+
+def test_verdicts_equal_those_of_numpy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    stats = outliers.measured(docs, [F.col("doc_id"), F.col("lang"), F.col("source")]).withColumn("failed", outliers.base_failed()).collect()
+    want = verdicts([(r["lang"], r["source"], r["q"], not r["failed"]) for r in stats])
+    found = {r["doc_id"]: r["kept"] for r in outliers.quality(docs).collect()}
+    assert found == {r["doc_id"]: k for r, k in zip(stats, want)}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    assert not any(found[d] for d, q in labels.items() if q == 0)
+    failed = {r["doc_id"] for r in stats if r["failed"]}
+    good = [found[d] for d, q in labels.items() if q == 1 and d not in failed]
+    assert sum(good) >= 0.99 * len(good)
+
+
+def test_small_sources_are_judged_by_their_language(spark):
+    """Sources of one to five texts, and one whose own style only its number of texts makes usual."""
+    rng = random.Random(21)
+    rows = [(i, sentence(rng, rng.randint(60, 400)), "en", "large") for i in range(300)]
+    rows += [(1000 + i, sentence(rng, rng.randint(60, 400)), "en", f"s{i % 20}") for i in range(60)]
+    rows += [(2000, " | ".join(sentence(rng, 100).split()), "en", "s1"), (2001, " | ".join(sentence(rng, 100).split()), "en", "alone")]
+    rows += [(3000 + i, " # ".join(" ".join(sentence(rng, 200).split()[k : k + 5]) for k in range(0, 200, 5)), "en", "signs") for i in range(250)]
+    found = {r["doc_id"]: r["kept"] for r in outliers.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [d for d, k in found.items() if not k and d < 2000] == []
+    assert not found[2000] and not found[2001]
+    assert all(found[d] for d in found if d >= 3000)
+
+
 def test_quality_of_an_empty_table(odd):
     assert outliers.quality(odd.limit(0)).count() == 0
     assert outliers.quality(odd.filter("length(text) < 5")).filter("kept").count() == 0
