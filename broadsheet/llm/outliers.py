@@ -173,8 +173,8 @@ def estimate(own: tuple, prior: tuple | None) -> tuple[np.ndarray, np.ndarray]:
     if prior is not None:
         mean0, cov0 = _moments(*prior)
         share = own[0] / (own[0] + PRIOR)
-        apart = mean - mean0
-        mean, cov = share * mean + (1 - share) * mean0, share * cov + (1 - share) * cov0 + share * (1 - share) * np.outer(apart, apart)
+        # How far the means are apart isn't scatter: an outlier that is alone in its source must not widen it.
+        mean, cov = share * mean + (1 - share) * mean0, share * cov + (1 - share) * cov0
     consistent = SUPPORT / chi2_below(chi2(SUPPORT), P + 2)
     return mean / SCALE, cov * (consistent / SCALE**2) + np.diag(np.square(FLOOR))
 
