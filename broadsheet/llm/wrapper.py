@@ -16,7 +16,8 @@ a name isn't believed if its node holds half of the page.
 Spark sums up the forms of a host and the texts of a place. Forms are folded into wrappers in groups of about FAN by
 their hash, in a fixed order, until one is left for a host, so that no task sees all of a large host and the result
 doesn't depend on how pages are dealt. Nodes on under RARE of a wrapper's pages are left out of it: they are judged by
-the page they stand on. Pages then meet the wrapper of their host, those of a large host in many tasks.
+the page they stand on. Wrappers are sent to all tasks if their size, which is looked up, is small; else pages are
+shuffled to meet the wrapper of their host, those of a large host in many tasks.
 
 Defined cases
 -------------
@@ -83,6 +84,8 @@ PARTS = 1000
 BESIDE = 0.5
 #: How names shift a node's weight in the choice of the main part: elements and classes for articles, classes for other parts.
 ARTICLE_TAG, ARTICLE_NAME, OTHER_NAME = 3.0, 1.5, 0.1
+#: Bytes of wrappers, about, that are sent to all executors. Beyond that, pages are shuffled by host to meet them.
+MOST_SENT = 16_000_000
 #: Texts that a task counts before it hands them on.
 MOST_COUNTED = 1 << 18
 
@@ -543,6 +546,7 @@ _ARROW = pa.schema([
     ("places", _LONGS), ("texts", _LONGS), ("sizes", pa.list_(pa.int32())), ("counts", _LONGS),
 ])
 
+_NUMBERS = ("form", "pages", "chars", "links")
 _WRAPPERS = "host string, form string, pages array<long>, chars array<long>, links array<long>"
 
 
@@ -591,6 +595,27 @@ def main_texts(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     parts = keep(_read(pages), "page-forms")
     hosts = keep(wrappers(parts).join(template_texts(parts), "host", "left"), "host-wrappers")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    schema = f"page_id {kind}, url string, text string"
+    size = F.coalesce(F.length("host"), F.lit(0)) + F.length("form") + 24 * F.size("pages") + 24 * F.greatest(F.size("constant"), F.lit(0))
+    if (hosts.agg(F.sum(size)).first()[0] or 0) <= MOST_SENT:
+        found = {r["host"]: ([r[c] for c in _NUMBERS], {(x["places"], x["texts"]): x["sizes"] for x in r["constant"] or ()}) for r in hosts.collect()}
+        held = pages.sparkSession.sparkContext.broadcast(found)  # at most some times MOST_SENT
+
+        def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own: dict[str, Content] = {}
+            for batch in batches:
+                texts = []
+                for host, source in zip(batch.column(0).to_pylist(), batch.column(3)):
+                    if host not in own:
+                        if len(own) > 1000:
+                            own.clear()
+                        own[host] = Content(*held.value.get(host, (None, {})))
+                    texts.append(own[host].text(read_page(source.as_py() or ""), host))
+                yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+        return pages.select("host", "page_id", "url", "html").mapInArrow(sent, schema)
+
     total = hosts.agg(F.sum(F.get("pages", F.lit(0)))).first()[0] or 0
     large = hosts.select(F.col("host").alias("h_"), F.ceil(F.get("pages", F.lit(0)) * F.lit(PARTS / max(total, 1))).alias("deals")).filter("deals > 1")
     large = F.broadcast(large)  # at most PARTS rows
@@ -601,7 +626,6 @@ def main_texts(pages: DataFrame) -> DataFrame:
     known = hosts.join(large, F.col("host") == F.col("h_"), "left").select(
         "host", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal"), F.lit(False).alias("is_page"), "form", "pages", "chars", "links", "constant"
     )
-    kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content, host = Content(None, {}), None
@@ -622,4 +646,4 @@ def main_texts(pages: DataFrame) -> DataFrame:
     both = rows.unionByName(known, allowMissingColumns=True)
     both = both.repartition("host", "deal").sortWithinPartitions("host", "deal", "is_page")
     both = both.select("host", "is_page", "page_id", "url", "html", "form", "pages", "chars", "links", "constant")
-    return both.mapInArrow(run, f"page_id {kind}, url string, text string")
+    return both.mapInArrow(run, schema)

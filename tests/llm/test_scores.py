@@ -371,7 +371,9 @@ SHELL = """<!DOCTYPE html><html><head><title>T {i}</title><style>p{{x}}</style><
 {main}<aside>Side {i}</aside><div id="comments"><p>Reader {i} says</p></div><form><p>Sign</p></form><footer>&copy; {i}</footer></body></html>"""
 
 
-def test_pages(spark):
+@pytest.mark.parametrize("most", [0, wrapper.MOST_SENT])
+def test_pages(spark, monkeypatch, most):
+    monkeypatch.setattr(wrapper, "MOST_SENT", most)
     rng = random.Random(6)
     rows, want = [], {}
     for i in range(60):
