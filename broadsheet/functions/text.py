@@ -1,8 +1,11 @@
-"""Text clean-up and metrics of recognised text. All of it stays in the JVM."""
+"""Text clean-up and metrics of recognised text. All of it but the counting of tokens stays in the JVM."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Named character references that occur in recognised text, besides numeric ones.
@@ -74,6 +77,12 @@ def clean_recognised(text: Column) -> Column:
     return F.coalesce(F.when(text != "", out), F.lit(""))
 
 
+def cleaned(rows: DataFrame, text: str) -> DataFrame:
+    """rows with `cleaned` and `changed`: whether it differs from what was there; '' and false for null and empty text."""
+    found = rows.withColumn("cleaned", clean_recognised(F.col(text)))
+    return found.withColumn("changed", F.col("cleaned") != F.coalesce(F.col(text), F.lit("")))
+
+
 def words(flat: Column) -> Column:
     return F.regexp_extract_all(flat, F.lit(WORDS), F.lit(0))
 
@@ -83,19 +92,44 @@ def sentences(flat: Column) -> Column:
     return F.filter(F.transform(parts, F.trim), lambda s: s != "")
 
 
-def metrics(flat: Column) -> Column:
-    """Struct of seven numbers; all null for blank text. The ratio has two digits, halves away from zero."""
-    clean = F.replace(flat, F.lit("​"), F.lit(""))
-    w, s = words(clean), sentences(clean)
-    n = F.size(w)
-    unique = F.size(F.array_distinct(F.transform(w, F.lower)))
-    ratio = F.when(n > 0, F.round(100 * unique / n, 2))
-    values = F.struct(
-        F.length(flat).alias("char_count"), n.alias("word_count"), unique.alias("unique_word_count"), ratio.alias("type_token_ratio"),
-        F.size(s).alias("sentence_count"), F.size(F.array_distinct(s)).alias("unique_sentence_count"),
-        F.round(F.when(n > 0, F.length(clean) / n), 2).alias("chars_per_word"),
-    )
-    return F.when(F.trim(clean) != "", values)
+def metrics(rows: DataFrame, text: str) -> DataFrame:
+    """rows and, for the flat text of a column, six numbers; all null for blank text. The ratio has two digits, halves away from zero.
+
+    Words and sentences are projected before they are counted, so that each is found once.
+    """
+    clean = F.replace(F.col(text), F.lit("\u200b"), F.lit(""))
+    some = F.trim(F.regexp_replace(clean, r"\s+", " ")) != ""
+    found = rows.withColumns({"_w": F.when(some, words(clean)), "_s": F.when(some, sentences(clean))})
+    n, unique = F.size("_w"), F.size(F.array_distinct(F.transform("_w", F.lower)))
+    has = F.col("_w").isNotNull()
+    numbers = {
+        "char_count": F.length(text), "word_count": n, "unique_word_count": unique, "type_token_ratio": F.when(n > 0, F.round(100 * unique / n, 2)),
+        "sentence_count": F.size("_s"), "unique_sentence_count": F.size(F.array_distinct(F.transform("_s", F.lower))),
+    }
+    return found.withColumns({k: F.when(has, v) for k, v in numbers.items()}).drop("_w", "_s")
+
+
+def word_tokens(vocabulary: str) -> Callable[[Column], Column]:
+    """words -> number of tokens of all of them, each encoded by itself. vocabulary: the path of a file of byte-pair ranks."""
+
+    @F.pandas_udf("int")
+    def count(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import base64
+
+        import tiktoken
+
+        with open(vocabulary, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        encoding = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+        known: dict[str, int] = {}
+        for series in lists:
+            if len(known) > 1 << 20:
+                known = {}
+            fresh = list({w for x in series if x is not None for w in x} - known.keys())
+            known |= zip(fresh, map(len, encoding.encode_ordinary_batch(fresh, num_threads=1)))
+            yield series.map(lambda x: None if x is None else sum(known[w] for w in x)).astype("Int32")
+
+    return count
 
 
 def tokenizability(n_words: Column, n_tokens: Column) -> Column:
@@ -103,13 +137,18 @@ def tokenizability(n_words: Column, n_tokens: Column) -> Column:
     return F.least(F.round(F.try_divide(n_words * 125.0, n_tokens), 2), F.lit(100.0))
 
 
+#: What tells a table, and Markdown.
+TABLE, MARKDOWN = r"(?i)<table|\|[\s\-:]+\|", r"(?md)^#{1,6}\s|\*\*[^*]+\*\*|^[-*+]\s|```"
+
+
 def has_table(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"(?i)<table"), F.lit(False))
+    """A table in HTML, or the rule below the head of one in Markdown; false for null."""
+    return F.coalesce(text.rlike(TABLE), F.lit(False))
 
 
 def has_markdown(text: Column) -> Column:
-    """Headings, emphasis, lists, links or tables of Markdown; false for null."""
-    return F.coalesce(text.rlike(r"(?m)^#{1,6}\s|\*\*[^*\n]+\*\*|\|[\s\-:]+\||^\s*[-*+]\s+\S|\[[^\]\n]+\]\([^)\n]+\)"), F.lit(False))
+    """Headings, strong text, lists or code fences of Markdown; false for null."""
+    return F.coalesce(text.rlike(MARKDOWN), F.lit(False))
 
 
 def guarded_pieces(text: Column, most_chars: int = 3500, most_words: int = 400) -> Column:

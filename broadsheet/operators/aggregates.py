@@ -65,12 +65,22 @@ def term_totals(matches: DataFrame, column: str, *by: str) -> DataFrame:
     return terms.groupBy(*by, "term").agg(F.sum("k").alias("n"))
 
 
-def per_scan_by_year(values: DataFrame, scans: DataFrame, value: str) -> DataFrame:
-    """values(year, value), scans(year, scan_id): sum of value by year, over the year's scans (1 if none)."""
-    n = scans.groupBy("year").agg(F.countDistinct("scan_id").alias("scans"))
-    total = values.groupBy("year").agg(F.sum(value).alias("total"))
-    per = F.col("total") / F.coalesce(F.col("scans"), F.lit(1))
-    return total.join(n, "year", "left").select("year", "total", F.coalesce("scans", F.lit(0)).alias("scans"), per.alias("per_scan"))
+def per_scan_by_year(values: DataFrame, value: str) -> DataFrame:
+    """values(year, scan_id, value): sum of value by year, over the year's distinct scans (1 if none)."""
+    by_year = values.groupBy("year").agg(F.sum(value).alias("total"), F.countDistinct("scan_id").alias("scans"))
+    return by_year.select("year", "total", "scans", (F.col("total") / F.greatest("scans", F.lit(1))).alias("per_scan"))
+
+
+def category_area(crops: DataFrame) -> DataFrame:
+    """crops(scan_id, year, category, area, full): by year and category, percent of the scan's full area.
+
+    by_scan: the mean over the scans that have the category of what its crops cover there together; by_crop: over crops.
+    """
+    share = F.col("area").cast("double") / F.col("full") * 100
+    rows = crops.filter("area is not null and category is not null and year is not null and full > 0")
+    scans = rows.groupBy("scan_id", "year", "category").agg(F.sum(share).alias("share"), F.count(F.lit(1)).alias("n"))
+    sums = scans.groupBy("year", "category").agg(F.count(F.lit(1)).alias("scans"), F.sum("n").alias("crops"), F.sum("share").alias("share"))
+    return sums.select("year", "category", "scans", "crops", (F.col("share") / F.col("scans")).alias("by_scan"), (F.col("share") / F.col("crops")).alias("by_crop"))
 
 
 def eta(batches: DataFrame, now: Column) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Items that `lightest_first` deals at most.
+MOST_ITEMS = 1_000_000
+
 
 def numbered(rows: DataFrame, order: str, name: str = "pos") -> DataFrame:
     """Rows with their place 0, 1, ... in the order of a unique column, without bringing them into one task.
@@ -28,24 +34,23 @@ def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
 def packed(groups: DataFrame, partition: str, order: str, size: str, limit: int) -> DataFrame:
     """Whole groups into chunks, in order: a chunk is closed when the next group would pass the limit; a larger group stands alone.
 
-    Where a chunk begins depends on all before it, so a partition's sizes are folded in one expression: the
+    Where a chunk begins depends on all before it, so a partition's sizes are gone through by one task, once: the
     operator is for plans (a row a group), within partitions such as a corpus, not for the rows themselves.
     """
-    item = F.struct(F.col(order).alias("key"), F.col(size).cast("long").alias("size"))
-    zero = F.struct(F.lit(0).cast("long").alias("chunk"), F.lit(0).cast("long").alias("sum"), F.array().cast("array<struct<key:long,chunk:long>>").alias("out"))
+    kinds = {f.name: f.dataType.simpleString() for f in groups.schema.fields}
 
-    def step(s: Column, x: Column) -> Column:
-        new = (s["sum"] > 0) & (s["sum"] + x["size"] > limit)
-        chunk = s["chunk"] + F.when(new, 1).otherwise(0)
-        total = F.when(new, x["size"]).otherwise(s["sum"] + x["size"])
-        return F.struct(
-            chunk.alias("chunk"), total.alias("sum"),
-            F.concat(s["out"], F.array(F.struct(x["key"].cast("long").alias("key"), chunk.alias("chunk")))).alias("out"),
-        )
+    def chunks(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(order, kind="stable")
+        chunk, total, out = 0, 0, []
+        for n in frame[size].tolist():
+            if total > 0 and total + n > limit:
+                chunk, total = chunk + 1, 0
+            total += n
+            out.append(chunk)
+        return pd.DataFrame({partition: frame[partition], order: frame[order], "chunk": out})
 
-    lists = groups.groupBy(partition).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    found = lists.select(partition, F.explode(F.aggregate("items", zero, step, lambda s: s["out"])).alias("x"))
-    return found.select(partition, F.col("x.key").alias(order), F.col("x.chunk").alias("chunk"))
+    rows = groups.select(partition, order, size)
+    return rows.groupBy(partition).applyInPandas(chunks, f"{partition} {kinds[partition]}, {order} {kinds[order]}, chunk long")
 
 
 def transitions(rows: DataFrame, partition: str, order: list[str], state: str) -> DataFrame:
@@ -83,20 +88,22 @@ def reading_order(crops: DataFrame) -> DataFrame:
 def lightest_first(items: DataFrame, bins: int) -> DataFrame:
     """items(key, weight) -> key, bin: heaviest first, each into the bin with the least weight (the lowest if several).
 
-    For plans over devices: a row an item, folded in one expression.
+    Each choice depends on all before it, so one task makes them, by a heap. For plans over devices: over MOST_ITEMS raise an error.
     """
-    loads = F.array_repeat(F.lit(0.0), bins)
-    zero = F.struct(loads.alias("loads"), F.array().cast("array<struct<key:string,bin:int>>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        chosen = F.array_position(s["loads"], F.array_min(s["loads"])).cast("int")
-        new = F.transform(s["loads"], lambda v, i: F.when(i == chosen - 1, v + x["weight"]).otherwise(v))
-        return F.struct(new.alias("loads"), F.concat(s["out"], F.array(F.struct(x["key"].alias("key"), (chosen - 1).alias("bin")))).alias("out"))
-
-    item = F.struct((-F.col("weight")).alias("order"), F.col("key").cast("string").alias("key"), F.col("weight").cast("double").alias("weight"))
-    rows = items.withColumn("weight", F.coalesce(F.col("weight").cast("double"), F.lit(1.0)))
-    lists = rows.agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return lists.select(F.explode(F.aggregate("items", zero, step, lambda s: s["out"])).alias("x")).select("x.key", "x.bin")
+
+    def dealt(frame: pd.DataFrame) -> pd.DataFrame:
+        if len(frame) > MOST_ITEMS:
+            raise ValueError(f"more than {MOST_ITEMS} items: deal groups of them")
+        frame = frame.sort_values(["weight", "key"], ascending=[False, True], kind="stable")
+        loads, out = [(0.0, k) for k in range(bins)], []
+        for weight in frame["weight"].tolist():
+            load, k = loads[0]
+            heapq.heapreplace(loads, (load + weight, k))
+            out.append(k)
+        return pd.DataFrame({"key": frame["key"], "bin": out})
+
+    rows = items.select(F.col("key").cast("string").alias("key"), F.coalesce(F.col("weight").cast("double"), F.lit(1.0)).alias("weight"))
+    return rows.groupBy(F.lit("all").alias("all_")).applyInPandas(dealt, "key string, bin int")
 
 
 def streaks(rows: DataFrame, partition: str, order: list[str], failed: Column) -> DataFrame:

@@ -18,6 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: A public vocabulary of byte pairs.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The year that stands in for the model's cut-off.
 CUTOFF = 1998
 
@@ -62,10 +64,7 @@ SELECT year, total, scans, CAST(total AS DOUBLE) / scans AS per_scan FROM (
   SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(sum(l_linenumber) AS BIGINT) AS total, count(DISTINCT l_orderkey) AS scans
   FROM {_CROPS} GROUP BY 1)""")
 def tokens_per_scan_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    crops = _crops(spark, sf_dir)
-    return aggregates.per_scan_by_year(
-        crops.select("year", "l_linenumber"), crops.select("year", F.col("l_orderkey").alias("scan_id")), "l_linenumber"
-    )
+    return aggregates.per_scan_by_year(_crops(spark, sf_dir).select("year", F.col("l_orderkey").alias("scan_id"), "l_linenumber"), "l_linenumber")
 
 
 @query("""
@@ -160,14 +159,17 @@ def tokens_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH per AS (SELECT l_orderkey, year(o_orderdate) AS year, {_CATEGORY} AS category, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS area, count(*) AS n
-  FROM {_CROPS} GROUP BY 1, 2, 3)
-SELECT CAST(year AS INT) AS year, category, count(*) AS scans, CAST(sum(n) AS BIGINT) AS crops, CAST(sum(area) AS DOUBLE) AS area FROM per GROUP BY 1, 2""")
+WITH r AS (SELECT l_orderkey, CAST(year(o_orderdate) AS INT) AS year, {_CATEGORY} AS category, l_extendedprice / o_totalprice * 100 AS ratio FROM {_CROPS} WHERE o_totalprice > 0),
+s AS (SELECT year, category, l_orderkey, sum(ratio) AS ratio FROM r GROUP BY ALL),
+a AS (SELECT year, category, count(*) AS scans, round(avg(ratio), 5) AS by_scan FROM s GROUP BY 1, 2),
+c AS (SELECT year, category, count(*) AS crops, round(avg(ratio), 5) AS by_crop FROM r GROUP BY 1, 2)
+SELECT year, category, scans, crops, by_scan, by_crop FROM a JOIN c USING (year, category)""")
 def category_area_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = _crops(spark, sf_dir).groupBy("l_orderkey", "year", _category().alias("category")).agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("area"), F.count(F.lit(1)).alias("n")
+    """Shares of a category in its scan's area, by scan and by crop."""
+    crops = _crops(spark, sf_dir).select(
+        F.col("l_orderkey").alias("scan_id"), "year", _category().alias("category"), F.col("l_extendedprice").alias("area"), F.col("o_totalprice").alias("full")
     )
-    return per.groupBy("year", "category").agg(F.count(F.lit(1)).alias("scans"), F.sum("n").alias("crops"), F.sum("area").cast("double").alias("area"))
+    return aggregates.category_area(crops).withColumns({"by_scan": F.round("by_scan", 5), "by_crop": F.round("by_crop", 5)})
 
 
 @query("""
@@ -283,14 +285,14 @@ def entity_dedup_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents)
 SELECT term, count(*) AS n FROM w WHERE term IN ('the', 'and', 'der', 'die', 'les', 'que', 'idiot') GROUP BY 1""")
 def map_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = [("the", "en"), ("and", "en"), ("der", "de"), ("die", "de"), ("les", "fr"), ("que", "es"), ("idiot", "en")]
-    found = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
-    own = lambda term, w: F.size(F.filter(w, lambda x: x == term))
-    maps = F.map_from_arrays(
-        F.array(*[F.lit(lang) for lang in ("en", "de", "fr", "es")]),
-        F.array(*[F.map_filter(F.create_map(*[x for t, g in terms if g == lang for x in (F.lit(t), own(t, F.col("w")))]), lambda k, v: v > 0) for lang in ("en", "de", "fr", "es")]),
-    )
-    rows = _t(spark, sf_dir, "documents").select(found.alias("w")).select(maps.alias("matches"))
+    languages = {"en": ["the", "and", "idiot"], "de": ["der", "die"], "fr": ["les"], "es": ["que"]}
+    terms = [t for own in languages.values() for t in own]
+    # The few words that are terms are sifted out first, then counted.
+    found = F.filter(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), lambda w: w.isin(terms))
+    count = lambda t: F.size(F.filter("w", lambda x: x == t))
+    counts = lambda own: F.map_filter(F.create_map(*[x for t in own for x in (F.lit(t), count(t))]), lambda k, v: v > 0)
+    maps = F.create_map(*[x for lang, own in languages.items() for x in (F.lit(lang), counts(own))])
+    rows = _t(spark, sf_dir, "documents").select(found.alias("w")).filter(F.size("w") > 0).select(maps.alias("matches"))
     return aggregates.term_totals(rows, "matches")
 
 
@@ -306,8 +308,8 @@ def nested_ordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-SELECT lang, CAST(sum(CASE WHEN regexp_matches(text, '(?i)<table') THEN 1 ELSE 0 END) AS BIGINT) AS tables,
-  CAST(sum(CASE WHEN regexp_matches(text, '(?m)^#{1,6}\s|\*\*[^*\n]+\*\*|\|[\s\-:]+\||^\s*[-*+]\s+\S|\[[^\]\n]+\]\([^)\n]+\)') THEN 1 ELSE 0 END) AS BIGINT) AS markdown
+SELECT lang, CAST(sum(CASE WHEN regexp_matches(text, '(?i)<table') OR regexp_matches(text, '\|[\s\-:]+\|') THEN 1 ELSE 0 END) AS BIGINT) AS tables,
+  CAST(sum(CASE WHEN regexp_matches(text, '(?m)(^#{1,6}\s)|(\*\*[^*]+\*\*)|(^[-*+]\s)|(```)') THEN 1 ELSE 0 END) AS BIGINT) AS markdown
 FROM documents GROUP BY 1""")
 def md_flags_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda c: F.sum(F.when(c, 1).otherwise(0))
@@ -348,12 +350,39 @@ def strip_tags_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def recognised_text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents")
-    return docs.select("doc_id", text.clean_recognised(F.col("text")).alias("cleaned")).withColumn("n_chars", F.length("cleaned"))
+    return text.cleaned(docs.select("doc_id", "text"), "text").select("doc_id", "cleaned", F.length("cleaned").alias("n_chars"), "changed")
+
+
+_FLAT = r"""
+a AS (SELECT doc_id, regexp_replace(text, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g') AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(t, '(?i)<(?:br|/p|/div|/h[1-6]|/li|/tr)\b[^>]*>', chr(10), 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(t, '(?s)<[a-zA-Z/!][^>]*>', '', 'g') AS t FROM b),
+d AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+  '&#39;', ''''), '&apos;', ''''), '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS t FROM c),
+f AS (SELECT doc_id, replace(regexp_replace(t, '-\s+([a-z])', '\1', 'g'), chr(10), ' ') AS t FROM d)"""
+
+
+@query(rf"""
+WITH {_FLAT},
+p AS (SELECT doc_id, t, regexp_extract_all(t, '[\p{{L}}\p{{M}}\p{{N}}_]+(?:[''’.:,·][\p{{L}}\p{{N}}][\p{{L}}\p{{M}}\p{{N}}_]*)*') AS w,
+  list_filter(list_transform(string_split(regexp_replace(t, '([.!?]["''”’)\]]{{0,2}})\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS s
+  FROM (SELECT doc_id, replace(t, chr(8203), '') AS t FROM f)),
+m AS (SELECT doc_id, length(f.t) AS char_count, len(w) AS n, len(list_distinct(list_transform(w, lambda x: lower(x)))) AS u,
+  len(s) AS k, len(list_distinct(list_transform(s, lambda x: lower(x)))) AS v, regexp_matches(p.t, '\S') AS has FROM p JOIN f USING (doc_id))
+SELECT doc_id, CASE WHEN has THEN CAST(char_count AS INT) END AS char_count, CASE WHEN has THEN CAST(n AS INT) END AS word_count,
+  CASE WHEN has THEN CAST(u AS INT) END AS unique_word_count, CASE WHEN has AND n > 0 THEN round(100.0::DOUBLE * u / n, 2) END AS type_token_ratio,
+  CASE WHEN has THEN CAST(k AS INT) END AS sentence_count, CASE WHEN has THEN CAST(v AS INT) END AS unique_sentence_count FROM m""")
+def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("flat"))
+    return text.metrics(flat, "flat").drop("flat")
 
 
 @query()
-def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").select("doc_id", text.metrics(text.flatten(F.col("text"))).alias("m")).select("doc_id", "m.*")
+def tokenizability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the words of all texts agree with the tokens of a public vocabulary."""
+    flat = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("flat")).select("doc_id", text.words(F.col("flat")).alias("w"))
+    rows = flat.select("doc_id", F.size("w").alias("n_words"), text.word_tokens(VOCABULARY)(F.col("w")).alias("n_tokens"))
+    return rows.withColumn("score", text.tokenizability(F.col("n_words"), F.col("n_tokens")))
 
 
 # --- records --------------------------------------------------------------------------------------------------------
@@ -558,10 +587,13 @@ def device_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.lightest_first(weights, 4)
 
 
-@query()
+@query(r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+'), lambda x: x IN ('the', 'der', 'idiot', 'and')) AS w,
+  regexp_matches(text, '\S') AS has FROM documents)
+SELECT doc_id, CASE WHEN has THEN CAST(len(w) AS INT) END AS match_count, CASE WHEN has THEN CAST(len(list_distinct(w)) AS INT) END AS term_count FROM w""")
 def thesaurus_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of a small dictionary in all texts."""
-    terms = spark.createDataFrame([("the", "articles"), ("der", "articles"), ("idiot", "insults"), ("and", "joins")], "term string, category string")
+    terms = spark.createDataFrame([("The", "articles"), ("der", "articles"), ("idiot", "insults"), ("AND", "joins")], "term string, category string")
     return models.thesaurus_matches(_t(spark, sf_dir, "documents"), "doc_id", "text", terms).select("doc_id", "match_count", "term_count")
 
 

@@ -52,12 +52,22 @@ def test_clean_recognised(spark, given, want):
 
 
 def test_metrics(spark):
-    m = one(spark, text.metrics(F.col("t")), t=("string", "The cat. The dog."))
-    assert (m["char_count"], m["word_count"], m["unique_word_count"], m["type_token_ratio"], m["sentence_count"], m["unique_sentence_count"]) == (17, 4, 3, 75.0, 2, 2)
-    assert one(spark, text.metrics(F.col("t")), t=("string", "  ")) is None
-    assert one(spark, text.metrics(F.col("t")), t=("string", None)) is None
-    assert one(spark, text.has_table(F.col("t")), t=("string", None)) is False
-    assert one(spark, text.has_markdown(F.col("t")), t=("string", "a | b\n|---|---|")) is True
+    texts = [(0, "The cat. The dog."), (1, "  "), (2, None), (3, "One thing. ONE thing. one\u200b thing.")]
+    found = text.metrics(spark.createDataFrame(texts, "id int, t string"), "t").orderBy("id").collect()
+    assert tuple(found[0])[2:] == (17, 4, 3, 75.0, 2, 2)
+    assert tuple(found[1])[2:] == tuple(found[2])[2:] == (None,) * 6
+    assert tuple(found[3])[2:] == (33, 6, 2, 33.33, 3, 1)
+    tokens = spark.createDataFrame([(["the", "the", "idiot"],), ([],), (None,)], "w array<string>").select(text.word_tokens("/opt/tokenizers/byte_bpe_50k.tiktoken")(F.col("w")).alias("n"))
+    assert [r["n"] for r in tokens.collect()][1:] == [0, None] and tokens.first()["n"] >= 3
+
+
+def test_flags(spark):
+    flags = lambda t: (one(spark, text.has_table(F.col("t")), t=("string", t)), one(spark, text.has_markdown(F.col("t")), t=("string", t)))
+    assert flags("a | b\n|---|---|") == (True, False)
+    assert flags("<TABLE border=1>") == (True, False)
+    assert flags("# Head") == flags("x\n- item") == flags("**a\nb**") == flags("```") == (False, True)
+    assert flags("a [link](http://x) and\n    - indented") == flags(None) == (False, False)
+
 
 
 def test_flatten(spark):
