@@ -285,14 +285,12 @@ def entity_dedup_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents)
 SELECT term, count(*) AS n FROM w WHERE term IN ('the', 'and', 'der', 'die', 'les', 'que', 'idiot') GROUP BY 1""")
 def map_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    languages = {"en": ["the", "and", "idiot"], "de": ["der", "die"], "fr": ["les"], "es": ["que"]}
-    terms = [t for own in languages.values() for t in own]
-    # The few words that are terms are sifted out first, then counted.
-    found = F.filter(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), lambda w: w.isin(terms))
-    count = lambda t: F.size(F.filter("w", lambda x: x == t))
-    counts = lambda own: F.map_filter(F.create_map(*[x for t in own for x in (F.lit(t), count(t))]), lambda k, v: v > 0)
-    maps = F.create_map(*[x for lang, own in languages.items() for x in (F.lit(lang), counts(own))])
-    rows = _t(spark, sf_dir, "documents").select(found.alias("w")).filter(F.size("w") > 0).select(maps.alias("matches"))
+    language = {"the": "en", "and": "en", "idiot": "en", "der": "de", "die": "de", "les": "fr", "que": "es"}
+    words = _t(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("term"))
+    found = words.filter(F.col("term").isin(*language)).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("k"))
+    of = F.create_map(*[F.lit(x) for pair in language.items() for x in pair])
+    maps = found.groupBy("doc_id", of[F.col("term")].alias("lang")).agg(F.map_from_entries(F.collect_list(F.struct("term", "k"))).alias("terms"))  # at most 7 terms
+    rows = maps.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", "terms"))).alias("matches"))
     return aggregates.term_totals(rows, "matches")
 
 
