@@ -16,7 +16,8 @@ row, the class's node; all further work is on these.
   they share one early in that order: shared shingles from place i on can't be more than size - i. So each set shows
   only its rarest shingles, and a shingle joins two sets only if their sizes and its places in both leave room for
   PERCENT. Texts that have a form in common, which is most of them, but nothing rarer, never meet. Pairs that do are
-  estimated and verified as above. So no link between different texts gets lost, as long as they share a bucket.
+  estimated and verified as above: some of each component first, in DRAWS rounds after which it is joined with what it
+  is linked with, then all that are left. So no link between different texts gets lost, as long as they share a bucket.
 
 Hot keys: a star's centre is sent once to each block of TOGETHER members; a shingle's rows are dealt over blocks of
 SHOWN; where a class, band or component joins its one row of data, adaptive execution splits the larger side.
@@ -56,6 +57,8 @@ SLACK = 4.5
 TOGETHER = 256
 #: Rows of one shingle that a task holds against the others of the shingle.
 SHOWN = 1 << 16
+#: Rounds in which each component tries this many pairs, before all pairs that are left are gone through.
+DRAWS, TRIED = 2, 64
 
 #: Bits of a shingle's hash, of which the first 8 choose the register.
 BITS = 64
@@ -286,8 +289,8 @@ def _labelled(rows: DataFrame, labels: DataFrame, by: str) -> DataFrame:
     return rows.join(found, by, "left").withColumn("label", F.coalesce("found", by)).drop("found")
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components that a bucket of several holds, as far as their sizes and rarest shingles allow a link."""
+def _shown(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """h, node, label, n, room: the rarest shingles of each member of buckets that hold several components."""
     rows = _labelled(buckets, labels, "node")
     several = rows.groupBy("band").agg((F.min("label") != F.max("label")).alias("several")).filter("several").select("band")
     members = keep(rows.join(several, "band").select("node", "label").distinct(), "rest-members")
@@ -317,7 +320,22 @@ def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     left = F.col("n") - F.col("at")
     room = F.floor((100 + PERCENT) * left / PERCENT) - F.col("n")
     shown = placed.filter("times > 1").withColumn("room", room).filter(100 * F.col("room") >= PERCENT * F.col("n"))
-    shown = keep(shown.select("h", "node", "label", "n", "room"), "rest-shown")
+    return keep(shown.select("h", "node", "label", "n", "room"), "rest-shown")
+
+
+def _picked(shown: DataFrame, round_: int) -> DataFrame:
+    """Some pairs, TRIED a component: members of a shingle with one of them, drawn by shingle and round. As many rows as shown has."""
+    drawn = F.min_by(F.struct("node", "label", "n", "room"), F.xxhash64(F.lit(round_), "h", "node"))
+    centres = shown.filter("room >= n").groupBy("h").agg(drawn.alias("c"))
+    found = shown.join(centres, "h").filter((F.col("label") != F.col("c.label")) & (F.col("n") <= F.col("c.room")) & (F.col("c.n") <= F.col("room")))
+    pairs = found.select("label", "node", F.col("c.node").alias("other")).distinct()
+    tried = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit(round_), "node", "other")))
+    pairs = pairs.withColumn("k", tried).filter(F.col("k") <= TRIED)
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _rest(shown: DataFrame) -> DataFrame:
+    """All pairs of different components whose sizes and rarest shingles allow a link."""
     # Of a pair, the smaller set must have room for the larger one: for a set of its own size, at least.
     fits = shown.groupBy("h").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("room") >= F.col("n"), 1)).alias("small"))
     fits = fits.filter("all > 1 and small > 0").select("h", F.ceil(F.col("small") / SHOWN).alias("blocks"))
@@ -332,6 +350,14 @@ def _rest(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     return found.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
 
 
+def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """labels(node, label) with the links of `more`: components of components."""
+    ends = _labelled(_labelled(more, labels, "a").select(F.col("label").alias("a"), "b"), labels, "b").select("a", F.col("label").alias("b"))
+    top = components(ends.filter("a != b"))
+    old = _labelled(labels.withColumnRenamed("label", "mid"), top, "mid").select("node", "label")
+    return keep(old.unionByName(top.join(labels, "node", "left_anti")), "labels")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row per row of docs."""
     rows = keep(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")  # numbered once and for all
@@ -353,14 +379,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = buckets.filter("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     links = _verified(keep(_likely_pairs(stars, compared), "stars"), sets)
     labels = components(keep(links.unionByName(_same_id(full, classes)), "star-links"))
-    pairs = keep(_rest(buckets, labels, sets), "rest-pairs")
-    more = keep(_verified(keep(_likely_pairs(pairs, compared), "rest-likely"), sets), "rest-links")
-    # Components of components.
-    joined = _labelled(_labelled(more, labels, "a").select(F.col("label").alias("a"), "b"), labels, "b").select("a", F.col("label").alias("b"))
-    top = components(joined.filter("a != b"))
-    labels = _labelled(labels.withColumnRenamed("label", "mid"), top, "mid").select("node", "label").unionByName(
-        top.join(labels, "node", "left_anti")
-    )
+    shown = _shown(buckets, labels, sets)
+    # Families of near copies that fell apart into many components are put together first, so that few pairs are left to go through.
+    for k in range(DRAWS):
+        pairs = keep(_picked(shown, k), "rest-picked")
+        labels = _joined(labels, keep(_verified(keep(_likely_pairs(pairs, compared), "rest-likely"), sets), "rest-links"))
+        shown = keep(_labelled(shown.drop("label"), labels, "node"), "rest-shown")
+    pairs = keep(_rest(shown), "rest-pairs")
+    labels = _joined(labels, keep(_verified(keep(_likely_pairs(pairs, compared), "rest-likely"), sets), "rest-links"))
     linked_ = labels.join(classes.select("node", "least"), "node")
     least = linked_.groupBy("label").agg(F.min("least").alias("component_id"))
     found = labels.join(least, "label").select("node", "component_id")

@@ -15,9 +15,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset and Spark is
+    on one machine, as in tests. On a cluster it must be set: a folder of one machine isn't shared."""
     if path := spark.conf.get("spark.checkpoint.dir", None):
         return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     application = spark.sparkContext.applicationId
     if application not in _own:
         os.makedirs(LOCAL_ROOT, exist_ok=True)
