@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import records, text
 from ..operators import aggregates, models, relational, sequences
+from . import logs, run_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -601,3 +602,152 @@ def model_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("text"))
     kinds = models.applied(docs, "doc_id", "text", models.RuleClassifier)
     return kinds.join(models.applied(docs, "doc_id", "text", models.StopwordLanguage), "doc_id")
+
+
+# --- a run: orders are issues, lines of an order its scans, regions runs, nations their batches ---------------------
+
+
+_RUN = """
+WITH run AS (SELECT DISTINCT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS crop_id, l_orderkey * 10 + l_linenumber AS scan_id,
+  l_orderkey AS issue_id, CAST(year(o_orderdate) AS INT) AS year, l_returnflag, l_linenumber, l_quantity
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1)"""
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[run_view.RunView, DataFrame]:
+    """The view of run 1, and all crops with what their satellites hold."""
+    crop = _t(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]).alias("crop_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("scan_id"), F.col("l_orderkey").alias("issue_id"), "l_returnflag", "l_linenumber", "l_quantity",
+    ).distinct()
+    scan = crop.select(F.col("scan_id").alias("id"), "issue_id").distinct()
+    issue = _issues(spark, sf_dir).select(F.col("o_orderkey").alias("id"), "year")
+    owners = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("pipeline_batch_id"))
+    item = _t(spark, sf_dir, "orders").join(owners, "o_custkey").select(F.col("o_orderkey").alias("id"), "pipeline_batch_id")
+    batch = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("pipeline_run_id"))
+    crops = crop.select(F.col("crop_id").alias("id"), "scan_id", F.col("issue_id").alias("pipeline_batch_item_id"))
+    return run_view.RunView.of(crops, scan, issue, item, batch, 1), crop
+
+
+@query(f"""{_RUN}
+SELECT 'all' AS slice, count(DISTINCT issue_id) AS issues, count(DISTINCT scan_id) AS scans, count(DISTINCT crop_id) AS crops FROM run
+UNION ALL SELECT 'before', count(DISTINCT issue_id), count(DISTINCT scan_id), count(DISTINCT crop_id) FROM run WHERE year < {CUTOFF}""")
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view, _ = _run(spark, sf_dir)
+    part = lambda name, v: v.counts().select(F.lit(name).alias("slice"), "issues", "scans", "crops")
+    return part("all", view).unionByName(part("before", view.before(CUTOFF)))
+
+
+@query(f"""{_RUN}
+SELECT 'returned' AS label, count(*) FILTER (WHERE l_returnflag = 'R') AS n FROM run UNION ALL SELECT 'large', count(*) FILTER (WHERE l_quantity > 40) FROM run""")
+def run_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view, crop = _run(spark, sf_dir)
+    return view.record_counts({"returned": crop.filter("l_returnflag = 'R'"), "large": crop.filter("l_quantity > 40")})
+
+
+@query(f"""{_RUN}
+SELECT year, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS tokens FROM run WHERE l_quantity > 40 GROUP BY 1""")
+def run_satellite_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view, crop = _run(spark, sf_dir)
+    rows = view.only(crop.filter("l_quantity > 40").select("crop_id", "l_linenumber"))
+    return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("tokens"))
+
+
+@query("""
+SELECT o_orderkey AS id, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 200 AS BIGINT) AS batch
+FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)""")
+def append_run_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 200 issues that no earlier run has."""
+    issues = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    done = _t(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("issue_id"))
+    return run_view.plan_run(issues, done, 200).select("id", F.col("batch").cast("long").alias("batch"))
+
+
+@query("""
+SELECT event_id FROM events WHERE event_type = 'signup' OR value > 200
+  OR (event_type NOT IN ('signup', 'purchase') AND epoch(TIMESTAMP '2024-01-20 00:00:00') - epoch(ts) > 86400)""")
+def claimable_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as batches: signups never started, purchases ended, great values crashed."""
+    at = lambda yes: F.when(yes, F.col("ts"))
+    kind = F.col("event_type")
+    rows = _t(spark, sf_dir, "events").select(
+        "event_id", at(kind != "signup").alias("started_date"), at(kind == "purchase").alias("ended_date"), F.when(F.col("value") > 200, True).alias("has_crashed")
+    )
+    rows = rows.withColumns({c: F.col(c).cast("timestamp") for c in ("started_date", "ended_date")})
+    return run_view.free_batches(rows, F.lit("2024-01-20 00:00:00").cast("timestamp"), 86400).select("event_id")
+
+
+_LANGUAGES = "('EN', 'FR', 'DE')"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, upper(lang) AS code, (n_chars % 100) / 100.0::DOUBLE AS confidence, CASE WHEN n_chars % 7 = 0 THEN 0 ELSE n_chars // 6 END AS n_words,
+  CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN 'es' WHEN doc_id % 5 = 2 THEN '' ELSE 'fr' END AS issue FROM documents),
+f AS (SELECT *, CASE WHEN issue IS NULL OR issue = '' THEN code WHEN upper(issue) NOT IN {_LANGUAGES} OR confidence < 0.5 OR n_words < 30 THEN upper(issue) ELSE code END AS final FROM d)
+SELECT doc_id, final AS code, CASE WHEN final IS NOT DISTINCT FROM code THEN confidence END AS confidence FROM f""")
+def exported_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = F.col("doc_id") % 5
+    issue = F.when(left == 1, "es").when(left == 2, "").when(left > 2, "fr")
+    n_words = F.when(F.col("n_chars") % 7 != 0, F.floor(F.col("n_chars") / 6))
+    confidence = (F.col("n_chars") % 100) / F.lit(100.0)
+    detectable = F.array(*[F.lit(x) for x in ("EN", "FR", "DE")])
+    found = records.exported_language(F.upper("lang"), confidence, n_words, issue, detectable)
+    return _t(spark, sf_dir, "documents").select("doc_id", found.alias("f")).select("doc_id", "f.code", "f.confidence")
+
+
+# --- logs: the events of a user are the lines of a file, which has one batch -----------------------------------------
+
+
+_LOG = """
+WITH a AS (SELECT user_id, event_id, date_trunc('milliseconds', ts) AS ts, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS line,
+  count(*) OVER (PARTITION BY user_id) AS n FROM events),
+k AS (SELECT *, CASE WHEN line = 1 THEN 'start' WHEN line = n THEN 'end' WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'close' ELSE event_type END AS kind FROM a),
+e AS (SELECT *, last_value(CASE kind WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'close' THEN 0 END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY line) AS step FROM k),
+b AS (SELECT user_id AS batch, min(ts) FILTER (WHERE kind = 'start') AS started, max(ts) FILTER (WHERE kind = 'end') AS ended,
+  count(*) FILTER (WHERE kind = 'signup' AND step = 1) AS issues, CAST(coalesce(sum(event_id % 50) FILTER (WHERE kind = 'signup' AND step = 1), 0) AS BIGINT) AS scans,
+  CAST(coalesce(sum(event_id % 90) FILTER (WHERE kind = 'purchase' AND step = 2), 0) AS BIGINT) AS crops FROM e GROUP BY 1)"""
+
+
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file, line, value as `readers.numbered_lines` gives them."""
+    own = Window.partitionBy("user_id")
+    rows = _t(spark, sf_dir, "events").withColumns({"line": F.row_number().over(own.orderBy("ts", "event_id")), "n": F.count(F.lit(1)).over(own)})
+    user, number = F.col("user_id").cast("string"), lambda k: (F.col("event_id") % k).cast("string")
+    mark = lambda head, tail="": F.concat(F.lit(f"{head} RUN#1 BATCH#"), user, F.lit(f" NODE#n1{tail}"))
+    kind = F.col("event_type")
+    message = (
+        F.when(F.col("line") == 1, mark("START")).when(F.col("line") == F.col("n"), mark("END", " - an hour"))
+        .when(kind == "view", mark("START step01-cache")).when(kind == "click", mark("START step02-crop"))
+        .when((kind == "error") & (F.col("event_id") % 2 == 0), mark("END step01-cache", " - a while"))
+        .when(kind == "error", F.concat(F.lit("slow "), number(3)))
+        .when(kind == "signup", F.concat(F.lit("Paper (1890): archive downloaded, "), number(50), F.lit(" scans extracted.")))
+        .otherwise(F.concat(number(90), F.lit(" crops across 3 scans")))
+    )
+    level = F.when(message.startswith("slow"), "WARNING").otherwise("INFO    ")
+    value = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(" | "), level, F.lit(" | commands.steps.any:run:1 - "), message)
+    return rows.select(user.alias("file"), "line", value.alias("value"))
+
+
+@query(f"""{_LOG}
+SELECT batch, strftime(started, '%Y-%m-%d %H:%M:%S.%g') AS started, strftime(ended, '%Y-%m-%d %H:%M:%S.%g') AS ended,
+  CASE WHEN ended IS NULL THEN 'pending' ELSE 'success' END AS status FROM b""")
+def log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS").alias(c)
+    return logs.batches(logs.parsed(_log_lines(spark, sf_dir))).select(F.col("batch").cast("long").alias("batch"), at("started"), at("ended"), "status")
+
+
+@query(f"""{_LOG}
+SELECT 'WARNING' AS level, CASE step WHEN 1 THEN 'step01-cache' WHEN 2 THEN 'step02-crop' END AS step, 'slow ' || event_id % 3 AS message, count(*) AS n
+FROM e WHERE kind = 'error' GROUP BY 2, 3""")
+def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = logs.messages(logs.parsed(_log_lines(spark, sf_dir)))
+    return found.groupBy("level", "step", "message").agg(F.sum("n").alias("n"))
+
+
+@query(f"""{_LOG},
+d AS (SELECT *, (epoch_ms(ended) - epoch_ms(started)) / 1000.0::DOUBLE AS s FROM b WHERE ended > started),
+r AS (SELECT batch, sum(s) AS s, sum(issues) AS i, sum(scans) AS p, sum(crops) AS c FROM d GROUP BY ROLLUP (batch))
+SELECT CAST(batch AS BIGINT) AS batch, round(3600 * i / s, 6) AS issues, round(3600 * p / s, 6) AS scans, round(3600 * c / s, 6) AS crops FROM r""")
+def log_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues, scans and crops an hour by batch, and over all (batch null)."""
+    rates = logs.throughput(logs.finished(logs.parsed(_log_lines(spark, sf_dir))))
+    return rates.select(F.col("batch").cast("long").alias("batch"), *[F.round(f"{c}_per_hour", 6).alias(c) for c in ("issues", "scans", "crops")])

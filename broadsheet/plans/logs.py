@@ -13,6 +13,11 @@ BATCH = r"^(START|END) RUN#(\d+) BATCH#(\d+) NODE#(.+?)(?: - (.+))?\s*$"
 STEP = r"^(START|END) (step\d+-[\w-]+) RUN#(\d+) BATCH#(\d+) NODE#(.+?)(?: - (.+))?\s*$"
 RUN = r"^(START|END) RUN#(\d+)(?: - (.+))?\s*$"
 TOOK = r"(step\d+_\w+) took ([\d.]+)s"
+SUMMARY = r"Batches (processed|crashed|skipped): (\d+)"
+CACHED = r".+? \(.+?\): (?:archive downloaded, (\d+) scans extracted\.|(\d+) scans already in cache\. Skipping\.)"
+CROPPED = r"(\d+) crops across (\d+) scans"
+STEP_SOURCE = "commands.steps."
+DRY_RUN = "Dry run mode:"
 SAMPLE = r"RESOURCE_SAMPLE step=([\w-]*) batch=(\d+|None) ram_pct=([\d.]+) cpu_pct=([\d.]+) vram_pcts=(\S*)"
 
 
@@ -86,6 +91,40 @@ def messages(events: DataFrame) -> DataFrame:
     return rows.groupBy("file", "level", F.when(F.col("last.mark") == "START", F.col("last.step")).alias("step"), "message").agg(F.count(F.lit(1)).alias("n"))
 
 
+def runs(events: DataFrame) -> DataFrame:
+    """file, run, started, ended, took, dry_run, processed, crashed, skipped: the last of each that the file names."""
+    m = F.col("message")
+    latest = lambda value: F.max_by(value, F.when(value.isNotNull(), F.col("line")))
+    mark, kind = F.regexp_extract(m, RUN, 1), F.regexp_extract(m, SUMMARY, 1)
+    summed = [latest(F.when(kind == name, F.regexp_extract(m, SUMMARY, 2).cast("int"))).alias(name) for name in ("processed", "crashed", "skipped")]
+    return events.groupBy("file").agg(
+        latest(F.when(mark == "START", F.regexp_extract(m, RUN, 2).cast("int"))).alias("run"),
+        latest(F.when(mark == "START", F.col("ts"))).alias("started"), latest(F.when(mark == "END", F.col("ts"))).alias("ended"),
+        latest(F.when(mark == "END", F.trim(_group(m, RUN, 3)))).alias("took"), F.bool_or(F.contains(m, F.lit(DRY_RUN))).alias("dry_run"), *summed,
+    )
+
+
+def counted(events: DataFrame) -> DataFrame:
+    """file, batch, issues, scans, crops: what the first two steps of a batch say they have done."""
+    m = F.col("message")
+    mark = F.when(m.rlike(STEP), F.struct(F.regexp_extract(m, STEP, 1).alias("mark"), F.regexp_extract(m, STEP, 2).alias("step"), F.regexp_extract(m, STEP, 4).cast("int").alias("batch")))
+    on = F.last(mark, ignorenulls=True).over(Window.partitionBy("file").orderBy("line"))
+    own = events.withColumn("on", on).filter((F.col("level") == "INFO") & F.contains("source", F.lit(STEP_SOURCE)) & (F.col("on.mark") == "START"))
+    within = lambda step: F.contains("on.step", F.lit(step))
+    scans = F.coalesce(_group(m, CACHED, 1), _group(m, CACHED, 2)).cast("long")
+    return own.groupBy("file", F.col("on.batch").alias("batch")).agg(
+        F.count(F.when(within("step01"), scans)).alias("issues"), F.coalesce(F.sum(F.when(within("step01"), scans)), F.lit(0)).alias("scans"),
+        F.coalesce(F.sum(F.when(within("step02"), _group(m, CROPPED, 1).cast("long"))), F.lit(0)).alias("crops"),
+    )
+
+
+def finished(events: DataFrame) -> DataFrame:
+    """file, batch, seconds, issues, scans, crops: batches with a start and a later end."""
+    seconds = F.col("ended").cast("double") - F.col("started").cast("double")
+    done = batches(events).withColumn("seconds", seconds).filter("seconds > 0").select("file", "batch", "seconds")
+    return done.join(counted(events), ["file", "batch"], "left").fillna(0, ["issues", "scans", "crops"])
+
+
 def step_durations(steps_: DataFrame) -> DataFrame:
     return steps_.groupBy("step").agg(F.sum("seconds").alias("total"), F.avg("seconds").alias("mean"), F.count("seconds").alias("n"))
 

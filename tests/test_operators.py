@@ -217,6 +217,21 @@ def test_logs(spark, tmp_path):
     assert rows(logs.step_durations(logs.steps(events)), "step", "total", "n") == [("step01-cache", 1.5, 1)]
 
 
+def test_log_counts(spark):
+    said = [
+        ("cli:run", "START RUN#4"), ("cli:run", "START RUN#4 BATCH#2 NODE#n"), ("cli:run", "START step01-cache RUN#4 BATCH#2 NODE#n"),
+        ("commands.steps.step01:run:9", "A (1890): archive downloaded, 12 scans extracted."), ("commands.steps.step01:run:9", "B (1891): 3 scans already in cache. Skipping."),
+        ("cli:run", "C (1892): archive downloaded, 99 scans extracted."), ("cli:run", "END step01-cache RUN#4 BATCH#2 NODE#n - 1s"),
+        ("commands.steps.step02:run:9", "7 crops across 1 scans"), ("cli:run", "START step02-crop RUN#4 BATCH#2 NODE#n"), ("commands.steps.step02:run:9", "40 crops across 15 scans"),
+        ("cli:run", "END RUN#4 BATCH#2 NODE#n - 9s"), ("cli:run", "Batches processed: 1"), ("cli:run", "Batches crashed: 0"), ("cli:run", "END RUN#4 - 11s"),
+    ]
+    lines = [("f", i, f"2025-01-01 00:00:{i:02d}.000 | INFO     | {source} - {message}") for i, (source, message) in enumerate(said)]
+    events = logs.parsed(spark.createDataFrame(lines, "file string, line int, value string"))
+    assert rows(logs.finished(events), "batch", "seconds", "issues", "scans", "crops") == [(2, 9.0, 2, 15, 40)]
+    assert rows(logs.runs(events), "run", "took", "dry_run", "processed", "crashed", "skipped") == [(4, "11s", False, 1, 0, None)]
+    assert logs.finished(events.limit(0)).count() == logs.runs(events.limit(0)).count() == 0
+
+
 def test_streaming_equals_batch(spark, tmp_path):
     source = "/root/testdata/sf0.001"
     table = spark.read.parquet(f"{source}/events.parquet")
