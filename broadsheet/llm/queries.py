@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, hyperminhash, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
+from . import decontamination, filter_audit, hyperminhash, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
 from .tables import documents
 
 
@@ -57,6 +57,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -119,4 +124,21 @@ k AS (SELECT p.doc_id, string_agg(x, ' ' ORDER BY p.j) FILTER (c.j IS NULL) AS k
   FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.j = c.j GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copied FROM d),
+m AS (SELECT doc_id, part, CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN copied THEN 16 ELSE 0 END AS m FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS g, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS x FROM labels GROUP BY 1),
+c AS (SELECT part, m, count(*) AS n, coalesce(sum(g), 0) AS g, coalesce(sum(x), 0) AS x FROM m LEFT JOIN l USING (doc_id) GROUP BY 1, 2),
+f AS (SELECT unnest([1, 2, 4, 8, 16]) AS b, unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS s FROM f a, f b, f c, f d, f e WHERE a.b | b.b | c.b | d.b | e.b = 31),
+s AS (SELECT filter_order, step, s[step] AS b, coalesce(list_sum(s[1:step-1]), 0)::INTEGER AS p FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, filter_order, step, b, sum(CASE WHEN m & (p | b) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN m & b > 0 AND m & p = 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN m & b > 0 AND m & p > 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN m = b THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN m & b > 0 AND m & p = 0 THEN g ELSE 0 END) AS good_lost,
+  sum(CASE WHEN m & b > 0 AND m & p = 0 THEN x ELSE 0 END) AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley FROM r""",
 }
