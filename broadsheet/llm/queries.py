@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, filter_audit, hyperminhash, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
+from . import decontamination, divergence, filter_audit, hyperminhash, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
 from .tables import documents
 
 
@@ -61,6 +61,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -141,4 +146,21 @@ r AS (SELECT part, filter_order, step, b, sum(CASE WHEN m & (p | b) = 0 THEN n E
   sum(CASE WHEN m & b > 0 AND m & p = 0 THEN x ELSE 0 END) AS toxic_lost FROM c, s GROUP BY ALL)
 SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
   good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley FROM r""",
+    "op12_source_divergence": rf"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+k AS (SELECT lang, term FROM (SELECT DISTINCT k, lang, unnest(w) AS term FROM d) GROUP BY ALL HAVING count(*) >= 3),
+o AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+s AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN o USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, CAST(1 + 1000000000 * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v) AS BIGINT) AS p FROM s JOIN v USING (lang)),
+a AS (SELECT lang, term, sum(n) AS n FROM s GROUP BY ALL),
+q AS (SELECT lang, term, CAST(1 + 1000000000 * (n + 1) // (sum(n) OVER (PARTITION BY lang) + v) AS BIGINT) AS q FROM a JOIN v USING (lang)),
+t AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+c AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+u AS (SELECT * FROM t UNION ALL SELECT x.lang, x.source, 'pair', y.source, CAST(coalesce(value, 0) AS BIGINT)
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN c ON c.lang = x.lang AND c.source = x.source AND c.item = y.source),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200""",
 }

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter
 from itertools import permutations
 
-from broadsheet.llm import filter_audit
+import pytest
+
+from broadsheet.llm import divergence, filter_audit
 
 from . import brute
 
@@ -78,3 +82,63 @@ def test_transform_is_inverted_exactly(spark):
     for part in ("p", "q"):
         for label, at in (("all", None), ("good", 2), ("toxic", 3)):
             assert list(got[part][label]) == [sum(r[0] == part and r[1] == m and (at is None or r[at]) for r in rows) for m in range(32)]
+
+
+def brute_divergence(docs):
+    """docs: (text, lang, source) -> rows of the operator, all numbers by Python's own."""
+    docs = [(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), a or "", s or "") for t, a, s in docs]
+    out = set()
+    for lang in {d[1] for d in docs}:
+        frequency = Counter(w for words, a, _ in docs if a == lang for w in set(words))
+        kept = [w for w, n in frequency.items() if n >= 3]
+        of = {s: Counter() for _, a, s in docs if a == lang}
+        for words, a, s in docs:
+            if a == lang:
+                of[s].update(words)
+        whole = sum(of.values(), Counter())
+
+        def p(counts):
+            total = sum(counts[w] for w in kept)
+            return {w: 1 + 10**9 * (counts[w] + 1) // (total + len(kept)) for w in kept}
+
+        mine, q = {s: p(c) for s, c in of.items()}, p(whole)
+        for s in of:
+            pairs = [(sum((mine[s][w] - x) ** 2 // x for w, x in mine[t].items()), t) for t in of if t != s]
+            terms = [((mine[s][w] - q[w]) ** 2 // q[w], w) for w in kept if of[s][w] and mine[s][w] > q[w]]
+            for part, rows, most in (("pair", pairs, None), ("term", terms, 200)):
+                rows.sort(key=lambda r: (-r[0], r[1].encode()))
+                out |= {(lang, s, part, item, value, rank) for rank, (value, item) in enumerate(rows[:most], 1)}
+    return out
+
+
+def uneven_docs():
+    """Terms whose frequencies depend on the source, more than 200 of them that are equally telling, a language of one source, one of no kept terms."""
+    rng = random.Random(12)
+    common = ["".join(rng.choice("abcdeéßФ") for _ in range(rng.randint(1, 4))) for _ in range(60)]
+    rows = []
+    for i in range(90):
+        source = f"s{i % 7}"
+        words = [rng.choice(common[: 20 + 5 * (i % 7)]) for _ in range(rng.randint(0, 80))]
+        rows.append((i, " ".join(words) + rng.choice([".", "!X,", "\n", "1"]) + ("Ab" if i % 3 else "aB"), "en", source))
+    rows += [(200 + i, " ".join(f"only{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(260)), "en", "wide") for i in range(4)]
+    rows += [(300 + i, "a b c a-b", "one", "x") for i in range(3)] + [(400, "q", "none", "x"), (401, "r 12 #", "none", "y"), (402, None, "none", "z"), (403, "", "en", "mute")]
+    return rows + [(None, "a b", None, None), (None, "a b", "", "k"), (500, "a\0b a", None, "k"), (500, "a\0b a", None, "k")]
+
+
+@pytest.mark.parametrize("few, size", [(divergence.MOST_SENT, divergence.PART), (0, 500)])
+def test_divergence(spark, monkeypatch, few, size):
+    """Also with parts of 500 bytes, groups of few postings and joins by shuffle."""
+    monkeypatch.setattr(divergence, "MOST_SENT", few)
+    monkeypatch.setattr(divergence, "PART", size)
+    monkeypatch.setattr(divergence, "POSTINGS", size)
+    rows = uneven_docs()
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, source string, term string").repartition(3)
+    got = divergence.divergence(docs).collect()
+    want = brute_divergence([r[1:] for r in rows])
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert divergence.divergence(docs.limit(0)).count() == 0
+
+
+def test_divergence_of_odd_rows(odd):
+    want = brute_divergence([(r["text"], r["lang"], r["source"]) for r in odd.collect()])
+    assert {tuple(r) for r in divergence.divergence(odd).collect()} == want
