@@ -59,11 +59,11 @@ class Chunk:
         self.data, self.off, self.rows, self.n = data, off, rows, len(off) - 1
         self._sums = None
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and document of every word."""
+    def words(self, of: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and document of every word; of: which bytes make words."""
         n = len(self.data)
         is_word = np.zeros(n + 2, bool)
-        is_word[1:-1] = IS_WORD[self.data]
+        is_word[1:-1] = of[self.data]
         edge = np.zeros(n + 1, bool)
         edge[self.off] = True
         start = np.flatnonzero(is_word[1:-1] & (~is_word[:-2] | edge[:-1]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, divergence, filter_audit, hyperminhash, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
+from . import decontamination, divergence, filter_audit, hyperminhash, license_scan, mixing, mlm_scoring, outliers, seed_extend, suffix_index, token_counts, toxicity, wrapper
 from .tables import documents
 
 
@@ -65,6 +65,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(documents(spark, sf_dir))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("places")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_filter_audit": op11_filter_audit,
     "op12_source_divergence": op12_source_divergence,
+    "op13_license_scan": op13_license_scan,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

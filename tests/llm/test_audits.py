@@ -9,9 +9,10 @@ from itertools import permutations
 
 import pytest
 
-from broadsheet.llm import divergence, filter_audit
+from broadsheet.llm import divergence, filter_audit, license_scan
 
 from . import brute
+from .conftest import sentence
 
 
 def brute_audit(docs, labels):
@@ -142,3 +143,62 @@ def test_divergence(spark, monkeypatch, few, size):
 def test_divergence_of_odd_rows(odd):
     want = brute_divergence([(r["text"], r["lang"], r["source"]) for r in odd.collect()])
     assert {tuple(r) for r in divergence.divergence(odd).collect()} == want
+
+
+def brute_licenses(text):
+    """All but doc_id of a row, by trying every notice at every place."""
+    words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
+    words = [w.decode() for w in words]
+    stands = lambda phrase, x: words[max(x, 0) : x + len(phrase.split())] == phrase.split() and x >= 0
+    hits = [(i, label) for phrase, label in license_scan.PHRASES.items() for i in range(len(words)) if stands(phrase, i)]
+    near = range(-license_scan.SLACK, license_scan.SLACK + 1)
+    found = []
+    for notice in license_scan.NOTICES:
+        own = notice.text.split()
+        at = [len(notice.text[: f" {notice.text} ".index(f" {p} ")].split()) for p in notice.phrases]
+        for x in range(-len(own), len(words)):
+            if stands(notice.phrases[0], x + at[0]) and all(any(stands(p, x + y + d) for d in near) for p, y in zip(notice.phrases, at)):
+                share = sum(any(0 <= x + j + d < len(words) and words[x + j + d] == w for d in near) for j, w in enumerate(own)) / len(own)
+                if share >= license_scan.LEAST_SHARE:
+                    found.append((notice.label, share))
+    starts, base = [i for i, _ in hits], {x for _, x in hits}
+    score = 1.0 if base else max((s for _, s in found), default=0.0)
+    return len(words), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | {x for x, _ in found})), pytest.approx(score)
+
+
+def licensed_texts():
+    rng = random.Random(13)
+    noise = lambda n: sentence(rng, n)
+    texts = [noise(a) + ". " + notice.text.upper() + " -- " + noise(b) for notice in license_scan.NOTICES for a, b in ((0, 0), (58, 9), (700, 300))]
+    for notice in license_scan.NOTICES:  # words left out, put in, and changed
+        words = notice.text.split()
+        texts.append(noise(20) + " " + " ".join(w for i, w in enumerate(words) if i != len(words) // 2))
+        texts.append(" ".join(words[:3]) + " indeed " + " ".join(words[3:]))
+        texts.append(noise(4) + " " + " ".join(words[len(words) // 2 :]))
+    texts += ["GNU General Public License", "under the MIT", "license", "the MIT license", "version 2 of the apache license", "cc-by-nc cc by nc,CC BY/NC"]
+    texts += ["license version 3 " * 3000, "under the mit license " * 50, "under  the\n\tMIT.License", "underthe mit license", "under the mit licenseé", None, "", "0"]
+    both = [n.text for n in license_scan.NOTICES[:4]]
+    return [*texts, "; ".join(both), noise(30) + ", ".join(reversed(both))]
+
+
+def test_license_scan(spark, odd):
+    texts = licensed_texts()
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[0], "x"), (3, texts[3], "x")]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, labels string").repartition(3)).collect()
+    assert len(got) == len(rows)
+    of = {r["doc_id"]: r for r in got}
+    for i, text in enumerate(texts):
+        assert tuple(of[i])[1:8] == brute_licenses(text), text
+    for i, notice in enumerate(license_scan.NOTICES):
+        for k in range(3):
+            assert notice.label in of[3 * i + k]["labels"].split(",")
+            assert any(p["label"] == notice.label and p["share"] == 1 for p in of[3 * i + k]["places"])
+    assert of[None]["labels"] == of[0]["labels"] != ""
+    for r in license_scan.scan(odd).collect():
+        assert r["labels"] == "" and r["score"] == 0
+    assert license_scan.scan(odd.limit(0)).count() == 0
+
+
+def test_every_notice_has_its_phrases(spark):
+    with pytest.raises(ValueError):
+        license_scan.scan(spark.createDataFrame([(1, "a")], "doc_id long, text string"), [license_scan.Notice("x", "a b c", ("b d",))], {"b d": "y"})
