@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import records, text
-from ..operators import aggregates, models, relational, sequences
+from ..operators import aggregates, layout, models, relational, sequences
 from . import logs, run_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -499,6 +499,61 @@ def reading_order_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.reading_order(crops).select("scan_id", "crop_id", "reading_order")
 
 
+# --- layout: suppliers are scans, lineitems their boxes --------------------------------------------------------------
+
+
+_PLACES = """SELECT l_suppkey AS scan_id, l_orderkey * 8 + l_linenumber AS crop_id, max(l_partkey % 6) AS col, max(l_orderkey % 4000) AS top,
+  max(l_linenumber) AS k, max(l_quantity % 7) AS shift, max(l_returnflag) AS flag, max(l_tax) AS tax FROM lineitem GROUP BY ALL"""
+
+
+def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six columns of boxes, two in seven of them wide, a fourth of them no content."""
+    keys = [F.col("l_suppkey").alias("scan_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("crop_id")]
+    most = {"col": F.col("l_partkey") % 6, "top": F.col("l_orderkey") % 4000, "k": F.col("l_linenumber"), "shift": F.col("l_quantity") % 7, "flag": F.col("l_returnflag"), "tax": F.col("l_tax")}
+    rows = _t(spark, sf_dir, "lineitem").groupBy(*keys).agg(*[F.max(c).alias(name) for name, c in most.items()])
+    left, top = (F.col("col") * 150 + F.col("shift")).cast("double"), F.col("top").cast("double")
+    return rows.withColumns({"left": left, "right": F.col("left") + 100 + F.when(F.col("k") >= 6, 250).otherwise(0)}).select(
+        "scan_id", "crop_id", "col", "k", "flag", "left", "right", top.alias("top"), F.lit(1200.0).alias("scan_width"),
+        F.array("left", top, "right", top + 15 + 5 * F.col("k")).alias("box"),
+        F.when(F.col("flag") == "R", "Photograph or illustration").otherwise("Content").alias("category"),
+        F.when(F.col("tax") > 0.04, "goes on").otherwise("Begins").alias("text"),
+    )
+
+
+@query(f"""
+WITH p AS ({_PLACES}), b AS (SELECT *, col * 150 + shift AS x, col * 150 + shift + CASE WHEN k >= 6 THEN 350 ELSE 100 END AS z FROM p),
+c AS (SELECT scan_id, col, min(x) AS x, max(z) AS z FROM b WHERE k < 6 GROUP BY ALL)
+SELECT b.scan_id, b.crop_id, c.col FROM b JOIN c ON b.scan_id = c.scan_id AND b.x <= c.z AND b.z >= c.x WHERE k >= 6""")
+def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that each wide box touches."""
+    boxes = _boxes(spark, sf_dir)
+    columns = boxes.filter("k < 6").groupBy("scan_id", "col").agg(F.min("left").alias("left"), F.max("right").alias("right"))
+    wide = boxes.filter("k >= 6").select("scan_id", "crop_id", "left", "right")
+    return layout.overlapping(wide, columns, "scan_id", 150.0).select("scan_id", "crop_id", F.col("col_b").alias("col"))
+
+
+@query(f"""
+WITH b AS ({_PLACES})
+SELECT p.scan_id, p.crop_id, t.crop_id AS nearest, CAST(abs(p.top - t.top) AS DOUBLE) AS distance FROM b p LEFT JOIN b t ON p.scan_id = t.scan_id AND t.flag = 'A'
+WHERE p.flag = 'R' QUALIFY row_number() OVER (PARTITION BY p.scan_id, p.crop_id ORDER BY abs(p.top - t.top), t.crop_id) = 1""")
+def nearest_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each picture the box on its scan that is nearest in height."""
+    rows = _boxes(spark, sf_dir).select("scan_id", "crop_id", F.col("top").alias("x"), "flag")
+    targets = rows.filter("flag = 'A'").select("scan_id", "x", F.col("crop_id").alias("first"), F.col("crop_id").alias("value"))
+    found = layout.nearest(rows.filter("flag = 'R'").drop("flag"), targets, "scan_id", 250.0)
+    return found.select("scan_id", "crop_id", F.col("target.value").alias("nearest"), F.abs(F.col("x") - F.col("target.x")).alias("distance"))
+
+
+@query()
+def scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.columns(_boxes(spark, sf_dir))
+
+
+@query()
+def scan_reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.reading_order(_boxes(spark, sf_dir).drop("col")).select("scan_id", "crop_id", "col", "reading_order")
+
+
 @query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
 def offset_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of ids: the limit is the feature."""
