@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Named character references that occur in recognised text, besides numeric ones.
 _REFERENCES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
@@ -132,6 +133,12 @@ def word_tokens(vocabulary: str) -> Callable[[Column], Column]:
     return count
 
 
+@F.pandas_udf(T.StringType())
+def casefolded(text: pd.Series) -> pd.Series:
+    """Folded case, as dictionaries are compared: unlike lower case, "Straße" and "STRASSE" are one."""
+    return text.str.casefold()
+
+
 def tokenizability(n_words: Column, n_tokens: Column) -> Column:
     """Words times 1.25 to tokens, in percent, 100 at most; null without tokens."""
     return F.least(F.round(F.try_divide(n_words * 125.0, n_tokens), 2), F.lit(100.0))

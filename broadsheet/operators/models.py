@@ -132,42 +132,3 @@ class HashEmbedding:
                 v[zlib.crc32(w.encode()) % self.size] += 1
             out.append({"embedding": (v / max(np.linalg.norm(v), 1e-12)).astype(np.float32).tolist()})
         return out
-
-
-def thesaurus_matches(rows: DataFrame, key: str, text: str, terms: DataFrame, most_terms: int = 200_000) -> DataFrame:
-    """key, matches (category -> term -> n), match_count, term_count; nulls for blank text, an empty map for no match.
-
-    Terms and what is found are compared in folded case. terms(term, category) is a dictionary, of at most most_terms rows, which is checked; it goes to every task as one
-    pattern, longest terms first, whose matches don't overlap.
-    """
-    found = terms.limit(most_terms + 1).collect()
-    if len(found) > most_terms:
-        raise ValueError(f"more than {most_terms} terms: split the dictionary")
-    categories = {r["term"].casefold(): r["category"] for r in sorted(found, key=lambda r: (r["term"], r["category"]))}
-    ordered = sorted(categories, key=lambda t: (-len(t), t))
-    held = rows.sparkSession.sparkContext.broadcast((categories, r"\b(" + "|".join(map(re.escape, ordered)) + r")\b"))
-    kind = rows.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, matches map<string,map<string,int>>, match_count int, term_count int"
-    types = [pa.map_(pa.string(), pa.map_(pa.string(), pa.int32())), pa.int32(), pa.int32()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, source = held.value
-        pattern = re.compile(source, re.IGNORECASE) if known else None
-        for batch in batches:
-            maps, matches, distinct = [], [], []
-            for value in batch.column(1).to_pylist():
-                if value is None or not value.strip():
-                    maps.append(None), matches.append(None), distinct.append(None)
-                    continue
-                counts: dict[str, dict[str, int]] = {}
-                for m in pattern.finditer(value) if pattern else ():
-                    term = m[1].casefold()
-                    own = counts.setdefault(known.get(term, "Other"), {})
-                    own[term] = own.get(term, 0) + 1
-                maps.append([(c, list(t.items())) for c, t in counts.items()])
-                matches.append(sum(n for t in counts.values() for n in t.values()))
-                distinct.append(sum(map(len, counts.values())))
-            found = [pa.array(x, t) for x, t in zip((maps, matches, distinct), types)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=[key, "matches", "match_count", "term_count"])
-
-    return rows.select(key, text).mapInArrow(run, schema)

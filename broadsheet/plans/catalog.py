@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import records, text
-from ..operators import aggregates, layout, models, relational, sequences
+from ..operators import aggregates, dictionary, layout, models, relational, sequences
 from . import logs, run_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -648,7 +648,20 @@ SELECT doc_id, CASE WHEN has THEN CAST(len(w) AS INT) END AS match_count, CASE W
 def thesaurus_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of a small dictionary in all texts."""
     terms = spark.createDataFrame([("The", "articles"), ("der", "articles"), ("idiot", "insults"), ("AND", "joins")], "term string, category string")
-    return models.thesaurus_matches(_t(spark, sf_dir, "documents"), "doc_id", "text", terms).select("doc_id", "match_count", "term_count")
+    return dictionary.matched(_t(spark, sf_dir, "documents"), "doc_id", "text", terms).select("doc_id", "match_count", "term_count")
+
+
+@query(r"""
+WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM benchmark),
+w AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents) GROUP BY ALL)
+SELECT doc_id, CASE WHEN length(term) > 6 THEN 'long' ELSE 'short' END AS category, term, CAST(n AS INT) AS n FROM w JOIN t USING (term) WHERE term NOT LIKE '%ß%'""")
+def dictionary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each word of the test items stands in each text."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    terms = _t(spark, sf_dir, "benchmark").select(F.explode(words).alias("term")).distinct().filter("term not like '%ß%'")
+    terms = terms.withColumn("category", F.when(F.length("term") > 6, "long").otherwise("short"))
+    found = dictionary.matched(_t(spark, sf_dir, "documents"), "doc_id", "text", terms)
+    return found.select("doc_id", F.explode("matches").alias("category", "terms")).select("doc_id", "category", F.explode("terms").alias("term", "n"))
 
 
 @query()

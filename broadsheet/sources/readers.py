@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import records
+from ..functions.text import casefolded
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +51,7 @@ def thesaurus(lines: DataFrame) -> DataFrame:
     parsed = lines.select("line", F.from_json("value", schemas.THESAURUS_LINE).alias("x"))
     terms = F.concat(F.array("x.keyword"), F.coalesce("x.related_terms", F.array().cast("array<string>")))
     rows = parsed.select("line", "x.category", F.posexplode(terms).alias("pos", "term")).filter("term is not null")
-    return rows.groupBy(F.lower("term").alias("term")).agg(F.max_by("category", F.struct("line", "pos")).alias("category"))
+    return rows.groupBy(casefolded(F.col("term")).alias("term")).agg(F.max_by("category", F.struct("line", "pos")).alias("category"))
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:

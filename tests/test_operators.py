@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet import schemas
-from broadsheet.operators import aggregates, models, relational, sequences
+from broadsheet.operators import aggregates, dictionary, models, relational, sequences
 from broadsheet.plans import logs, run_view
 from broadsheet.sources import readers, writers
 from broadsheet.streaming import live
@@ -137,7 +137,7 @@ def test_thesaurus(spark):
     terms = readers.thesaurus(spark.createDataFrame(lines, "line int, value string"))
     assert rows(terms, "term", "category") == [("new york", "Places"), ("war", "Topics"), ("york", "Places")]
     texts = spark.createDataFrame([(1, "New York war, WAR"), (2, "hello"), (3, " "), (4, None)], "id long, t string")
-    out = {r["id"]: r for r in models.thesaurus_matches(texts, "id", "t", terms).collect()}
+    out = {r["id"]: r for r in dictionary.matched(texts, "id", "t", terms).collect()}
     assert out[1]["matches"] == {"Places": {"new york": 1}, "Topics": {"war": 2}}
     assert (out[1]["match_count"], out[1]["term_count"]) == (3, 2)
     assert (out[2]["matches"], out[2]["match_count"]) == ({}, 0)
