@@ -1,9 +1,7 @@
-"""Text clean-up and metrics of recognised text. All of it but the counting of tokens stays in the JVM."""
+"""Text clean-up and metrics of recognised text. All of it but folded case stays in the JVM."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,29 +108,6 @@ def metrics(rows: DataFrame, text: str) -> DataFrame:
     return found.withColumns({k: F.when(has, v) for k, v in numbers.items()}).drop("_w", "_s")
 
 
-def word_tokens(vocabulary: str) -> Callable[[Column], Column]:
-    """words -> number of tokens of all of them, each encoded by itself. vocabulary: the path of a file of byte-pair ranks."""
-
-    @F.pandas_udf("int")
-    def count(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import base64
-
-        import tiktoken
-
-        with open(vocabulary, "rb") as file:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        encoding = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-        known: dict[str, int] = {}
-        for series in lists:
-            if len(known) > 1 << 20:
-                known = {}
-            fresh = list({w for x in series if x is not None for w in x} - known.keys())
-            known |= zip(fresh, map(len, encoding.encode_ordinary_batch(fresh, num_threads=1)))
-            yield series.map(lambda x: None if x is None else sum(known[w] for w in x)).astype("Int32")
-
-    return count
-
-
 @F.pandas_udf(T.StringType())
 def casefolded(text: pd.Series) -> pd.Series:
     """Folded case, as dictionaries are compared: unlike lower case, "Straße" and "STRASSE" are one."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import records, text
-from ..operators import aggregates, dictionary, layout, models, relational, sequences
+from ..operators import aggregates, byte_pairs, dictionary, layout, models, relational, sequences
 from . import logs, run_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -380,8 +380,15 @@ def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenizability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well the words of all texts agree with the tokens of a public vocabulary."""
     flat = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("flat")).select("doc_id", text.words(F.col("flat")).alias("w"))
-    rows = flat.select("doc_id", F.size("w").alias("n_words"), text.word_tokens(VOCABULARY)(F.col("w")).alias("n_tokens"))
-    return rows.withColumn("score", text.tokenizability(F.col("n_words"), F.col("n_tokens")))
+    rows = flat.select("doc_id", F.size("w").alias("n_words"), F.flatten(F.transform("w", byte_pairs.pieces)).alias("pieces"))
+    return byte_pairs.counted(rows, "doc_id", "pieces", VOCABULARY).withColumn("score", text.tokenizability(F.col("n_words"), F.col("n_tokens")))
+
+
+@query()
+def byte_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every raw text in a public vocabulary."""
+    rows = _t(spark, sf_dir, "documents").select("doc_id", byte_pairs.pieces(F.col("text")).alias("pieces"))
+    return byte_pairs.counted(rows, "doc_id", "pieces", VOCABULARY)
 
 
 # --- records --------------------------------------------------------------------------------------------------------

@@ -57,8 +57,6 @@ def test_metrics(spark):
     assert tuple(found[0])[2:] == (17, 4, 3, 75.0, 2, 2)
     assert tuple(found[1])[2:] == tuple(found[2])[2:] == (None,) * 6
     assert tuple(found[3])[2:] == (33, 6, 2, 33.33, 3, 1)
-    tokens = spark.createDataFrame([(["the", "the", "idiot"],), ([],), (None,)], "w array<string>").select(text.word_tokens("/opt/tokenizers/byte_bpe_50k.tiktoken")(F.col("w")).alias("n"))
-    assert [r["n"] for r in tokens.collect()][1:] == [0, None] and tokens.first()["n"] >= 3
 
 
 def test_flags(spark):
