@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,26 +35,106 @@ def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
     return numbered(rows, order).withColumn("batch", F.floor(F.col("pos") / size)).drop("pos")
 
 
-def packed(groups: DataFrame, partition: str, order: str, size: str, limit: int) -> DataFrame:
+def _ranged(rows: DataFrame, keys: list[str], ranges: int) -> DataFrame:
+    """rows with `range_`, 0, 1, ... in the order of keys, of about equal numbers of rows; the same each time it is read."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    key = F.struct(*keys)
+    dealt = rows.select(key.alias("key_")).repartitionByRange(ranges, "key_").groupBy(F.spark_partition_id()).agg(F.min("key_").alias("key_"))
+    first = sorted((r["key_"] for r in dealt.collect()), key=lambda k: tuple((v is not None, v) for v in k))  # a key a range
+    if not first:
+        return rows.withColumn("range_", F.lit(0))
+    bounds = F.array(*[F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(keys, k, strict=True)]) for k in first])
+    return rows.withColumn("range_", F.size(F.filter(bounds, lambda b: b <= key)))
+
+
+def _after(total: np.ndarray, limit: int) -> np.ndarray:
+    """For each group the first one that isn't in the chunk that begins with it; total: sums up to and with each group."""
+    before = np.concatenate([[0], total[:-1]])
+    too_much = np.searchsorted(total, before + limit, side="right")
+    some = np.searchsorted(total, before, side="right") + 1  # a chunk of nothing takes any group
+    return np.minimum(np.maximum(too_much, some), len(total))
+
+
+def _left_by_range(sizes: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
+    """What a range makes of the sum of the chunk that is open before it.
+
+    (above, sum left, chunks begun), by `above`: the first row is for a sum of 0, others for sums over `above`, up to the next row's. A row that
+    begins no chunk leaves the open sum and its own. A chunk can only begin first within the first `limit` of the range, so there are few.
+    """
+    total = np.cumsum(sizes)
+    n, after = len(sizes), _after(total, limit)
+    left, begun = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    for j in range(n - 1, -1, -1):
+        k = after[j]
+        left[j], begun[j] = (total[-1] - total[j] + sizes[j], 1) if k == n else (left[k], begun[k] + 1)
+    k = int(after[0])
+    out = [(-1, int(total[-1]) if k == n else int(left[k]), 0 if k == n else int(begun[k]))]
+    places = [j for j in range(n) if (j == 0 or total[j] > total[j - 1]) and total[j] - sizes[j] < limit]
+    if total[-1] < limit:
+        out.append((0, int(total[-1]), 0))
+    out += [(max(0, limit - int(total[j])), int(left[j]), int(begun[j])) for j in reversed(places)]
+    return out
+
+
+def packed(groups: DataFrame, partition: str, order: str, size: str, limit: int, ranges: int = 64) -> DataFrame:
     """Whole groups into chunks, in order: a chunk is closed when the next group would pass the limit; a larger group stands alone.
 
-    Where a chunk begins depends on all before it, so a partition's sizes are gone through by one task, once: the
-    operator is for plans (a row a group), within partitions such as a corpus, not for the rows themselves.
+    Where a chunk begins depends on all before it. Groups are dealt into ranges of their order, and each range tells what sum it
+    leaves for every sum it can be entered with, which is a table of at most limit + 2 rows. A partition's tables, one a
+    range, are gone through in order; then each range, which knows now what it begins with, numbers its groups. No task
+    holds more than a range, or the tables of one partition. A null size is 0; partition and order together are unique.
     """
     kinds = {f.name: f.dataType.simpleString() for f in groups.schema.fields}
-
-    def chunks(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, kind="stable")
-        chunk, total, out = 0, 0, []
-        for n in frame[size].tolist():
-            if total > 0 and total + n > limit:
-                chunk, total = chunk + 1, 0
-            total += n
-            out.append(chunk)
-        return pd.DataFrame({partition: frame[partition], order: frame[order], "chunk": out})
-
-    rows = groups.select(partition, order, size)
-    return rows.groupBy(partition).applyInPandas(chunks, f"{partition} {kinds[partition]}, {order} {kinds[order]}, chunk long")
+    rows = _ranged(groups.select(partition, order, F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size_")), [partition, order], ranges)
+    nulls_first = [(partition, "ascending", "at_start"), (order, "ascending", "at_start")]
+
+    def by_partition(table: pa.Table) -> Iterator[tuple[object, np.ndarray, pa.Table]]:
+        table = table.take(pc.sort_indices(table, sort_keys=[(c, o) for c, o, _ in nulls_first], null_placement="at_start"))
+        code = pc.rank(table[partition], tiebreaker="dense", null_placement="at_start").to_numpy()
+        starts = np.flatnonzero(np.diff(code, prepend=0))
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(table)], strict=True):
+            yield table[partition][a].as_py(), table["size_"].to_numpy()[a:z], table.slice(a, z - a)
+
+    def told(table: pa.Table) -> pa.Table:
+        found = [(name, *row) for name, sizes, _ in by_partition(table) for row in _left_by_range(sizes, limit)]
+        columns = list(zip(*found, strict=True)) or [()] * 4
+        fields = [table.schema.field(partition).type, pa.int64(), pa.int64(), pa.int64()]
+        data = [pa.array(c, t) for c, t in zip(columns, fields, strict=True)]
+        return pa.table([pa.array(np.full(len(found), table["range_"][0].as_py()), pa.int32()), *data], names=["range_", partition, "above", "left_", "begun"])
+
+    def entered(table: pa.Table) -> pa.Table:
+        """The sum and chunk that each range of a partition begins with."""
+        table = table.sort_by([("range_", "ascending"), ("above", "ascending")])
+        where, above, left, begun = (table[c].to_numpy() for c in ("range_", "above", "left_", "begun"))
+        starts = np.flatnonzero(np.diff(where, prepend=-1)).tolist()
+        carry, chunk, out = 0, 0, []
+        for a, z in zip(starts, [*starts[1:], len(table)], strict=True):
+            out.append((where[a], carry, chunk))
+            i = a + int(np.searchsorted(above[a:z], carry, side="left")) - 1
+            carry, chunk = (int(left[i]) + (carry if begun[i] == 0 else 0), chunk + int(begun[i]))
+        columns = list(zip(*out, strict=True))
+        name = table[partition][0].as_py()
+        return pa.table([pa.array([name] * len(out), table.schema.field(partition).type), *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()), strict=True))], names=[partition, "range_", "carry", "chunk"])
+
+    def chunked(table: pa.Table, begins: pa.Table) -> pa.Table:
+        known = {r[partition]: (r["carry"], r["chunk"]) for r in begins.to_pylist()}
+        parts = []
+        for name, sizes, own in by_partition(table):
+            carry, chunk = known[name]
+            total = np.cumsum(sizes)
+            after = _after(total, limit)
+            first = int(np.searchsorted(total, limit - carry, side="right")) if carry else int(after[0])
+            begins_here = np.zeros(len(sizes) + 1, np.int64)
+            while first < len(sizes):
+                begins_here[first] = 1
+                first = int(after[first])
+            number = chunk + np.cumsum(begins_here[:-1])
+            parts.append(own.select([partition, order]).append_column("chunk", pa.array(number, pa.int64())))
+        return pa.concat_tables(parts)
+
+    tables = rows.groupBy("range_").applyInArrow(told, f"range_ int, {partition} {kinds[partition]}, above long, left_ long, begun long")
+    begins = tables.groupBy(partition).applyInArrow(entered, f"{partition} {kinds[partition]}, range_ int, carry long, chunk long")
+    return rows.groupBy("range_").cogroup(begins.groupBy("range_")).applyInArrow(chunked, f"{partition} {kinds[partition]}, {order} {kinds[order]}, chunk long")
 
 
 def transitions(rows: DataFrame, partition: str, order: list[str], state: str) -> DataFrame:
