@@ -149,6 +149,38 @@ def tumbling(rows: DataFrame, ts: str, width: str, start: str, aggregates: dict[
     return windows.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *aggregates)
 
 
+def pages(samples: DataFrame, by: str, ts: str, key: str, hours: int = 3) -> DataFrame:
+    """samples with page (0, 1, ...), start, end and is_edge: windows of some hours that share the samples at their edges.
+
+    Pages begin with the hour of a group's first sample and go on while they begin before its last. A page has the samples
+    from its start to its end, both included, the last one before it and the first one after it (is_edge), so that a page
+    without samples has the two around it. Equal times go by key. Only one row a page, with its first and last samples, is ordered by group.
+    """
+    width = hours * 3_600_000_000
+    spans = samples.filter(F.col(ts).isNotNull()).groupBy(by).agg(F.date_trunc("hour", F.min(ts)).alias("zero_"), F.max(ts).alias("last_"))
+    since = lambda c: F.unix_micros(F.col(c).cast("timestamp")) - F.unix_micros(F.col("zero_").cast("timestamp"))
+    spans = spans.withColumn("pages_", F.ceil(since("last_") / width)).drop("last_")
+    at = samples.withColumn("row_", F.struct(*samples.columns)).join(spans, by).withColumn("us_", since(ts))
+    at = at.withColumns({"home_": F.call_function("div", "us_", F.lit(width)), "inner_": F.col("us_") % width != 0, "order_": F.struct("us_", key)})
+
+    own = at.withColumn("page", F.explode(F.array_compact(F.array("home_", F.when(~F.col("inner_"), F.col("home_") - 1))))).filter("page between 0 and pages_ - 1")
+    own = own.select("row_", "page", "zero_", F.lit(False).alias("is_edge"))
+
+    homes = at.groupBy(by, F.col("home_").alias("page")).agg(
+        F.max_by("row_", "order_").alias("last_"), F.min_by("row_", "order_").alias("first_"), F.min_by("row_", F.when(F.col("inner_"), F.col("order_"))).alias("first_inner_"), F.max("inner_").alias("has_inner_")
+    )
+    grid = spans.withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages_")))).join(homes, [by, "page"], "left")
+    line = Window.partitionBy(by).orderBy("page")
+    inner = F.when(F.col("has_inner_"), F.col("first_inner_"))
+    before = F.last("last_", True).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.coalesce(F.lead(inner).over(line), F.first("first_", True).over(line.rowsBetween(2, Window.unboundedFollowing)))
+    edges = grid.withColumns({"before_": before, "after_": after}).filter("page < pages_")
+    edges = edges.withColumn("row_", F.explode(F.array_compact(F.array("before_", "after_"))))
+    found = own.unionByName(edges.select("row_", "page", "zero_", F.lit(True).alias("is_edge")))
+    start = lambda k: F.timestamp_micros(F.unix_micros(F.col("zero_").cast("timestamp")) + (F.col("page") + k) * width)
+    return found.select("row_.*", "page", start(0).alias("start"), start(1).alias("end"), "is_edge")
+
+
 def reading_order(crops: DataFrame) -> DataFrame:
     """crops(scan_id, crop_id, scan_width, box, category, text) with reading_order 1, 2, ... on each scan.
 

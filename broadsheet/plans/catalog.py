@@ -485,6 +485,17 @@ def tumbling_3h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.tumbling(rows, "ts", "3 hours", "0 hours", {"n": F.count(F.lit(1)), "users": F.countDistinct("user_id")}).select("start", "n", "users")
 
 
+@query("""
+WITH e AS (SELECT event_type, event_id, ts, lag(ts) OVER w AS pv, lead(ts) OVER w AS nx FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+b AS (SELECT event_type, date_trunc('hour', min(ts)) AS t0, max(ts) AS t1 FROM events GROUP BY 1),
+p AS (SELECT event_type, page, t0 + page * INTERVAL 3 HOURS AS s, t0 + (page + 1) * INTERVAL 3 HOURS AS z, t1
+  FROM (SELECT *, unnest(range(CAST(ceil(epoch(t1 - t0) / 10800) AS BIGINT))) AS page FROM b))
+SELECT p.event_type, page, event_id, ts < s OR ts > z AS is_edge FROM p JOIN e ON e.event_type = p.event_type AND (ts BETWEEN s AND z OR ts < s AND nx >= s OR ts > z AND pv <= z)""")
+def sample_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as samples of their type, in pages of three hours that share their edges."""
+    return sequences.pages(_t(spark, sf_dir, "events"), "event_type", "ts", "event_id").select("event_type", "page", "event_id", "is_edge")
+
+
 @query("""
 SELECT user_id, min(CASE WHEN event_type = 'view' THEN ts END) AS started, max(CASE WHEN event_type = 'purchase' THEN ts END) AS ended FROM events GROUP BY 1""")
 def run_markers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 
@@ -52,3 +53,22 @@ def test_ranges_tell_what_they_leave(case):
             total += n
         row = [r for r in table if r[0] < carry][-1] if carry else table[0]
         assert (row[1] + (carry if row[2] == 0 else 0), row[2]) == (total, begun), (sizes, limit, carry)
+
+
+def test_pages(spark):
+    """Samples on the ends of pages, pages without samples, equal times, a group of one sample, one that begins and ends with the hour."""
+    zero, rng = datetime(2024, 3, 1, 7), random.Random(5)
+    times = {"a": [zero + timedelta(minutes=rng.randint(3, 3000)) for _ in range(40)], "b": [zero + timedelta(hours=h) for h in (0, 3, 3, 6, 15, 18)], "c": [zero], "d": [zero + timedelta(minutes=1), zero + timedelta(days=2)]}
+    rows = [(g, t, i) for g, ts in times.items() for i, t in enumerate(ts)] + [("a", None, 99)]
+    got = {(r["g"], r["page"], r["i"], r["is_edge"], r["start"], r["end"]) for r in sequences.pages(spark.createDataFrame(rows, "g string, t timestamp, i int").repartition(3), "g", "t", "i").collect()}
+    want = set()
+    for g, ts in times.items():
+        ordered = sorted((t, i) for i, t in enumerate(ts))
+        start, page = ordered[0][0].replace(minute=0, second=0, microsecond=0), 0
+        while start < ordered[-1][0]:
+            end = start + timedelta(hours=3)
+            inside = [(t, i) for t, i in ordered if start <= t <= end]
+            before, after = [x for x in ordered if x[0] < start][-1:], [x for x in ordered if x[0] > end][:1]
+            want |= {(g, page, i, edge, start, end) for part, edge in ((inside, False), (before + after, True)) for _, i in part}
+            start, page = end, page + 1
+    assert got == want
