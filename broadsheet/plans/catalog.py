@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import records, text
+from ..functions import breaks, records, text
 from ..operators import aggregates, byte_pairs, dictionary, layout, models, relational, sequences
 from . import logs, run_view
 
@@ -391,6 +391,13 @@ def byte_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.counted(rows, "doc_id", "pieces", VOCABULARY)
 
 
+@query()
+def text_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and sentences of all texts by Unicode's rules of breaks."""
+    flat = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("flat"))
+    return flat.select("doc_id", breaks.counts(F.col("flat")).alias("n")).select("doc_id", "n.*")
+
+
 # --- records --------------------------------------------------------------------------------------------------------
 
 
