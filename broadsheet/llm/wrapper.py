@@ -9,9 +9,11 @@ place is counted exactly.
 What varies are slots, and slots that hold running text are content (`chosen`): from the root, the way goes down to
 the child with the most varying text outside of links that a page of the host is expected to have there, as long as
 one holds more than what stands beside it. What stands beside it, such as comments or adverts, is left out unless it
-holds half as much. Elements that say what they are (nav, footer, form and so on) hold no content. Names of classes
-only shift these weights, and leave out small parts within the content that are called adverts, comments and so on;
-a name isn't believed if its node holds half of the page.
+holds half as much. A list of records, elements of one label that have parts of their own, weighs as much as the root of their
+expected number of them, so that many comments or teasers don't outweigh one text. Elements that say what they are (nav,
+footer and so on) hold no content, nor do forms, unless they hold half of the page's running text; then only their controls go. Names of
+classes shift these weights, and leave out parts that are called adverts, comments and so on, if all of a name says so ("side-effects"
+doesn't) and its node holds less than half of the page. Lists of links are left out, but not within an article.
 
 Spark sums up the forms of a host and the texts of a place. Forms are folded into wrappers in groups of about FAN by
 their hash, in a fixed order, until one is left for a host, so that no task sees all of a large host and the result
@@ -51,13 +53,14 @@ RAW = frozenset("script style textarea title noscript template xmp iframe noembe
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section"
-    " select summary table tbody td tfoot th thead tr ul caption button".split()
+    " select summary table tbody td tfoot th thead tr ul caption button label".split()
 )
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table td th div section article aside main nav body blockquote".split())
-NOT_TEXT = frozenset("head nav footer aside form button select fieldset dialog menu search option".split())
+NOT_TEXT = frozenset("head nav footer aside button select label dialog menu search option".split())
+FORMS = frozenset("form fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-CONTAINERS = frozenset("html body div section article main center table tbody tr td details header".split())
+CONTAINERS = frozenset("html body div section article main center table tbody tr td details header form fieldset".split())
 NOT_TEXT_CLASSES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promos promotion promoted"
     " cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login"
@@ -65,6 +68,12 @@ NOT_TEXT_CLASSES = frozenset(
     " recommended recommendations trending popular breadcrumb breadcrumbs menu menus nav navbar navigation footer masthead topbar"
     " pagination pager toolbar search copyright legal skip hidden".split()
 )
+#: Parts of names that say nothing about the part of the page.
+NEUTRAL = frozenset(
+    "a area bar block bottom box btn button buttons cell center col column container entry float foot form frame global grid group head header holder icon icons"
+    " inner item items layout left level line link links list lists main message messages mini module new outer page panel part post primary right row section"
+    " site slot small sticky strip tab table text title toggle top unit view wrap wrapper zone".split()
+)
 ARTICLE_CLASSES = frozenset("article articlebody story storybody post postbody entry entrycontent maincontent main content".split())
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -94,10 +103,10 @@ MOST_COUNTED = 1 << 18
 
 
 class Page:
-    """labels and parents of its block elements, in the order they begin; blocks: node, text, characters of it in links."""
+    """labels, parents and numbers of its block elements, in the order they begin; blocks: node, text, characters of it in links."""
 
     def __init__(self):
-        self.labels, self.parents, self.known = ["html"], [-1], {}
+        self.labels, self.parents, self.items, self.known = ["html"], [-1], [1], {}
         self.blocks: list[tuple[int, str, int]] = []
 
     def child(self, parent: int, label: str) -> int:
@@ -106,6 +115,8 @@ class Page:
         if node == len(self.labels):
             self.labels.append(label)
             self.parents.append(parent)
+            self.items.append(0)
+        self.items[node] += 1
         return node
 
     def form(self) -> tuple[str, list[int]]:
@@ -146,7 +157,16 @@ def _label(tag: str, attributes: str) -> str:
         return f"{tag}.hidden"
     names = " ".join(found.get(k, "") for k in ("class", "id", "role", "itemprop"))
     pieces = sorted({p.lower() for p in _PIECES.findall(names)})
-    return ".".join([tag, *pieces])
+    return ".".join([tag, *pieces, *([OUT] if any(map(_says_out, names.split())) else [])])
+
+
+#: Marks the label of an element one of whose names says that it is no content.
+OUT = "!"
+
+
+def _says_out(name: str) -> bool:
+    pieces = {p.lower() for p in _PIECES.findall(name)}
+    return bool(pieces & NOT_TEXT_CLASSES) and pieces <= NOT_TEXT_CLASSES | NEUTRAL
 
 
 class _Tags:
@@ -258,19 +278,19 @@ def read_page(source: str) -> Page:
 
 
 class Node:
-    """A node of a wrapper: pages it stands on, characters of its own text, and those of them in links."""
+    """A node of a wrapper: pages it stands on, characters of its own text, those of them in links, and its elements."""
 
-    __slots__ = ("label", "children", "pages", "chars", "links")
+    __slots__ = ("label", "children", "pages", "chars", "links", "items")
 
-    def __init__(self, label: str, pages: int = 0, chars: int = 0, links: int = 0):
-        self.label, self.pages, self.chars, self.links = label, pages, chars, links
+    def __init__(self, label: str, pages: int = 0, chars: int = 0, links: int = 0, items: int = 0):
+        self.label, self.pages, self.chars, self.links, self.items = label, pages, chars, links, items
         self.children: list[Node] = []
 
 
-def tree_of(form: str, pages: list[int], chars: list[int], links: list[int]) -> list[Node]:
+def tree_of(form: str, pages: list[int], chars: list[int], links: list[int], items: list[int]) -> list[Node]:
     """The nodes of a form, a line each."""
     nodes, path = [], []
-    for line, *numbers in zip(form.split("\n"), pages, chars, links):
+    for line, *numbers in zip(form.split("\n"), pages, chars, links, items):
         depth, label = line.split(" ", 1)
         node = Node(label, *map(int, numbers))
         del path[int(depth) :]
@@ -281,28 +301,46 @@ def tree_of(form: str, pages: list[int], chars: list[int], links: list[int]) ->
     return nodes
 
 
-def form_of(root: Node, least: float = 0.0) -> tuple[str, list[int], list[int], list[int]]:
+def form_of(root: Node, least: float = 0.0) -> tuple[str, list[int], list[int], list[int], list[int]]:
     """The form of a tree and its nodes' numbers, without nodes on fewer pages than `least`."""
-    lines, pages, chars, links, stack = [], [], [], [], [(root, 0)]
+    lines, pages, chars, links, items, stack = [], [], [], [], [], [(root, 0)]
     while stack:
         node, depth = stack.pop()
         lines.append(f"{depth} {node.label}")
         pages.append(node.pages)
         chars.append(node.chars)
         links.append(node.links)
+        items.append(node.items)
         stack += [(c, depth + 1) for c in reversed(node.children) if c.pages >= least]
-    return "\n".join(lines), pages, chars, links
+    return "\n".join(lines), pages, chars, links, items
+
 
+def _best_chain(pairs: list[tuple[int, int, int]], weight: list[int], n: int) -> tuple[int, list[int]]:
+    """The heaviest of the pairs (i, j, k) that rise in both i and j; pairs are in order of i, and of one i from the largest j; j < n.
 
-def _table(a: Node, b: Node, known: dict[tuple[int, int], int], size: list[int]) -> list[list[int]]:
-    rows = [[0] * (len(b.children) + 1)]
-    for i in range(len(a.children)):
-        above, row = rows[-1], [0]
-        for j in range(len(b.children)):
-            pair = known.get((i, j))
-            row.append(max(above[j + 1], row[j], above[j] + size[pair] if pair is not None else 0))
-        rows.append(row)
-    return rows
+    A tree over j keeps the best chain up to each j, so the time is the number of pairs times a logarithm.
+    """
+    tree, before = [(0, -1)] * (n + 1), [-1] * len(pairs)
+    for at, (_, j, k) in enumerate(pairs):
+        best, place = (0, -1), j
+        while place:
+            best = max(best, tree[place])
+            place &= place - 1
+        before[at] = best[1]
+        here, place = (best[0] + weight[k], at), j + 1
+        while place <= n:
+            if tree[place] < here:
+                tree[place] = here
+            place += place & -place
+    best, place = (0, -1), n
+    while place:
+        best = max(best, tree[place])
+        place &= place - 1
+    chain, at = [], best[1]
+    while at >= 0:
+        chain.append(pairs[at][2])
+        at = before[at]
+    return best[0], chain
 
 
 def aligned(a: Node, b: Node) -> list[tuple[Node, Node]]:
@@ -312,29 +350,21 @@ def aligned(a: Node, b: Node) -> list[tuple[Node, Node]]:
         by_label: dict[str, list[int]] = {}
         for j, d in enumerate(y.children):
             by_label.setdefault(d.label, []).append(j)
-        known = {}
+        own = []
         for i, c in enumerate(x.children):
-            for j in by_label.get(c.label, ()):
-                known[i, j] = len(pairs)
+            for j in reversed(by_label.get(c.label, ())):
+                own.append((i, j, len(pairs)))
                 pairs.append((c, y.children[j]))
-        below.append(known)
-    size = [0] * len(pairs)
+        below.append(own)
+    size, chains = [0] * len(pairs), [[]] * len(pairs)
     for k in range(len(pairs) - 1, -1, -1):
-        size[k] = 1 + _table(*pairs[k], below[k], size)[-1][-1]
+        best, chains[k] = _best_chain(below[k], size, len(pairs[k][1].children)) if below[k] else (0, [])
+        size[k] = 1 + best
     out, open_ = [], [0]
     while open_:
         k = open_.pop()
-        x, y = pairs[k]
-        out.append((x, y))
-        rows, i, j = _table(x, y, below[k], size), len(x.children), len(y.children)
-        while i and j:
-            if rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            elif rows[i][j] == rows[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                open_.append(below[k][i, j])
+        out.append(pairs[k])
+        open_ += chains[k]
     return out
 
 
@@ -348,12 +378,17 @@ def merge(root: Node, other: Node) -> None:
         here.pages += node.pages
         here.chars += node.chars
         here.links += node.links
-        before = 0
+        here.items += node.items
+        place = {id(x): k for k, x in enumerate(here.children)}
+        added: list[list[Node]] = [[] for _ in range(len(here.children) + 1)]
+        before = 0  # partners rise in both trees
         for child in node.children:
             if (own := partner.get(id(child))) is None:
                 own = partner[id(child)] = Node(child.label)
-                here.children.insert(before, own)
-            before = next(k for k, x in enumerate(here.children) if x is own) + 1
+                added[before].append(own)
+            else:
+                before = place[id(own)] + 1
+        here.children = [x for k, news in enumerate(added) for x in (*news, *here.children[k : k + 1])]
         stack += node.children
 
 
@@ -364,7 +399,7 @@ class Content:
     """What a host's wrapper and template texts say about its pages."""
 
     def __init__(self, wrapper: list | None, constant: dict[tuple[int, int], int]):
-        """wrapper: form, pages, chars, links; constant: (place, text) -> characters."""
+        """wrapper: form, pages, chars, links, items; constant: (place, text) -> characters."""
         self.root = tree_of(*wrapper)[0] if wrapper else Node("html")
         self.constant, self.fixed = constant, Counter()
         for (place, _), n in constant.items():
@@ -374,7 +409,7 @@ class Content:
     def _slots(self, form: str) -> list[Node | None]:
         if (known := self.seen.get(form)) is None:
             n = form.count("\n") + 1
-            own = tree_of(form, [0] * n, [0] * n, [0] * n)
+            own = tree_of(form, *[[0] * n] * 4)
             partner = {id(b): a for a, b in aligned(self.root, own[0])}
             known = [partner.get(id(x)) for x in own]
             if len(self.seen) >= 1000:
@@ -389,14 +424,15 @@ class Content:
         slots = self._slots(form)
         places = page.places(host)
         chars, links, fixed = ([0.0] * len(line) for _ in range(3))
+        items = [float(x) for x in page.items]
         for node, text, linked in page.blocks:
             chars[node] += len(text)
             links[node] += linked
         for node in range(len(line)):
             if (slot := slots[line[node]]) is not None and slot.pages:
-                chars[node], links[node] = slot.chars / slot.pages, slot.links / slot.pages
+                chars[node], links[node], items[node] = (x / slot.pages for x in (slot.chars, slot.links, slot.items))
             fixed[node] = min(chars[node], self.fixed[places[node]])
-        good = chosen(page, chars, links, fixed)
+        good = chosen(page, chars, links, fixed, items)
         found = [(text, (places[node], text_key(text)) in self.constant) for k, (node, text, _) in enumerate(page.blocks) if good[k]]
         if 2 * sum(len(text) for text, is_fixed in found if is_fixed) <= sum(len(text) for text, _ in found):
             found = [x for x in found if not x[1]]
@@ -411,8 +447,8 @@ def _sums(parents: list[int], own: list[float]) -> list[float]:
     return out
 
 
-def chosen(page: Page, chars: list[float], links: list[float], fixed: list[float]) -> list[bool]:
-    """Which blocks are content. chars, links, fixed: characters expected in each node, those in links, those of template texts."""
+def chosen(page: Page, chars: list[float], links: list[float], fixed: list[float], items: list[float]) -> list[bool]:
+    """Which blocks are content. Of each node, what is expected: chars and those in links; fixed, those of template texts; items, its elements."""
     parents, n = page.parents, len(page.labels)
     split = [label.split(".") for label in page.labels]
     prose = [max(c - f, 0.0) * max(0.0, 1 - 2 * k / c) if c else 0.0 for c, k, f in zip(chars, links, fixed)]
@@ -420,19 +456,22 @@ def chosen(page: Page, chars: list[float], links: list[float], fixed: list[float
         prose = [c * max(0.0, 1 - 2 * k / c) if c else 0.0 for c, k in zip(chars, links)]
     # Elements that hold no content; a page's header, but not an article's.
     gone, article = [False] * n, [False] * n
-    for node in range(n):
-        tag, up = split[node][0], parents[node]
-        article[node] = tag in ("article", "main") or up >= 0 and article[up]
-        gone[node] = up >= 0 and gone[up] or tag in NOT_TEXT or tag == "header" and not article[node]
-        if gone[node]:
-            prose[node] = 0.0
+    for forms in (False, True):  # a form is judged by what is left when the others are gone
+        below = _sums(parents, prose)
+        for node in range(n):
+            tag, up = split[node][0], parents[node]
+            article[node] = tag in ("article", "main") or up >= 0 and article[up]
+            gone[node] |= up >= 0 and gone[up] or tag in NOT_TEXT or tag == "header" and not article[node]
+            gone[node] |= forms and tag in FORMS and 2 * below[node] < below[0]
+            if gone[node]:
+                prose[node] = 0.0
     below = _sums(parents, prose)
     all_chars, all_links = _sums(parents, chars), _sums(parents, links)
     factor = [1.0] * n
     for node in range(1, n):
         tag, *names = split[node]
         factor[node] = factor[parents[node]]
-        named = NOT_TEXT_CLASSES.intersection(names) or "header" in names and not article[node]
+        named = OUT in names or "hidden" in names or "header" in names and not article[node]
         if named and 2 * below[node] < below[0]:
             gone[node], factor[node] = True, factor[node] * OTHER_NAME
         elif tag in ("article", "main"):
@@ -440,12 +479,16 @@ def chosen(page: Page, chars: list[float], links: list[float], fixed: list[float
         elif tag != "body" and ARTICLE_CLASSES.intersection(names):
             factor[node] = max(factor[node], ARTICLE_NAME)
         listed = tag in CONTAINERS or tag in ("ul", "ol", "dl")
-        gone[node] |= gone[parents[node]] or listed and 2 * all_links[node] > all_chars[node] > 0
-    weight = [p * f for p, f in zip(prose, factor)]
-    below = _sums(parents, weight)
+        gone[node] |= gone[parents[node]] or listed and not article[node] and 2 * all_links[node] > all_chars[node] > 0
     children: list[list[int]] = [[] for _ in range(n)]
     for node in range(1, n):
         children[parents[node]].append(node)
+    share = [1.0] * n
+    for node in range(1, n):
+        record = children[node] and (split[node][0] in CONTAINERS or split[node][0] == "li")
+        share[node] = share[parents[node]] / (max(items[node], 1.0) ** 0.5 if record else 1.0)
+    weight = [p * f * x for p, f, x in zip(prose, factor, share)]
+    below = _sums(parents, weight)
 
     # Down to the main part; `beside` are the headings and equals of it that stay.
     here, beside, semantic = 0, [], False
@@ -496,7 +539,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-_PARTS = "host string, form string, pages long, chars array<long>, links array<long>, places array<long>, texts array<long>, sizes array<int>, counts array<long>"
+_PARTS = "host string, form string, pages long, chars array<long>, links array<long>, items array<long>, places array<long>, texts array<long>, sizes array<int>, counts array<long>"
 
 
 def _read(pages: DataFrame) -> DataFrame:
@@ -511,9 +554,9 @@ def _read(pages: DataFrame) -> DataFrame:
         count = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            rows = [(host, form, x[0], x[1], x[2], None, None, None, None) for (host, form), x in forms.items()]
+            rows = [(host, form, *x, None, None, None, None) for (host, form), x in forms.items()]
             for host, own in texts.items():
-                rows.append((host, None, 0, None, None, *([k[i] for k in own] for i in range(3)), list(own.values())))
+                rows.append((host, None, 0, None, None, None, *([k[i] for k in own] for i in range(3)), list(own.values())))
             for lo in range(0, len(rows), 1000):
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[lo : lo + 1000]], t) for i, t in enumerate(_ARROW.types)], schema=_ARROW)
 
@@ -521,8 +564,10 @@ def _read(pages: DataFrame) -> DataFrame:
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
                 page = read_page(source.as_py() or "")
                 form, line = page.form()
-                own = forms.setdefault((host, form), [0, [0] * len(line), [0] * len(line)])
+                own = forms.setdefault((host, form), [0, *([0] * len(line) for _ in range(3))])
                 own[0] += 1
+                for node, n in enumerate(page.items):
+                    own[3][line[node]] += n
                 places, found = page.places(host), set()
                 for node, text, links in page.blocks:
                     own[1][line[node]] += len(text)
@@ -542,31 +587,31 @@ def _read(pages: DataFrame) -> DataFrame:
 
 _LONGS = pa.list_(pa.int64())
 _ARROW = pa.schema([
-    ("host", pa.string()), ("form", pa.string()), ("pages", pa.int64()), ("chars", _LONGS), ("links", _LONGS),
+    ("host", pa.string()), ("form", pa.string()), ("pages", pa.int64()), ("chars", _LONGS), ("links", _LONGS), ("items", _LONGS),
     ("places", _LONGS), ("texts", _LONGS), ("sizes", pa.list_(pa.int32())), ("counts", _LONGS),
 ])
 
-_NUMBERS = ("form", "pages", "chars", "links")
-_WRAPPERS = "host string, form string, pages array<long>, chars array<long>, links array<long>"
+_NUMBERS = ("form", "pages", "chars", "links", "items")
+_WRAPPERS = "host string, form string, pages array<long>, chars array<long>, links array<long>, items array<long>"
 
 
 def wrappers(parts: DataFrame) -> DataFrame:
-    """host, form, pages, chars, links (numbers by node): the wrapper of each host."""
+    """host, form, pages, chars, links, items (numbers by node): the wrapper of each host."""
     rows = parts.filter("form is not null").withColumn("id", F.xxhash64("form"))
-    numbers = rows.select("host", "id", "pages", F.posexplode(F.arrays_zip("chars", "links")).alias("at", "x"))
-    numbers = numbers.groupBy("host", "id", "at").agg(F.sum("pages").alias("pages"), F.sum("x.chars").alias("chars"), F.sum("x.links").alias("links"))
-    numbers = numbers.groupBy("host", "id").agg(F.array_sort(F.collect_list(F.struct("at", "pages", "chars", "links"))).alias("x"))  # a row a node
+    numbers = rows.select("host", "id", "pages", F.posexplode(F.arrays_zip("chars", "links", "items")).alias("at", "x"))
+    numbers = numbers.groupBy("host", "id", "at").agg(F.sum("pages").alias("pages"), *[F.sum(f"x.{c}").alias(c) for c in _NUMBERS[2:]])
+    numbers = numbers.groupBy("host", "id").agg(F.array_sort(F.collect_list(F.struct("at", *_NUMBERS[1:]))).alias("x"))  # a row a node
     forms = rows.groupBy("host", "id").agg(F.min("form").alias("form"))
-    found = keep(forms.join(numbers, ["host", "id"]).select("host", "form", "x.pages", "x.chars", "x.links"), "forms")
+    found = keep(forms.join(numbers, ["host", "id"]).select("host", "form", *[f"x.{c}" for c in _NUMBERS[1:]]), "forms")
 
     def folded(frame: pd.DataFrame) -> pd.DataFrame:
         order = sorted(range(len(frame)), key=lambda k: (-int(frame["pages"].iloc[k][0]), frame["form"].iloc[k]))
-        trees = (tree_of(*(frame[c].iloc[k] for c in ("form", "pages", "chars", "links")))[0] for k in order)
+        trees = (tree_of(*(frame[c].iloc[k] for c in _NUMBERS))[0] for k in order)
         root = next(trees)
         for tree in trees:
             merge(root, tree)
         form, *numbers = form_of(root, RARE * root.pages)
-        return pd.DataFrame({"host": frame["host"].iloc[:1].to_numpy(), "form": [form]} | {c: [x] for c, x in zip(("pages", "chars", "links"), numbers)})
+        return pd.DataFrame({"host": frame["host"].iloc[:1].to_numpy(), "form": [form]} | {c: [x] for c, x in zip(_NUMBERS[1:], numbers)})
 
     while True:
         sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
@@ -597,7 +642,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     hosts = keep(wrappers(parts).join(template_texts(parts), "host", "left"), "host-wrappers")
     kind = pages.schema["page_id"].dataType.simpleString()
     schema = f"page_id {kind}, url string, text string"
-    size = F.coalesce(F.length("host"), F.lit(0)) + F.length("form") + 24 * F.size("pages") + 24 * F.greatest(F.size("constant"), F.lit(0))
+    size = F.coalesce(F.length("host"), F.lit(0)) + F.length("form") + 32 * F.size("pages") + 24 * F.greatest(F.size("constant"), F.lit(0))
     if (hosts.agg(F.sum(size)).first()[0] or 0) <= MOST_SENT:
         found = {r["host"]: ([r[c] for c in _NUMBERS], {(x["places"], x["texts"]): x["sizes"] for x in r["constant"] or ()}) for r in hosts.collect()}
         held = pages.sparkSession.sparkContext.broadcast(found)  # at most some times MOST_SENT
@@ -624,7 +669,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
         "host", F.pmod(F.xxhash64("html", "page_id"), deals).alias("deal"), F.lit(True).alias("is_page"), "page_id", "url", "html"
     )
     known = hosts.join(large, F.col("host") == F.col("h_"), "left").select(
-        "host", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal"), F.lit(False).alias("is_page"), "form", "pages", "chars", "links", "constant"
+        "host", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)).alias("deal"), F.lit(False).alias("is_page"), *_NUMBERS, "constant"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -634,8 +679,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
             hosts_, sources, texts = batch.column(0).to_pylist(), batch.column(4), []
             for i, page in enumerate(is_page):
                 if not page:
-                    wrapper = [batch.column(k)[i].as_py() for k in range(5, 9)]
-                    content, host = Content(wrapper, {(x["places"], x["texts"]): x["sizes"] for x in batch.column(9)[i].as_py() or ()}), hosts_[i]
+                    wrapper = [batch.column(k)[i].as_py() for k in range(5, 10)]
+                    content, host = Content(wrapper, {(x["places"], x["texts"]): x["sizes"] for x in batch.column(10)[i].as_py() or ()}), hosts_[i]
                     continue
                 if hosts_[i] != host:
                     content, host = Content(None, {}), hosts_[i]
@@ -645,5 +690,5 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     both = rows.unionByName(known, allowMissingColumns=True)
     both = both.repartition("host", "deal").sortWithinPartitions("host", "deal", "is_page")
-    both = both.select("host", "is_page", "page_id", "url", "html", "form", "pages", "chars", "links", "constant")
+    both = both.select("host", "is_page", "page_id", "url", "html", *_NUMBERS, "constant")
     return both.mapInArrow(run, schema)

@@ -440,6 +440,60 @@ def test_hostile_pages_take_time_in_proportion(piece):
     assert time.process_time() - began < 8
 
 
+#: Pages whose parts have names that say nothing, or say it in passing; {a}: the article's paragraphs, {r}: records of other texts.
+SHAPES = {
+    "page-wide form": '<body><form id="aspnetForm"><input type="hidden"><div class="k0"><label>Search</label><select><option>All</option></select></div><div class="k2">{a}</div><div class="k3"><p>Short</p></div></form></body>',
+    "side effects": '<body><div class="k2">{first}<div class="side-effects">{a}</div></div></body>',
+    "side effects in an article": '<body><nav><p>Menu</p></nav><article>{first}<div class="side-effects">{a}</div></article></body>',
+    "many comments": '<body><div class="k2">{a}</div><div class="k3">{r}</div></body>',
+    "teasers in front": '<body><div class="k3">{r}</div><div class="k2">{a}</div></body>',
+    "comments in sections": '<body><section>{a}</section><section>{r}</section></body>',
+    "references": '<body><div class="k0"><p>Menu</p></div><article>{a}{links}</article></body>',
+}
+
+
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_parts_told_by_their_slots(spark, shape):
+    rng = random.Random(len(shape))
+    rows, want = [], {}
+    for i in range(40):
+        text = [sentence(rng, rng.randint(30, 60)) for _ in range(rng.randint(4, 6))]
+        first = [f"Head {i}", *(sentence(rng, 50) for _ in range(6))] if "{first}" in SHAPES[shape] else []
+        links = [f"{sentence(rng, 4)} {k}" for k in range(5)] if "{links}" in SHAPES[shape] else []
+        records = "".join(f'<div class="k5"><div><b>{sentence(rng, 1)}</b></div><p>{sentence(rng, rng.randint(8, 20))}</p></div>' for _ in range(rng.randint(20, 40)))
+        paragraphs = lambda x: "".join(f"<p>{p}</p>" for p in x)
+        parts = {"a": paragraphs(text), "first": paragraphs(first), "r": records, "links": "<ul>" + "".join(f'<li><a href="/{k}">{x}</a></li>' for k, x in enumerate(links)) + "</ul>"}
+        rows.append((i, f"http://x.example/{i}", SHAPES[shape].format(**parts)))
+        want[i] = " ".join([*first, *text, *links])
+    found = {r["page_id"]: r["text"] for r in wrapper.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == want
+
+
+def test_small_forms_go():
+    form = "<form><p>Sign up for more of it</p><label>Name</label></form>"
+    assert alone(f"<div><p>{'Text of the page. ' * 5}</p>{form}</div>") == ("Text of the page. " * 5).strip()
+    assert alone(f"<form><div><p>{'Text of the page. ' * 5}</p></div><button>Send</button>{form}</form>") == ("Text of the page. " * 5).strip()
+
+
+def test_many_distinct_siblings():
+    """The time of an alignment is nearly in proportion to the number of siblings, also if each has a name of its own."""
+    import time
+    import tracemalloc
+
+    name = lambda k: "".join(chr(97 + int(d)) for d in str(k))
+    page = lambda ids: wrapper.read_page("<dl>" + "".join(f'<dt id="{name(k)}">T</dt>' for k in ids) + "</dl>")
+    one, two = page(range(20_000)), page(range(10_000, 30_000))
+    trees = [wrapper.tree_of(p.form()[0], *[[1] * len(p.labels)] * 4)[0] for p in (one, two)]
+    began = time.process_time()
+    wrapper.merge(*trees)
+    assert time.process_time() - began < 5
+    assert len(trees[0].children[0].children) == 30_000
+    tracemalloc.start()
+    wrapper.merge(trees[0], wrapper.tree_of(two.form()[0], *[[1] * len(two.labels)] * 4)[0])
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_wrappers_do_not_depend_on_the_order(spark, monkeypatch):
     monkeypatch.setattr(wrapper, "FAN", 3)
     rng = random.Random(12)
@@ -461,7 +515,7 @@ def test_tree_matching():
             (label, *children), depth = stack.pop()
             lines.append(f"{depth} {label}")
             stack += [(c, depth + 1) for c in reversed(children)]
-        return wrapper.tree_of("\n".join(lines), *([[1] * len(lines)] * 3))[0]
+        return wrapper.tree_of("\n".join(lines), *([[1] * len(lines)] * 4))[0]
 
     def best(a, b):  # of all order-keeping matches
         if a.label != b.label:
