@@ -100,22 +100,6 @@ class RuleSubjects:
         return out
 
 
-class StopwordLanguage:
-    """Stand-in: the language most of whose common words occur."""
-
-    schema, empty = "language_code string, language_confidence double", {"language_code": None, "language_confidence": None}
-    COMMON = {"ENG": "the of and to in is that", "FRA": "le la les et de des un", "DEU": "der die das und ist von den", "SPA": "el los las y de que en"}
-
-    def predict(self, inputs: list) -> list[dict]:
-        out = []
-        for text in inputs:
-            words = re.findall(r"\w+", text.lower())
-            hits = {k: sum(w in v.split() for w in words) + 1 for k, v in self.COMMON.items()}
-            best = max(sorted(hits), key=hits.get)
-            out.append({"language_code": best, "language_confidence": round(hits[best] / sum(hits.values()), 4)})
-        return out
-
-
 class HashEmbedding:
     """Stand-in: hashed bag of words of unit length."""
 

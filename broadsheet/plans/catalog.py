@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import breaks, records, text
-from ..operators import aggregates, byte_pairs, dictionary, layout, models, relational, sequences
+from ..operators import aggregates, byte_pairs, dictionary, languages, layout, models, relational, sequences
 from . import logs, run_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -689,12 +689,22 @@ def dictionary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("matches").alias("category", "terms")).select("doc_id", "category", F.explode("terms").alias("term", "n"))
 
 
+@query()
+def language_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, by a model of the texts of two thirds of the ids."""
+    docs = _t(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = languages.fitted(docs.filter(~held_out), "lang", "text")
+    return languages.detected(docs, "doc_id", "text", model).withColumn("held_out", held_out)
+
+
 @query()
 def model_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Category and language of all texts, by the stand-ins."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("text"))
+    """Category of all texts, by a stand-in, and their language, by the trigrams of all of them."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", text.flatten(F.col("text")).alias("text"))
     kinds = models.applied(docs, "doc_id", "text", models.RuleClassifier)
-    return kinds.join(models.applied(docs, "doc_id", "text", models.StopwordLanguage), "doc_id")
+    found = languages.detected(docs, "doc_id", "text", languages.fitted(docs, "lang", "text"))
+    return kinds.join(found.withColumnRenamed("confidence_score", "language_confidence"), "doc_id")
 
 
 # --- a run: orders are issues, lines of an order its scans, regions runs, nations their batches ---------------------

@@ -146,7 +146,7 @@ def test_thesaurus(spark):
     assert rows(totals, "term", "n") == [("new york", 1), ("war", 2)]
 
 
-@pytest.mark.parametrize("model", [models.RuleClassifier, models.RuleEntities, models.RuleSubjects, models.StopwordLanguage, models.HashEmbedding])
+@pytest.mark.parametrize("model", [models.RuleClassifier, models.RuleEntities, models.RuleSubjects, models.HashEmbedding])
 def test_models_are_total(spark, model):
     texts = spark.createDataFrame([(1, "The Boston Herald and the Globe"), (2, ""), (3, None)], "id long, t string")
     out = models.applied(texts, "id", "t", model)
