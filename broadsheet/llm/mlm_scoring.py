@@ -271,8 +271,8 @@ def numbered(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, words array<long>, times array<long>")
     total = model.counts.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // PART))
-    # Hashes of ids and rare words: equal texts are interchangeable.
-    dealt = rows.withColumn("hash", F.xxhash64("ids", "words")).withColumn("part", F.pmod("hash", F.lit(parts)))
+    # Dealt by content and doc_id, so that the copies of a text are spread over parts; in a part equal texts are interchangeable.
+    dealt = rows.withColumn("hash", F.xxhash64("ids", "words")).withColumn("part", F.pmod(F.xxhash64("hash", "doc_id"), F.lit(parts)))
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "hash", "ids").drop("hash")
     return keep(dealt.withColumn("row", F.monotonically_increasing_id()), "word-ids")  # the table numbers rows once and for all
 

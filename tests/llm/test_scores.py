@@ -295,6 +295,16 @@ def test_scores_do_not_depend_on_the_partitions(spark, odd, monkeypatch):
     assert scored(odd.coalesce(1)) == scored(odd.repartition(6, "text"))
 
 
+def test_copies_of_a_text_are_spread(spark, monkeypatch):
+    """Half of all rows are one text: no part is much larger than another."""
+    monkeypatch.setattr(mlm_scoring, "PART", 5000)
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 100) if i % 2 else "one text that is copied again and again " * 12) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    parts = [r["n"] for r in mlm_scoring.numbered(docs, mlm_scoring.first_model(docs)).groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()]
+    assert len(parts) > 30 and max(parts) <= 2 * sorted(parts)[len(parts) // 2]
+
+
 def test_rare_words_share_their_bucket(spark):
     rare = [f"r{i}" for i in range(mlm_scoring.FREQUENT + 1500)]
     rows = [(i, w) for i, w in enumerate(rare)]
