@@ -6,18 +6,14 @@ crops of scans (l_orderkey), customers and nations places, documents recognised
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import breaks, records, text
 from ..operators import aggregates, byte_pairs, dictionary, languages, layout, models, relational, sequences
-from . import logs, run_view
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import logs, record_queries, run_view  # noqa: F401  (queries on records are registered by their module)
+from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
+from .registry import table as _t
 
 #: A public vocabulary of byte pairs.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -25,20 +21,6 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CUTOFF = 1998
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
 
