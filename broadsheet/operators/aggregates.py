@@ -32,6 +32,20 @@ def histogram(rows: DataFrame, value: str, most: int = 50) -> DataFrame:
     return binned.groupBy(F.least(place, F.col("bins") - 1).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def histograms(rows: DataFrame, by: str, value: str, most: int = 50) -> DataFrame:
+    """by, bin, lo, hi, n: a histogram of each group, such as the confidences of each category, with bins as in `histogram`.
+
+    A group's limits are one aggregate; they are joined to counts of distinct values, so that a large group's rows don't meet.
+    """
+    counted = rows.select(by, F.col(value).cast("double").alias("v")).filter(f"v is not null and `{by}` is not null").groupBy(by, "v").agg(F.count(F.lit(1)).alias("k"))
+    limits = counted.groupBy(by).agg(F.min("v").alias("least"), F.max("v").alias("most"), F.sum("k").alias("all"))
+    bins = F.when(F.col("all") > 1, F.least(F.lit(most), F.greatest(F.lit(1), F.ceil(F.log2("all") + 1)))).otherwise(1).cast("int")
+    limits = limits.withColumn("bins", bins).withColumn("width", F.when(F.col("least") == F.col("most"), 1.0 / F.col("bins")).otherwise((F.col("most") - F.col("least")) / F.col("bins")))
+    placed = counted.join(limits, by).withColumn("bin", F.least(F.floor((F.col("v") - F.col("least")) / F.col("width")), F.col("bins") - 1).cast("int"))
+    edge = lambda k: F.col("least") + (F.col("bin") + k) * F.col("width")
+    return placed.groupBy(by, "bin").agg(F.first(edge(0)).alias("lo"), F.first(edge(1)).alias("hi"), F.sum("k").alias("n"))
+
+
 def shares(counts: DataFrame, group: str, n: str = "n") -> DataFrame:
     """Percent of each row in its group; 0 if the group's total is."""
     total = F.sum(n).over(Window.partitionBy(group))
@@ -52,6 +66,17 @@ def coverage(scans: DataFrame, crops: DataFrame, area: Column) -> DataFrame:
     return summed.join(full, "scan_id").select("scan_id", (F.lit(100.0) * F.col("area") / F.col("full")).alias("coverage"))
 
 
+def coverage_by_year(covered: DataFrame, years: DataFrame) -> DataFrame:
+    """covered(scan_id, coverage), years(scan_id, year) -> the spread of coverage by year; scans without a year are left out."""
+    return covered.join(years.filter("year is not null"), "scan_id").groupBy("year").agg(*spread(F.col("coverage")))
+
+
+def crops_per_scan(crops: DataFrame, by: str) -> DataFrame:
+    """crops(scan_id, by) -> by, crops, and the spread of their number on scans that have some."""
+    per = crops.groupBy("scan_id", by).agg(F.count(F.lit(1)).alias("crops"))
+    return per.groupBy(by).agg(F.sum("crops").alias("crops"), *spread(F.col("crops")))
+
+
 def agreement(rows: DataFrame, image: str, text: str, final: str) -> DataFrame:
     same = lambda a, b: F.sum(F.when(F.col(a) == F.col(b), 1).otherwise(0))
     return rows.agg(

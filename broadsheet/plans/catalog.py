@@ -84,8 +84,7 @@ def issues_by_locality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT count(*) AS n, median(o_totalprice) AS median, min(o_totalprice) AS least, max(o_totalprice) AS greatest FROM orders""")
 def resolution_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = F.col("o_totalprice")
-    return _t(spark, sf_dir, "orders").agg(F.count(p).alias("n"), F.median(p).alias("median"), F.min(p).alias("least"), F.max(p).alias("greatest"))
+    return _t(spark, sf_dir, "orders").agg(*aggregates.spread(F.col("o_totalprice"))).select("n", "median", "least", "greatest")
 
 
 @query("""
@@ -103,20 +102,39 @@ SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS scans, CAST(sum(n) AS
   round(avg(n), 6) AS mean, round(coalesce(stddev_samp(n), 0), 6) AS deviation
 FROM per JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def crops_per_scan_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    rows = per.join(_issues(spark, sf_dir).select(F.col("o_orderkey").alias("l_orderkey"), "year"), "l_orderkey")
-    return rows.groupBy("year").agg(
-        F.count(F.lit(1)).alias("scans"), F.sum("n").alias("crops"), F.round(F.avg("n"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("n"), F.lit(0.0)), 6).alias("deviation")
-    )
+    per = aggregates.crops_per_scan(_crops(spark, sf_dir).select(F.col("l_orderkey").alias("scan_id"), "year"), "year")
+    return per.select("year", F.col("n").alias("scans"), "crops", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
 
 
 @query("""
 SELECT l_orderkey AS scan_id, 100.0::DOUBLE * CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / any_value(o_totalprice) AS coverage
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def scan_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    crops = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("area"))
-    scans = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
-    return crops.join(scans, "l_orderkey").select(F.col("l_orderkey").alias("scan_id"), (F.lit(100.0) * F.col("area") / F.col("o_totalprice")).alias("coverage"))
+    """Orders as scans, whose areas are their prices."""
+    scans = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("scan_id"), F.col("o_totalprice").alias("width"), F.lit(1).alias("height"))
+    crops = _t(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "scan_id")
+    return aggregates.coverage(scans, crops, F.col("l_extendedprice").cast("decimal(18,2)"))
+
+
+@query(f"""
+WITH c AS (SELECT l_orderkey, any_value(year(o_orderdate)) AS year, 100.0::DOUBLE * CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / any_value(o_totalprice) AS c FROM {_CROPS} GROUP BY 1)
+SELECT CAST(year AS INT) AS year, count(*) AS n, round(avg(c), 6) AS mean, round(median(c), 6) AS median, round(coalesce(stddev_samp(c), 0), 6) AS deviation, round(min(c), 6) AS least, round(max(c), 6) AS greatest
+FROM c GROUP BY 1""")
+def coverage_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    years = _issues(spark, sf_dir).select(F.col("o_orderkey").alias("scan_id"), "year")
+    found = aggregates.coverage_by_year(scan_coverage(spark, sf_dir), years)
+    return found.select("year", "n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "deviation", "least", "greatest")])
+
+
+@query("""
+WITH r AS (SELECT event_type, value AS v FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL),
+l AS (SELECT event_type, min(v) AS lo, max(v) AS hi, count(*) AS n, CASE WHEN count(*) > 1 THEN least(50, greatest(1, CAST(ceil(log2(count(*)) + 1) AS INT))) ELSE 1 END AS bins FROM r GROUP BY 1),
+w AS (SELECT *, CASE WHEN lo = hi THEN 1.0 / bins ELSE (hi - lo) / bins END AS width FROM l),
+b AS (SELECT event_type, CAST(least(floor((v - lo) / width), bins - 1) AS INT) AS bin, lo, width FROM r JOIN w USING (event_type))
+SELECT event_type, bin, any_value(lo + bin * width) AS lo, any_value(lo + (bin + 1) * width) AS hi, count(*) AS n FROM b GROUP BY 1, 2""")
+def confidence_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events' values as confidences of their types."""
+    return aggregates.histograms(_t(spark, sf_dir, "events"), "event_type", "value")
 
 
 @query("SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1")
@@ -358,6 +376,16 @@ def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.metrics(flat, "flat").drop("flat")
 
 
+@query(f"""
+SELECT lang, count(type_token_ratio) AS n, round(avg(type_token_ratio), 6) AS mean_ratio, CAST(sum(word_count) AS BIGINT) AS words, CAST(sum(sentence_count) AS BIGINT) AS sentences
+FROM ({ORACLE_SQL["text_metrics"]}) JOIN documents USING (doc_id) GROUP BY 1""")
+def text_metrics_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean ratio of distinct words, words and sentences."""
+    flat = _t(spark, sf_dir, "documents").select("lang", text.flatten(F.col("text")).alias("flat"))
+    found = text.metrics(flat, "flat").groupBy("lang")
+    return found.agg(F.count("type_token_ratio").alias("n"), F.round(F.avg("type_token_ratio"), 6).alias("mean_ratio"), F.sum("word_count").alias("words"), F.sum("sentence_count").alias("sentences"))
+
+
 @query()
 def tokenizability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well the words of all texts agree with the tokens of a public vocabulary."""

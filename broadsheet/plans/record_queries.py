@@ -61,12 +61,12 @@ def crop_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS (SELECT {_LINE}, CAST(l_linenumber * 400 AS DOUBLE) AS w, CAST(500 + l_partkey % 3000 AS DOUBLE) AS h, CAST(l_quantity * 18 AS DOUBLE) AS x FROM lineitem),
 r AS (SELECT *, least(960 / h, 960 / w) AS r FROM s),
 p AS (SELECT *, (960 - round_even(w * r, 0)) / 2 AS px, (960 - round_even(h * r, 0)) / 2 AS py FROM r)
-SELECT {_LINE}, round(greatest(0.0, least((x - px) / r, w)), 6) AS lo, round(greatest(0.0, least((x + 90 - py) / r, h)), 6) AS hi FROM p""")
+SELECT {_LINE}, greatest(0.0, least((x - px) / r, w)) AS lo, greatest(0.0, least((x + 90 - py) / r, h)) AS hi FROM p""")
 def letterbox_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corners found in a square model input, in the pixels of an image."""
     x = (F.col("l_quantity") * 18).cast("double")
     box = records.from_letterbox(F.array(x, x + 90, x, x), (F.col("l_linenumber") * 400).cast("double"), (500 + F.col("l_partkey") % 3000).cast("double"))
-    return table(spark, sf_dir, "lineitem").select(*_KEYS, F.round(box[0], 6).alias("lo"), F.round(box[1], 6).alias("hi"))
+    return table(spark, sf_dir, "lineitem").select(*_KEYS, box[0].alias("lo"), box[1].alias("hi"))
 
 
 @query("""
