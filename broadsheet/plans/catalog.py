@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import breaks, records, text
 from ..operators import aggregates, byte_pairs, dictionary, languages, layout, models, relational, sequences
-from . import logs, record_queries, run_view  # noqa: F401  (queries on records are registered by their module)
+from . import export, logs, record_queries, run_view  # noqa: F401  (queries on records are registered by their module)
 from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from .registry import table as _t
 
@@ -661,6 +661,51 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("scan_id", F.size("crops").cast("long").alias("crops"), tokens.alias("tokens"), listed.alias("crop_list"))
 
 
+@query("""
+WITH c AS (SELECT l_orderkey, l_orderkey * 8 + l_linenumber AS id, max(l_linenumber) AS k, max(l_partkey % 50) AS words, max(l_returnflag) AS flag, max(l_linestatus) AS status, max(l_suppkey % 100) / 100.0::DOUBLE AS confidence FROM lineitem GROUP BY ALL),
+s AS (SELECT c.*, o_orderdate, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'fra' WHEN o_orderkey % 3 = 1 THEN 'spa' END AS lang FROM c JOIN orders ON l_orderkey = o_orderkey),
+f AS (SELECT *, CASE WHEN flag = 'R' THEN NULL WHEN lang IS NULL THEN 'ENG' WHEN lang = 'spa' OR confidence < 0.5 OR words < 30 THEN upper(lang) ELSE 'ENG' END AS code FROM s)
+SELECT l_orderkey AS scan_id, 'sn' || any_value(o_custkey) || '_' || strftime(any_value(o_orderdate), '%Y%m%d') AS issue_id_src, CAST(any_value(l_orderkey % 90) AS INT) AS page_number_gen, any_value(lang) AS language_ext,
+  string_agg(coalesce(code, '-'), ',' ORDER BY k, id) AS languages, string_agg(CASE WHEN code = 'ENG' THEN CAST(CAST(round(confidence * 100) AS INT) AS VARCHAR) ELSE '-' END, ',' ORDER BY k, id) AS confidences,
+  string_agg(flag || status, ',' ORDER BY k, id) AS categories, string_agg(CASE WHEN k = 2 THEN '-' ELSE CAST(words AS VARCHAR) END, ',' ORDER BY k, id) AS tokens,
+  CAST(sum(CASE WHEN k > 3 THEN 2 ELSE 0 END) AS INT) AS labels FROM f GROUP BY 1""")
+def export_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some columns of export rows, the lists as text: orders are issues of one scan each, lineitems its crops."""
+    orders = _issues(spark, sf_dir)
+    left = F.col("o_orderkey") % 3
+    issues = orders.select(
+        F.col("o_orderkey").alias("id"), F.lit("c").alias("corpus"), F.concat(F.lit("sn"), F.col("o_custkey").cast("string")).alias("newspaper_id"), F.lit("lccn").alias("newspaper_id_type"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("edition_slug"), *[F.lit(None).cast("string").alias(c) for c in ("city", "state", "country")], "year", F.month("o_orderdate").alias("month"),
+        F.day("o_orderdate").alias("day"), F.lit(1).alias("edition_number"), F.when(left == 0, "fra").when(left == 1, "spa").alias("language"),
+    )
+    name = F.concat(F.lit("page"), (F.col("o_orderkey") % 90).cast("string"), F.lit(".jp2"))
+    scans = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("issue_id"), name.alias("scan_filename"), F.lit(9).alias("width"), F.lit(9).alias("height"), F.lit(None).cast("binary").alias("content"))
+    most = {"k": "l_linenumber", "words": "l_partkey % 50", "flag": "l_returnflag", "status": "l_linestatus", "confidence": "l_suppkey % 100 / 100"}
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("crop_id")).agg(*[F.max(F.expr(e)).alias(c) for c, e in most.items()])
+    crops = lines.select(F.col("crop_id").alias("id"), F.col("l_orderkey").alias("scan_id"), F.col("k").alias("reading_order"), F.array(F.lit(0.0)).alias("bbox_xyxy"), F.col("confidence").alias("confidence_score"))
+    count, none = F.col("words").cast("int"), lambda kind: F.lit(None).cast(kind)
+    one = lambda rows, **columns: rows.select("crop_id", *[c.alias(n) for n, c in columns.items()])
+    both = F.concat("flag", "status")
+    entities = {f"{k}_{what}": F.array().cast(kind) for k in ("per", "loc", "org") for what, kind in (("entities", "array<string>"), ("confidence_scores", "array<double>"))}
+    empty = none("map<string,map<string,int>>")
+    found = {
+        "ocr": one(lines, tesseract_text=both, tesseract_metadata=none("string"), vlm_text=both), "token_count": one(lines.filter("k != 2"), vlm_token_count=count, tesseract_token_count=count),
+        "text_analysis": one(lines, **{c: count if c == "vlm_word_count" else none("int") for c in export.ANALYSIS}),
+        "classification": one(lines, final_category=both, image_category=both, image_confidence_score=F.lit(1.0), text_category=both, text_confidence_score=F.lit(1.0)),
+        "language": one(lines.filter("flag != 'R'"), language_code=F.lit("ENG"), confidence_score=F.col("confidence")), "ner": one(lines, **entities),
+        "subject": one(lines.filter("k > 3"), ranked_labels=F.array(F.lit("a"), F.lit("b")), scores=F.array(F.lit(0.5), F.lit(0.5))),
+        "thesaurus": one(lines, tesseract_matches=empty, tesseract_match_count=none("int"), tesseract_term_count=none("int"), vlm_matches=empty, vlm_match_count=none("int"), vlm_term_count=none("int")),
+        "text_embedding": one(lines, vlm_embedding=none("array<float>")), "image_embedding": one(lines, embedding=none("array<float>")),
+    }
+    out = export.export(issues, scans, crops, found, "loc", ["ENG", "FRA"])
+    told = lambda column: F.array_join(F.transform(column, lambda x: F.coalesce(x.cast("string"), F.lit("-"))), ",")
+    percents = F.transform("crop_language_conf_gen", lambda x: F.round(x * 100).cast("int"))
+    return out.filter(F.size("crop_bbox_gen") > 0).select(
+        "scan_id", "issue_id_src", "page_number_gen", "language_ext", told("crop_language_gen").alias("languages"), told(percents).alias("confidences"),
+        told("crop_classification_gen").alias("categories"), told("crop_vlm_ocr_token_count_gen").alias("tokens"), F.size(F.flatten("crop_subject_gen")).alias("labels"),
+    )
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_quantity > l_linenumber * 5 AND l_quantity - l_linenumber * 5 >= 1
   THEN CAST(floor(l_quantity - l_linenumber * 5) AS INT) END AS width FROM lineitem""")
