@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All but the last return
 the columns of documents; the last adds `mix_copies`, how often the mix takes a document.
+
+Odd rows: null and empty texts fail the quality rules. A null doc_id is no copy of anything and has none, so such rows pass
+the two stages that look for earlier documents; decontamination and the mix treat them like others. Repeated rows count as
+often as they stand there in the quality rules; near-duplicates keep all rows of an id that is kept. Null languages and
+sources are values of their own. An empty table gives an empty table with the same columns. Extra columns come out as they
+went in, whatever their names.
 """
 
 from __future__ import annotations
