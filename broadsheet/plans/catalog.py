@@ -901,6 +901,15 @@ def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("level", "step", "message").agg(F.sum("n").alias("n"))
 
 
+@query(f"""{_LOG},
+m AS (SELECT user_id, CASE step WHEN 1 THEN 'step01-cache' WHEN 2 THEN 'step02-crop' ELSE 'Other' END AS step, 'slow ' || event_id % 3 AS message, count(*) AS n FROM e WHERE kind = 'error' GROUP BY ALL)
+SELECT CAST(user_id AS VARCHAR) AS file, step, CASE step WHEN 'step01-cache' THEN 1 WHEN 'step02-crop' THEN 2 END AS number,
+  CAST(sum(n) OVER (PARTITION BY user_id, step) AS BIGINT) AS step_total, 'WARNING' AS level, message, n FROM m""")
+def log_message_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings by step and file, and those that no step said."""
+    return logs.message_groups(logs.parsed(_log_lines(spark, sf_dir)))
+
+
 @query(f"""{_LOG},
 d AS (SELECT *, (epoch_ms(ended) - epoch_ms(started)) / 1000.0::DOUBLE AS s FROM b WHERE ended > started),
 r AS (SELECT batch, sum(s) AS s, sum(issues) AS i, sum(scans) AS p, sum(crops) AS c FROM d GROUP BY ROLLUP (batch))

@@ -91,6 +91,21 @@ def messages(events: DataFrame) -> DataFrame:
     return rows.groupBy("file", "level", F.when(F.col("last.mark") == "START", F.col("last.step")).alias("step"), "message").agg(F.count(F.lit(1)).alias("n"))
 
 
+def message_groups(events: DataFrame) -> DataFrame:
+    """file, step, number, step_total, level, message, n: warnings and errors as a report lists them, step by step.
+
+    What isn't said by a step, all there are of a message less those of steps, stands under "Other", which has no number; a step's
+    total counts both levels.
+    """
+    counted = messages(events)
+    whole = counted.groupBy("file", "level", "message").agg(F.sum("n").alias("whole"), F.coalesce(F.sum(F.when(F.col("step").isNotNull(), F.col("n"))), F.lit(0)).alias("of_steps"))
+    rest = whole.select("file", "level", F.lit("Other").alias("step"), "message", (F.col("whole") - F.col("of_steps")).alias("n")).filter("n > 0")
+    both = counted.filter("step is not null").unionByName(rest)
+    total = F.sum("n").over(Window.partitionBy("file", "step"))
+    number = F.when(F.col("step") != "Other", records.step_number(F.col("step")))
+    return both.select("file", "step", number.alias("number"), total.alias("step_total"), "level", "message", "n")
+
+
 def runs(events: DataFrame) -> DataFrame:
     """file, run, started, ended, took, dry_run, processed, crashed, skipped: the last of each that the file names."""
     m = F.col("message")

@@ -212,6 +212,7 @@ def test_logs(spark, tmp_path):
     assert rows(logs.batches(events), "batch", "status") == [(1, "success"), (2, "pending")]
     assert rows(logs.steps(events), "batch", "step", "number", "seconds") == [(1, "step01-cache", 1, 1.5)]
     assert rows(logs.messages(events), "step", "message", "n") == [("step01-cache", "slow", 1), (None, "orphan", 1)]
+    assert rows(logs.message_groups(events), "step", "number", "step_total", "message", "n") == [("Other", None, 1, "orphan", 1), ("step01-cache", 1, 1, "slow", 1)]
     sample = logs.samples(events).first()
     assert (sample["step"], sample["batch"], sample["vram_pcts"]) == (None, None, {"0": 45.2})
     assert rows(logs.step_durations(logs.steps(events)), "step", "total", "n") == [("step01-cache", 1.5, 1)]
