@@ -1,7 +1,7 @@
 """Batches and steps of run logs, paired as their lines come.
 
-State is kept per file, batch and step: the first node, the latest start and the latest end. It doesn't depend on the
-order of lines or on how they are dealt into triggers, so that the last row of a key equals that of the batch job. A timer
+State is kept per file, batch and step: the first node, the latest start and the latest end. It doesn't depend on how lines
+are dealt into triggers, nor on their order, as far as none comes later than the watermark allows; so the last row of a key equals that of the batch job. A timer
 tells of what was begun and hasn't ended within its time, by the clock of the logs; if an end comes later, it counts.
 """
 
@@ -76,7 +76,8 @@ class _Pairing(StatefulProcessor):
 def spans(events: DataFrame, seconds: float = 3600.0, late: str = "10 minutes") -> DataFrame:
     """A stream of logs.parsed -> rows of spans (file, batch, step, node, started, ended, status), one each time a span changes or times out.
 
-    `late` is how far the clocks of files may differ: the time of a span is up when lines that much later have come. The session uses STORE.
+    `late` is how far a line may be behind the latest one; later ones are dropped. The time of a span is up when lines that much
+    later have come. The session uses STORE.
     """
     keyed = marks(events).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy("file", "batch", "step")
     return keyed.transformWithStateInPandas(statefulProcessor=_Pairing(seconds), outputStructType=SPAN, outputMode="Update", timeMode="EventTime")
