@@ -130,6 +130,11 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
+def pieces_of_words(words: Column) -> Column:
+    """The pieces of all words of an array, each word by itself."""
+    return F.filter(pieces(F.array_join(words, "\n")), lambda p: p != "\n")
+
+
 def counted(rows: DataFrame, key: str, pieces: str, vocabulary: str) -> DataFrame:
     """rows(key, ..., an array of pieces) -> their other columns and n_tokens, null where there are no pieces.
 

@@ -21,7 +21,7 @@ from ..functions.text import casefolded
 MOST_CHARS, PIECE = 4_000_000, 8 << 20
 
 _MAP = pa.map_(pa.string(), pa.map_(pa.string(), pa.int32()))
-_WORD = re.compile(r"\w+")
+_WORD, _EDGE = re.compile(r"\w+"), re.compile(r"\b")
 
 
 def folded(text: str) -> str:
@@ -33,6 +33,11 @@ def folded(text: str) -> str:
     return "".join(map(one, text))
 
 
+def marked(text: str) -> str:
+    """A mark at each end of a word, so that only whole words are found."""
+    return _EDGE.sub("\0", text.replace("\0", "\1"))
+
+
 def first_word(term: str) -> str:
     found = _WORD.search(term)
     return found[0] if found else ""
@@ -42,26 +47,23 @@ class Automaton:
     def __init__(self, terms: list[tuple[str, str]]):
         """terms: (term in folded case, category)."""
         self.terms = [t for t in terms if t[0]]
+        self.sizes = []
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i, (term, _) in enumerate(self.terms):
-            self.automaton.add_word(term, i)
+            word = "\0" + marked(term).strip("\0") + "\0"
+            self.sizes.append(len(word))
+            self.automaton.add_word(word, i)
         self.automaton.make_automaton()
 
     def matches(self, text: str) -> Iterator[tuple[str, str]]:
         """(category, term) of every match, from the left."""
         if not self.terms:
             return
-        text = folded(text)
-        inner = lambda i: 0 <= i < len(text) and (text[i].isalnum() or text[i] == "_")
-        found = []
-        for last, i in self.automaton.iter(text):
-            start = last + 1 - len(self.terms[i][0])
-            if inner(start - 1) != inner(start) and inner(last) != inner(last + 1):
-                found.append((start, -last, i))
+        found = [(last + 1 - self.sizes[i], -last, i) for last, i in self.automaton.iter(marked(folded(text)))]
         at = 0
         for start, last, i in sorted(found):
             if start >= at:
-                at = 1 - last
+                at = -last  # the mark between two terms belongs to both
                 yield self.terms[i][::-1]
 
     def rows(self, keys: pa.Array, texts: list[str | None], names: list[str]) -> pa.RecordBatch:

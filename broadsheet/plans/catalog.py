@@ -390,7 +390,7 @@ def text_metrics_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenizability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well the words of all texts agree with the tokens of a public vocabulary."""
     flat = _t(spark, sf_dir, "documents").select("doc_id", text.flatten(F.col("text")).alias("flat")).select("doc_id", text.words(F.col("flat")).alias("w"))
-    rows = flat.select("doc_id", F.size("w").alias("n_words"), F.flatten(F.transform("w", byte_pairs.pieces)).alias("pieces"))
+    rows = flat.select("doc_id", F.size("w").alias("n_words"), byte_pairs.pieces_of_words(F.col("w")).alias("pieces"))
     return byte_pairs.counted(rows, "doc_id", "pieces", VOCABULARY).withColumn("score", text.tokenizability(F.col("n_words"), F.col("n_tokens")))
 
 

@@ -49,3 +49,11 @@ def test_texts(spark, library):
     got = {r["id"]: (r["n"], r["n_tokens"]) for r in got.collect()}
     assert got == {i: (None if t is None else len(t), len(library[1].encode_ordinary(t)) if t else None) for i, t in enumerate(texts)}
     assert byte_pairs.counted(rows.limit(0).select("id", byte_pairs.pieces(F.col("t")).alias("p")), "id", "p", VOCABULARY).count() == 0
+
+
+def test_words_by_themselves(spark, library):
+    rng = random.Random(4)
+    lists = [["".join(rng.choice(["the", "ing", "é", "'s", "42", "_", "日"]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 30))] for _ in range(100)]
+    rows = spark.createDataFrame(list(enumerate(lists)), "id int, w array<string>").select("id", byte_pairs.pieces_of_words(F.col("w")).alias("p"))
+    got = {r["id"]: r["n_tokens"] for r in byte_pairs.counted(rows, "id", "p", VOCABULARY).collect()}
+    assert got == {i: sum(len(library[1].encode_ordinary(w)) for w in words) or None for i, words in enumerate(lists)}
