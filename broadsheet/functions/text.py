@@ -33,6 +33,11 @@ def flatten(text: Column) -> Column:
     return F.replace(joined, F.lit("\n"), F.lit(" "))
 
 
+def trimmed(lines: Column) -> Column:
+    """Each text of an array without the spaces around it. F.trim by itself would be given the place in the array as the characters to trim."""
+    return F.transform(lines, lambda line: F.trim(line))
+
+
 def all_caps(line: Column) -> Column:
     """At least one letter, and no letter that isn't upper case."""
     return line.rlike(r"\p{L}") & ~line.rlike(r"[\p{L}&&[^\p{Lu}]]")
@@ -43,7 +48,7 @@ def glue_headings(text: Column) -> Column:
     empty = F.array().cast("array<string>")
 
     def ended(s: Column) -> Column:
-        heading = F.when(F.size(s["heads"]) > 1, F.array(F.array_join(F.transform(s["heads"], F.trim), " "))).otherwise(s["heads"])
+        heading = F.when(F.size(s["heads"]) > 1, F.array(F.array_join(trimmed(s["heads"]), " "))).otherwise(s["heads"])
         return F.concat(s["out"], heading, s["blanks"])
 
     def step(s: Column, line: Column) -> Column:
@@ -88,7 +93,7 @@ def words(flat: Column) -> Column:
 
 def sentences(flat: Column) -> Column:
     parts = F.split(F.regexp_replace(flat, _SENTENCE_SPLIT, "$1\u0001"), "\u0001")
-    return F.filter(F.transform(parts, F.trim), lambda s: s != "")
+    return F.filter(trimmed(parts), lambda s: s != "")
 
 
 def metrics(rows: DataFrame, text: str) -> DataFrame:

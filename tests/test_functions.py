@@ -120,3 +120,9 @@ def test_language_codes(spark):
     assert [one(spark, records.short_language(F.col("c")), c=("string", x)) for x in ("fra", "XYZ", None)] == ["fr", "en", "en"]
     known = F.array(F.lit("deu"), F.lit("eng"))
     assert [one(spark, records.known_or(F.col("c"), known, "eng"), c=("string", x)) for x in ("deu", "lat", None)] == ["deu", "eng", "eng"]
+
+
+def test_digits_at_the_ends_of_sentences_and_headings_stay(spark):
+    flat = " ".join(f"{i} is not {i}0!" for i in range(12)) + " 10"
+    assert one(spark, text.sentences(F.col("t")), t=("string", flat)) == [f"{i} is not {i}0!" for i in range(12)] + ["10"]
+    assert one(spark, text.glue_headings(F.col("t")), t=("string", " 0 NEWS 0 \n 1 WEST 1\n\n2 EAST 2 \nand so on")) == "0 NEWS 0 1 WEST 1 2 EAST 2\nand so on"
