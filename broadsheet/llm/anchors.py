@@ -13,8 +13,9 @@ anchor make one phrase, [first window's start, last window's end): phrases cover
 * all other phrases are done with.
 
 The open phrases are few, and they are what an operator has to compare window by window. If an anchor has over
-CROWD different phrases, its windows are dealt by their own hash instead (`CROWDED`), of equal ones that a task meets
-only those that are earlier than all before (`Earliest`).
+CROWD different phrases, or a multiple of that by the rule, an operator may divide them by a rule with a longer seed; else their
+windows are dealt by their own hash instead (`CROWDED`), of equal ones that a task meets only those that are earlier than
+all before (`Earliest`).
 
 Phrases are the same if the hashes of their anchor and of the whole phrase are, 128 bits.
 """
@@ -50,6 +51,8 @@ class Rule:
     seed: int
     words: bool
     inside: bool
+    #: Times CROWD, how many different phrases of an anchor are compared with each other.
+    crowds: int = 1
 
 
 class Sequence:
@@ -105,7 +108,7 @@ def phrases_of(seq: Sequence, rule: Rule) -> dict[str, np.ndarray]:
     }
 
 
-_PHRASE = "anchor long, phrase long, doc_id long, start long, size int, tag int"
+PHRASE = "anchor long, phrase long, doc_id long, start long, size int, tag int"
 _FOUND = "doc_id long, tag int, start long, size int, anchor long, state int"
 
 
@@ -147,39 +150,45 @@ _FOUND_ARROW = pa.schema(
 )
 
 
-def phrases(docs: DataFrame, rule: Rule) -> DataFrame:
-    """docs(doc_id, tag, text) -> a row per phrase."""
+def combined(found: Iterator[dict[str, np.ndarray]], inside: bool) -> Iterator[pa.RecordBatch]:
+    """Phrases of a task as rows of PHRASE, compared among themselves about OWN at a time."""
+    held: list[dict[str, np.ndarray]] = []
+    count = 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-        count = 0
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows = _combined({k: np.concatenate([h[k] for h in held]) for k in held[0]}, inside)
+        for lo in range(0, len(rows["size"]), 100_000):
+            yield _batch({k: v[lo : lo + 100_000] for k, v in rows.items()}, _PHRASE_ARROW)
+
+    for rows in found:
+        held.append(rows)
+        count += len(rows["size"])
+        if count > OWN:
+            yield from flush()
+            held, count = [], 0
+    if held:
+        yield from flush()
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = _combined({k: np.concatenate([h[k] for h in held]) for k in held[0]}, rule.inside)
-            for lo in range(0, len(rows["size"]), 100_000):
-                yield _batch({k: v[lo : lo + 100_000] for k, v in rows.items()}, _PHRASE_ARROW)
 
+def phrases(docs: DataFrame, rule: Rule) -> DataFrame:
+    """docs(doc_id, tag, text) -> a row per phrase."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
         for batch in batches:
             ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for chunk in arrays.chunks(batch.column(2)):
                 rows = phrases_of(Sequence(chunk, rule.words), rule)
                 doc = rows.pop("doc")
-                held.append(rows | {"doc_id": ids[chunk.rows][doc].astype(np.int64), "tag": tags[chunk.rows][doc].astype(np.int32)})
-                count += len(doc)
-                if count > OWN:
-                    yield from flush()
-                    held, count = [], 0
-        if held:
-            yield from flush()
+                yield rows | {"doc_id": ids[chunk.rows][doc].astype(np.int64), "tag": tags[chunk.rows][doc].astype(np.int32)}
 
-    return docs.select("doc_id", "tag", "text").mapInArrow(run, _PHRASE)
+    return docs.select("doc_id", "tag", "text").mapInArrow(lambda batches: combined(found(batches), rule.inside), PHRASE)
 
 
 class _Sifter:
     """Goes through the phrases of a task, sorted by anchor, phrase, doc_id and start, and gives them their state."""
 
-    def __init__(self, inside: bool):
-        self.inside = inside
+    def __init__(self, inside: bool, most: int | None = None):
+        self.inside, self.most = inside, CROWD if most is None else most
         self.kept: dict[str, np.ndarray] | None = None  # rows of the anchor that isn't over yet
         self.crowd: tuple[int, int, int, int] | None = None  # anchor, phrase, doc_id, start: inside a crowd, its last first row
 
@@ -190,7 +199,7 @@ class _Sifter:
         n = len(rows["anchor"])
         if n and not over:
             begin = int(np.searchsorted(rows["anchor"], rows["anchor"][-1]))
-            if n - begin <= CROWD:
+            if n - begin <= self.most:
                 self.kept = {k: v[begin:] for k, v in rows.items()}
                 rows = {k: v[:begin] for k, v in rows.items()}
                 n = begin
@@ -208,7 +217,7 @@ class _Sifter:
         first = np.maximum.accumulate(np.where(new, index, 0))
         first_doc, first_start = doc[first], start[first]
         run = np.cumsum(new_anchor) - 1
-        crowded = np.bincount(run, weights=new) > CROWD
+        crowded = np.bincount(run, weights=new) > self.most
         several = np.bincount(run, weights=new) > 1
         if goes_on:
             crowded[-1] = True
@@ -233,8 +242,10 @@ class _Sifter:
 def sifted(found: DataFrame, rule: Rule) -> DataFrame:
     """Phrases -> (doc_id, tag, start, size, anchor, state): those removed whole, and those to compare."""
 
+    most = rule.crowds * CROWD
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sift = _Sifter(rule.inside)
+        sift = _Sifter(rule.inside, most)
         names = _PHRASE_ARROW.names
         for batch in batches:
             rows = sift({k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(names)})
@@ -271,13 +282,18 @@ def spans_of(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return off, {f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
 
 
-def repeats(docs: DataFrame, rule: Rule, compare: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def repeats(
+    docs: DataFrame, rule: Rule, compare: Callable[[DataFrame, DataFrame], DataFrame], divided: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(doc_id, tag, spans): the unit spans [start, start + size) to remove, for texts that have any.
 
-    compare(texts, found) gives the spans that window-by-window comparison of the open phrases adds.
+    compare(texts, found) gives the spans that window-by-window comparison of the open phrases adds. divided(texts, found)
+    gives found with finer phrases in place of the crowded ones.
     """
     texts = tagged(docs)
     found = keep(sifted(phrases(texts, rule), rule), "phrases")
+    if divided is not None:
+        found = divided(texts, found)
     decided = found.filter(F.col("state") == DECIDED).select("doc_id", "tag", "start", "size")
     # Kept, so that the texts and phrases that were shuffled for it are gone before texts are shuffled again.
     more = keep(compare(open_texts(texts, found), found.filter(F.col("state") != DECIDED)), "compared-spans")

@@ -7,8 +7,8 @@ merged as often at most.
 
 Over a cluster, the suffixes are dealt by their winnowed anchor (`anchors`), so that equal ones meet; every task has
 a family of its own, which gets its texts in order of doc_id and place. What is earlier is then what is already in
-the family. Phrases that were found to occur earlier whole never get there: the family compares the open ones, at
-most SUFFIXES suffixes a task.
+the family. Phrases that were found to occur earlier whole never get there: the family compares the open ones, about
+SUFFIXES suffixes a task. Phrases of an anchor that has too many of them are divided by longer seeds first.
 
 Defined cases
 -------------
@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors, arrays
-from .tables import with_fields
+from .tables import keep, with_fields
 
-LENGTH, SEED = 100, 16
-RULE = anchors.Rule(length=LENGTH, seed=SEED, words=False, inside=True)
+LENGTH, SEED, FINER = 100, 32, 80
+#: A task takes 8 * CROWD phrases of one anchor well: their windows are fewer than SUFFIXES.
+RULE = anchors.Rule(length=LENGTH, seed=SEED, words=False, inside=True, crowds=8)
+FINER_RULE = anchors.Rule(length=LENGTH, seed=FINER, words=False, inside=True, crowds=8)
 #: Suffixes a task, on average.
 SUFFIXES = 250_000
 
@@ -83,6 +85,36 @@ class SuffixFamily:
             self.levels.append(np.insert(large, np.searchsorted(large, small), small))
 
 
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Texts with crowded phrases -> the phrases inside these by the finer rule."""
+    for batch in batches:
+        ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        off, spans = anchors.spans_of(batch.column(3))
+        for chunk in arrays.chunks(batch.column(2)):
+            lo, hi = off[chunk.rows.start], off[chunk.rows.stop]
+            row = np.repeat(np.arange(chunk.n), np.diff(off[chunk.rows.start : chunk.rows.stop + 1]))
+            start = spans["start"][lo:hi]
+            begin, data = chunk.off[row] + start, chunk.data.tobytes()
+            parts = pa.array([data[b : b + s] for b, s in zip(begin.tolist(), spans["size"][lo:hi].tolist())], pa.binary())
+            for part in arrays.chunks(parts):
+                rows = anchors.phrases_of(anchors.Sequence(part, False), FINER_RULE)
+                at = rows.pop("doc") + part.rows.start
+                rows["start"] = rows["start"] + start[at]
+                of = chunk.rows.start + row[at]
+                yield rows | {"doc_id": ids[of].astype(np.int64), "tag": tags[of].astype(np.int32)}
+
+
+def _divided(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Phrases of crowded anchors are divided by longer seeds and sifted again: equal windows have equal finer anchors, too.
+
+    So windows go one by one only if too many texts differ around a run of FINER bytes that they share.
+    """
+    crowded = F.col("state") == anchors.CROWDED
+    parts = anchors.open_texts(texts, found.filter(crowded)).select("doc_id", "tag", "text", "spans")
+    again = parts.mapInArrow(lambda batches: anchors.combined(_finer(batches), FINER_RULE.inside), anchors.PHRASE)
+    return found.filter(~crowded).unionByName(keep(anchors.sifted(again, FINER_RULE), "finer-phrases"))
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with open phrases -> the bytes of each phrase; of crowded anchors, of each window.
 
@@ -195,7 +227,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut(docs: DataFrame) -> DataFrame:
     """row (struct of all columns of docs), n_bytes, n_removed, n_spans, kept (binary: a cut may fall inside a character)."""
-    spans = anchors.repeats(docs, RULE, _compare).select(F.col("doc_id").alias("id_"), F.col("tag").alias("tag_"), F.col("spans").alias("spans_"))
+    spans = anchors.repeats(docs, RULE, _compare, _divided).select(F.col("doc_id").alias("id_"), F.col("tag").alias("tag_"), F.col("spans").alias("spans_"))
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"),
         docs["doc_id"].cast("long").alias("doc_id"), F.hash(docs["text"]).alias("tag"),

@@ -112,6 +112,22 @@ def test_crowded_anchors_give_the_same(odd, pairs_of, monkeypatch, crowd):
     assert got(suffix_index.cut(odd), "row.doc_id", "n_removed") == sorted(((d, n) for d, _, n, _, _ in brute.without_byte_repeats(pairs_of)), key=repr)
 
 
+@pytest.mark.parametrize("size", [40, 90])
+def test_a_run_of_bytes_in_many_texts_is_no_crowd(spark, monkeypatch, size):
+    """Windows go one by one only around runs of over FINER bytes; in the end the texts are the same."""
+    monkeypatch.setattr(anchors, "CROWD", 1)
+    rng = random.Random(5)
+    run = sentence(rng, 60)[:size]
+    rows = [(i, f"{sentence(rng, 30)[:120]}{run}{sentence(rng, 30)[:120]}") for i in range(40)]
+    rows += [(40 + i, rows[i][1][20:240]) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = anchors.tagged(docs)
+    found = anchors.sifted(anchors.phrases(texts, suffix_index.RULE), suffix_index.RULE)
+    crowded = [f.filter(F.col("state") == anchors.CROWDED).count() for f in (found, suffix_index._divided(texts, found))]
+    assert crowded[0] > 0 and (crowded[1] == 0) == (size < suffix_index.FINER)
+    assert got(suffix_index.cut(docs), "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)) == sorted(brute.without_byte_repeats(rows), key=repr)
+
+
 def repeating(times, unit):
     """A text that repeats a block many times, and others that share short runs with it, some of them a whole window."""
     rng = random.Random(17)
