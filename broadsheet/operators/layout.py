@@ -1,7 +1,7 @@
 """Boxes on scans: columns by density and the reading order from them; intervals that overlap and nearest places on a line.
 
-`overlapping` and `nearest` are joins for groups of any size. The boxes of one scan are few: they are nested in a row and
-go through `placed` in Arrow batches, where each wide box counts those before it.
+`overlapping` and `nearest` are joins for groups of any size. The boxes of one scan meet in one task: they come sorted by
+scan, and go through `placed` one scan at a time, where each wide box counts those before it.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 NARROW_PERCENTILE, WIDE_RATIO = 0.25, 1.4
 PICTURES = ("Photograph or illustration", "Cartoon")
 LEAST_CLUSTER = 2
+KINDS = ("core", "rest", "wide")
 
 
 def overlapping(a: DataFrame, b: DataFrame, by: str, width: float) -> DataFrame:
@@ -122,52 +124,78 @@ def clusters(x: list[float]) -> list[int]:
     return [number.get(k, -1) for k in out]
 
 
-def _nearest(x: float, places: list[tuple[float, int]]) -> int:
-    """The value of the nearest of (place, value); the first of equally near ones."""
-    return min(places, key=lambda p: abs(p[0] - x))[1]
+class _Places:
+    """Places on a line with a value each: the value of the nearest one; of equally near ones, that of the first given."""
 
+    def __init__(self, places: list[float], values: list[int]):
+        first: dict[float, int] = {}
+        for i, p in enumerate(places):
+            first.setdefault(p, i)
+        self.line = sorted(first)
+        self.first, self.values, self.known = first, values, {}
 
-def placed(boxes: list[dict]) -> list[tuple[int, str]]:
-    """Column and kind of each box of a scan; boxes(left, top, right, bottom, content) in the order of their ids."""
-    width = np.array([b["right"] - b["left"] for b in boxes])
+    def nearest(self, x: float) -> int:
+        if (found := self.known.get(x)) is None:
+            line, right = self.line, bisect_left(self.line, x)
+            left = right - 1
+            least = min(abs(line[i] - x) for i in (left, right) if 0 <= i < len(line))
+            near = []
+            while left >= 0 and abs(line[left] - x) == least:
+                near.append(self.first[line[left]])
+                left -= 1
+            while right < len(line) and abs(line[right] - x) == least:
+                near.append(self.first[line[right]])
+                right += 1
+            found = self.known[x] = self.values[min(near)]
+        return found
+
+
+def placed(left: np.ndarray, top: np.ndarray, right: np.ndarray, bottom: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Column and kind (a place in KINDS) of each box of a scan, in the order of their ids."""
+    n, width = len(left), right - left
     narrow = width <= np.percentile(width, 100 * NARROW_PERCENTILE) * WIDE_RATIO
-    x = [(b["left"] + b["right"]) / 2 for b in boxes]
-    some = [i for i in range(len(boxes)) if narrow[i]]
-    core = [i for i in some if boxes[i]["content"]]
+    x = (left + right) / 2
+    some = np.flatnonzero(narrow)
+    core = some[content[some]]
     if len(some) < 2:
-        return [(0, "core")] * len(boxes)
+        return np.zeros(n, np.int32), np.zeros(n, np.int8)
     core = core if len(core) >= 2 else some
 
-    label = dict.fromkeys(core, -1)
-    order = sorted(core, key=lambda i: x[i])
-    label |= zip(order, clusters([x[i] for i in order]), strict=True)
-    sure = [(x[i], label[i]) for i in core if label[i] >= 0] or [(0.0, 0)]
-    label = {i: label[i] if label[i] >= 0 else _nearest(x[i], sure) for i in core}
+    order = core[np.argsort(x[core], kind="stable")]
+    label = np.full(n, -1)
+    label[order] = clusters(x[order].tolist())
+    sure = core[label[core] >= 0]
+    known = _Places(x[sure].tolist(), label[sure].tolist()) if len(sure) else _Places([0.0], [0])
+    for i in core[label[core] < 0].tolist():
+        label[i] = known.nearest(x[i].item())
 
-    columns: dict[int, list[int]] = {}
-    for i in core:
-        columns.setdefault(label[i], []).append(i)
-    centres = [(float(np.mean([x[i] for i in own])), k) for k, own in columns.items()]
-    for i in sorted(set(some) - set(core)):
-        columns[_nearest(x[i], centres)].append(i)
+    _, first, at = np.unique(label[core], return_index=True, return_inverse=True)
+    label[core] = np.argsort(np.argsort(first))[at]  # numbered as they come
+    own = lambda boxes: np.split(boxes[np.argsort(label[boxes], kind="stable")], np.cumsum(np.bincount(label[boxes], minlength=len(first)))[:-1])
+    columns = own(core)
+    centres = _Places([float(np.mean(x[c])) for c in columns], list(range(len(columns))))
+    rest = np.flatnonzero(narrow & (label < 0))
+    for i in rest.tolist():
+        label[i] = centres.nearest(x[i].item())
+    columns = [np.concatenate(c) for c in zip(columns, own(rest), strict=True)]
 
     # Wide boxes join the column they touch that has most boxes above them, earlier wide ones included.
-    sides = []
-    for k, own in columns.items():
-        edges = min(boxes[i]["left"] for i in own), max(boxes[i]["right"] for i in own)
-        sides.append((float(np.mean([x[i] for i in own])), *edges, sorted(boxes[i]["bottom"] for i in own), k))
-    sides.sort(key=lambda c: c[0])
-    for i in np.flatnonzero(~narrow).tolist():
-        box = boxes[i]
-        touched = [c for c in sides if box["left"] <= c[2] and box["right"] >= c[1]]
-        *_, bottoms, k = max(touched, key=lambda c: bisect_left(c[3], box["top"])) if touched else sides[0]  # noqa: B023
-        insort(bottoms, box["bottom"])
-        columns[k].append(i)
-
-    ranked = sorted(columns.values(), key=lambda own: np.mean([x[i] for i in own]))
-    col = {i: k for k, own in enumerate(ranked) for i in own}
-    kind = lambda i: "wide" if not narrow[i] else "core" if i in label else "rest"
-    return [(col[i], kind(i)) for i in range(len(boxes))]
+    sides = sorted(range(len(columns)), key=lambda k: float(np.mean(x[columns[k]])))
+    lowest, highest = (np.array([f(edge[columns[k]]) for k in sides]) for f, edge in ((np.min, left), (np.max, right)))
+    bottoms = [np.sort(bottom[columns[k]]).tolist() for k in sides]
+    wide = np.flatnonzero(~narrow)
+    for i in wide.tolist():
+        touched, upper = np.flatnonzero((left[i] <= highest) & (right[i] >= lowest)).tolist(), top[i].item()
+        side = max(touched, key=lambda c: bisect_left(bottoms[c], upper)) if touched else 0  # noqa: B023
+        insort(bottoms[side], bottom[i].item())
+        label[i] = sides[side]
+    columns = [np.concatenate(c) for c in zip(columns, own(wide), strict=True)]
+
+    ranked = sorted(range(len(columns)), key=lambda k: np.mean(x[columns[k]]))
+    col, kind = np.zeros(len(columns), np.int32), np.full(n, KINDS.index("rest"), np.int8)
+    col[ranked] = np.arange(len(columns))
+    kind[core], kind[wide] = KINDS.index("core"), KINDS.index("wide")
+    return col[label], kind
 
 
 def columns(crops: DataFrame) -> DataFrame:
@@ -177,22 +205,49 @@ def columns(crops: DataFrame) -> DataFrame:
     their middle (all narrow ones where fewer than two are of content, and without two of these all boxes are one column);
     noise goes to the nearest clustered box, other narrow boxes to the nearest column, wide ones to the column they touch
     that has most boxes above them, or else to the leftmost. Ties go to what comes first by crop_id, and among columns that a
-    wide box touches to the leftmost. A scan's boxes meet in one row; boxes without four numbers are left out.
+    wide box touches to the leftmost. A task holds the boxes of one scan and of one batch; boxes without four numbers are left out.
     """
     at = lambda i, name: F.get(F.col("box"), F.lit(i)).cast("double").alias(name)
     boxes = crops.select("scan_id", "crop_id", at(0, "left"), at(1, "top"), at(2, "right"), at(3, "bottom"), F.coalesce(F.col("category") == "Content", F.lit(False)).alias("content"))
-    fields = [c for c in boxes.columns if c != "scan_id"]
-    scans = boxes.dropna(subset=["left", "top", "right", "bottom"]).groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("boxes"))
+    boxes = boxes.dropna(subset=["left", "top", "right", "bottom"])
     kinds = {f.name: f.dataType.simpleString() for f in crops.schema.fields}
+    names = ["scan_id", "crop_id", "col", "kind"]
+
+    def of_scans(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+        """Whole scans, which begin and end at edges."""
+        sides = [table[c].to_numpy() for c in ("left", "top", "right", "bottom")]
+        content = table["content"].to_numpy()
+        found = [placed(*(c[a:b] for c in sides), content[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        col, kind = (np.concatenate(c) for c in zip(*found, strict=True))
+        kind = pa.DictionaryArray.from_arrays(pa.array(kind), pa.array(KINDS)).cast(pa.string())
+        whole = [table[c].combine_chunks() for c in names[:2]]
+        return pa.RecordBatch.from_arrays([*whole, pa.array(col), kind], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the scan that isn't over yet
         for batch in batches:
-            found = [[{"crop_id": b["crop_id"], "col": c, "kind": k} for b, (c, k) in zip(boxes, placed(boxes), strict=True)] for boxes in batch["boxes"].to_pylist()]
-            box = pa.struct([batch["boxes"].type.value_type.field("crop_id"), pa.field("col", pa.int32()), pa.field("kind", pa.string())])
-            yield pa.RecordBatch.from_arrays([batch["scan_id"], pa.array(found, pa.list_(box))], names=["scan_id", "found"])
+            if not batch.num_rows:
+                continue
+            scan = batch["scan_id"]
+            if held and scan[0] != held[-1]["scan_id"][-1]:
+                table = pa.Table.from_batches(held)
+                yield of_scans(table, np.array([0, len(table)]))
+                held = []
+            # The first box of each scan; null is a scan, too.
+            new = pc.fill_null(pc.not_equal(scan[1:], scan[:-1]), False).to_numpy(zero_copy_only=False) | np.diff(scan.is_null().to_numpy(zero_copy_only=False))
+            first = np.flatnonzero(new) + 1
+            held.append(batch)
+            if len(first):
+                before = sum(b.num_rows for b in held[:-1])
+                table = pa.Table.from_batches([*held[:-1], batch.slice(0, first[-1])])
+                yield of_scans(table, np.concatenate([[0], first + before]))
+                held = [batch.slice(first[-1])]
+        if held:
+            table = pa.Table.from_batches(held)
+            yield of_scans(table, np.array([0, len(table)]))
 
-    schema = f"scan_id {kinds['scan_id']}, found array<struct<crop_id: {kinds['crop_id']}, col: int, kind: string>>"
-    return scans.mapInArrow(run, schema).select("scan_id", F.inline("found"))
+    dealt = boxes.repartition("scan_id").sortWithinPartitions("scan_id", "crop_id", "left", "top", "right", "bottom", "content")
+    return dealt.mapInArrow(run, f"scan_id {kinds['scan_id']}, crop_id {kinds['crop_id']}, col int, kind string")
 
 
 def reading_order(crops: DataFrame) -> DataFrame:

@@ -166,3 +166,20 @@ def test_nearest(spark, width):
         near = [(abs(t[1] - x), t[2], t[3]) for t in targets if x is not None and t[0] == g is not None and t[1] is not None]
         assert got[i] == (min(near)[2] if near else None), (g, i, x)
     assert len(got) == len(points)
+
+
+def test_scans_go_one_by_one_whatever_the_batches(spark):
+    """No scan is collected into a row, and scans that end inside a batch, at its end or after many of them are whole."""
+    rng = random.Random(9)
+    rows = [(k, b[0], list(b[1:5]), b[5]) for k in [*range(40), None] for b in random_scan(rng)]
+    crops = spark.createDataFrame(rows, "scan_id long, crop_id long, box array<double>, category string").repartition(3)
+    assert "collect_list" not in layout.columns(crops)._jdf.queryExecution().toString()
+    key, found = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    try:
+        for n in (1, 7, 10_000):
+            spark.conf.set(key, n)
+            found.append(sorted((tuple(r) for r in layout.columns(crops).collect()), key=repr))
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
