@@ -12,13 +12,17 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import casefolded
 
 MOST_CHARS, PIECE = 4_000_000, 8 << 20
+#: Rows and bytes of text that are Python objects at a time; one longer text is alone.
+SLICE_ROWS, SLICE_BYTES = 512, 1 << 20
 
 _MAP = pa.map_(pa.string(), pa.map_(pa.string(), pa.int32()))
 _WORD, _EDGE = re.compile(r"\w+"), re.compile(r"\b")
@@ -43,6 +47,17 @@ def first_word(term: str) -> str:
     return found[0] if found else ""
 
 
+def sliced(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices, so that its texts and what is found in them aren't Python objects all at once."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        most = (ends[at - 1] if at else 0) + SLICE_BYTES
+        end = min(max(at + 1, int(np.searchsorted(ends, most, side="right"))), at + SLICE_ROWS, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 class Automaton:
     def __init__(self, terms: list[tuple[str, str]]):
         """terms: (term in folded case, category)."""
@@ -102,7 +117,8 @@ def matched(rows: DataFrame, key: str, text: str, terms: DataFrame, most_chars:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = Automaton(held.value)
             for batch in batches:
-                yield automaton.rows(batch.column(0), batch.column(1).to_pylist(), names)
+                for part in sliced(batch, 1):
+                    yield automaton.rows(part.column(0), part.column(1).to_pylist(), names)
 
         return rows.mapInArrow(run, schema)
 
@@ -113,8 +129,9 @@ def matched(rows: DataFrame, key: str, text: str, terms: DataFrame, most_chars:
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own: dict[int, set[str]] = {}
-            for p, value in zip(batch["piece_"].to_pylist(), batch["text_"].to_pylist(), strict=True):
-                own.setdefault(p, {""}).update(_WORD.findall(folded(value or "")))
+            for part in sliced(batch, batch.schema.get_field_index("text_")):
+                for p, value in zip(part["piece_"].to_pylist(), part["text_"].to_pylist(), strict=True):
+                    own.setdefault(p, {""}).update(_WORD.findall(folded(value or "")))
             pieces = [p for p, w in own.items() for _ in w]
             yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int64()), pa.array([x for w in own.values() for x in w], pa.string())], names=["piece_", "first_"])
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from broadsheet.operators import dictionary
@@ -68,3 +69,14 @@ def test_large_dictionary(spark):
 def test_thesaurus_is_in_folded_case(spark):
     lines = spark.createDataFrame([(0, '{"keyword": "Straße", "category": "a", "related_terms": ["STRASSE", "Weg"]}')], "line int, value string")
     assert {r["term"] for r in readers.thesaurus(lines).collect()} == {"strasse", "weg"}
+
+
+def test_batches_go_in_slices(monkeypatch):
+    """All rows in order, a long text alone, none over the limits."""
+    texts = ["a" * 10, None, "", "b" * 5000, "c" * 90, "d" * 20, "é" * 40] + ["x"] * 30
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"]).slice(1)
+    monkeypatch.setattr(dictionary, "SLICE_BYTES", 100), monkeypatch.setattr(dictionary, "SLICE_ROWS", 8)
+    parts = list(dictionary.sliced(batch, 1))
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert all(p.num_rows == 1 or p.num_rows <= 8 and sum(len((t or "").encode()) for t in p["text"].to_pylist()) <= 100 for p in parts)
+    assert [p.num_rows for p in parts][:3] == [2, 1, 1]
