@@ -28,9 +28,14 @@ def strip_markup(text: Column) -> Column:
 
 
 def flatten(text: Column) -> Column:
-    """One line of plain text: markup gone, words split by a hyphen joined, line ends to spaces."""
-    joined = F.regexp_replace(strip_markup(text), r"-\s+(?=[a-z])", "")
-    return F.replace(joined, F.lit("\n"), F.lit(" "))
+    """One line of plain text: markup gone, words split by a hyphen joined, line ends to spaces.
+
+    Most texts have no markup, many no hyphen; a search for the signs that begin them spares the patterns.
+    """
+    join = lambda t: F.regexp_replace(t, r"-\s+(?=[a-z])", "")
+    has = lambda sign: F.contains(text, F.lit(sign))
+    plain = F.when(has("<") | has("&"), join(strip_markup(text))).when(has("-"), join(text)).otherwise(text)
+    return F.replace(plain, F.lit("\n"), F.lit(" "))
 
 
 def trimmed(lines: Column) -> Column:

@@ -1,8 +1,8 @@
-"""Tokens of a byte-pair vocabulary, counted by merges over the distinct pieces of all texts.
+"""Tokens of a byte-pair vocabulary, counted by merges over the distinct pieces of texts.
 
-Pieces are found by a pattern in the JVM. Each distinct one is encoded once, wherever it stands: from its bytes, the pair of
-neighbours with the lowest rank is merged, the leftmost of equal ones first, until no pair is in the vocabulary. Many pieces are
-merged at a time, one pair each in a step; long ones go by a heap. The numbers are joined back to the texts.
+Pieces are found by a pattern in the JVM. A task encodes each distinct one once, as long as it remembers it: from its bytes, the
+pair of neighbours with the lowest rank is merged, the leftmost of equal ones first, until no pair is in the vocabulary. Many
+pieces are merged at a time, one pair each in a step; long ones go by a heap. No piece is shuffled.
 """
 
 from __future__ import annotations
@@ -14,13 +14,17 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the pattern of pieces that the public byte-level vocabularies are made for.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Longer pieces, in bytes, are merged one by one; others in groups of about GROUP bytes.
 LONG, GROUP = 128, 1 << 18
+#: Pieces that a task remembers; those of one batch come on top.
+MOST_PIECES = 1 << 18
 
 _NONE = np.iinfo(np.int32).max
 
@@ -138,16 +142,28 @@ def pieces_of_words(words: Column) -> Column:
 def counted(rows: DataFrame, key: str, pieces: str, vocabulary: str) -> DataFrame:
     """rows(key, ..., an array of pieces) -> their other columns and n_tokens, null where there are no pieces.
 
-    Keys are unique. vocabulary: the path of a file of byte-pair ranks, which the driver reads.
+    vocabulary: the path of a file of byte-pair ranks, which the driver reads.
     """
     held = rows.sparkSession.sparkContext.broadcast(Merges(vocabulary))
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["piece_"], pa.array(held.value.counts(batch["piece_"]))], names=["piece_", "n_"])
+            lists = batch.column(batch.num_columns - 1)
+            flat = lists.flatten().dictionary_encode()
+            distinct = flat.dictionary.to_pylist()
+            if len(known) > MOST_PIECES:
+                known = {}
+            new = [p for p in distinct if p not in known]
+            known.update(zip(new, held.value.counts(pa.array(new, pa.string())).tolist(), strict=True))
+            n = np.array([known[p] for p in distinct], np.int64)
+            upto = np.concatenate([[0], np.cumsum(n[flat.indices.to_numpy()])]) if len(n) else np.zeros(1, np.int64)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            end = np.cumsum(size)
+            tokens = pa.array(upto[end] - upto[end - size], pa.int64(), mask=size == 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], tokens], names=names)
 
     others = [c for c in rows.columns if c not in (key, pieces)]
-    single = rows.select(key, *others, F.explode_outer(pieces).alias("piece_"))
-    tokens = single.select("piece_").filter("piece_ is not null").distinct().mapInArrow(encoded, "piece_ string, n_ long")
-    joined = single.join(tokens, "piece_", "left")
-    return joined.groupBy(key).agg(*[F.first(c).alias(c) for c in others], F.sum("n_").alias("n_tokens"))
+    names = [key, *others, "n_tokens"]
+    fields = [rows.schema[c] for c in names[:-1]]
+    return rows.select(*names[:-1], pieces).mapInArrow(run, T.StructType([*fields, T.StructField("n_tokens", T.LongType())]))

@@ -57,3 +57,10 @@ def test_words_by_themselves(spark, library):
     rows = spark.createDataFrame(list(enumerate(lists)), "id int, w array<string>").select("id", byte_pairs.pieces_of_words(F.col("w")).alias("p"))
     got = {r["id"]: r["n_tokens"] for r in byte_pairs.counted(rows, "id", "p", VOCABULARY).collect()}
     assert got == {i: sum(len(library[1].encode_ordinary(w)) for w in words) or None for i, words in enumerate(lists)}
+
+
+def test_no_piece_is_shuffled(spark):
+    rows = spark.createDataFrame([(1, ["the", " the", "the"]), (2, None), (3, [])], "id int, p array<string>")
+    found = byte_pairs.counted(rows, "id", "p", VOCABULARY)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 3), (2, None), (3, None)]
