@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 MOST_GRAMS, ADDED = 50_000, 0.5
 #: Languages of a model, which is sent to all tasks.
 MOST_LANGUAGES = 300
-#: Words that a task remembers.
+#: Words that a task remembers; those of one text come on top.
 MOST_WORDS = 1 << 18
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -50,21 +50,27 @@ class Model:
             n[self.grams[gram], at[language]] = count
             total[at[language]] = whole
         self.scores = np.log((n + ADDED) / (total + ADDED * (self.unseen + 1)))
-        self.words: dict[str, np.ndarray] = {}
-
-    def of_word(self, word: str) -> np.ndarray:
-        if (known := self.words.get(word)) is None:
-            if len(self.words) >= MOST_WORDS:
-                self.words.clear()
-            padded = f" {word} "
-            known = self.words[word] = self.scores[[self.grams.get(padded[i : i + 3], self.unseen) for i in range(len(word))]].sum(axis=0)
-        return known
+        self.words: dict[str, int] = {}  # the place of a word's row in `held`
+        self.held = np.zeros((1 << 10, len(at)))
+
+    def row_of(self, word: str) -> int:
+        """Scores of a word that isn't known yet go to the next row."""
+        k = self.words[word] = len(self.words)
+        if k == len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        padded = f" {word} "
+        self.held[k] = self.scores[[self.grams.get(padded[i : i + 3], self.unseen) for i in range(len(word))]].sum(axis=0)
+        return k
 
     def best(self, text: str | None) -> tuple[str | None, float | None]:
         words = _WORD.findall((text or "").lower())
         if not words or not self.languages:
             return None, None
-        total = np.sum([self.of_word(w) for w in words], axis=0)
+        if len(self.words) >= MOST_WORDS:
+            self.words.clear()
+        known = self.words.get
+        rows = [k if (k := known(w)) is not None else self.row_of(w) for w in words]
+        total = self.held[rows].sum(axis=0)
         k = int(np.argmax(total))
         return self.languages[k], round(float(1 / np.exp(total - total[k]).sum()), 4)
 
@@ -72,15 +78,19 @@ class Model:
 def detected(rows: DataFrame, key: str, text: str, model: DataFrame) -> DataFrame:
     """key, language_code, confidence_score; nulls for a text without letters. Equally likely languages go by code."""
     spark = rows.sparkSession
-    if model.select("language").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
-        raise ValueError(f"a model has at most {MOST_LANGUAGES} languages")
-    held = spark.sparkContext.broadcast([tuple(r) for r in model.select("language", "gram", "n", "total").collect()])  # MOST_GRAMS a language at most
+    model = model.select("language", "gram", "n", "total").persist()  # fitted once, for both that follow
+    try:
+        if model.select("language").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+            raise ValueError(f"a model has at most {MOST_LANGUAGES} languages")
+        held = spark.sparkContext.broadcast([tuple(r) for r in model.collect()])  # MOST_GRAMS a language at most
+    finally:
+        model.unpersist()
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(held.value)
         for batch in batches:
-            found = [own.best(t) for t in batch.column(1).to_pylist()]
+            found = [own.best(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[key, "language_code", "confidence_score"])
 
     return rows.select(key, text).mapInArrow(run, f"{key} {kind}, language_code string, confidence_score double")

@@ -47,3 +47,20 @@ def test_held_out(spark):
     right = told.agg(F.avg((F.col("lang") == F.col("language_code")).cast("int")), F.count(F.lit(1))).first()
     print(right)
     assert right[1] > 200 and right[0] >= 0.97
+
+
+def test_the_model_is_fitted_once(spark):
+    """The rows of a model are read once, though their languages are counted before they are sent."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = [("en", " th", 3, 5), ("en", "the", 2, 5), ("fr", " le", 4, 4)]
+    model = spark.createDataFrame(rows, "language string, gram string, n long, total long")
+    texts = spark.createDataFrame([(1, "the the"), (2, "le"), (3, None)], "id int, t string")
+    found = languages.detected(texts, "id", "t", model.mapInArrow(seen, model.schema))
+    assert reads.value == len(rows)
+    assert {r["id"]: r["language_code"] for r in found.collect()} == {1: "en", 2: "fr", 3: None}
