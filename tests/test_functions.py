@@ -126,3 +126,12 @@ def test_digits_at_the_ends_of_sentences_and_headings_stay(spark):
     flat = " ".join(f"{i} is not {i}0!" for i in range(12)) + " 10"
     assert one(spark, text.sentences(F.col("t")), t=("string", flat)) == [f"{i} is not {i}0!" for i in range(12)] + ["10"]
     assert one(spark, text.glue_headings(F.col("t")), t=("string", " 0 NEWS 0 \n 1 WEST 1\n\n2 EAST 2 \nand so on")) == "0 NEWS 0 1 WEST 1 2 EAST 2\nand so on"
+
+
+def test_flat_text_with_and_without_signs_of_markup(spark):
+    texts = ["plain\ntext", "a-\nb", "a -\n B", "x &amp; y-\nz", "<p>one</p>two", "-", "", None, "fish &lt;b&gt; <b>chips</b>-  and", "<"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.replace(F.regexp_replace(text.strip_markup(F.col("t")), r"-\s+(?=[a-z])", ""), F.lit("\n"), F.lit(" "))
+    flat = rows.select("t", text.flatten(F.col("t")).alias("got"), whole.alias("want"))
+    assert [r["got"] for r in flat.collect()] == [r["want"] for r in flat.collect()]
+    assert "CASE WHEN" in flat._jdf.queryExecution().toString()
