@@ -183,3 +183,10 @@ def test_scans_go_one_by_one_whatever_the_batches(spark):
     finally:
         spark.conf.set(key, before)
     assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
+def test_reading_order_collects_no_scan(spark):
+    crops = spark.createDataFrame([(1, 1, 9.0, [0.0, 0.0, 5.0, 5.0], "Content", "a")], "scan_id long, crop_id long, scan_width double, box array<double>, category string, text string")
+    found = layout.reading_order(crops)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert [r["reading_order"] for r in found.collect()] == [1]
