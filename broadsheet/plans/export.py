@@ -1,11 +1,14 @@
 """The export row: a scan with its issue's fields and, crop by crop in reading order, lists of all that is known about them.
 
 Satellites are joined by crop, a crop becomes one struct, structs are nested by scan once, and each list is a projection of
-them; so 25 lists cost one shuffle by scan.
+them; so 25 lists cost one shuffle by scan. Spark prunes no fields of structs that are collected, nor a join that adds a
+row's fields; so whoever wants some columns says which, and what only the others need is neither joined nor computed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,12 @@ ANALYSIS = [
     "vlm_has_table", "vlm_has_markdown",
 ]
 SATELLITES = ("ocr", "token_count", "text_analysis", "classification", "language", "ner", "subject", "thesaurus", "text_embedding", "image_embedding")
+#: The satellites that each list is made of; the boxes are the crop's own.
+NEEDED = {
+    "crop_bbox": (), "crop_vlm_ocr_token_count": ("token_count",), "crop_tesseract_ocr_token_count": ("token_count",), "crop_vlm_ocr": ("ocr",), "crop_tesseract_ocr": ("ocr",),
+    "crop_text_analysis": ("text_analysis",), "crop_classification": ("classification",), "crop_language": ("language", "text_analysis"), "crop_ner": ("ner",),
+    "crop_subject": ("subject",), "crop_chronam": ("thesaurus",), "crop_text_embeddings": ("text_embedding",), "crop_image_embeddings": ("image_embedding",),
+}
 
 
 def matches(found: Column) -> Column:
@@ -67,19 +76,29 @@ def _crop(language: Column, detectable: list[str]) -> dict[str, Column]:
     }
 
 
-def export(issues: DataFrame, scans: DataFrame, crops: DataFrame, found: dict[str, DataFrame], metadata_source: str, detectable: list[str]) -> DataFrame:
-    """A row of COLUMNS per scan, with issue_id and scan_id in front.
+def needed(columns: Collection[str]) -> list[str]:
+    """The satellites that these columns are made of."""
+    names = {s for c in columns for start, own in NEEDED.items() if c.startswith(start) for s in own}
+    return [s for s in SATELLITES if s in names]
+
+
+def export(
+    issues: DataFrame, scans: DataFrame, crops: DataFrame, found: dict[str, DataFrame], metadata_source: str, detectable: list[str], columns: Collection[str] = tuple(COLUMNS)
+) -> DataFrame:
+    """A row of `columns`, some or all of COLUMNS, per scan, with issue_id and scan_id in front.
 
     issues, scans (with `content`, the bytes of the image) and crops have the columns of the schemas; found: the satellites of
-    SATELLITES, each with crop_id and one row a crop at most. A scan without crops has empty lists; a crop without a satellite
+    SATELLITES that the columns need, each with crop_id and one row a crop at most. A scan without crops has empty lists; a crop without a satellite
     has null there, or an empty list of entities and labels. Crops without reading order come first, equal ones by id.
     """
+    if unknown := set(columns) - set(COLUMNS):
+        raise ValueError(f"not columns of an export row: {sorted(unknown)}")
     issue = issues.select(F.col("id").alias("issue_id"), F.struct(*[c for c in issues.columns if c != "id"]).alias("issue"))
     pages = scans.select(F.col("id").alias("scan_id"), "issue_id", "scan_filename", "width", "height", "content").join(issue, "issue_id")
     languages = pages.select("scan_id", F.col("issue.language").alias("issue_language"))
     own = crops.select(F.col("id").alias("crop_id"), "scan_id", "reading_order", "bbox_xyxy", "confidence_score")
-    rows = relational.satellites(own, {k: found[k] for k in SATELLITES}).join(languages, "scan_id")
-    fields = _crop(F.col("issue_language"), detectable)
+    rows = relational.satellites(own, {k: found[k] for k in needed(columns)}).join(languages, "scan_id")
+    fields = {name: c for name, c in _crop(F.col("issue_language"), detectable).items() if name in columns}
     rows = rows.select("scan_id", "crop_id", "reading_order", *[c.alias(name) for name, c in fields.items()])
     nested = relational.nested(rows, ["scan_id"], [F.coalesce("reading_order", F.lit(0)), F.col("crop_id")], list(fields), "crops")
     kind = {f.name: f.dataType for f in nested.schema.fields}["crops"]
@@ -97,4 +116,4 @@ def export(issues: DataFrame, scans: DataFrame, crops: DataFrame, found: dict[st
     }
     lists = {name: F.col(f"crops.{name}") for name in fields}
     every = scalars | lists
-    return rows.select("issue_id", "scan_id", *[every[c].alias(c) for c in COLUMNS])
+    return rows.select("issue_id", "scan_id", *[every[c].alias(c) for c in COLUMNS if c in columns])

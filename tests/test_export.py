@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 
+import duckdb
+import pytest
 from pyspark.sql import types as T
 
 from broadsheet import schemas
-from broadsheet.plans import export
+from broadsheet.plans import catalog, export
 
 ANALYSIS = ", ".join(f"{c} {'boolean' if 'has' in c else 'double' if 'score' in c or 'ratio' in c else 'int'}" for c in export.ANALYSIS)
 DDL = {
@@ -86,3 +89,37 @@ def test_export(spark):
             want = has["thesaurus"] and {f: as_lists(v) if f.endswith("matches") else v for f, v in has["thesaurus"].items()}
             assert one["crop_chronam_thesauri_matches_exp"] == want
             assert (one["crop_text_embeddings"], one["crop_image_embeddings"]) == (of("text_embedding", "vlm_embedding"), of("image_embedding", "embedding"))
+
+
+def test_some_columns_need_some_satellites(spark):
+    """Columns of some satellites, with no other ones given, are what they are among all."""
+    issues = spark.createDataFrame([{**dict.fromkeys(n.split()[0] for n in schemas.ISSUE.split(", ")), "id": 1, "language": "fra"}], schemas.ISSUE)
+    scans = spark.createDataFrame([(5, 1, "p1.jp2", 2, 3, b"x")], "id long, issue_id long, scan_filename string, width int, height int, content binary")
+    crops = spark.createDataFrame([(7, 5, 2, [0.0], 0.5), (8, 5, 1, [1.0], 0.25)], "id long, scan_id long, reading_order int, bbox_xyxy array<double>, confidence_score double")
+    rng, frames = random.Random(1), {}
+    for name, ddl in DDL.items():
+        empty = spark.createDataFrame([], ddl)
+        frames[name] = spark.createDataFrame([{"crop_id": 7, **{f.name: value(rng, f.dataType) for f in empty.schema if f.name != "crop_id"}}], empty.schema)
+    every = export.export(issues, scans, crops, frames, "loc", ["ENG"]).first()
+    for column in ("crop_language_gen", "crop_vlm_ocr_gen", "crop_chronam_thesauri_matches_exp", "language_ext"):
+        own = {name: frames[name] for name in export.needed([column])}
+        assert export.export(issues, scans, crops, own, "loc", ["ENG"], [column]).collect() == [(1, 5, every[column])], column
+    assert export.needed(export.COLUMNS) == list(export.SATELLITES)
+    with pytest.raises(ValueError, match="nothing"):
+        export.export(issues, scans, crops, frames, "loc", ["ENG"], ["nothing"])
+
+
+def test_lists_of_orders_with_many_lines(spark, tmp_path):
+    """Ids of crops belong to one order, also from line 8 on; text that isn't asked for isn't cleaned."""
+    lines = [(order, part, part, number, flag, "O") for order, number, part, flag in ((1, 9, 70, "A"), (2, 1, 31, "N"), (2, 17, 44, "R"), (4, 1, 5, "A"), (4, 1, 45, "N"))]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    day = datetime.datetime(1995, 2, 3)
+    spark.createDataFrame([(k, 10 * k, day) for k in (1, 2, 3, 4)], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    duck = duckdb.connect()
+    duck.execute("SET TimeZone = 'UTC'")
+    for name in ("lineitem", "orders"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    found = catalog.export_lists(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found.collect()) == sorted(duck.execute(catalog.ORACLE_SQL["export_lists"]).fetchall())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "{29,}" not in plan and plan.count("Join LeftOuter") <= 6
