@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -64,3 +65,28 @@ def test_the_model_is_fitted_once(spark):
     found = languages.detected(texts, "id", "t", model.mapInArrow(seen, model.schema))
     assert reads.value == len(rows)
     assert {r["id"]: r["language_code"] for r in found.collect()} == {1: "en", 2: "fr", 3: None}
+
+
+@pytest.mark.parametrize("cells", [languages.MOST_CELLS, 0])
+def test_texts_are_scored_in_groups(monkeypatch, cells):
+    """As many calls as groups of texts; scores are the sums trigram by trigram, also of texts in slices and of alphabets without a table."""
+    rng = random.Random(6)
+    word = lambda letters="abßé𝒳ク": "".join(rng.choice(letters) for _ in range(rng.randint(1, 6)))
+    counts = {k: grams(" ".join(word() for _ in range(200))) for k in ("a", "b", "c")}
+    rows = [(k, g, n, sum(c.values())) for k, c in counts.items() for g, n in c.items()] + [("c", "xy", 1, sum(counts["c"].values()))]
+    texts = [" ".join(word("abßé𝒳クqЖ") for _ in range(rng.randint(0, 40))) + rng.choice(("", " 12_ ", "\u3000\u00a0q", "-a,")) for _ in range(300)] + [None, "", "b", "é a" * 900]
+    monkeypatch.setattr(languages, "MOST_CELLS", cells)
+    monkeypatch.setattr(languages, "GROUP", 2000)
+    model = languages.Model(rows)
+    groups = list(languages._groups(texts))
+    got = [x for group in groups for x in model.best(group)]
+    assert sum(groups, []) == texts and len(groups) < 40 and (model.keys is None) == (cells > 0)
+    size = len(set(g for _, g, _, _ in rows)) + 1
+    for text, (code, share) in zip(texts, got):
+        own = grams(text or "")
+        score = {k: sum(n * math.log((c[g] + 0.5) / (sum(c.values()) + 0.5 * size)) for g, n in own.items()) for k, c in counts.items()}
+        if own:
+            best = max(score.values())
+            assert score[code] == pytest.approx(best) and share == pytest.approx(1 / sum(math.exp(s - best) for s in score.values()), abs=1e-4)
+        else:
+            assert code is share is None
