@@ -53,7 +53,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = seed_extend.cut(documents(spark, sf_dir))
+    found = seed_extend.cut(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

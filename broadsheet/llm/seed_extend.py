@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,35 +181,38 @@ def _compare(texts: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, text, spans) -> (row, n_words, n_removed, kept)."""
+    """(row, spans) -> (row, n_words, n_removed, kept), about arrays.CHUNK bytes of text at a time."""
     for batch in batches:
-        text = batch.column(1).cast(pa.binary())
-        off, spans = anchors.spans_of(batch.column(2))
-        n_words, n_removed, kept = [], [], []
-        for i, value in enumerate(text):
-            words = (value.as_py() or b"").split()  # on the six ASCII white-space characters
-            n_words.append(len(words))
-            if off[i] == off[i + 1]:
-                n_removed.append(0)
-            else:
-                gone = anchors.removed(off, spans["start"], spans["size"], i, len(words))
-                n_removed.append(int(gone.sum()))
-                words = [w for w, g in zip(words, gone.tolist()) if not g]
-            kept.append(b" ".join(words))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            names=["row", "n_words", "n_removed", "kept"],
-        )
+        row = batch.column(0)
+        texts = pc.struct_field(row, "text").cast(pa.large_binary())
+        off, spans = anchors.spans_of(batch.column(1))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+        cuts = np.flatnonzero(np.diff(ends // arrays.CHUNK)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            n_words, n_removed, kept = [], [], []
+            for i, value in enumerate(texts[lo:hi], lo):
+                words = (value.as_py() or b"").split()  # on the six ASCII white-space characters
+                n_words.append(len(words))
+                if off[i] == off[i + 1]:
+                    n_removed.append(0)
+                else:
+                    gone = anchors.removed(off, spans["start"], spans["size"], i, len(words))
+                    n_removed.append(int(gone.sum()))
+                    words = [w for w, g in zip(words, gone.tolist()) if not g]
+                kept.append(b" ".join(words))
+            yield pa.RecordBatch.from_arrays(
+                [row[lo:hi], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                names=["row", "n_words", "n_removed", "kept"],
+            )
 
 
 def cut(docs: DataFrame) -> DataFrame:
     """row (struct of all columns of docs), n_words, n_removed, kept (the words left, joined by one space)."""
     spans = anchors.repeats(docs, RULE, _compare).select(F.col("doc_id").alias("id_"), F.col("tag").alias("tag_"), F.col("spans").alias("spans_"))
-    rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"),
-        docs["doc_id"].cast("long").alias("doc_id"), F.hash(docs["text"]).alias("tag"),
+    rows = docs.select(  # a text is shuffled and sent to Python once, in its row
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), F.hash(docs["text"]).alias("tag")
     )
-    joined = rows.join(spans, (F.col("doc_id") == F.col("id_")) & (F.col("tag") == F.col("tag_")), "left").select("row", "text", "spans_")
+    joined = rows.join(spans, (F.col("doc_id") == F.col("id_")) & (F.col("tag") == F.col("tag_")), "left").select("row", "spans_")
     return joined.mapInArrow(_without, with_fields([joined.schema["row"]], "n_words long, n_removed long, kept string"))
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.llm import anchors, decontamination, hyperminhash, seed_extend, suffix_index
+from broadsheet.llm import anchors, arrays, decontamination, hyperminhash, seed_extend, suffix_index
 
 from . import brute
 from .conftest import sentence
@@ -100,6 +100,19 @@ def test_seed_extend(odd, pairs_of):
     assert out.count() == len(pairs_of)
 
 
+def test_cut_texts_come_once_and_go_in_pieces():
+    """A batch of 8 MB of text, null and empty ones too: a text isn't sent beside its row, and no batch is much over a chunk."""
+    texts = [None, "", *[f"w{i} " * (arrays.CHUNK // 16) for i in range(10, 40)], None, " a  b "]
+    row = pa.array([{"spans": "x", "text": t, "doc_id": i} for i, t in enumerate(texts)])
+    spans = pa.array([None] * 33 + [[{"start": 0, "size": 1}]], pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int32())])))
+    out = list(seed_extend._without([pa.RecordBatch.from_arrays([row, spans], names=["row", "spans_"])]))
+    assert len(out) > 5 and max(b.column(3).nbytes for b in out) < 2 * arrays.CHUNK
+    found = pa.Table.from_batches(out).to_pylist()
+    assert [r["row"]["doc_id"] for r in found] == list(range(34))
+    assert [r["kept"] for r in found] == [" ".join((t or "").split()) for t in texts[:33]] + ["b"]
+    assert [r["n_removed"] for r in found] == [0] * 33 + [1]
+
+
 def test_suffix_index(odd, pairs_of):
     found = got(suffix_index.cut(odd), "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
     assert found == sorted(brute.without_byte_repeats(pairs_of), key=repr)
