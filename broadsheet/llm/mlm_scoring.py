@@ -11,8 +11,8 @@ Texts are turned into ids once, in a table that is dealt by content into parts o
 words of all documents: hashes deal the words of a part into ROUNDS shares, each part trains on one share a round,
 beginning with the shared parameters, and the parts' parameters are averaged, as whole numbers, so that neither the
 order of rows nor that of tasks changes a model. What goes to the driver is of fixed size: vocabulary, sizes of buckets
-and parameters. Scoring sums the conditional log-probabilities of all words; counts of rare words come by a join of a
-text's distinct ones with all counts.
+and parameters. Scoring sums the conditional log-probabilities of all words; counts of the MOST_KNOWN most frequent rare
+words are sent to the tasks, those of others come by a join of a text's distinct ones with all counts.
 
 Defined cases
 -------------
@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays
@@ -54,6 +54,8 @@ SCALE = float(1 << 24)
 UNSEEN = 0.5
 #: Logarithms of counts are summed as whole numbers of 1 / LOG_SCALE, so that their order doesn't matter.
 LOG_SCALE = float(1 << 24)
+#: Words whose counts are sent to all tasks; those of rarer ones are joined.
+MOST_KNOWN = 1 << 18
 #: Places of words that are neighbours.
 OFFSETS = [*range(-CONTEXT, 0), *range(1, CONTEXT + 1)]
 EDGE = CLASSES * CLASS_SIZE
@@ -74,6 +76,8 @@ class Model:
     ids: np.ndarray  # their ids
     weights: dict[str, np.ndarray]
     rare: np.ndarray  # occurrences of each bucket's words
+    known: np.ndarray  # sorted hashes of at most MOST_KNOWN words, all that are more frequent than others
+    logs: np.ndarray  # logarithms of their counts, as whole numbers
     counts: DataFrame | None  # key, n of all words; stays on the driver
 
     def ids_of(self, keys: np.ndarray) -> np.ndarray:
@@ -93,25 +97,50 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """key (word hash), n: over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, U), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
-        def out() -> pa.RecordBatch:
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            return keys, np.bincount(back, weights=np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
+
+        def out(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(arrays.signed(keys)), pa.array(counts)], names=["key", "n"])
 
         for batch in batches:
             for chunk in arrays.chunks(batch.column(0), lower=True):
-                own, n = np.unique(tokens(chunk)[0], return_counts=True)
-                keys, back = np.unique(np.concatenate([keys, own]), return_inverse=True)
-                counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
-                if len(keys) > MOST_COUNTED:
-                    yield out()
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield out()
+                held.append(np.unique(tokens(chunk)[0], return_counts=True))
+                size += len(held[-1][0])
+                if size > MOST_COUNTED:  # chunks are sorted together only then; if few words go away by that, they are handed on
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size > MOST_COUNTED // 2:
+                        yield out(*held[0])
+                        held, size = [], 0
+        if size:
+            yield out(*merged())
 
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _log(n: Column) -> Column:
+    return F.round(F.log(F.coalesce(n.cast("double"), F.lit(UNSEEN))) * LOG_SCALE).cast("long")
+
+
+def _known(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the most frequent words, at most MOST_KNOWN, and logarithms of their counts: whole levels of frequency."""
+    level = F.floor(F.log2("n") * 8)
+    sizes = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # a few hundred rows
+    total = np.cumsum([r["count"] for r in sizes])
+    fits = int(np.searchsorted(total, MOST_KNOWN, side="right"))
+    if not fits:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    found = counts.filter(level >= sizes[fits - 1]["level"]).select("key", _log(F.col("n")).alias("log")).toArrow()  # at most MOST_KNOWN rows
+    keys, logs = found["key"].to_numpy().view(U), found["log"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], logs[order]
+
+
 def first_model(docs: DataFrame) -> Model:
     counts = keep(word_counts(docs), "word-counts")
     top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()  # at most FREQUENT rows
@@ -131,59 +160,63 @@ def first_model(docs: DataFrame) -> Model:
     by_class = n.reshape(CLASSES, CLASS_SIZE)
     w["to_class"][-1], w["to_word"][:, -1] = np.log(by_class.sum(axis=1) / n.sum()), np.log(by_class / by_class.sum(axis=1, keepdims=True))
     order = np.argsort(hashes)
-    return Model(hashes[order], order.astype(np.int64), w, rare, counts)
+    return Model(hashes[order], order.astype(np.int64), w, rare, *_known(counts), counts)
 
 
-def neighbours(ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Ids of the words around the words `at`, a column a place; EDGE beyond the text."""
-    out = np.full((len(at), len(OFFSETS)), EDGE)
+def neighbours(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Ids of the words around every word, a column a place; EDGE beyond the text."""
+    out = np.full((len(ids), len(OFFSETS)), EDGE, np.uint16)
     for k, step in enumerate(OFFSETS):
-        place = at + step
-        inside = np.flatnonzero((place >= 0) & (place < len(ids)))
-        inside = inside[doc[place[inside]] == doc[at[inside]]]
-        out[inside, k] = ids[place[inside]]
+        size = max(0, len(ids) - abs(step))
+        here, there = slice(max(0, -step), max(0, -step) + size), slice(max(0, step), max(0, step) + size)
+        out[here, k] = np.where(doc[here] == doc[there], ids[there], EDGE)
     return out
 
 
 class Pass:
-    """The network's way forward for some words: inputs, hidden layer (and 1), probabilities of classes and of words in their class.
+    """The network's way forward for words with these ids and neighbours: inputs, hidden layer (and 1), exponentials of the
+    logits of classes and of words in their class, and their sums.
 
     Words are ordered by class, so that each class is one slice.
     """
 
-    def __init__(self, w: dict[str, np.ndarray], ids: np.ndarray, doc: np.ndarray, at: np.ndarray):
-        kind = ids[at] // CLASS_SIZE
+    def __init__(self, w: dict[str, np.ndarray], ids: np.ndarray, around: np.ndarray):
+        kind, n = (ids // CLASS_SIZE).astype(np.uint8), len(ids)
         self.order = np.argsort(kind, kind="stable")
-        at, self.kind = at[self.order], kind[self.order]
-        self.word, self.around, n = ids[at] % CLASS_SIZE, neighbours(ids, doc, at), len(at)
-        self.inputs = w["embed"][self.around].reshape(n, -1)
+        self.kind, self.word, self.around = kind[self.order], ids[self.order] % CLASS_SIZE, around[self.order].astype(np.int64)
+        self.inputs = np.take(w["embed"], self.around, axis=0).reshape(n, -1)
         self.hidden = np.ones((n, HIDDEN + 1), self.inputs.dtype)
-        np.tanh(self.inputs @ w["mix"] + w["mix_bias"], out=self.hidden[:, :HIDDEN])
-        cuts = np.searchsorted(self.kind, np.arange(CLASSES + 1))
-        self.slices = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+        hidden = self.inputs @ w["mix"]
+        hidden += w["mix_bias"]
+        np.tanh(hidden, out=self.hidden[:, :HIDDEN])
+        cuts = np.searchsorted(self.kind, np.arange(CLASSES + 1)).tolist()
+        self.slices = [(c, slice(lo, hi)) for c, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
         self.of_word = np.empty((n, CLASS_SIZE), self.inputs.dtype)
         for c, own in self.slices:
             np.matmul(self.hidden[own], w["to_word"][c], out=self.of_word[own])
         self.of_class = self.hidden @ w["to_class"]
+        self.sums = []
         for x in (self.of_class, self.of_word):
-            np.minimum(x, MOST_LOGIT, out=x)
+            if n and not x.max() <= MOST_LOGIT:
+                np.minimum(x, MOST_LOGIT, out=x)
             np.exp(x, out=x)
-            x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+            self.sums.append(x @ np.ones(x.shape[1], x.dtype))
         self.rows = np.arange(n)
 
     def log_probabilities(self) -> np.ndarray:
-        out = np.empty(len(self.rows), self.of_word.dtype)
+        out = np.zeros(len(self.rows), self.of_word.dtype)
         least = np.finfo(out.dtype).tiny
-        out[self.order] = np.log(np.maximum(self.of_class[self.rows, self.kind], least)) + np.log(np.maximum(self.of_word[self.rows, self.word], least))
+        for x, total, at in zip((self.of_class, self.of_word), self.sums, (self.kind, self.word)):
+            out[self.order] += np.log(np.maximum(x[self.rows, at] / total, least))
         return out
 
 
 def log_probabilities(w: dict[str, np.ndarray], ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Of every word, given its neighbours."""
-    out = np.zeros(len(ids))
+    out, around = np.zeros(len(ids)), neighbours(ids, doc)
     for lo in range(0, len(ids), 1 << 13):
-        at = np.arange(lo, min(lo + (1 << 13), len(ids)))
-        out[at] = Pass(w, ids, doc, at).log_probabilities()
+        some = slice(lo, lo + (1 << 13))
+        out[some] = Pass(w, ids[some], around[some]).log_probabilities()
     return out
 
 
@@ -199,14 +232,14 @@ class Trainer:
         place = np.arange(len(ids)) - np.searchsorted(doc, doc)  # in its document
         share = arrays.mixed(place.astype(U) * U(0x9E3779B97F4A7C15) + ids.astype(U))
         at = np.flatnonzero(share % U(ROUNDS) == U(round_))
-        lo = 0
+        around, lo = neighbours(ids, doc), 0
         while lo < len(at):
             step = min(BATCH, max(FEWEST, self.seen // 8), len(at) - lo)
-            self._batch(ids, doc, at[lo : lo + step])
+            self._batch(ids, around, at[lo : lo + step])
             lo, self.seen = lo + step, self.seen + step
 
-    def _batch(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> None:
-        for name, gradient in self.gradients(ids, doc, at).items():
+    def _batch(self, ids: np.ndarray, around: np.ndarray, at: np.ndarray) -> None:
+        for name, gradient in self._gradients(ids[at], around[at]).items():
             self.past[name] += gradient**2
             gradient /= np.sqrt(self.past[name])
             gradient *= RATE
@@ -214,22 +247,26 @@ class Trainer:
 
     def gradients(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability of the words `at`."""
-        w, n = self.w, len(at)
-        f = Pass(w, ids, doc, at)
-        f.of_class[f.rows, f.kind] -= 1
-        f.of_word[f.rows, f.word] -= 1
-        back = f.of_class @ w["to_class"][:HIDDEN].T
+        return self._gradients(ids[at], neighbours(ids, doc)[at])
+
+    def _gradients(self, ids: np.ndarray, around: np.ndarray) -> dict[str, np.ndarray]:
+        w, n = self.w, len(ids)
+        f = Pass(w, ids, around)
+        for x, total, at in zip((f.of_class, f.of_word), f.sums, (f.kind, f.word)):
+            x /= (total * n)[:, None]
+            x[f.rows, at] -= 1 / n
+        back, by_word = f.of_class @ w["to_class"][:HIDDEN].T, np.empty((n, HIDDEN), f.inputs.dtype)
         to_word = np.zeros_like(w["to_word"])
         for c, own in f.slices:
-            back[own] += f.of_word[own] @ w["to_word"][c, :HIDDEN].T
+            np.matmul(f.of_word[own], w["to_word"][c, :HIDDEN].T, out=by_word[own])
             np.matmul(f.hidden[own].T, f.of_word[own], out=to_word[c])
-        to_class = f.hidden.T @ f.of_class
+        back += by_word
         hidden = f.hidden[:, :HIDDEN]
-        back *= (1 - hidden * hidden) / n
+        back *= 1 - hidden * hidden
         cell = (f.around.ravel() * DIMENSIONS)[:, None] + np.arange(DIMENSIONS)
         embed = np.bincount(cell.ravel(), weights=(back @ w["mix"].T).ravel(), minlength=w["embed"].size)
         return {
-            "to_word": to_word / n, "to_class": to_class / n, "mix": f.inputs.T @ back, "mix_bias": back.sum(axis=0),
+            "to_word": to_word, "to_class": f.hidden.T @ f.of_class, "mix": f.inputs.T @ back, "mix_bias": np.ones(n, back.dtype) @ back,
             "embed": embed.reshape(w["embed"].shape).astype(w["embed"].dtype),
         }
 
@@ -247,8 +284,9 @@ def _unflat(x: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def numbered(docs: DataFrame, model: Model) -> DataFrame:
-    """row, doc_id, part, n_tokens, ids (2 bytes a word), words and times (the distinct rare words of the text): a row per document."""
-    held = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None))  # vocabulary and parameters: some 2 MB
+    """row, doc_id, part, n_tokens, ids (2 bytes a word), share (logarithms of the counts of its rare words that are known, summed),
+    words and times (the text's other distinct rare words): a row per document."""
+    held = docs.sparkSession.sparkContext.broadcast(replace(model, counts=None, weights={}))  # vocabulary and known counts: some 4 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
@@ -259,20 +297,22 @@ def numbered(docs: DataFrame, model: Model) -> DataFrame:
                 n = np.bincount(doc, minlength=chunk.n)
                 rare = np.flatnonzero(ids >= FREQUENT)
                 sizes, words, times = _rare_words(keys[rare], doc[rare], chunk.n)
+                share, sizes, words, times = _shares(own, sizes, words, times)
                 off = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
                 data, ends = ids.astype(np.uint16).tobytes(), np.append(0, np.cumsum(2 * n))
                 packed = pa.array([data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
                 lists = [pa.ListArray.from_arrays(off, pa.array(x)) for x in (arrays.signed(words), times)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.rows.start, chunk.n), pa.array(n), packed, *lists], names=["doc_id", "n_tokens", "ids", "words", "times"]
+                    [batch.column(0).slice(chunk.rows.start, chunk.n), pa.array(n), packed, pa.array(share), *lists],
+                    names=["doc_id", "n_tokens", "ids", "share", "words", "times"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, words array<long>, times array<long>")
+    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, share long, words array<long>, times array<long>")
     total = model.counts.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // PART))
     # Dealt by content and doc_id, so that the copies of a text are spread over parts; in a part equal texts are interchangeable.
-    dealt = rows.withColumn("hash", F.xxhash64("ids", "words")).withColumn("part", F.pmod(F.xxhash64("hash", "doc_id"), F.lit(parts)))
+    dealt = rows.withColumn("hash", F.xxhash64("ids", "share", "words")).withColumn("part", F.pmod(F.xxhash64("hash", "doc_id"), F.lit(parts)))
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "hash", "ids").drop("hash")
     return keep(dealt.withColumn("row", F.monotonically_increasing_id()), "word-ids")  # the table numbers rows once and for all
 
@@ -345,29 +385,42 @@ def _rare_words(keys: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.bincount(doc[first], minlength=n), keys[first], np.diff(np.append(first, len(keys)))
 
 
+def _shares(model: Model, sizes: np.ndarray, words: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of documents -> each document's sum of times * log of known words; sizes, words and times of the others."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    share, other = np.zeros(len(sizes), np.int64), np.ones(len(words), bool)
+    if len(model.known):
+        at = np.minimum(np.searchsorted(model.known, words), len(model.known) - 1)
+        other = model.known[at] != words
+        np.add.at(share, doc[~other], times[~other] * model.logs[at[~other]])
+    return share, np.bincount(doc[other], minlength=len(sizes)), words[other], times[other]
+
+
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, log_probability (sum), mean_log_probability: a row per row of texts by `numbered`."""
-    held = rows.sparkSession.sparkContext.broadcast(replace(model, counts=None))
+    none = np.zeros(0, np.int64)
+    held = rows.sparkSession.sparkContext.broadcast(replace(model, counts=None, vocabulary=none, ids=none, known=none, logs=none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         w = {k: v.astype(np.float32) for k, v in own.weights.items()}
         buckets = np.log(own.rare + UNSEEN)
         for batch in batches:
-            ids, doc = _ids_of(batch, 3)
+            ids, doc = _ids_of(batch, 4)
             logs = log_probabilities(w, ids, doc)
             rare = np.flatnonzero(ids >= FREQUENT)
             logs[rare] -= buckets[ids[rare] - FREQUENT]
             total = np.bincount(doc, weights=logs, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(total)], names=["row", "doc_id", "n_tokens", "log_probability"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(total)], names=["row", "doc_id", "n_tokens", "known", "log_probability"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.select("row", "doc_id", "n_tokens", "ids").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, log_probability double")
+    scored = rows.select("row", "doc_id", "n_tokens", "share", "ids").mapInArrow(
+        run, f"row long, doc_id {kind}, n_tokens long, known long, log_probability double"
+    )
     words = rows.select("row", F.inline(F.arrays_zip("words", "times"))).withColumnRenamed("words", "key")
-    log = F.round(F.log(F.coalesce(F.col("n").cast("double"), F.lit(UNSEEN))) * LOG_SCALE).cast("long")
-    shares = words.join(model.counts, "key", "left").groupBy("row").agg((F.sum(F.col("times") * log) / LOG_SCALE).alias("share"))
+    shares = words.join(model.counts, "key", "left").groupBy("row").agg(F.sum(F.col("times") * _log(F.col("n"))).alias("share"))
     scored = scored.join(shares, "row", "left")
-    log_probability = F.col("log_probability") + F.coalesce("share", F.lit(0.0))
+    log_probability = F.col("log_probability") + (F.col("known") + F.coalesce("share", F.lit(0))) / LOG_SCALE
     return scored.select(
         "doc_id", "n_tokens", log_probability.alias("log_probability"), F.try_divide(log_probability, "n_tokens").alias("mean_log_probability")
     )

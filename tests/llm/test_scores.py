@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -327,6 +328,37 @@ def test_rare_words_share_their_bucket(spark):
         assert b not in once or r["log_probability"] < once[b]
 
 
+def test_counts_that_are_sent_and_joined_give_the_same(spark, odd, monkeypatch):
+    """Known words aren't joined, and scores are those of a join of all."""
+    docs = odd.select("doc_id", F.concat_ws(" ", "text", F.lit(" ".join(f"r{i % 5000}" for i in range(7500)))).alias("text"))
+
+    def scored(most):
+        monkeypatch.setattr(mlm_scoring, "MOST_KNOWN", most)
+        first = mlm_scoring.first_model(docs)
+        rows = mlm_scoring.numbered(docs, first)
+        joined = rows.agg(F.sum(F.size("words"))).first()[0]
+        return len(first.known), joined, sorted((tuple(r) for r in mlm_scoring.score(rows, first).collect()), key=repr)
+
+    none, some, every = scored(0), scored(5500), scored(1 << 18)
+    assert none[0] == 0 < some[0] <= 5500 < every[0]
+    assert none[1] > some[1] > 0 == every[1]
+    for other in (some, every):  # rows are dealt otherwise, so single-precision sums differ in their last digits
+        assert [r[:2] for r in none[2]] == [r[:2] for r in other[2]]
+        assert all(math.isclose(a[2], b[2], rel_tol=1e-7) for a, b in zip(none[2], other[2]))
+
+
+def test_word_counts_of_many_batches(spark, odd, pairs_of, monkeypatch):
+    """Tasks that sort held words together, keep them or hand them on count as one that holds all."""
+    want = sorted(Counter(w for _, t in pairs_of for w in brute.words(t, True)).values())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        for most in (300, 3000):
+            monkeypatch.setattr(mlm_scoring, "MOST_COUNTED", most)
+            assert sorted(r["n"] for r in mlm_scoring.word_counts(odd).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_rounds_cover_all_words():
     seen = []
 
